@@ -1,0 +1 @@
+"""Sales and delivery analytics as plain Spark DataFrame functions."""

@@ -1,0 +1,150 @@
+"""Shared building blocks: deduplication, group attach, running values, ranks.
+
+Group keys may be badly skewed, so none of these lets one task see a whole
+unbounded group:
+
+* ``keep_one`` / ``top_k`` filter a ranking window; Spark prunes each map
+  partition to k rows per key before the shuffle (WindowGroupLimit).
+* ``attach`` aggregates (map-side partial) and joins the one-row-per-key result
+  back; AQE splits the hot partitions of that join.
+* ``running`` sends hot groups through a range partitioning on (key, order) and
+  carries totals from slice to slice.
+
+No join here carries a broadcast hint: Spark broadcasts a side when its known
+size is below ``autoBroadcastJoinThreshold`` (or AQE's measured size is), and
+shuffles it otherwise.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tillmart.session import reliable_checkpoint
+
+HOT_GROUP_ROWS = 2_000_000
+
+
+def col(c) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """First row per key under ``order`` (columns or ``.desc()`` expressions)."""
+    return top_k(df, keys, order, 1).drop("_rank")
+
+
+def top_k(df: DataFrame, keys: Sequence[str], order: Sequence, k: int, rank: str = "_rank") -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[col(c) for c in order])
+    return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+
+
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+
+def attach(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
+    """Add group aggregates to every row (keys must not be null)."""
+    return df.join(df.groupBy(*keys).agg(*aggs), list(keys), "left")
+
+
+def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """Right side of a left join that must not fan out."""
+    return keep_one(df, keys, order)
+
+
+def _local(df: DataFrame, part: Sequence[str], order: Sequence, specs: dict) -> DataFrame:
+    w = Window.partitionBy(*part).orderBy(*[col(c) for c in order]).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    out = {}
+    for name, (kind, expr) in specs.items():
+        if kind == "count":
+            out[name] = F.count(F.lit(1)).over(w)
+        elif kind == "sum":
+            out[name] = F.sum(col(expr)).over(w)
+        else:
+            out[name] = F.last(col(expr), ignorenulls=True).over(w)
+    return df.withColumns(out)
+
+
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence,
+    specs: dict[str, tuple[str, object]],
+    hot_rows: int = HOT_GROUP_ROWS,
+) -> DataFrame:
+    """Running count / sum / last-non-null inside each group.
+
+    ``specs`` maps an output name to ``("count", None)``, ``("sum", expr)`` or
+    ``("last", expr)``. ``order`` must be total inside a group.
+    """
+    keys = list(keys)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.where(F.col("_n") > hot_rows).drop("_n")
+    if hot.isEmpty():
+        return _local(df, keys, order, specs)
+
+    if keys:
+        hot = reliable_checkpoint(hot)
+        match = null_safe(df, hot, keys)
+        cold = _local(df.join(hot, match, "left_anti"), keys, order, specs)
+        picked = df.join(hot, match, "left_semi")
+    else:
+        cold, picked = None, df
+    inputs = {f"_in_{n}": col(e) for n, (k, e) in specs.items() if k != "count"}
+    local_specs = {n: (k, f"_in_{n}" if k != "count" else None) for n, (k, _) in specs.items()}
+    sliced = reliable_checkpoint(
+        picked.withColumns(inputs).repartitionByRange(*[col(c) for c in [*keys, *order]])
+        .withColumn("_slice", F.spark_partition_id())
+    )
+    rows = _local(sliced, [*keys, "_slice"], order, local_specs)
+    ends = []
+    for name, (kind, _) in specs.items():
+        if kind == "count":
+            ends.append(F.count(F.lit(1)).alias(f"_end_{name}"))
+        elif kind == "sum":
+            ends.append(F.sum(f"_in_{name}").alias(f"_end_{name}"))
+        else:
+            ends.append(F.max_by(name, "_at").alias(f"_end_{name}"))
+    marked = _local(sliced, [*keys, "_slice"], order, {**local_specs, "_at": ("count", None)})
+    totals = marked.groupBy(*keys, "_slice").agg(*ends)
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carries = totals.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_slice").alias("_k_slice"),
+        *[
+            (F.last(f"_end_{n}", ignorenulls=True) if kind == "last" else F.sum(f"_end_{n}")).over(before).alias(f"_c_{n}")
+            for n, (kind, _) in specs.items()
+        ],
+    )
+    cond = rows["_slice"] == carries["_k_slice"]
+    for k in keys:
+        cond = cond & rows[k].eqNullSafe(carries[f"_k_{k}"])
+    joined = rows.join(carries, cond, "left")
+    for name, (kind, _) in specs.items():
+        carry = F.col(f"_c_{name}")
+        if kind == "last":
+            value = F.coalesce(F.col(name), carry)
+        elif kind == "count":
+            value = F.col(name) + F.coalesce(carry, F.lit(0))
+        else:
+            value = F.when(F.col(name).isNull(), carry).when(carry.isNull(), F.col(name)).otherwise(F.col(name) + carry)
+        joined = joined.withColumn(name, value)
+    result = joined.select(*df.columns, *specs)
+    return result if cold is None else cold.unionByName(result)
+
+
+def global_rank(df: DataFrame, value: str, out: str, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Competition rank (largest first) over the whole table.
+
+    Ranks the distinct values, not the rows, so the ordered part is small.
+    """
+    per_value = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running(per_value, [], [F.col("_v").desc()], {"_upto": ("sum", "_n")}, hot_rows)
+    ranks = ranked.select("_v", (F.col("_upto") - F.col("_n") + 1).alias(out))
+    return df.join(ranks, df[value] == ranks["_v"], "left").drop("_v")

@@ -1,0 +1,55 @@
+"""Session and shared-folder helpers."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+CHECKPOINT_CONF = "spark.checkpoint.dir"
+
+
+def local_session(cores: int | str = 8, app: str = "tillmart") -> SparkSession:
+    """A local session for tests and the bench; a cluster brings its own."""
+    return (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName(app)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "12g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach, as named by the session.
+
+    Only a local-mode session that names none gets a temporary folder.
+    """
+    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+    made = tempfile.mkdtemp(prefix="tillmart-")
+    spark.conf.set(CHECKPOINT_CONF, made)
+    return made
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new, unused path below the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def reliable_checkpoint(df):
+    """Eager checkpoint on the shared folder: survives the loss of executors."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(shared_dir(spark))
+    return df.checkpoint(eager=True)
