@@ -21,7 +21,7 @@ def store_scoped_blacklist(lines: DataFrame, blacklist: DataFrame, key: Column,
         F.col("item_key").alias("_bk"),
         F.explode(
             F.when(F.trim(F.coalesce("stores", F.lit(""))) == "", F.array(F.lit("")))
-            .otherwise(F.filter(F.transform(F.split("stores", ","), F.trim), lambda x: x != ""))
+            .otherwise(F.filter(F.transform(F.split("stores", ","), lambda x: F.trim(x)), lambda x: x != ""))
         ).alias("_bs"),
     ).distinct()
     everywhere = listed.where(F.col("_bs") == "").select("_bk")
