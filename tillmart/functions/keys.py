@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.functions.clean import text
-from tillmart.operators.core import HOT_GROUP_ROWS, running
+from tillmart.operators.core import AUTO, running
 
 
 def surrogate_key(columns: Sequence[str], length: int = 16) -> Column:
@@ -28,11 +28,9 @@ def row_hash(columns: Sequence[str], length: int = 12) -> Column:
     return F.substring(F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])), 1, length)
 
 
-def sub_order_id(
-    df: DataFrame, order_id: str, order: Sequence, hash_col: str | None = None, hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
+def sub_order_id(df: DataFrame, order_id: str, order: Sequence, hash_col: str | None = None, hot=AUTO) -> DataFrame:
     """order_position[_hash4], unique per line even for identical lines."""
-    out = running(df, [order_id], order, {"_seq": ("count", None)}, hot_rows)
+    out = running(df, [order_id], order, {"_seq": ("count", None)}, hot=hot)
     parts = [F.col(order_id).cast("string"), F.col("_seq").cast("string")]
     if hash_col:
         parts.append(F.substring(hash_col, 1, 4))

@@ -1,14 +1,15 @@
-"""Shared building blocks: deduplication, group attach, running values, ranks.
+"""Shared building blocks: deduplication, whole-group values, running values, ranks.
 
 Group keys may be badly skewed, so none of these lets one task see a whole
 unbounded group:
 
 * ``keep_one`` / ``top_k`` filter a ranking window; Spark prunes each map
   partition to k rows per key before the shuffle (WindowGroupLimit).
-* ``attach`` aggregates (map-side partial) and joins the one-row-per-key result
-  back; AQE splits the hot partitions of that join.
-* ``running`` sends hot groups through a range partitioning on (key, order) and
-  carries totals from slice to slice.
+* ``attach`` and ``running`` use plain windows for ordinary groups (one shuffle,
+  shared by all windows on the same key). Groups above ``HOT_GROUP_ROWS`` take
+  another way: whole-group values are partial aggregates joined back, running
+  values go through a range partitioning on (key, order) whose slices carry
+  their totals on. Which keys are hot is counted once, on the key column alone.
 
 No join here carries a broadcast hint: Spark broadcasts a side when its known
 size is below ``autoBroadcastJoinThreshold`` (or AQE's measured size is), and
@@ -18,7 +19,7 @@ shuffles it otherwise.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,9 +47,60 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def attach(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
-    """Add group aggregates to every row (keys must not be null)."""
-    return df.join(df.groupBy(*keys).agg(*aggs), list(keys), "left")
+AUTO, ALL = "auto", "all"
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, None when there are none.
+
+    At most rows / hot_rows keys come out; they are checkpointed, not collected.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    found = reliable_checkpoint(sizes.drop("_n"))
+    return None if found.isEmpty() else found
+
+
+def resolve_hot(df: DataFrame, keys: Sequence[str], hot, hot_rows: int = HOT_GROUP_ROWS):
+    return hot_keys(df, keys, hot_rows) if isinstance(hot, str) and hot == AUTO else hot
+
+
+def split_hot(df: DataFrame, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary groups, rows of hot groups)."""
+    match = null_safe(df, hot, hot.columns)
+    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
+
+
+def by_heat(fn):
+    """Run ``fn(df, keys, ..., hot=)`` apart for ordinary and hot groups.
+
+    ``hot`` is None (no hot groups: windows), ALL (the rows are all hot), a
+    table of hot keys, or AUTO to count them first. The hot rows are written out
+    once per step, so a chain of steps on them stays linear.
+    """
+
+    @wraps(fn)
+    def run(df, keys, *args, hot=AUTO, **kw):
+        hot = resolve_hot(df, keys, hot)
+        if hot is None or isinstance(hot, str):
+            return fn(df, keys, *args, hot=hot, **kw)
+        cold, rows = split_hot(df, hot)
+        return fn(cold, keys, *args, hot=None, **kw).unionByName(
+            fn(reliable_checkpoint(rows), keys, *args, hot=ALL, **kw)
+        )
+
+    return run
+
+
+@by_heat
+def attach(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column], hot=AUTO) -> DataFrame:
+    """Add whole-group aggregates to every row."""
+    keys = list(keys)
+    if hot is None:
+        w = Window.partitionBy(*keys)
+        return df.withColumns({n: a.over(w) for n, a in aggs.items()})
+    values = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(*[a.alias(n) for n, a in aggs.items()])
+    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(values[f"_k_{k}"]) for k in keys])
+    return reliable_checkpoint(df.join(values, cond).select(*df.columns, *aggs))
 
 
 def unique_by(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
@@ -71,35 +123,28 @@ def _local(df: DataFrame, part: Sequence[str], order: Sequence, specs: dict) ->
     return df.withColumns(out)
 
 
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence,
-    specs: dict[str, tuple[str, object]],
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
+def running(df: DataFrame, keys: Sequence[str], order: Sequence, specs: dict, hot=AUTO) -> DataFrame:
     """Running count / sum / last-non-null inside each group.
 
     ``specs`` maps an output name to ``("count", None)``, ``("sum", expr)`` or
     ``("last", expr)``. ``order`` must be total inside a group.
     """
-    keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.where(F.col("_n") > hot_rows).drop("_n")
-    if hot.isEmpty():
-        return _local(df, keys, order, specs)
+    return by_heat(_running)(df, list(keys), order, specs, hot=hot)
+
+
+def running_total(df: DataFrame, order: Sequence, specs: dict, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """The same over the whole table as one group."""
+    few = df.limit(hot_rows + 1).count() <= hot_rows
+    return _running(df, [], order, specs, hot=None if few else ALL)
 
-    if keys:
-        hot = reliable_checkpoint(hot)
-        match = null_safe(df, hot, keys)
-        cold = _local(df.join(hot, match, "left_anti"), keys, order, specs)
-        picked = df.join(hot, match, "left_semi")
-    else:
-        cold, picked = None, df
+
+def _running(df: DataFrame, keys: Sequence[str], order: Sequence, specs: dict, hot) -> DataFrame:
+    if hot is None:
+        return _local(df, keys, order, specs)
     inputs = {f"_in_{n}": col(e) for n, (k, e) in specs.items() if k != "count"}
     local_specs = {n: (k, f"_in_{n}" if k != "count" else None) for n, (k, _) in specs.items()}
     sliced = reliable_checkpoint(
-        picked.withColumns(inputs).repartitionByRange(*[col(c) for c in [*keys, *order]])
+        df.withColumns(inputs).repartitionByRange(*[col(c) for c in [*keys, *order]])
         .withColumn("_slice", F.spark_partition_id())
     )
     rows = _local(sliced, [*keys, "_slice"], order, local_specs)
@@ -135,8 +180,7 @@ def running(
         else:
             value = F.when(F.col(name).isNull(), carry).when(carry.isNull(), F.col(name)).otherwise(F.col(name) + carry)
         joined = joined.withColumn(name, value)
-    result = joined.select(*df.columns, *specs)
-    return result if cold is None else cold.unionByName(result)
+    return reliable_checkpoint(joined.select(*df.columns, *specs))
 
 
 def global_rank(df: DataFrame, value: str, out: str, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
@@ -145,6 +189,6 @@ def global_rank(df: DataFrame, value: str, out: str, hot_rows: int = HOT_GROUP_R
     Ranks the distinct values, not the rows, so the ordered part is small.
     """
     per_value = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running(per_value, [], [F.col("_v").desc()], {"_upto": ("sum", "_n")}, hot_rows)
+    ranked = running_total(per_value, [F.col("_v").desc()], {"_upto": ("sum", "_n")}, hot_rows)
     ranks = ranked.select("_v", (F.col("_upto") - F.col("_n") + 1).alias(out))
     return df.join(ranks, df[value] == ranks["_v"], "left").drop("_v")

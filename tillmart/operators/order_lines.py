@@ -1,0 +1,248 @@
+"""Line-level operators inside one order.
+
+``item_seq`` is the unique position of a line in its order. A broken export can
+put a third of all lines under one order key (a blank receipt number, say), so
+every operator goes through ``core.attach`` and ``core.running`` and takes the
+hot keys (``hot``) that a job counts once; by default it counts them itself.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tillmart.functions.clean import blank_to_null, text
+from tillmart.functions.keys import unified_pk
+from tillmart.functions.numbers import rnd_int
+from tillmart.operators.core import AUTO, attach, by_heat, col, keep_one, running
+
+SEQ = "item_seq"
+
+
+def item_seq(df: DataFrame, order: Sequence[str], by: Sequence, hot=AUTO) -> DataFrame:
+    """1-based position of each line in its order."""
+    return running(df, order, by, {SEQ: ("count", None)}, hot=hot)
+
+
+def representative_row(
+    df: DataFrame, order: Sequence[str], price: str, cancel_value: int = -1, name_match: Column | None = None, hot=AUTO
+) -> DataFrame:
+    """Menu name and order count on the order's best line: name match, then highest price, then first.
+
+    ``menu_name`` is set on all lines, ``order_cnt`` is 1 (or the cancel value) on the best line only.
+    """
+    match = F.when(name_match, 0).otherwise(1) if name_match is not None else F.lit(0)
+    best = F.min(F.struct(match.alias("m"), (-F.coalesce(col(price), F.lit(0))).alias("p"), F.col(SEQ).alias("s"), F.col("item_name").alias("n")))
+    out = attach(df, order, {"_best": best}, hot=hot)
+    sign = F.when(F.col("sale_type") == "취소", cancel_value).otherwise(1)
+    return out.withColumns(
+        {
+            "menu_name": F.col("_best.n"),
+            "order_cnt": F.when(F.col(SEQ) == F.col("_best.s"), sign).otherwise(0),
+        }
+    ).drop("_best")
+
+
+def order_cnt_last_line(df: DataFrame, order: Sequence[str], hot=AUTO) -> DataFrame:
+    """1 (or -1 for cancelled) on the last line of the receipt, 0 elsewhere."""
+    out = attach(df, order, {"_last": F.max(SEQ)}, hot=hot)
+    sign = F.when(F.col("sale_type") == "취소", -1).otherwise(1)
+    return out.withColumn("order_cnt", F.when(F.col(SEQ) == F.col("_last"), sign).otherwise(0)).drop("_last")
+
+
+# Words of fee-like and option-like lines, and the floor of the main-line heuristic.
+FEE_WORDS = "배달비|배달팁|포장비|쿠폰|할인|서비스|수수료"
+OPTION_WORDS = "추가|옵션|토핑|사리|변경|선택|곱빼기|맵기"
+MAIN_FLOOR, MAIN_SHARE = 2000.0, 0.25
+
+
+@by_heat
+def main_item_segments(
+    df: DataFrame, order: Sequence[str], is_main: Column, price: str, is_hall: Column | None, hot=AUTO
+) -> DataFrame:
+    """Menu name per line: every main item starts a segment that runs to the next one.
+
+    Orders without a registered main item: hall orders take their dearest line,
+    delivery orders get segments from lines that look like main dishes (price at
+    least max(floor, share of the dearest), neither fee nor option). Without
+    ``is_hall`` every such order takes its dearest line. Orders without any
+    named line stay null.
+    """
+    name = blank_to_null("item_name")
+    fee = F.coalesce(F.col("item_name").rlike(FEE_WORDS), F.lit(False))
+    option = F.coalesce(F.col("item_name").rlike(OPTION_WORDS), F.lit(False))
+    rows = df.withColumns(
+        {
+            "_name": name, "_price": F.coalesce(col(price), F.lit(0)).cast("double"),
+            "_main": F.coalesce(is_main, F.lit(False)) & name.isNotNull() & (F.coalesce(col(price), F.lit(0)) > 0),
+            "_fee": fee, "_opt": option,
+            "_hall": F.coalesce(is_hall, F.lit(False)) if is_hall is not None else F.lit(True),
+        }
+    )
+    best = lambda cond: F.min(
+        F.when(F.col("_name").isNotNull() & cond, F.struct((-F.col("_price")).alias("p"), F.col(SEQ).alias("s"), F.col("_name").alias("n")))
+    )
+    rows = attach(
+        rows, order,
+        {
+            "_has_main": F.max("_main"),
+            "_max": F.max(F.when(F.col("_name").isNotNull(), F.col("_price"))),
+            "_is_hall": F.min_by("_hall", SEQ),
+            "_best_dish": best(~F.col("_fee")),
+            "_best_any": best(F.lit(True)),
+        },
+        hot=hot,
+    )
+    looks_main = (
+        (F.col("_price") >= F.greatest(F.lit(MAIN_FLOOR), F.col("_max") * MAIN_SHARE))
+        & ~F.col("_fee") & ~F.col("_opt") & F.col("_name").isNotNull()
+    )
+    starts = F.when(F.col("_has_main"), F.col("_main")).otherwise(~F.col("_is_hall") & F.coalesce(looks_main, F.lit(False)))
+    rows = rows.withColumn("_start", F.when(starts, F.col("_name")))
+    first = F.min(F.when(F.col("_start").isNotNull(), F.struct(F.col(SEQ).alias("s"), F.col("_start").alias("n"))))
+    rows = attach(rows, order, {"_first": first}, hot=hot)
+    rows = running(rows, order, [SEQ], {"_seg": ("last", "_start")}, hot=hot)
+    menu = F.coalesce("_seg", F.col("_first.n"), F.col("_best_dish.n"), F.col("_best_any.n"))
+    return rows.withColumn("menu_name", menu).select(
+        *[c for c in df.columns if c != "menu_name"], "menu_name"
+    )
+
+
+def menu_group_segments(df: DataFrame, order: Sequence[str], price: str, hot=AUTO) -> DataFrame:
+    """0-based group number; a priced line (and the first line) starts a new group."""
+    start = F.when(col(price).isNotNull() | (F.col(SEQ) == 1), 1).otherwise(0)
+    out = running(df, order, [SEQ], {"_g": ("sum", start)}, hot=hot)
+    return out.withColumn("menu_group", F.col("_g") - 1).drop("_g")
+
+
+def proportional_allocation(df: DataFrame, order: Sequence[str], share: str, amount: str, out: str, hot=AUTO) -> DataFrame:
+    """Order amount split by each line's share of the order, rounded; 0 when the shares sum to 0."""
+    rows = attach(df, order, {"_total": F.sum(share)}, hot=hot)
+    part = F.col(share).cast("double") / F.col("_total").cast("double") * F.col(amount)
+    value = F.when(F.col("_total") == 0, 0).when(F.col("_total") == F.col(amount), F.col(share)).otherwise(rnd_int(part))
+    return rows.withColumn(out, F.when(F.col("_total") == 0, 0).otherwise(value).cast("bigint")).drop("_total")
+
+
+@by_heat
+def remainder_allocation(
+    df: DataFrame, order: Sequence[str], group: str, price: str, qty: str, option_price: str, amount: str, out: str,
+    hot=AUTO,
+) -> DataFrame:
+    """Order amount split exactly: by group weight, then inside a group by paid options.
+
+    The weight of a group is price x quantity of its main line (the first priced,
+    else the first line). All groups but the last get their rounded share, the
+    last takes the remainder. In a group with paid options these share the
+    group's amount the same way; without, the main line takes it all.
+    """
+    gk = [*order, group]
+    seq, gid = F.col(SEQ), F.col(group)
+    rank = F.when(col(price).isNotNull(), 0).otherwise(1)
+    rows = attach(df, gk, {"_m": F.min(F.struct(rank.alias("k"), seq.alias("s")))}, hot=hot)
+    is_main = seq == F.col("_m.s")
+    weight = F.coalesce(col(price), F.lit(0)).cast("double") * F.when(col(qty) > 0, col(qty)).otherwise(1)
+    rows = rows.withColumn("_w", F.when(is_main, weight))
+    rows = attach(rows, order, {"_tw": F.sum("_w"), "_last": F.max(group)}, hot=hot)
+    # Group amounts live on the main lines first, so they sum up without a grouping of their own.
+    share = F.when(F.col("_tw") > 0, rnd_int(col(amount) * F.col("_w") / F.col("_tw"))).otherwise(0)
+    rows = rows.withColumn("_r", F.when(is_main & (gid != F.col("_last")), share))
+    rows = attach(rows, order, {"_given": F.sum("_r")}, hot=hot)
+    rest = col(amount) - F.coalesce("_given", F.lit(0))
+    rows = rows.withColumn("_r", F.when(is_main & (gid == F.col("_last")), rest).otherwise(F.col("_r")))
+    rows = rows.withColumn("_paid", F.when(~is_main & (col(option_price) > 0), col(option_price)))
+    rows = attach(
+        rows, gk,
+        {"_ga": F.max("_r"), "_pt": F.sum("_paid"), "_lo": F.max(F.when(F.col("_paid").isNotNull(), seq))},
+        hot=hot,
+    )
+    part = F.when(F.col("_paid").isNotNull() & (seq != F.col("_lo")), rnd_int(F.col("_ga") * F.col("_paid") / F.col("_pt")))
+    rows = attach(rows.withColumn("_part", part), gk, {"_shared": F.sum("_part")}, hot=hot)
+    value = (
+        F.when(F.col("_part").isNotNull(), F.col("_part"))
+        .when(seq == F.col("_lo"), F.col("_ga") - F.coalesce("_shared", F.lit(0)))
+        .when(is_main & F.col("_lo").isNull(), F.col("_ga"))
+        .otherwise(0)
+    )
+    return rows.withColumn(out, value.cast("bigint")).select(*df.columns, out)
+
+
+def first_nonzero_spread(df: DataFrame, order: Sequence[str], value: str, out: str, hot=AUTO) -> DataFrame:
+    """Value given on one line of the order put on all lines: the first non-zero one, else the largest."""
+    first = F.min_by(col(value), F.when(col(value) != 0, F.col(SEQ)))
+    rows = attach(df, order, {"_first": first, "_most": F.max(value)}, hot=hot)
+    return rows.withColumn(out, F.coalesce("_first", "_most", F.lit(0))).drop("_first", "_most")
+
+
+def order_time_unify(df: DataFrame, order: Sequence[str], time: str = "order_time", hot=AUTO) -> DataFrame:
+    """First non-empty time of the order on all its lines."""
+    t = blank_to_null(time)
+    out = attach(df, order, {"_t": F.min_by(t, F.when(t.isNotNull(), F.col(SEQ)))}, hot=hot)
+    return out.withColumn(time, F.coalesce("_t", F.lit(""))).drop("_t")
+
+
+# Id and name of a balancing line.
+ADJUST_ID, ADJUST_NAME = "__ADJ__", "정산차액"
+
+
+def adjustment_rows(df: DataFrame, order: Sequence[str], head_amount: str) -> DataFrame:
+    """One balancing line per receipt whose header amount differs from the sum of its lines.
+
+    It copies the attributes of the line with the largest absolute amount.
+    """
+    order = list(order)
+    rep = F.struct(F.abs("total_price").alias("a"), (-F.col(SEQ)).alias("s"))
+    keep = [c for c in df.columns if c not in order]
+    g = df.groupBy(*order).agg(
+        F.max_by(F.struct(*keep), rep).alias("_r"), F.sum("total_price").alias("_sum"), F.max(SEQ).alias("_seq"),
+        F.min_by(head_amount, SEQ).alias("_head"),
+    )
+    diff = F.col("_head") - F.col("_sum")
+    g = g.where(diff != 0).select(*order, *[F.col(f"_r.{c}").alias(c) for c in keep], diff.alias("_diff"), (F.col("_seq") + 1).alias("_next"))
+    new = {
+        SEQ: F.col("_next"), "item_id": F.lit(ADJUST_ID), "item_name": F.lit(ADJUST_NAME), "qty": F.lit(1).cast("bigint"),
+        "unit_price": F.abs("_diff"), "total_price": F.col("_diff"), "discount_amount": F.lit(0).cast("bigint"),
+        "sale_type": F.when(F.col("_diff") >= 0, "정상").otherwise("취소"), "order_cnt": F.lit(0),
+    }
+    adj = g.withColumns({k: v for k, v in new.items() if k in df.columns}).select(*df.columns)
+    return df.unionByName(adj)
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], stamps: Sequence, tie: Sequence = ()) -> DataFrame:
+    """Newest row per key; missing stamps count as oldest."""
+    return keep_one(df, keys, [*[col(s).desc_nulls_last() for s in stamps], *tie])
+
+
+def is_latest_flag(df: DataFrame, keys: Sequence[str], stamp: str, version: str) -> DataFrame:
+    """Y on the newest version per key, N on all others (``version`` breaks ties)."""
+    newest = df.groupBy(*keys).agg(F.max(F.struct(stamp, version)).alias("_top"))
+    out = df.join(newest, list(keys))
+    hit = F.struct(F.col(stamp), F.col(version)).eqNullSafe(F.col("_top"))
+    return out.withColumn("is_latest", F.when(hit, "Y").otherwise("N")).drop("_top")
+
+
+def canonical(c, numeric: bool) -> Column:
+    """Compare form of a value: numbers with six decimals, text trimmed."""
+    if numeric:
+        return F.coalesce(F.bround(col(c).cast("decimal(30,8)"), 6).cast("string"), F.lit(""))
+    return text(c)
+
+
+def canonical_line_dedup(df: DataFrame, columns: dict[str, bool], newest_first: Sequence) -> DataFrame:
+    """One line per canonical form of the columns (name -> is numeric), the newest collected one.
+
+    The key is the digest of the canonical form, so the shuffle carries one short column.
+    """
+    digest = F.sha2(F.concat_ws("\u0001", *[canonical(c, n) for c, n in columns.items()]), 256)
+    return keep_one(df.withColumn("_form", digest), ["_form"], newest_first).drop("_form")
+
+
+def receipt_dedup(df: DataFrame, candidates: Sequence[str], newest_first: Sequence, least: int = 4) -> DataFrame:
+    """One header per receipt by the stable key columns that exist; fewer than ``least`` leave the rows alone."""
+    keys = [c for c in candidates if c in df.columns]
+    return keep_one(df, keys, newest_first) if len(keys) >= least else df
+
+
+def with_pk(df: DataFrame) -> DataFrame:
+    return df.withColumn("_pk", unified_pk())
