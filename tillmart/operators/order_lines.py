@@ -27,22 +27,20 @@ def item_seq(df: DataFrame, order: Sequence[str], by: Sequence, hot=AUTO) -> Dat
 
 
 def representative_row(
-    df: DataFrame, order: Sequence[str], price: str, cancel_value: int = -1, name_match: Column | None = None, hot=AUTO
+    df: DataFrame, order: Sequence[str], price, cancel_value: int = -1, name_match: Column | None = None,
+    set_menu: bool = True, hot=AUTO,
 ) -> DataFrame:
     """Menu name and order count on the order's best line: name match, then highest price, then first.
 
-    ``menu_name`` is set on all lines, ``order_cnt`` is 1 (or the cancel value) on the best line only.
+    ``menu_name`` is set on all lines (``set_menu``), ``order_cnt`` is 1 (or the
+    cancel value) on the best line only.
     """
     match = F.when(name_match, 0).otherwise(1) if name_match is not None else F.lit(0)
     best = F.min(F.struct(match.alias("m"), (-F.coalesce(col(price), F.lit(0))).alias("p"), F.col(SEQ).alias("s"), F.col("item_name").alias("n")))
     out = attach(df, order, {"_best": best}, hot=hot)
     sign = F.when(F.col("sale_type") == "취소", cancel_value).otherwise(1)
-    return out.withColumns(
-        {
-            "menu_name": F.col("_best.n"),
-            "order_cnt": F.when(F.col(SEQ) == F.col("_best.s"), sign).otherwise(0),
-        }
-    ).drop("_best")
+    out = out.withColumn("order_cnt", F.when(F.col(SEQ) == F.col("_best.s"), sign).otherwise(0))
+    return (out.withColumn("menu_name", F.col("_best.n")) if set_menu else out).drop("_best")
 
 
 def order_cnt_last_line(df: DataFrame, order: Sequence[str], hot=AUTO) -> DataFrame:
@@ -60,15 +58,16 @@ MAIN_FLOOR, MAIN_SHARE = 2000.0, 0.25
 
 @by_heat
 def main_item_segments(
-    df: DataFrame, order: Sequence[str], is_main: Column, price: str, is_hall: Column | None, hot=AUTO
+    df: DataFrame, order: Sequence[str], is_main: Column, price, is_hall: Column | None, paid_dish: bool = False,
+    hot=AUTO,
 ) -> DataFrame:
     """Menu name per line: every main item starts a segment that runs to the next one.
 
     Orders without a registered main item: hall orders take their dearest line,
     delivery orders get segments from lines that look like main dishes (price at
     least max(floor, share of the dearest), neither fee nor option). Without
-    ``is_hall`` every such order takes its dearest line. Orders without any
-    named line stay null.
+    ``is_hall`` every such order takes its dearest line that is no fee
+    (``paid_dish``: and not free). Orders without any named line stay null.
     """
     name = blank_to_null("item_name")
     fee = F.coalesce(F.col("item_name").rlike(FEE_WORDS), F.lit(False))
@@ -90,7 +89,7 @@ def main_item_segments(
             "_has_main": F.max("_main"),
             "_max": F.max(F.when(F.col("_name").isNotNull(), F.col("_price"))),
             "_is_hall": F.min_by("_hall", SEQ),
-            "_best_dish": best(~F.col("_fee")),
+            "_best_dish": best(~F.col("_fee") & (F.col("_price") > 0) if paid_dish else ~F.col("_fee")),
             "_best_any": best(F.lit(True)),
         },
         hot=hot,
