@@ -52,8 +52,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if cols != wcols:
         return False, f"columns {set(cols) ^ set(wcols)}"
     if len(got) != len(want):
-        extra = [g for g in got if g not in set(want)][:1]
-        return False, f"rows spark={len(got)} sql={len(want)} e.g. {extra}"
+        known, mine = set(want), set(got)
+        extra, lost = [g for g in got if g not in known][:1], [w for w in want if w not in mine][:1]
+        return False, f"rows spark={len(got)} sql={len(want)} extra {extra} lost {lost}"
     bad = [(g, w) for g, w in zip(got, want) if g != w]
     if bad:
         g, w = bad[0]

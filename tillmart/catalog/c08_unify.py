@@ -5,19 +5,10 @@ from pyspark.sql import functions as F
 from tillmart.catalog.base import EVENTS, HEADS, LINE_SEQ, LINES, PRODUCTS, STORES, big, query, ratio, rint, rnd
 from tillmart.catalog.c06_order_lines import NAME, adjust_sql, item_name, remainder_sql, segments_sql
 from tillmart.functions.clean import item_key
-from tillmart.operators.core import hot_keys
 from tillmart.plans import master as ms, unify as u
 from tillmart.sources.fixtures import AS_OF, LINE_ORDER
 
 T = lambda x: F.col(x).cast("string")
-KEY_COLS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-
-
-def hot(t, key):
-    """Hot values of an order key, counted on the key column of the line table."""
-    lines = t.table("lineitem").select(F.col("l_orderkey").cast("string").alias("_o"))
-    found = hot_keys(lines, ["_o"])
-    return None if found is None else key(found)
 
 
 def master_full(t):
@@ -43,7 +34,7 @@ R1 = LINES + ", " + MASTER + f""", r0 AS (SELECT h.o_orderkey, h.sale_date, h.ym
     CASE WHEN h.order_type IN ('1-URGENT', '2-HIGH') THEN '포장' WHEN h.order_type = '3-MEDIUM' THEN '홀(매장)' ELSE '배달' END AS ok,
     CASE h.o_orderkey % 4 WHEN 0 THEN '포장2' WHEN 1 THEN CAST(h.o_orderkey % 30 AS VARCHAR) WHEN 2 THEN '배달-01' ELSE '' END AS tb,
     l.item_id, CASE WHEN l.l_orderkey IS NOT NULL THEN {NAME.replace('l_partkey', 'l.l_partkey')} END AS item_name, COALESCE(l.qty, 0) AS qty, COALESCE(l.net_amount, h.order_amount) AS amount,
-    COALESCE(l.discount_amount, 0) AS disc, row_number() OVER (PARTITION BY h.o_orderkey ORDER BY {', '.join('l.' + c for c in KEY_COLS)}) AS item_seq
+    COALESCE(l.discount_amount, 0) AS disc, row_number() OVER (PARTITION BY h.o_orderkey ORDER BY {', '.join('l.' + c for c in LINE_ORDER)}) AS item_seq
   FROM heads h LEFT JOIN lines l ON l.o_orderkey = h.o_orderkey),
   r1 AS (SELECT r0.*, COALESCE(m.main, false) AS main, CASE WHEN qty > 0 THEN CAST(amount AS DOUBLE) / qty ELSE amount END AS price,
     ((regexp_full_match(tb, '\\d+') OR contains(tb, '포장')) AND NOT contains(tb, '배달')) OR (regexp_matches(ok, '홀|포장|매장') AND NOT contains(ok, '배달')) AS is_hall FROM r0 LEFT JOIN mst m ON m.code = r0.item_id)
@@ -85,8 +76,7 @@ def unify_receipts(t):
         "sale_date", store.alias("store"), pos.alias("pos_no"), F.col("order_id").alias("receipt_no"), "item_id", item_name().alias("item_name"),
         "qty", F.col("net_amount").alias("amount"), "discount_amount", *LINE_ORDER,
     )
-    found = hot(t, lambda h: h.join(t.heads, h._o == F.col("order_id")).select("sale_date", store.alias("store"), pos.alias("pos_no"), F.col("order_id").alias("receipt_no")))
-    return u.unify_receipts(heads, items, t.stores, master_full(t), LINE_ORDER, ["POS", "PARTNER"], "PHONE", hot=found)
+    return u.unify_receipts(heads, items, t.stores, master_full(t), LINE_ORDER, ["POS", "PARTNER"], "PHONE")
 
 
 # -- delivery feed ------------------------------------------------------------
@@ -146,7 +136,7 @@ def recalculate_order_fields(t):
 
 # -- union POS ----------------------------------------------------------------
 
-R3 = LINES + ", " + MASTER + f""", u0 AS (SELECT l.*, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS st, CASE l_partkey % 13 WHEN 0 THEN '┗ (소)' WHEN 1 THEN '┗ 낙지' ELSE {NAME} END AS raw_name,
+R3 = LINES + ", " + MASTER + f""", u0 AS (SELECT l.*, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS stp, CASE l_partkey % 13 WHEN 0 THEN '┗ (소)' WHEN 1 THEN '┗ 낙지' ELSE {NAME} END AS raw_name,
     CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE net_amount END AS up, (o_orderkey % 5) || '_' || order_id || '_' || CAST(sale_date AS VARCHAR) || ' ' || order_time AS oid FROM lines l WHERE o_orderkey % 8 <> 0),
   u1 AS (SELECT u0.*, bool_or(l_partkey % 17 = 0) OVER (PARTITION BY oid) AS pack, row_number() OVER (PARTITION BY oid ORDER BY {LINE_SEQ}) AS item_seq, COALESCE(m.main, false) AS main,
     CASE raw_name WHEN '┗ (소)' THEN '' WHEN '┗ 낙지' THEN '낙지' ELSE raw_name END AS item_name FROM u0 LEFT JOIN mst m ON m.code = u0.item_id)
@@ -155,8 +145,8 @@ R3 = LINES + ", " + MASTER + f""", u0 AS (SELECT l.*, CASE WHEN source = 'P' THE
 
 
 @query("unify_union_pos", f"""WITH {R3} SELECT CAST(sale_date AS VARCHAR) AS sale_date, ym, 'union' AS source, '' AS brand, store, region, manager, CAST(open_date AS VARCHAR) AS open_date, '홀' AS platform,
-  CASE WHEN pack THEN '홀_포장' ELSE '홀_테이블' END AS order_type, oid AS order_id, order_time, COALESCE(menu, '') AS menu_name, item_seq, item_id, item_name, qty, up AS unit_price, CASE WHEN st = '취소' THEN -up ELSE up END AS total_price,
-  0 AS discount_amount, st AS sale_type, md5(concat_ws('|', CAST(sale_date AS VARCHAR), 'union', store, '홀', oid, CAST(item_seq AS VARCHAR))) AS _pk, CASE WHEN rk > 1 THEN 0 WHEN st = '취소' THEN -1 ELSE 1 END AS order_cnt
+  CASE WHEN pack THEN '홀_포장' ELSE '홀_테이블' END AS order_type, oid AS order_id, order_time, COALESCE(menu, '') AS menu_name, item_seq, item_id, item_name, qty, up AS unit_price, CASE WHEN stp = '취소' THEN -up ELSE up END AS total_price,
+  0 AS discount_amount, stp AS sale_type, md5(concat_ws('|', CAST(sale_date AS VARCHAR), 'union', store, '홀', oid, CAST(item_seq AS VARCHAR))) AS _pk, CASE WHEN rk > 1 THEN 0 WHEN stp = '취소' THEN -1 ELSE 1 END AS order_cnt
   FROM u2 WHERE NOT (item_name = '' AND up = 0)""")
 def unify_union_pos(t):
     k = F.col("o_orderkey")

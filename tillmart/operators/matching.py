@@ -1,0 +1,146 @@
+"""Text labels from rules and labelled examples, and text-derived rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tillmart.functions.clean import text
+from tillmart.functions.numbers import ratio, rnd
+from tillmart.operators.core import col, keep_one, top_k
+
+
+def keyword_label(
+    c, rules: Sequence[tuple[str, Sequence[str]]], default: str, main: str = "", main_words: Sequence[str] = (), topping: Sequence[str] = ()
+) -> Column:
+    """First label in decision order with a keyword in the text; main words win unless a topping word is there."""
+    t = text(c)
+    has = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: t.contains(w)) if words else F.lit(False)
+    out = F.lit(default)
+    for label, words in reversed(list(rules)):
+        out = F.when(has(words), label).otherwise(out)
+    return F.when(has(main_words) & ~has(topping), main).otherwise(out) if main_words else out
+
+
+def tokens(c) -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower(text(c)), r"[^\p{L}\p{N}]+"), lambda x: x != ""))
+
+
+def token_overlap_match(
+    items: DataFrame, examples: DataFrame, key: str, name: str, label: str = "label", threshold: int = 70, evidence: int = 5
+) -> DataFrame:
+    """Best labelled example per item by shared tokens / larger token count; an equal name scores 100.
+
+    Names repeat, so distinct names are matched, examples are first merged per
+    (name, label), and candidates come from an equi join on tokens. Exact
+    overlap needs no pruning: a pair is only built when it shares a token.
+    """
+    norm = F.array_join(F.array_sort(tokens(name)), " ")
+    full = F.regexp_replace(F.lower(text(name)), r"\s+", "")
+    names = items.select(F.col(name).alias("_i_name"), norm.alias("_i_norm"), full.alias("_i_full")).distinct()
+    ex = examples.select(F.col(label).alias("_label"), norm.alias("_e_norm"), full.alias("_e_full")).distinct()
+    i_words = names.select("_i_norm").distinct().withColumn("_i", F.split("_i_norm", " "))
+    e_words = ex.select("_e_norm").distinct().withColumn("_e", F.split("_e_norm", " "))
+    i_tok = i_words.select("_i_norm", F.size("_i").alias("_in"), F.explode("_i").alias("_w")).where(F.col("_w") != "")
+    e_tok = e_words.select("_e_norm", F.size("_e").alias("_en"), F.explode("_e").alias("_w")).where(F.col("_w") != "")
+    shared = i_tok.join(e_tok, "_w").groupBy("_i_norm", "_in", "_e_norm", "_en").agg(F.count(F.lit(1)).alias("_s"))
+    score = F.floor(100 * F.col("_s") / F.greatest("_in", "_en")).cast("int")
+    pairs = shared.withColumn("_score", score).join(ex, "_e_norm").join(names, "_i_norm")
+    pairs = pairs.withColumn("_score", F.when(F.col("_i_full") == F.col("_e_full"), 100).otherwise(F.col("_score")))
+    best = pairs.groupBy("_i_name", "_label").agg(F.max("_score").alias("_score"))
+    ranked = top_k(best, ["_i_name"], [F.col("_score").desc(), F.col("_label")], evidence)
+    text_of = F.concat(F.col("_label"), F.lit(":"), F.col("_score").cast("string"))
+    out = ranked.groupBy("_i_name").agg(
+        F.max("_score").alias("confidence"), F.min_by("_label", "_rank").alias("_top"),
+        F.array_sort(F.collect_list(F.struct("_rank", text_of.alias("t")))).alias("_l"),
+    ).select(
+        "_i_name", "confidence", F.when(F.col("confidence") >= threshold, F.col("_top")).otherwise("").alias("matched_label"),
+        F.array_join(F.transform("_l", lambda x: x["t"]), ", ").alias("evidence"),
+    )
+    return items.select(key, name).join(out, items[name] == out["_i_name"], "left").drop("_i_name").withColumns(
+        {"confidence": F.coalesce("confidence", F.lit(0)), "matched_label": F.coalesce("matched_label", F.lit("")), "evidence": F.coalesce("evidence", F.lit(""))}
+    )
+
+
+def label_override_chain(items: DataFrame, overrides: DataFrame, rule: Column, unknown: str = "미분류") -> DataFrame:
+    """Manual label by item key, then id, then name (the last one given wins), else the rule's label.
+
+    ``overrides``: item_pk, item_id, item_name, item_type, pos.
+    """
+    given = overrides.where((text("item_type") != "") & (F.col("item_type") != unknown))
+    out = items
+    for k in ("item_pk", "item_id", "item_name"):
+        look = keep_one(given.where(text(k) != ""), [k], [F.col("pos").desc()]).select(k, F.col("item_type").alias(f"_by_{k}"))
+        out = out.join(look, k, "left")
+    label = F.coalesce("_by_item_pk", "_by_item_id", "_by_item_name", rule)
+    by = F.when(F.coalesce("_by_item_pk", "_by_item_id", "_by_item_name").isNotNull(), "manual").otherwise("rule")
+    return out.withColumns({"item_type": label, "classified_by": by}).drop("_by_item_pk", "_by_item_id", "_by_item_name")
+
+
+def label_train_stats(df: DataFrame, label: str, example: str, n: int = 3) -> DataFrame:
+    """Rows, distinct examples, share and the most frequent examples per label."""
+    counts = df.groupBy(label, example).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_all"))
+    base = counts.groupBy(label).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("examples"))
+    best = top_k(counts, [label], [F.col("_n").desc(), F.col(example)], n)
+    top = best.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(example).alias("e")))).alias("_l"))
+    top = top.select(label, F.array_join(F.transform("_l", lambda x: x["e"]), ", ").alias("top_examples"))
+    return base.join(top, label)
+
+
+def false_positive_rules(df: DataFrame, c: str, rules: Sequence[tuple[str, str, str, str | None]]) -> DataFrame:
+    """Correct multi-label flags by text: (words, flag, detail column values, replacement or None).
+
+    When the text holds one of the words, the flag is set and its detail is one
+    of the '|'-separated values, the flag is cleared, or its detail replaced.
+    """
+    out = df
+    for words, flag, details, replacement in rules:
+        hit = F.col(c).rlike(words) & (F.col(flag) == 1) & F.col(f"{flag}_detail").isin(details.split("|"))
+        hit = F.coalesce(hit, F.lit(False))
+        if replacement is None:
+            out = out.withColumns({flag: F.when(hit, 0).otherwise(F.col(flag)), f"{flag}_detail": F.when(hit, "해당없음").otherwise(F.col(f"{flag}_detail"))})
+        else:
+            out = out.withColumn(f"{flag}_detail", F.when(hit, replacement).otherwise(F.col(f"{flag}_detail")))
+    return out
+
+
+ISSUE = T.ArrayType(T.StructType([T.StructField("type", T.StringType()), T.StructField("has_issue", T.BooleanType()), T.StructField("priority", T.IntegerType()), T.StructField("detail", T.StringType())]))
+
+
+def flatten_multi_label(df: DataFrame, key: str, json: str, none_type: str = "특이사항없음") -> DataFrame:
+    """One row per (note, issue) in priority order, numbered from 1; a note without issues gives one 'nothing' row."""
+    hits = F.filter(F.from_json(json, ISSUE), lambda x: x["has_issue"])
+    ordered = F.array_sort(F.transform(hits, lambda x, i: F.struct(x["priority"].alias("p"), i.alias("i"), x["type"].alias("t"), x["detail"].alias("d"))))
+    none = F.array(F.struct(F.lit(4).alias("p"), F.lit(0).alias("i"), F.lit(none_type).alias("t"), F.lit("").alias("d")))
+    rows = F.when(F.size(ordered) > 0, ordered).otherwise(none)
+    return df.select(key, F.posexplode(rows).alias("_pos", "_x")).select(
+        key, (F.col("_pos") + 1).alias("priority"), F.col("_x.t").alias("type"), F.col("_x.d").alias("detail")
+    )
+
+
+def unit_price_vote(price, qty, master_price) -> Column:
+    """Raw price, or price / quantity when that is nearer to the master price."""
+    p, q, m = col(price), col(qty), col(master_price)
+    each = F.bround((p.cast("double") / F.when(q != 0, q).otherwise(1)).cast("decimal(30,8)"), 0).cast("bigint")
+    use = (F.coalesce(m, F.lit(0)) > 0) & (F.abs(each - m) < F.abs(p - m))
+    return F.when(use, each).otherwise(p)
+
+
+# Log lines that are no errors.
+LOG_NOISE = "received sigterm|::endgroup:|local_task_job_runner\\.py"
+
+
+def log_error_extract(logs: DataFrame, key: str, body: str, mark: str = "error|exception", tail: int = 220) -> DataFrame:
+    """Last line that names an error, its number, and the count of such lines, noise left out."""
+    lines = logs.select(key, F.posexplode(F.split(F.coalesce(body, F.lit("")), "\n")).alias("line_no", "line")).where(F.trim("line") != "")
+    low = F.lower("line")
+    hit = low.rlike(mark) & ~low.contains("traceback") & ~low.rlike(LOG_NOISE)
+    bad = lines.where(hit)
+    return bad.groupBy(key).agg(
+        F.count(F.lit(1)).alias("error_lines"), F.max("line_no").alias("last_line_no"),
+        F.max_by(F.substring(F.trim("line"), -tail, tail), "line_no").alias("summary"),
+    )

@@ -1,0 +1,132 @@
+"""Test statistics in closed form over one aggregate each."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from itertools import combinations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tillmart.functions.numbers import ratio, rnd
+from tillmart.operators.core import global_rank, running_total
+
+
+def correlation_test(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Pearson r of every column pair with n and the t statistic, all pairs from one pass."""
+    pairs = list(combinations(columns, 2))
+    aggs = []
+    for a, b in pairs:
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        aggs.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.count_if(both).alias("n"), F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("r")).alias(f"{a}_{b}"))
+    row = df.agg(*aggs)
+    long = row.select(F.explode(F.array(*[F.col(f"`{a}_{b}`") for a, b in pairs])).alias("p")).select("p.*")
+    t = F.col("r") * F.sqrt((F.col("n") - 2) / F.nullif(1 - F.col("r") * F.col("r"), F.lit(0.0)))
+    return long.select("x", "y", "n", rnd("r", digits).alias("r"), rnd(t, 4).alias("t"))
+
+
+def average_rank(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Rank with ties sharing their mean rank, over distinct values."""
+    per = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_v").isNotNull())
+    cum = running_total(per, ["_v"], {"_upto": ("sum", "_n")})
+    ranks = cum.select("_v", (F.col("_upto") - (F.col("_n") - 1) / 2.0).alias(out))
+    return df.join(ranks, df[value] == ranks["_v"], "left").drop("_v")
+
+
+def spearman_test(df: DataFrame, a: str, b: str) -> DataFrame:
+    rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b)
+    ranked = average_rank(average_rank(rows, a, "_ra"), b, "_rb").select("_ra", "_rb")
+    return correlation_test(ranked, ["_ra", "_rb"]).select(F.lit(a).alias("x"), F.lit(b).alias("y"), "n", "r", "t")
+
+
+def group_stats(df: DataFrame, group: str, value: str) -> DataFrame:
+    v = F.col(value).cast("double")
+    return df.where(v.isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.var_samp(v).alias("var"))
+
+
+def group_compare(df: DataFrame, group: str, value: str) -> DataFrame:
+    """For each pair of groups: pooled t, Welch t and its degrees of freedom, Cohen's d."""
+    g = group_stats(df, group, value)
+    # One row per group: the pairing is over the (few) group labels.
+    side = lambda p: g.select(F.lit(1).alias("_j"), *[F.col(c).alias(f"{p}_{c}") for c in (group, "n", "mean", "var")])
+    j = side("a").join(side("b"), "_j").where(F.col(f"a_{group}") < F.col(f"b_{group}"))
+    diff = F.col("a_mean") - F.col("b_mean")
+    va, vb = F.col("a_var") / F.col("a_n"), F.col("b_var") / F.col("b_n")
+    dof = F.col("a_n") + F.col("b_n") - 2
+    pooled = ((F.col("a_n") - 1) * F.col("a_var") + (F.col("b_n") - 1) * F.col("b_var")) / dof
+    return j.select(
+        F.col(f"a_{group}").alias("group_a"), F.col(f"b_{group}").alias("group_b"), F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b"),
+        rnd(diff, 4).alias("mean_diff"), rnd(diff / F.sqrt(pooled * (1 / F.col("a_n") + 1 / F.col("b_n"))), 4).alias("t_equal"),
+        rnd(diff / F.sqrt(va + vb), 4).alias("t_welch"),
+        rnd((va + vb) * (va + vb) / (va * va / (F.col("a_n") - 1) + vb * vb / (F.col("b_n") - 1)), 2).alias("welch_df"),
+        rnd(diff / F.sqrt(pooled), 4).alias("cohen_d"),
+    )
+
+
+def anova(df: DataFrame, group: str, value: str) -> DataFrame:
+    """One-way F with its degrees of freedom, eta squared and Cohen's f."""
+    g = group_stats(df, group, value).select(F.col("n"), F.col("mean"), F.coalesce("var", F.lit(0.0)).alias("var"))
+    s = g.agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand"),
+        F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("s2"), F.sum((F.col("n") - 1) * F.col("var")).alias("within"),
+    ).withColumn("between", F.col("s2") - F.col("n") * F.col("grand") * F.col("grand"))
+    f = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))
+    eta = F.col("between") / (F.col("between") + F.col("within"))
+    return s.select(
+        (F.col("k") - 1).alias("df_between"), (F.col("n") - F.col("k")).alias("df_within"), rnd(f, 3).alias("f"),
+        rnd(eta, 6).alias("eta_sq"), rnd(F.sqrt(eta / (1 - eta)), 5).alias("cohen_f"),
+    )
+
+
+def independence_test(df: DataFrame, a: str, b: str) -> DataFrame:
+    """Chi square of a contingency table, Yates' form for 2 x 2, Cramer's V, cells with expected count below 5.
+
+    Cells without rows matter too: their expected counts come from the margins,
+    sum over all cells of (O - E)^2 / E = sum over seen cells of O^2 / E - n.
+    """
+    cell = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
+    ra = cell.groupBy(a).agg(F.sum("o").alias("ra"))
+    rb = cell.groupBy(b).agg(F.sum("o").alias("rb"))
+    tot = ra.agg(F.sum("ra").alias("n"), F.count(F.lit(1)).alias("ka")).withColumn("_j", F.lit(1))
+    tot = tot.join(rb.agg(F.count(F.lit(1)).alias("kb")).withColumn("_j", F.lit(1)), "_j")
+    m = cell.join(ra, a).join(rb, b).withColumn("_j", F.lit(1)).join(tot, "_j")
+    e = F.col("ra").cast("double") * F.col("rb") / F.col("n")
+    s = m.groupBy("n", "ka", "kb").agg(
+        F.sum(F.col("o") * F.col("o") / e).alias("_q"), F.sum(F.pow(F.greatest(F.abs(F.col("o") - e) - 0.5, F.lit(0.0)), 2) / e).alias("_y"),
+        F.count_if(e < 5).alias("low_expected"),
+    )
+    chi = F.col("_q") - F.col("n")
+    two = (F.col("ka") == 2) & (F.col("kb") == 2)
+    return s.select(
+        "n", ((F.col("ka") - 1) * (F.col("kb") - 1)).alias("df"), rnd(chi, 4).alias("chi2"), F.when(two, rnd("_y", 4)).alias("chi2_yates"),
+        rnd(F.sqrt(F.greatest(chi, F.lit(0.0)) / (F.col("n") * (F.least("ka", "kb") - 1))), 6).alias("cramer_v"), "low_expected",
+    )
+
+
+def simple_regression(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Slope, intercept and R squared of one predictor, per key."""
+    yy, xx = F.col(y).cast("double"), F.col(x).cast("double")
+    return df.groupBy(*keys).agg(
+        F.regr_count(yy, xx).alias("n"), rnd(F.regr_slope(yy, xx), 6).alias("slope"),
+        rnd(F.regr_intercept(yy, xx), 4).alias("intercept"), rnd(F.regr_r2(yy, xx), 6).alias("r2"),
+    )
+
+
+def linear_regression(df: DataFrame, y: str, xs: Sequence[str], interactions: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Least squares with interaction terms: one row per term with coefficient, standard error, t and p, plus R squared."""
+    rows = df.withColumns({f"{a}:{b}": F.col(a).cast("double") * F.col(b) for a, b in interactions}) if interactions else df
+    terms = [*xs, *[f"{a}:{b}" for a, b in interactions]]
+    # The assembler reads ':' names literally when the columns are renamed first.
+    plain = {t: f"x{i}" for i, t in enumerate(terms)}
+    rows = rows.select(F.col(y).cast("double").alias("y"), *[F.col(f"`{t}`").cast("double").alias(p) for t, p in plain.items()]).dropna()
+    data = VectorAssembler(inputCols=list(plain.values()), outputCol="features").transform(rows)
+    model = LinearRegression(featuresCol="features", labelCol="y", solver="normal").fit(data)
+    s = model.summary
+    coef = [*[float(c) for c in model.coefficients], float(model.intercept)]
+    out = [
+        (t, c, float(se), float(tv), float(p), float(s.r2), float(s.r2adj))
+        for t, c, se, tv, p in zip([*terms, "(intercept)"], coef, s.coefficientStandardErrors, s.tValues, s.pValues)
+    ]
+    return df.sparkSession.createDataFrame(out, "term string, coefficient double, std_error double, t double, p double, r2 double, r2_adj double")

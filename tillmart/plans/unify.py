@@ -17,7 +17,7 @@ from tillmart.functions.keys import sub_order_id, unified_pk
 from tillmart.functions.numbers import ratio, rnd_int
 from tillmart.functions.rules import DELIVERY, DELIVERY_PACK, HALL, HALL_PACK, HALL_TABLE, PACK, mapped, order_type_classify, platform_revenue, reclassify_by_order, signed_amount
 from tillmart.operators import order_lines as o
-from tillmart.operators.core import AUTO, attach, by_heat, keep_one
+from tillmart.operators.core import AUTO, attach, by_heat, keep_one, resolve_hot
 from tillmart.operators.filters import exclude_overlapping_stores, store_scoped_blacklist
 from tillmart.operators.joins import code_to_name_map, dim_enrich, last_two_tokens
 
@@ -71,9 +71,11 @@ def unify_receipts(
     """POS receipt headers and lines to unified lines, with balancing lines and inherited refund names."""
     keys = ["sale_date", "store", "pos_no", "receipt_no"]
     norm = lambda df: df.withColumns({"store": c.text("store"), "pos_no": c.normalize_id("pos_no"), "receipt_no": c.normalize_id("receipt_no")})
+    heads, items = norm(heads), norm(items)
+    hot = resolve_hot(items.select(*keys), keys, hot)
     main = master.where((F.col("is_main_candidate") == "Y") & (F.coalesce("exclude_check", F.lit("N")) != "Y"))
     main = main.select(F.col("code").alias("item_id"), F.lit("Y").alias("is_main")).distinct()
-    rows = norm(heads).join(norm(items), keys, "left").join(main, "item_id", "left")
+    rows = heads.join(items, keys, "left").join(main, "item_id", "left")
     rows = rows.withColumns(
         {
             "item_id": F.coalesce("item_id", F.lit("")), "qty": F.coalesce("qty", F.lit(0)),
@@ -154,10 +156,13 @@ def unify_delivery_feed(
             "order_time": c.normalize_time("order_time"), "head_menu": F.coalesce("menu", F.lit("")),
         }
     )
-    rows = heads.join(items.withColumn("order_code", code("order_code")), "order_code").where(c.text("item_name") != "")
-    rows = _feed_amounts(rows, ["order_code"], hot=hot)
+    items = items.withColumn("order_code", code("order_code")).where(c.text("item_name") != "")
+    rows = heads.join(items, "order_code")
+    rows = _feed_amounts(rows, ["order_code"], hot=resolve_hot(items.select("order_code"), ["order_code"], hot))
+    # Orders without an external number share a surrogate id, so hot ids are counted on the joined keys.
+    hot = resolve_hot(heads.select("order_code", "order_id").join(items.select("order_code"), "order_code"), ["order_id"], hot)
     rows = o.item_seq(rows, ["order_id"], line_order, hot=hot)
-    name = F.ltrim(F.lit("'+ "), c.text("item_name"))
+    name = F.ltrim(c.text("item_name"), F.lit("'+ "))
     rows = rows.withColumns(
         {
             "discount_amount": F.greatest(F.col("amount") - F.col("total_price"), F.lit(0)),
@@ -215,7 +220,12 @@ def unify_union_pos(
     )
     main = master.where((F.col("is_main_candidate") == "Y") & (F.col("exclude_check") != "Y"))
     main = main.select(F.col("code").alias("item_id"), F.lit("Y").alias("is_main")).distinct()
-    rows = heads.join(items, ["store", "receipt_no", "sold_at"], "left").join(main, "item_id", "left")
+    ids = ["store", "receipt_no", "sold_at"]
+    named = heads.select(*ids, "pos_no").join(items.select(*ids), ids).select(
+        F.concat_ws("_", "pos_no", "receipt_no", "sold_at").alias("order_id")
+    )
+    hot = resolve_hot(named, ["order_id"], hot)
+    rows = heads.join(items, ids, "left").join(main, "item_id", "left")
     rows = rows.withColumns(
         {
             "order_id": F.concat_ws("_", "pos_no", "receipt_no", "sold_at"),
@@ -247,13 +257,15 @@ def unify_easy_pos(
     """One store's receipts; ids come from the product name; one line per receipt counts the order."""
     rows = c.coalesce_dup_columns(raw)
     time = c.normalize_time("order_time")
+    order_id = F.concat_ws("_", "receipt_no", F.date_format("sale_date", "yyyy-MM-dd"), time)
+    hot = resolve_hot(raw.select(order_id.alias("order_id")), ["order_id"], hot)
     rows = rows.withColumns(
         {
             "store": F.lit(store), "order_time": time,
             "order_type": F.when(F.col("receipt_type").contains(PACK), HALL_PACK).otherwise(HALL_TABLE), "platform": F.lit(HALL),
             "unit_price": c.money_to_int("line_amount"), "qty": F.coalesce("qty", F.lit(0)),
             "sale_type": F.when(F.trim("sale_type") == "반품", CANCELLED).otherwise(NORMAL),
-            "order_id": F.concat_ws("_", "receipt_no", F.date_format("sale_date", "yyyy-MM-dd"), time),
+            "order_id": order_id,
             "item_name": c.text("item_name"), "item_id": F.lit(""), "discount_amount": F.lit(0),
         }
     )
@@ -284,6 +296,7 @@ def unify_platform_a(
     platform: str = "A", hot=AUTO,
 ) -> DataFrame:
     """Delivered orders; the paid amount stands on one line and is split by line value."""
+    hot = resolve_hot(raw.select("order_id"), ["order_id"], hot)
     day, clock = c.parse_localized_datetime("ordered_at")
     name = c.text("option_name")
     rows = raw.where(c.text("status") == delivered).withColumns(
@@ -324,6 +337,7 @@ def unify_platform_b(
     source: str = "platform_b", platform: str = "B", hot=AUTO,
 ) -> DataFrame:
     """Orders without cancelled lines; the order amount is split exactly over menu groups and paid options."""
+    hot = resolve_hot(raw.select("order_id"), ["order_id"], hot)
     raw = o.canonical_line_dedup(raw, dedup, [F.col("collected_at").desc_nulls_last(), *line_order])
     day, clock = c.parse_localized_datetime("ordered_at")
     name = c.text("menu_options")
@@ -383,6 +397,7 @@ def platform_orders_extract(exports: Sequence[DataFrame], stores: DataFrame, lin
     rows = exports[0]
     for e in exports[1:]:
         rows = rows.unionByName(e, allowMissingColumns=True)
+    hot = resolve_hot(rows.select("order_id"), ["order_id"], hot)
     day, clock = c.parse_localized_datetime("ordered_at")
     rows = rows.withColumns({"order_daily": day, "order_time": clock, "option": c.pure_option("summary", "option_name")})
     look = keep_one(stores.withColumn("_k", last_two_tokens("store_name")), ["_k"], ["store_name"]).select("_k", "manager")
