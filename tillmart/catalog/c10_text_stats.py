@@ -1,0 +1,215 @@
+"""Labels, text rows, statistics, sorts and sets."""
+
+from pyspark.sql import functions as F
+
+from tillmart.catalog.base import EVENTS, HEADS, LINE_SEQ, LINES, PRODUCTS, RAW_LINES, REVIEWS, big, query, ratio, rint, rnd
+from tillmart.operators import matching as mt, sets, statistics as st
+from tillmart.plans.master import explicit_order
+from tillmart.sources.fixtures import LINE_ORDER
+
+RULES = [("METAL", ["bolt", "gear"]), ("DECOR", ["ring", "widget"])]
+
+
+@query("keyword_label", """SELECT p_partkey, CASE WHEN (contains(p_name, 'blue') OR contains(p_name, 'red')) AND NOT contains(p_name, 'ring') THEN 'MAIN' WHEN contains(p_name, 'bolt') OR contains(p_name, 'gear') THEN 'METAL'
+  WHEN contains(p_name, 'ring') OR contains(p_name, 'widget') THEN 'DECOR' ELSE 'OTHER' END AS label FROM part""")
+def keyword_label(t):
+    label = mt.keyword_label("p_name", RULES, "OTHER", "MAIN", ["blue", "red"], ["ring"])
+    return t.table("part").select("p_partkey", label.alias("label"))
+
+
+TOK = """tk AS (SELECT DISTINCT nm, unnest(list_distinct(list_filter(string_split_regex(lower(nm), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> ''))) AS w FROM {0})"""
+
+
+@query("token_overlap_match", f"""WITH it AS (SELECT p_partkey, p_name || ' ' || lower(p_type) AS nm FROM part WHERE p_brand <> 'Brand#1'),
+  ex AS (SELECT DISTINCT p_name || ' ' || CASE WHEN p_size % 2 = 0 THEN lower(p_type) ELSE 'extra large' END AS nm, p_type AS label FROM part WHERE p_brand = 'Brand#1'),
+  {TOK.format('it').replace('tk AS', 'ti AS')}, {TOK.format('ex').replace('tk AS', 'te AS')},
+  ni AS (SELECT nm, count(*) AS n FROM ti GROUP BY nm), ne AS (SELECT nm, count(*) AS n FROM te GROUP BY nm),
+  sh AS (SELECT ti.nm AS i, te.nm AS e, count(*) AS s FROM ti JOIN te USING (w) GROUP BY ALL),
+  sc AS (SELECT sh.i, ex.label, CASE WHEN replace(sh.i, ' ', '') = replace(sh.e, ' ', '') THEN 100 ELSE CAST(100 * s // greatest(ni.n, ne.n) AS INTEGER) END AS score FROM sh JOIN ni ON ni.nm = sh.i JOIN ne ON ne.nm = sh.e JOIN ex ON ex.nm = sh.e),
+  b AS (SELECT i, label, max(score) AS score FROM sc GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, label) AS rk FROM b QUALIFY rk <= 5),
+  o AS (SELECT i, max(score) AS confidence, arg_min(label, rk) AS top, string_agg(label || ':' || score, ', ' ORDER BY rk) AS evidence FROM r GROUP BY i)
+  SELECT it.p_partkey, it.nm, COALESCE(confidence, 0) AS confidence, CASE WHEN confidence >= 70 THEN top ELSE '' END AS matched_label, COALESCE(evidence, '') AS evidence FROM it LEFT JOIN o ON o.i = it.nm""")
+def token_overlap_match(t):
+    p = t.table("part")
+    items = p.where(F.col("p_brand") != "Brand#1").select("p_partkey", F.concat_ws(" ", "p_name", F.lower("p_type")).alias("nm"))
+    tail = F.when(F.col("p_size") % 2 == 0, F.lower("p_type")).otherwise("extra large")
+    ex = p.where(F.col("p_brand") == "Brand#1").select(F.concat_ws(" ", "p_name", tail).alias("nm"), F.col("p_type").alias("label"))
+    return mt.token_overlap_match(items, ex, "p_partkey", "nm")
+
+
+@query("label_override_chain", """WITH o AS (SELECT CASE WHEN p_size = 1 THEN 'K' || p_partkey ELSE '' END AS item_pk, CASE WHEN p_size = 2 THEN CAST(p_partkey AS VARCHAR) ELSE '' END AS item_id, CASE WHEN p_size = 3 THEN p_name ELSE '' END AS item_name,
+    CASE WHEN p_brand = 'Brand#4' THEN '미분류' ELSE p_type END AS item_type, p_partkey AS pos FROM part WHERE p_size <= 3), g AS (SELECT * FROM o WHERE item_type <> '미분류'),
+  nm AS (SELECT item_name, item_type FROM g WHERE item_name <> '' QUALIFY row_number() OVER (PARTITION BY item_name ORDER BY pos DESC) = 1)
+  SELECT p.p_partkey, COALESCE(a.item_type, b.item_type, nm.item_type, CASE WHEN contains(p_name, 'ring') THEN 'RING' ELSE 'OTHER' END) AS item_type, CASE WHEN COALESCE(a.item_type, b.item_type, nm.item_type) IS NULL THEN 'rule' ELSE 'manual' END AS classified_by
+  FROM part p LEFT JOIN g a ON a.item_pk = 'K' || p.p_partkey LEFT JOIN g b ON b.item_id = CAST(p.p_partkey AS VARCHAR) LEFT JOIN nm ON nm.item_name = p.p_name""")
+def label_override_chain(t):
+    p = t.table("part")
+    blank = lambda n, v: F.when(F.col("p_size") == n, v).otherwise("")
+    over = p.where(F.col("p_size") <= 3).select(
+        blank(1, F.concat(F.lit("K"), "p_partkey")).alias("item_pk"), blank(2, F.col("p_partkey").cast("string")).alias("item_id"), blank(3, F.col("p_name")).alias("item_name"),
+        F.when(F.col("p_brand") == "Brand#4", "미분류").otherwise(F.col("p_type")).alias("item_type"), F.col("p_partkey").alias("pos"),
+    )
+    items = p.select("p_partkey", F.concat(F.lit("K"), "p_partkey").alias("item_pk"), F.col("p_partkey").cast("string").alias("item_id"), F.col("p_name").alias("item_name"))
+    return mt.label_override_chain(items, over, F.when(F.col("item_name").contains("ring"), "RING").otherwise("OTHER")).select("p_partkey", "item_type", "classified_by")
+
+
+@query("label_train_stats", """WITH c AS (SELECT p_type, p_name, count(*) AS n FROM part GROUP BY ALL), b AS (SELECT p_type, CAST(sum(n) AS BIGINT) AS rows, count(*) AS examples FROM c GROUP BY p_type),
+  t AS (SELECT p_type, string_agg(p_name, ', ' ORDER BY n DESC, p_name) AS top_examples FROM (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY p_type ORDER BY n DESC, p_name) <= 3) GROUP BY p_type)
+  SELECT * FROM b JOIN t USING (p_type)""")
+def label_train_stats(t):
+    return mt.label_train_stats(t.table("part"), "p_type", "p_name")
+
+
+@query("false_positive_rules", f"""WITH {REVIEWS}, f AS (SELECT doc_id, text, CASE WHEN n_chars % 2 = 0 THEN 1 ELSE 0 END AS food, CASE n_chars % 3 WHEN 0 THEN 'taste' WHEN 1 THEN 'sauce' ELSE 'missing' END AS food_detail,
+    CASE WHEN n_chars % 5 < 3 THEN 1 ELSE 0 END AS sales, CASE n_chars % 4 WHEN 0 THEN 'weak' ELSE 'flat' END AS sales_detail FROM rev),
+  g AS (SELECT doc_id, text, food, CASE WHEN regexp_matches(text, 'the|le ') AND food = 1 AND food_detail IN ('taste', 'sauce') THEN 'sauce quality' ELSE food_detail END AS food_detail, sales, sales_detail FROM f),
+  h AS (SELECT doc_id, text, food, food_detail, CASE WHEN regexp_matches(text, 'er|un') AND sales = 1 AND sales_detail = 'weak' THEN 0 ELSE sales END AS sales, CASE WHEN regexp_matches(text, 'er|un') AND sales = 1 AND sales_detail = 'weak' THEN '해당없음' ELSE sales_detail END AS sales_detail FROM g)
+  SELECT doc_id, food, food_detail, sales, sales_detail FROM h""")
+def false_positive_rules(t):
+    n = F.col("n_chars")
+    rows = t.reviews.select(
+        "doc_id", "text", F.when(n % 2 == 0, 1).otherwise(0).alias("food"), F.when(n % 3 == 0, "taste").when(n % 3 == 1, "sauce").otherwise("missing").alias("food_detail"),
+        F.when(n % 5 < 3, 1).otherwise(0).alias("sales"), F.when(n % 4 == 0, "weak").otherwise("flat").alias("sales_detail"),
+    )
+    rules = [("the|le ", "food", "taste|sauce", "sauce quality"), ("er|un", "sales", "weak", None)]
+    return mt.false_positive_rules(rows, "text", rules).drop("text")
+
+
+@query("flatten_multi_label", f"""WITH {EVENTS}, i AS (SELECT event_id, 'food' AS type, k % 2 = 0 AS has, k % 3 AS p, 0 AS o FROM ev UNION ALL SELECT event_id, 'sales', k % 3 = 0, 1, 1 FROM ev UNION ALL SELECT event_id, 'ops', k % 5 = 0, 2, 2 FROM ev),
+  r AS (SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY p, o) AS priority, type, 'd' || p AS detail FROM i WHERE has)
+  SELECT * FROM r UNION ALL SELECT event_id, 1, '특이사항없음', '' FROM ev WHERE event_id NOT IN (SELECT event_id FROM r)""")
+def flatten_multi_label(t):
+    k = F.col("k")
+    item = lambda name, has, p: F.struct(F.lit(name).alias("type"), has.alias("has_issue"), p.cast("int").alias("priority"), F.concat(F.lit("d"), p).alias("detail"))
+    issues = F.to_json(F.array(item("food", k % 2 == 0, k % 3), item("sales", k % 3 == 0, F.lit(1)), item("ops", k % 5 == 0, F.lit(2))))
+    return mt.flatten_multi_label(t.events.select("event_id", issues.alias("j")), "event_id", "j")
+
+
+@query("unit_price_vote", f"""WITH {RAW_LINES}, a AS (SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 0 THEN list_amount ELSE unit_price END AS p, qty, CAST(round(p_retailprice) AS BIGINT) AS m FROM raw_lines JOIN part ON p_partkey = l_partkey)
+  SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN m > 0 AND abs({rint('CAST(p AS DOUBLE) / CASE WHEN qty <> 0 THEN qty ELSE 1 END')} - m) < abs(p - m) THEN {rint('CAST(p AS DOUBLE) / CASE WHEN qty <> 0 THEN qty ELSE 1 END')} ELSE p END AS unit_price_each FROM a""")
+def unit_price_vote(t):
+    p = t.table("part").select(F.col("p_partkey").alias("l_partkey"), F.round("p_retailprice").cast("bigint").alias("m"))
+    rows = t.raw_lines.join(p, "l_partkey").withColumn("p", F.when(F.col("l_linenumber") % 2 == 0, F.col("list_amount")).otherwise(F.col("unit_price")))
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", mt.unit_price_vote("p", "qty", "m").alias("unit_price_each"))
+
+
+@query("log_error_extract", """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents),
+  h AS (SELECT * FROM l WHERE trim(line) <> '' AND regexp_matches(lower(line), 'err|exc') AND NOT contains(lower(line), 'traceback') AND NOT regexp_matches(lower(line), 'received sigterm|::endgroup:|local_task_job_runner\\.py'))
+  SELECT doc_id, count(*) AS error_lines, max(n) AS last_line_no, right(trim(arg_max(line, n)), 220) AS summary FROM h GROUP BY doc_id""")
+def log_error_extract(t):
+    return mt.log_error_extract(t.table("documents"), "doc_id", "text", "err|exc")
+
+
+# -- statistics ---------------------------------------------------------------
+
+CORR = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def corr_sql(a, b):
+    return f"SELECT '{a}' AS x, '{b}' AS y, count(*) AS n, corr({a}, {b}) AS r FROM lineitem"
+
+
+@query("correlation_test", "WITH c AS (" + " UNION ALL ".join(corr_sql(a, b) for i, a in enumerate(CORR) for b in CORR[i + 1:])
+       + f") SELECT x, y, n, {rnd('r', 6)} AS r, {rnd('r * sqrt((n - 2) / (1 - r * r))', 4)} AS t FROM c")
+def correlation_test(t):
+    return st.correlation_test(t.table("lineitem"), CORR)
+
+
+@query("spearman_test", f"""WITH v AS (SELECT o_totalprice AS a, c_acctbal AS b FROM orders JOIN customer ON c_custkey = o_custkey),
+  r AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM v),
+  c AS (SELECT count(*) AS n, corr(ra, rb) AS r FROM r) SELECT 'o_totalprice' AS x, 'c_acctbal' AS y, n, {rnd('r', 6)} AS r, {rnd('r * sqrt((n - 2) / (1 - r * r))', 4)} AS t FROM c""")
+def spearman_test(t):
+    j = t.table("orders").join(t.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
+    return st.spearman_test(j, "o_totalprice", "c_acctbal")
+
+
+PAIRS = [("AUTOMOBILE", "BUILDING"), ("FURNITURE", "MACHINERY"), ("BUILDING", "HOUSEHOLD")]
+
+
+@query("group_compare", f"""WITH g AS (SELECT c_mktsegment AS g, count(*) AS n, avg(o_totalprice) AS m, var_samp(o_totalprice) AS v FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1),
+  j AS (SELECT a.g AS group_a, b.g AS group_b, a.n AS n_a, b.n AS n_b, a.m - b.m AS d, a.v / a.n AS va, b.v / b.n AS vb, ((a.n - 1) * a.v + (b.n - 1) * b.v) / (a.n + b.n - 2) AS sp FROM g a JOIN g b ON (a.g, b.g) IN ({', '.join(str(p) for p in PAIRS)}))
+  SELECT group_a, group_b, n_a, n_b, {rnd('d', 4)} AS mean_diff, {rnd('d / sqrt(sp * (1.0 / n_a + 1.0 / n_b))', 4)} AS t_equal, {rnd('d / sqrt(va + vb)', 4)} AS t_welch,
+    {rnd('(va + vb) * (va + vb) / (va * va / (n_a - 1) + vb * vb / (n_b - 1))')} AS welch_df, {rnd('d / sqrt(sp)', 4)} AS cohen_d FROM j""")
+def group_compare(t):
+    j = t.table("orders").join(t.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
+    return st.group_compare(j, "c_mktsegment", "o_totalprice", PAIRS)
+
+
+@query("anova", f"""WITH g AS (SELECT c_mktsegment, count(*) AS n, avg(o_totalprice) AS m, var_samp(o_totalprice) AS v FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1),
+  s AS (SELECT count(*) AS k, sum(n) AS n, sum(n * m) / sum(n) AS grand, sum(n * m * m) AS s2, sum((n - 1) * v) AS w FROM g), b AS (SELECT *, s2 - n * grand * grand AS b FROM s)
+  SELECT k - 1 AS df_between, CAST(n - k AS BIGINT) AS df_within, {rnd('(b / (k - 1)) / (w / (n - k))', 3)} AS f, {rnd('b / (b + w)', 6)} AS eta_sq, {rnd('sqrt((b / (b + w)) / (1 - b / (b + w)))', 5)} AS cohen_f FROM b""")
+def anova(t):
+    j = t.table("orders").join(t.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
+    return st.anova(j, "c_mktsegment", "o_totalprice")
+
+
+def chi_sql(src, a, b):
+    return f"""WITH c AS (SELECT {a} AS a, {b} AS b, count(*) AS o FROM {src} WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2), m AS (SELECT *, sum(o) OVER (PARTITION BY a) AS ra, sum(o) OVER (PARTITION BY b) AS rb, sum(o) OVER () AS n FROM c),
+  e AS (SELECT *, CAST(ra AS DOUBLE) * rb / n AS e FROM m), s AS (SELECT max(n) AS n, count(DISTINCT a) AS ka, count(DISTINCT b) AS kb, sum(o * o / e) - max(n) AS chi, sum(power(greatest(abs(o - e) - 0.5, 0), 2) / e) AS y, count(*) FILTER (e < 5) AS low FROM e)
+  SELECT CAST(n AS BIGINT) AS n, (ka - 1) * (kb - 1) AS df, {rnd('chi', 4)} AS chi2, CASE WHEN ka = 2 AND kb = 2 THEN {rnd('y', 4)} END AS chi2_yates, {rnd('sqrt(greatest(chi, 0) / (n * (least(ka, kb) - 1)))', 6)} AS cramer_v, low AS low_expected FROM s"""
+
+
+@query("independence_test", chi_sql("orders JOIN customer ON c_custkey = o_custkey", "o_orderpriority", "c_mktsegment"))
+def independence_test(t):
+    j = t.table("orders").join(t.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
+    return st.independence_test(j, "o_orderpriority", "c_mktsegment")
+
+
+@query("independence_test_2x2", chi_sql("labels", "quality", "toxic"))
+def independence_test_2x2(t):
+    return st.independence_test(t.table("labels"), "quality", "toxic")
+
+
+@query("simple_regression", f"""SELECT l_returnflag, regr_count(l_extendedprice, l_quantity) AS n, {rnd('regr_slope(l_extendedprice, l_quantity)', 6)} AS slope, {rnd('regr_intercept(l_extendedprice, l_quantity)', 4)} AS intercept,
+  {rnd('regr_r2(l_extendedprice, l_quantity)', 6)} AS r2 FROM lineitem GROUP BY l_returnflag""")
+def simple_regression(t):
+    return st.simple_regression(t.table("lineitem"), "l_extendedprice", "l_quantity", ["l_returnflag"])
+
+
+@query("linear_regression")
+def linear_regression(t):
+    return st.linear_regression(t.table("lineitem"), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], [("l_quantity", "l_discount")])
+
+
+# -- sorts, limits, sets ------------------------------------------------------
+
+
+@query("stable_sort_output", f"WITH {HEADS} SELECT store, CAST(sale_date AS VARCHAR) AS sale_date, {big('sum(order_amount)')} AS sales FROM heads GROUP BY store, sale_date ORDER BY store, sale_date")
+def stable_sort_output(t):
+    return sets.stable_sort(t.heads.groupBy("store", "sale_date").agg(F.sum("order_amount").alias("sales")), ["store", "sale_date"])
+
+
+@query("explicit_order_sort", f"WITH {HEADS} SELECT platform, count(*) AS orders, CASE platform WHEN 'HOUSEHOLD' THEN 1 WHEN 'AUTOMOBILE' THEN 2 ELSE 999 END AS pos FROM heads GROUP BY platform")
+def explicit_order_sort(t):
+    g = t.heads.groupBy("platform").agg(F.count(F.lit(1)).alias("orders"))
+    return g.withColumn("pos", explicit_order("platform", ["HOUSEHOLD", "AUTOMOBILE"])).orderBy("pos", "platform")
+
+
+@query("topk_per_group", f"""WITH {HEADS}, a AS (SELECT 'top' AS side, store, order_id, order_amount, row_number() OVER (PARTITION BY store ORDER BY order_amount DESC, o_orderkey) AS rank FROM heads QUALIFY rank <= 3),
+  b AS (SELECT 'low' AS side, store, order_id, order_amount, row_number() OVER (PARTITION BY store ORDER BY order_amount, o_orderkey) AS rank FROM heads QUALIFY rank <= 3) SELECT * FROM a UNION ALL SELECT * FROM b""")
+def topk_per_group(t):
+    cols = ["side", "store", "order_id", "order_amount", "rank"]
+    a = sets.nlargest(t.heads, ["store"], "order_amount", 3, ["o_orderkey"]).withColumn("side", F.lit("top")).select(*cols)
+    return a.unionByName(sets.nsmallest(t.heads, ["store"], "order_amount", 3, ["o_orderkey"]).withColumn("side", F.lit("low")).select(*cols))
+
+
+@query("limit_orders", f"""WITH {LINES}, f AS (SELECT DISTINCT sale_date, o_orderkey FROM lines ORDER BY sale_date, o_orderkey LIMIT 100) SELECT order_id, l_linenumber, l_partkey, qty FROM lines WHERE o_orderkey IN (SELECT o_orderkey FROM f)""")
+def limit_orders(t):
+    return sets.limit_orders(t.lines, "o_orderkey", ["sale_date"], 100).select("order_id", "l_linenumber", "l_partkey", "qty")
+
+
+@query("union_by_name", f"""WITH {HEADS}, {EVENTS} SELECT store, order_amount AS amount, platform, NULL AS event_type FROM heads UNION ALL SELECT store, amount, NULL, event_type FROM ev""")
+def union_by_name(t):
+    return sets.union_by_name([t.heads.select("store", F.col("order_amount").alias("amount"), "platform"), t.events.select("event_type", "store", "amount")])
+
+
+@query("key_intersection", f"WITH {HEADS} SELECT DISTINCT store, CAST(sale_date AS VARCHAR) AS sale_date FROM heads WHERE source = 'F' AND (store, sale_date) IN (SELECT (store, sale_date) FROM heads WHERE source = 'O')")
+def key_intersection(t):
+    h = t.heads
+    return sets.key_intersection(h.where(F.col("source") == "F"), h.where(F.col("source") == "O"), ["store", "sale_date"])
+
+
+@query("key_difference", f"WITH {HEADS} SELECT DISTINCT store, CAST(sale_date AS VARCHAR) AS sale_date FROM heads WHERE source = 'F' AND (store, sale_date) NOT IN (SELECT (store, sale_date) FROM heads WHERE source <> 'F')")
+def key_difference(t):
+    h = t.heads
+    return sets.key_difference(h.where(F.col("source") == "F"), h.where(F.col("source") != "F"), ["store", "sale_date"])

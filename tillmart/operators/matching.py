@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.functions.clean import text
-from tillmart.functions.numbers import ratio, rnd
 from tillmart.operators.core import col, keep_one, top_k
 
 
@@ -81,9 +80,8 @@ def label_override_chain(items: DataFrame, overrides: DataFrame, rule: Column, u
 
 
 def label_train_stats(df: DataFrame, label: str, example: str, n: int = 3) -> DataFrame:
-    """Rows, distinct examples, share and the most frequent examples per label."""
+    """Rows, distinct examples and the most frequent examples per label."""
     counts = df.groupBy(label, example).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_all"))
     base = counts.groupBy(label).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("examples"))
     best = top_k(counts, [label], [F.col("_n").desc(), F.col(example)], n)
     top = best.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(example).alias("e")))).alias("_l"))

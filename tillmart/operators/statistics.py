@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.functions.numbers import ratio, rnd
-from tillmart.operators.core import global_rank, running_total
+from tillmart.operators.core import running_total
 
 
 def correlation_test(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -46,21 +46,24 @@ def group_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     return df.where(v.isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(v).alias("mean"), F.var_samp(v).alias("var"))
 
 
-def group_compare(df: DataFrame, group: str, value: str) -> DataFrame:
-    """For each pair of groups: pooled t, Welch t and its degrees of freedom, Cohen's d."""
-    g = group_stats(df, group, value)
-    # One row per group: the pairing is over the (few) group labels.
-    side = lambda p: g.select(F.lit(1).alias("_j"), *[F.col(c).alias(f"{p}_{c}") for c in (group, "n", "mean", "var")])
-    j = side("a").join(side("b"), "_j").where(F.col(f"a_{group}") < F.col(f"b_{group}"))
-    diff = F.col("a_mean") - F.col("b_mean")
-    va, vb = F.col("a_var") / F.col("a_n"), F.col("b_var") / F.col("b_n")
-    dof = F.col("a_n") + F.col("b_n") - 2
-    pooled = ((F.col("a_n") - 1) * F.col("a_var") + (F.col("b_n") - 1) * F.col("b_var")) / dof
+def group_compare(df: DataFrame, group: str, value: str, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pooled t, Welch t with its degrees of freedom and Cohen's d for named pairs of groups, from one pass."""
+    v = F.col(value).cast("double")
+    names = sorted({n for p in pairs for n in p})
+    of = lambda n: F.when(F.col(group) == n, v)
+    row = df.where(F.col(group).isin(names)).agg(
+        *[F.struct(F.count(of(n)).alias("n"), F.avg(of(n)).alias("m"), F.var_samp(of(n)).alias("v")).alias(f"g_{n}") for n in names]
+    )
+    both = [F.struct(F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), F.col(f"`g_{a}`").alias("a"), F.col(f"`g_{b}`").alias("b")) for a, b in pairs]
+    j = row.select(F.explode(F.array(*both)).alias("p")).select("p.*")
+    na, nb, sa, sb = F.col("a.n"), F.col("b.n"), F.col("a.v"), F.col("b.v")
+    diff = F.col("a.m") - F.col("b.m")
+    va, vb = sa / na, sb / nb
+    pooled = ((na - 1) * sa + (nb - 1) * sb) / (na + nb - 2)
     return j.select(
-        F.col(f"a_{group}").alias("group_a"), F.col(f"b_{group}").alias("group_b"), F.col("a_n").alias("n_a"), F.col("b_n").alias("n_b"),
-        rnd(diff, 4).alias("mean_diff"), rnd(diff / F.sqrt(pooled * (1 / F.col("a_n") + 1 / F.col("b_n"))), 4).alias("t_equal"),
-        rnd(diff / F.sqrt(va + vb), 4).alias("t_welch"),
-        rnd((va + vb) * (va + vb) / (va * va / (F.col("a_n") - 1) + vb * vb / (F.col("b_n") - 1)), 2).alias("welch_df"),
+        "group_a", "group_b", na.alias("n_a"), nb.alias("n_b"), rnd(diff, 4).alias("mean_diff"),
+        rnd(diff / F.sqrt(pooled * (1 / na + 1 / nb)), 4).alias("t_equal"), rnd(diff / F.sqrt(va + vb), 4).alias("t_welch"),
+        rnd((va + vb) * (va + vb) / (va * va / (na - 1) + vb * vb / (nb - 1)), 2).alias("welch_df"),
         rnd(diff / F.sqrt(pooled), 4).alias("cohen_d"),
     )
 
@@ -81,27 +84,30 @@ def anova(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def independence_test(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Chi square of a contingency table, Yates' form for 2 x 2, Cramer's V, cells with expected count below 5.
+    """Chi square of a contingency table, Yates' form for 2 x 2, Cramer's V, seen cells with expected count below 5.
 
-    Cells without rows matter too: their expected counts come from the margins,
-    sum over all cells of (O - E)^2 / E = sum over seen cells of O^2 / E - n.
+    Cells without rows count through the margins: chi square is n times
+    (sum over seen cells of O^2 / (row total x column total) - 1). The one list
+    collected has an entry per cell, bounded by the numbers of categories.
     """
     cell = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
     ra = cell.groupBy(a).agg(F.sum("o").alias("ra"))
     rb = cell.groupBy(b).agg(F.sum("o").alias("rb"))
-    tot = ra.agg(F.sum("ra").alias("n"), F.count(F.lit(1)).alias("ka")).withColumn("_j", F.lit(1))
-    tot = tot.join(rb.agg(F.count(F.lit(1)).alias("kb")).withColumn("_j", F.lit(1)), "_j")
-    m = cell.join(ra, a).join(rb, b).withColumn("_j", F.lit(1)).join(tot, "_j")
-    e = F.col("ra").cast("double") * F.col("rb") / F.col("n")
-    s = m.groupBy("n", "ka", "kb").agg(
-        F.sum(F.col("o") * F.col("o") / e).alias("_q"), F.sum(F.pow(F.greatest(F.abs(F.col("o") - e) - 0.5, F.lit(0.0)), 2) / e).alias("_y"),
-        F.count_if(e < 5).alias("low_expected"),
+    s = cell.join(ra, a).join(rb, b).agg(
+        F.sum("o").alias("n"), F.countDistinct(a).alias("ka"), F.countDistinct(b).alias("kb"),
+        F.sum(F.col("o").cast("double") * F.col("o") / (F.col("ra") * F.col("rb"))).alias("_q"),
+        F.collect_list(F.struct("o", "ra", "rb")).alias("_cells"),
+    )
+    expected = lambda x: x["ra"].cast("double") * x["rb"] / F.col("n")
+    yates = F.aggregate(
+        "_cells", F.lit(0.0), lambda acc, x: acc + F.pow(F.greatest(F.abs(x["o"] - expected(x)) - 0.5, F.lit(0.0)), 2) / expected(x)
     )
-    chi = F.col("_q") - F.col("n")
+    chi = F.col("n") * (F.col("_q") - 1)
     two = (F.col("ka") == 2) & (F.col("kb") == 2)
     return s.select(
-        "n", ((F.col("ka") - 1) * (F.col("kb") - 1)).alias("df"), rnd(chi, 4).alias("chi2"), F.when(two, rnd("_y", 4)).alias("chi2_yates"),
-        rnd(F.sqrt(F.greatest(chi, F.lit(0.0)) / (F.col("n") * (F.least("ka", "kb") - 1))), 6).alias("cramer_v"), "low_expected",
+        "n", ((F.col("ka") - 1) * (F.col("kb") - 1)).alias("df"), rnd(chi, 4).alias("chi2"), F.when(two, rnd(yates, 4)).alias("chi2_yates"),
+        rnd(F.sqrt(F.greatest(chi, F.lit(0.0)) / (F.col("n") * (F.least("ka", "kb") - 1))), 6).alias("cramer_v"),
+        F.size(F.filter("_cells", lambda x: expected(x) < 5)).alias("low_expected"),
     )
 
 
