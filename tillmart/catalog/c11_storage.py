@@ -1,0 +1,262 @@
+"""Scans, writes and the streaming ingest: each job writes the given tables to the shared folder and reads them back."""
+
+from pyspark.sql import functions as F
+
+from tillmart.catalog.base import EVENTS, HEADS, RAW_LINES, big, query
+from tillmart.session import fresh_path
+from tillmart.sources import readers as rd, writers as wr
+from tillmart.streaming.ingest import ingest_files
+
+COLS = ["order_id", "sale_date", "ym", "store", "platform", "source", "order_amount"]
+H = HEADS + ", h AS (SELECT order_id, CAST(sale_date AS VARCHAR) AS sale_date, ym, store, platform, source, order_amount FROM heads)"
+C = "order_id, sale_date, ym, store, platform, source, order_amount"
+
+
+def slim(t):
+    return t.heads.select(*COLS)
+
+
+def of(df, *sources):
+    return df.where(F.col("source").isin(*sources))
+
+
+def bumped(df, by=1):
+    return df.withColumn("order_amount", F.col("order_amount") + by)
+
+
+def stored(t, df, by=()):
+    path = fresh_path(t.spark, "table")
+    wr.write_table(df, path, by)
+    return path
+
+
+def back(t, path, like):
+    return wr.read_table(t.spark, path, like).select(*like.columns)
+
+
+# -- scans --------------------------------------------------------------------
+
+
+@query("scan_parquet_union", f"WITH {H} SELECT order_id, store, CASE WHEN source <> 'F' THEN order_amount END AS order_amount, CAST(NULL AS VARCHAR) AS memo, CASE source WHEN 'F' THEN 'old' ELSE 'new' END AS part FROM h")
+def scan_parquet_union(t):
+    root = fresh_path(t.spark, "union")
+    wr.write_table(of(slim(t), "F").select("order_id", "store"), f"{root}/old")
+    wr.write_table(of(slim(t), "O", "P").select("order_id", "store", "order_amount"), f"{root}/new")
+    out = rd.scan_parquet_union(t.spark, [f"{root}/old", f"{root}/new"], ["order_id", "store", "order_amount", "memo"], "file")
+    return out.withColumn("part", F.regexp_extract("file", r"/(old|new)/[^/]+$", 1)).drop("file")
+
+
+@query("scan_csv_union", f"WITH {H} SELECT order_id, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS kind, CASE source WHEN 'F' THEN 'utf' WHEN 'O' THEN 'kr' ELSE 'utf2' END AS part FROM h")
+def scan_csv_union(t):
+    root = fresh_path(t.spark, "csv")
+    df = slim(t).select("order_id", F.when(F.col("source") == "P", "취소").otherwise("정상").alias("kind"), "source")
+    for src, name, enc in (("F", "utf", "UTF-8"), ("O", "kr", "EUC-KR"), ("P", "utf2", "UTF-8")):
+        df.where(F.col("source") == src).drop("source").write.option("header", True).option("encoding", enc).csv(f"{root}/{name}")
+    out = rd.scan_csv_union(t.spark, [f"{root}/{n}" for n in ("utf", "kr", "utf2")], ["order_id", "kind"], source_col="file")
+    return out.withColumn("part", F.regexp_extract("file", r"/(utf|kr|utf2)/[^/]+$", 1)).drop("file")
+
+
+@query("scan_partitioned", f"WITH {H} SELECT order_id, order_amount, platform, ym FROM h WHERE platform = 'BUILDING' AND ym IN ('1998-01', '1999-05')")
+def scan_partitioned(t):
+    path = stored(t, slim(t).select("order_id", "order_amount", "platform", "ym"), ["platform", "ym"])
+    return rd.scan_partitioned(t.spark, path, platform="BUILDING", ym=["1998-01", "1999-05"])
+
+
+@query("latest_file_per_name", f"WITH {H} SELECT order_id, order_amount + CASE source WHEN 'F' THEN 1 ELSE 0 END AS order_amount FROM h")
+def latest_file_per_name(t):
+    import time
+
+    root = fresh_path(t.spark, "drop")
+    df = slim(t).select("order_id", "order_amount", "source")
+    wr.write_table(of(df, "F").drop("source"), f"{root}/sales_1")
+    wr.write_table(of(df, "O", "P").drop("source"), f"{root}/other_1")
+    time.sleep(1.1)  # file times have second precision on some stores
+    wr.write_table(bumped(of(df, "F")).drop("source"), f"{root}/sales_2")
+    name = F.regexp_extract("path", r"/([a-z]+)_\d+/[^/]+$", 1)
+    return t.spark.read.parquet(*rd.latest_file_per_name(t.spark, [root], name))
+
+
+@query("jdbc_table_read", f"WITH {H} SELECT order_id, store, order_amount FROM h WHERE platform = 'BUILDING' AND source IN ('F', 'P') ORDER BY order_amount DESC, order_id")
+def jdbc_table_read(t):
+    return rd.table_read(slim(t), ["order_id", "store", "order_amount"], {"platform": "BUILDING", "source": ["F", "P"]}, ["-order_amount", "order_id"])
+
+
+@query("flow_inbox_merge", f"""WITH {H} SELECT {C.replace('order_amount', "order_amount + CASE WHEN source = 'O' THEN 1 ELSE 0 END AS order_amount")} FROM h WHERE source IN ('F', 'O')""")
+def flow_inbox_merge(t):
+    # Three drop folders; the manifest of the last one names more rows than arrived, so it waits.
+    root, df = fresh_path(t.spark, "inbox"), slim(t)
+    for folder, rows in (("f1", of(df, "F")), ("f2", bumped(of(df, "O"))), ("f3", of(df, "P"))):
+        wr.write_table(rows, f"{root}/{folder}")
+    table = stored(t, of(df, "O"), ["ym"])
+    files = t.spark.read.option("recursiveFileLookup", True).parquet(root).withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), r"/(f\d)/[^/]+$", 1))
+    found = files.groupBy("folder").agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("orders"))
+    manifest = found.withColumn("rows", F.when(F.col("folder") == "f3", F.col("rows") + 1).otherwise(F.col("rows")))
+    ready = rd.ready_folders(found, manifest)
+    wr.upsert(t.spark, table, files.join(ready, "folder", "left_semi").select(*COLS), ["order_id"], ["ym"])
+    return back(t, table, df)
+
+
+# -- writes -------------------------------------------------------------------
+
+
+@query("append_unique", f"WITH {H} SELECT {C.replace('order_amount', "CASE WHEN source = 'P' THEN order_amount + 1 ELSE order_amount END AS order_amount")} FROM h")
+def append_unique(t):
+    df = slim(t)
+    path = stored(t, of(df, "F", "O"))
+    wr.append_unique(t.spark, path, bumped(of(df, "O", "P")), ["order_id"])
+    return back(t, path, df)
+
+
+@query("append_unique_counts", f"WITH {H} SELECT count(*) FILTER (source = 'P') AS inserted, count(*) FILTER (source = 'O') AS duplicated, count(*) FILTER (source <> 'F') AS total FROM h")
+def append_unique_counts(t):
+    df = slim(t)
+    return wr.append_unique(t.spark, stored(t, of(df, "F", "O")), of(df, "O", "P"), ["order_id"])
+
+
+@query("upsert_keep_last", f"WITH {H} SELECT {C.replace('order_amount', "CASE WHEN source <> 'F' THEN order_amount + 1 ELSE order_amount END AS order_amount")} FROM h")
+def upsert_keep_last(t):
+    df = slim(t)
+    path = stored(t, of(df, "F", "O"), ["ym"])
+    wr.upsert(t.spark, path, bumped(of(df, "O", "P")), ["order_id"], ["ym"])
+    return back(t, path, df)
+
+
+@query("replace_by_key", f"""WITH {H}, k AS (SELECT DISTINCT sale_date, store FROM h WHERE source = 'P') SELECT {C} FROM h WHERE source <> 'P' AND (sale_date, store) NOT IN (SELECT (sale_date, store) FROM k)
+  UNION ALL SELECT {C.replace('order_amount', 'order_amount + 1')} FROM h WHERE source = 'P'""")
+def replace_by_key(t):
+    df = slim(t)
+    path = stored(t, of(df, "F", "O"), ["ym"])
+    new = bumped(of(df, "P"))
+    old = wr.touched(wr.read_table(t.spark, path, df), new, ["ym"])
+    wr.replace_partitions(wr.replace_by_key(old, new, ["sale_date", "store"]), path, ["ym"])
+    return back(t, path, df)
+
+
+@query("merge_by_row_signature", f"WITH {EVENTS} SELECT store, CAST(d AS VARCHAR) AS d, event_type, k, min(event_id) AS event_id FROM ev GROUP BY store, d, event_type, k")
+def merge_by_row_signature(t):
+    ev = t.events.select("event_id", "store", "d", "event_type", "k")
+    path = stored(t, ev.where(F.col("event_type") != "error"))
+    new = ev.where(F.col("event_type").isin("error", "signup"))
+    out = wr.merge_by_signature(wr.read_table(t.spark, path, ev), new, ["store", "d", "event_type", "k"], ["event_id"])
+    return back(t, stored(t, out), ev)
+
+
+@query("source_aware_replace", f"""WITH {H} SELECT {C} FROM h WHERE NOT (source = 'P' AND store IN ('NATION_1', 'NATION_2')) UNION ALL SELECT {C.replace('order_amount', 'order_amount + 5')} FROM h
+  WHERE source = 'P' AND store IN ('NATION_1', 'NATION_2') AND platform <> 'BUILDING'""")
+def source_aware_replace(t):
+    df = slim(t)
+    path = stored(t, df, ["ym"])
+    stores = ["NATION_1", "NATION_2"]
+    new = bumped(of(df, "P").where(F.col("store").isin(stores) & (F.col("platform") != "BUILDING")), 5)
+    old = wr.read_table(t.spark, path, df)
+    if not wr.same_keys(of(old, "P").where(F.col("store").isin(stores)), new, "order_id"):
+        # Days on which the source has nothing any more must change too, so the whole slice's partitions are rewritten.
+        months = old.where((F.col("source") == "P") & F.col("store").isin(stores)).select("ym").unionByName(new.select("ym"))
+        wr.replace_partitions(wr.source_aware_replace(wr.touched(old, months, ["ym"]), new, "P", "order_id", stores), path, ["ym"])
+    return back(t, path, df)
+
+
+@query("source_priority_override", f"""WITH {H}, k AS (SELECT DISTINCT sale_date, store, platform FROM h WHERE source = 'O') SELECT {C} FROM h WHERE (sale_date, store, platform) NOT IN (SELECT (sale_date, store, platform) FROM k)
+  UNION ALL SELECT {C.replace('order_amount', 'order_amount + 7')} FROM h WHERE source = 'O'""")
+def source_priority_override(t):
+    df = slim(t)
+    path = stored(t, df, ["ym"])
+    better = bumped(of(df, "O"), 7)
+    old = wr.touched(wr.read_table(t.spark, path, df), better, ["ym"])
+    wr.replace_partitions(wr.source_priority_override(old, better), path, ["ym"])
+    return back(t, path, df)
+
+
+@query("partitioned_write", f"""WITH {H} SELECT {C.replace('order_amount', "CASE WHEN source = 'O' THEN order_amount + 1 WHEN source = 'P' THEN order_amount ELSE order_amount END AS order_amount")},
+  CASE source WHEN 'O' THEN 2 WHEN 'P' THEN 1 ELSE 1 END AS collected_at FROM h""")
+def partitioned_write(t):
+    df = slim(t).withColumn("collected_at", F.lit(1))
+    path = stored(t, df, ["platform", "ym"])
+    # Orders of source O were collected again later, those of P come from an older file.
+    new = bumped(of(df, "O")).withColumn("collected_at", F.lit(2)).unionByName(bumped(of(df, "P"), 9).withColumn("collected_at", F.lit(0)))
+    wr.partitioned_write(t.spark, path, new, ["order_id"], ["platform", "ym"], "collected_at")
+    return back(t, path, df)
+
+
+@query("repartition_by_business_date", f"WITH {H} SELECT {C} FROM h")
+def repartition_by_business_date(t):
+    df = slim(t)
+    wrong = df.unionByName(of(df, "O")).withColumn("ym", F.lit("1900-01"))
+    path, out = stored(t, wrong, ["ym"]), fresh_path(t.spark, "fixed")
+    wr.repartition_by_business_date(wr.read_table(t.spark, path, df), out, "order_id", "sale_date", ["ym"], ["sale_date"])
+    return back(t, out, df)
+
+
+@query("purge_source", f"WITH {H} SELECT {C} FROM h WHERE source <> 'P'")
+def purge_source(t):
+    df = slim(t)
+    path, out = stored(t, df, ["ym"]), fresh_path(t.spark, "purged")
+    wr.purge_source(wr.read_table(t.spark, path, df), out, " P".strip(), ["ym"])
+    return back(t, out, df)
+
+
+ALIASES = "al AS (SELECT store AS old, replace(store, 'NATION_', 'TOWN_') AS new FROM stores WHERE region = 'EUROPE')"
+
+
+def aliases(t):
+    return t.stores.where(F.col("region") == "EUROPE").select(F.col("store").alias("old"), F.regexp_replace("store", "NATION_", "TOWN_").alias("new"))
+
+
+@query("partition_key_migration", f"WITH {H}, {ALIASES} SELECT {C.replace('store', 'COALESCE(al.new, store) AS store')} FROM h LEFT JOIN al ON al.old = h.store")
+def partition_key_migration(t):
+    df = slim(t)
+    moved = df.join(aliases(t), F.col("store") == F.col("old")).withColumn("store", F.col("new")).select(*COLS)
+    path, out = stored(t, df.unionByName(of(moved, "O")), ["store"]), fresh_path(t.spark, "moved")
+    wr.partition_key_migration(wr.read_table(t.spark, path, df), aliases(t), out, "order_id", ["store"], ["sale_date"])
+    return back(t, out, df)
+
+
+@query("legacy_partitions", f"WITH {H}, {ALIASES} SELECT store, new, count(*) AS rows FROM h JOIN al ON al.old = h.store GROUP BY store, new")
+def legacy_partitions(t):
+    return wr.legacy_partitions(slim(t), aliases(t))
+
+
+@query("fix_partition_ym", f"WITH {HEADS}, {RAW_LINES} SELECT DISTINCT order_id, l_partkey, l_linenumber, qty, ym FROM heads JOIN raw_lines ON l_orderkey = o_orderkey")
+def fix_partition_ym(t):
+    rows = t.raw_lines.select(F.col("l_orderkey").cast("string").alias("order_id"), "l_partkey", "l_linenumber", "qty", F.date_format("l_shipdate", "yyyy-MM").alias("ym"))
+    path, out = stored(t, rows, ["ym"]), fresh_path(t.spark, "months")
+    wr.fix_partition_ym(wr.read_table(t.spark, path, rows), slim(t), out, "order_id", "sale_date", ["order_id", "l_partkey", "l_linenumber", "qty"], ["l_linenumber"])
+    return back(t, out, rows)
+
+
+@query("prune_pre_open", f"WITH {HEADS} SELECT order_id, CAST(sale_date AS VARCHAR) AS sale_date, ym, store, platform, source, order_amount FROM heads WHERE sale_date >= open_date")
+def prune_pre_open(t):
+    df = slim(t)
+    path, out = stored(t, df, ["ym"]), fresh_path(t.spark, "pruned")
+    wr.prune_pre_open(wr.read_table(t.spark, path, df), t.stores, out, ["ym"])
+    return back(t, out, df)
+
+
+# -- streaming ----------------------------------------------------------------
+
+
+@query("incremental_file_ingest", f"WITH {H} SELECT {C.replace('order_amount', "order_amount + CASE WHEN source = 'O' THEN 3 ELSE 0 END AS order_amount")}, substr(md5(concat_ws('|', order_id, store, order_amount + CASE WHEN source = 'O' THEN 3 ELSE 0 END)), 1, 12) AS row_hash FROM h")
+def incremental_file_ingest(t):
+    from tillmart.functions.keys import row_hash
+
+    df, root = slim(t), fresh_path(t.spark, "inbox")
+    prepare = lambda s: s.withColumn("row_hash", row_hash(["order_id", "store", "order_amount"]))
+    target = stored(t, prepare(df.limit(0)), ["ym"])
+    checkpoint = fresh_path(t.spark, "stream")
+    run = lambda: ingest_files(t.spark, root, df.schema, target, ["order_id"], ["ym"], prepare, ["order_amount"], checkpoint)
+    wr.write_table(of(df, "F", "O"), f"{root}/hour1")
+    run()
+    # The next hour brings new orders, corrected ones, and some that were sent before.
+    wr.write_table(of(df, "P").unionByName(bumped(of(df, "O"), 3)).unionByName(of(df, "F").where(F.col("platform") == "BUILDING")), f"{root}/hour2")
+    run()
+    return back(t, target, prepare(df))
+
+
+@query("stream_dedup_ingest", f"WITH {EVENTS} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, store, event_type, amount, CAST(d AS VARCHAR) AS d FROM ev")
+def stream_dedup_ingest(t):
+    ev, root = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "store", "event_type", "amount", "d"), fresh_path(t.spark, "inbox")
+    wr.write_table(ev, f"{root}/a")
+    wr.write_table(ev.where(F.col("event_type") != "view"), f"{root}/b")
+    target = stored(t, ev.limit(0), ["d"])
+    ingest_files(t.spark, root, ev.schema, target, ["event_id"], ["d"], lambda s: s, ["ts"], event_time="ts", delay="40 days")
+    return back(t, target, ev)

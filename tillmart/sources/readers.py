@@ -1,0 +1,115 @@
+"""Scans: parquet and CSV unions, partitioned lakes, newest files, tables, inboxes."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillmart.operators.core import keep_one
+
+
+def scan_parquet_union(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, source_col: str | None = None
+) -> DataFrame:
+    """Files of differing schemas as one table; wanted columns no file has come out null."""
+    df = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*paths)
+    out = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns or df.columns]
+    if source_col:
+        out.append(F.col("_metadata.file_path").alias(source_col))
+    return df.select(*out)
+
+
+def scan_csv_union(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], encodings: Sequence[str] = ("UTF-8", "EUC-KR", "ISO-8859-1"),
+    source_col: str | None = None, on_error: str = "skip",
+) -> DataFrame:
+    """CSV files read with the first encoding that decodes them.
+
+    A file that shows the replacement character under one encoding is read with
+    the next. Only file names come to the driver, as they do for any listing.
+    Encodings beyond the Unicode ones and Latin-1 need the session's Java charsets.
+    """
+    if not {e.upper() for e in encodings} <= {"UTF-8", "UTF-16", "UTF-32", "ISO-8859-1", "US-ASCII"}:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    read = lambda files, enc: (
+        spark.read.option("header", True).option("encoding", enc).option("recursiveFileLookup", True)
+        .option("mode", "DROPMALFORMED" if on_error == "skip" else "FAILFAST")
+        .option("ignoreCorruptFiles", on_error == "skip")
+        .schema(", ".join(f"`{c}` string" for c in columns)).csv(list(files))
+        .withColumn("_file", F.col("_metadata.file_path"))
+    )
+    parts, todo = [], list(paths)
+    for i, enc in enumerate(encodings):
+        df = read(todo, enc)
+        if i + 1 == len(encodings):
+            parts.append(df)
+            break
+        broken = F.exists(F.array(*[F.coalesce(c, F.lit("")) for c in columns]), lambda x: x.contains("�"))
+        bad = [r[0] for r in df.where(broken).select("_file").distinct().collect()]
+        parts.append(df.where(~F.col("_file").isin(bad)) if bad else df)
+        if not bad:
+            break
+        todo = bad
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumnRenamed("_file", source_col) if source_col else out.drop("_file")
+
+
+def scan_partitioned(spark: SparkSession, root: str, **keys) -> DataFrame:
+    """Hive-partitioned lake with optional key filters (values or lists), which prune folders."""
+    df = spark.read.option("basePath", root).parquet(root)
+    for k, v in keys.items():
+        if v is not None:
+            df = df.where(F.col(k).isin(list(v)) if isinstance(v, (list, tuple, set)) else F.col(k) == v)
+    return df
+
+
+def latest_file_per_name(spark: SparkSession, paths: Sequence[str], name: Column, glob: str = "*.parquet") -> list[str]:
+    """Of the files that share a logical name (an expression on ``path``) the newest group of one write.
+
+    The listing reads no content; only paths come to the driver.
+    """
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(list(paths))
+        .select("path", "modificationTime").withColumn("_name", name)
+        .withColumn("_folder", F.regexp_replace("path", r"/[^/]+$", ""))
+    )
+    folders = files.groupBy("_name", "_folder").agg(F.max("modificationTime").alias("_t"))
+    newest = keep_one(folders, ["_name"], [F.col("_t").desc(), F.col("_folder").desc()])
+    return [r[0] for r in newest.select("_folder").collect()]
+
+
+def table_read(
+    table: DataFrame, columns: Sequence[str] | None = None, where: dict | None = None, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """SELECT columns WHERE equalities ORDER BY (a leading '-' sorts descending).
+
+    ``table`` is any relation; for a JDBC relation Spark pushes columns and filters down.
+    """
+    for k, v in (where or {}).items():
+        table = table.where(F.col(k).isin(list(v)) if isinstance(v, (list, tuple)) else F.col(k).eqNullSafe(F.lit(v)))
+    order = [F.col(c[1:]).desc() if c.startswith("-") else F.col(c).asc() for c in order_by]
+    table = table.select(*(columns or table.columns))
+    return table.orderBy(*order) if order else table
+
+
+def jdbc_table(spark: SparkSession, url: str, name: str, partition_column: str, bounds: tuple, partitions: int, **options) -> DataFrame:
+    """Parallel JDBC relation, split on a numeric or date column."""
+    return (
+        spark.read.format("jdbc").options(url=url, dbtable=name, partitionColumn=partition_column, lowerBound=str(bounds[0]),
+                                          upperBound=str(bounds[1]), numPartitions=str(partitions), **options).load()
+    )
+
+
+def ready_folders(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Drop folders whose files all carry the row counts their manifest names.
+
+    ``files``: folder, dataset, rows (counted); ``manifest``: folder, dataset, rows.
+    """
+    m = manifest.select("folder", "dataset", F.col("rows").alias("_want"))
+    j = m.join(files, ["folder", "dataset"], "left")
+    ok = F.coalesce(F.col("rows") == F.col("_want"), F.lit(False))
+    return j.groupBy("folder").agg(F.every(ok).alias("_ok")).where(F.col("_ok")).select("folder")
