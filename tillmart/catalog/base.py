@@ -73,7 +73,7 @@ def big(expr: str) -> str:
 
 
 def rint(expr: str) -> str:
-    return f"COALESCE(CAST(round_even(CAST({expr} AS DECIMAL(30, 8)), 0) AS BIGINT), 0)"
+    return f"COALESCE(CAST(round_even(CAST({expr} AS DOUBLE), 0) AS BIGINT), 0)"
 
 
 def tint(expr: str) -> str:

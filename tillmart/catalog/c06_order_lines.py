@@ -169,10 +169,11 @@ def adjust_sql(src, keys, extra=""):
   UNION ALL SELECT order_id, mx + 1, '__ADJ__', '정산차액', 1, abs(head - s), head - s, CASE WHEN head - s >= 0 THEN '정상' ELSE '취소' END, rp.store
   FROM d0 JOIN rp USING (order_id) WHERE head <> s""")
 def adjustment_rows(t):
-    rows = order_lines(t, hot_orders(t)).select(
+    hot = hot_orders(t)
+    rows = order_lines(t, hot).select(
         "order_id", "item_seq", "item_id", "item_name", "qty", "unit_price", "total_price", "sale_type", "store", "order_amount"
     )
-    return o.adjustment_rows(rows, K, "order_amount").drop("order_amount")
+    return o.adjustment_rows(rows, K, "order_amount", hot=hot).drop("order_amount")
 
 
 @query("latest_per_key", f"""SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE)::VARCHAR AS shipped FROM lineitem

@@ -49,6 +49,7 @@ def scan_parquet_union(t):
 @query("scan_csv_union", f"WITH {H} SELECT order_id, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS kind, CASE source WHEN 'F' THEN 'utf' WHEN 'O' THEN 'kr' ELSE 'utf2' END AS part FROM h")
 def scan_csv_union(t):
     root = fresh_path(t.spark, "csv")
+    t.spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # the export to write is EUC-KR
     df = slim(t).select("order_id", F.when(F.col("source") == "P", "취소").otherwise("정상").alias("kind"), "source")
     for src, name, enc in (("F", "utf", "UTF-8"), ("O", "kr", "EUC-KR"), ("P", "utf2", "UTF-8")):
         df.where(F.col("source") == src).drop("source").write.option("header", True).option("encoding", enc).csv(f"{root}/{name}")

@@ -15,7 +15,7 @@ def rnd(c, digits: int = 0) -> Column:
 
 def rnd_int(c) -> Column:
     """Half-even to a whole number, null as 0."""
-    return F.coalesce(F.bround(col(c).cast("decimal(30,8)"), 0).cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(F.rint(col(c).cast("double")).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def trunc_int(c) -> Column:

@@ -185,27 +185,31 @@ def order_time_unify(df: DataFrame, order: Sequence[str], time: str = "order_tim
 ADJUST_ID, ADJUST_NAME = "__ADJ__", "정산차액"
 
 
-def adjustment_rows(df: DataFrame, order: Sequence[str], head_amount: str) -> DataFrame:
+@by_heat
+def adjustment_rows(df: DataFrame, order: Sequence[str], head_amount: str, hot=AUTO) -> DataFrame:
     """One balancing line per receipt whose header amount differs from the sum of its lines.
 
-    It copies the attributes of the line with the largest absolute amount.
+    It copies the attributes of the line with the largest absolute amount, and
+    comes out of that line itself, so the lines are gone through once.
     """
-    order = list(order)
-    rep = F.struct(F.abs("total_price").alias("a"), (-F.col(SEQ)).alias("s"))
-    keep = [c for c in df.columns if c not in order]
-    g = df.groupBy(*order).agg(
-        F.max_by(F.struct(*keep), rep).alias("_r"), F.sum("total_price").alias("_sum"), F.max(SEQ).alias("_seq"),
-        F.min_by(head_amount, SEQ).alias("_head"),
+    rows = attach(
+        df, order,
+        {
+            "_sum": F.sum("total_price"), "_seq": F.max(SEQ), "_head": F.min_by(head_amount, SEQ),
+            "_rep": F.max(F.struct(F.abs("total_price").alias("a"), (-F.col(SEQ)).alias("s"))),
+        },
+        hot=hot,
     )
     diff = F.col("_head") - F.col("_sum")
-    g = g.where(diff != 0).select(*order, *[F.col(f"_r.{c}").alias(c) for c in keep], diff.alias("_diff"), (F.col("_seq") + 1).alias("_next"))
     new = {
-        SEQ: F.col("_next"), "item_id": F.lit(ADJUST_ID), "item_name": F.lit(ADJUST_NAME), "qty": F.lit(1).cast("bigint"),
-        "unit_price": F.abs("_diff"), "total_price": F.col("_diff"), "discount_amount": F.lit(0).cast("bigint"),
-        "sale_type": F.when(F.col("_diff") >= 0, "정상").otherwise("취소"), "order_cnt": F.lit(0),
+        SEQ: F.col("_seq") + 1, "item_id": F.lit(ADJUST_ID), "item_name": F.lit(ADJUST_NAME), "qty": F.lit(1),
+        "unit_price": F.abs(diff), "total_price": diff, "discount_amount": F.lit(0),
+        "sale_type": F.when(diff >= 0, "정상").otherwise("취소"), "order_cnt": F.lit(0),
     }
-    adj = g.withColumns({k: v for k, v in new.items() if k in df.columns}).select(*df.columns)
-    return df.unionByName(adj)
+    line = F.struct(*[F.col(c) for c in df.columns])
+    balance = F.struct(*[new.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    both = F.when((F.col(SEQ) == -F.col("_rep.s")) & (diff != 0), F.array(line, balance)).otherwise(F.array(line))
+    return rows.select(F.explode(both).alias("_line")).select("_line.*")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], stamps: Sequence, tie: Sequence = ()) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmart.functions.numbers import ratio, rnd, rnd_int, trunc_int
+from tillmart.operators.series import month_number
+from tillmart.session import stage
 
 CHANNEL = ["store", "brand", "order_type", "platform"]
 ATTRS = ["region", "manager", "open_date"]
@@ -132,12 +134,11 @@ def weekly_channel(daily: DataFrame, as_of, keys=CHANNEL) -> DataFrame:
     )
 
 
-def next_month(c) -> Column:
-    return F.date_format(F.add_months(F.to_date(F.concat(F.col(c), F.lit("-01"))), 1), "yyyy-MM")
-
-
 def store_expected(daily: DataFrame, as_of, keys=("store", "brand")) -> DataFrame:
-    """Store-level run rate; the previous month comes from a calendar join, so gaps stay gaps."""
+    """Store-level run rate; the previous month is the calendar one, so a missing month counts as 0.
+
+    "The row exactly one month earlier" is a RANGE frame on the month number, not a self join.
+    """
     keys = list(keys)
     this = month_of(as_of)
     g = (
@@ -159,32 +160,26 @@ def store_expected(daily: DataFrame, as_of, keys=("store", "brand")) -> DataFram
     g = g.withColumn("expected_sales", expect("tp", "avg_day_sales")).withColumn(
         "expected_orders", expect("oc", "avg_day_orders")
     )
-    prev = g.select(
-        *keys, next_month("ym").alias("ym"), F.col("expected_sales").alias("_ps"), F.col("oc").alias("_po")
-    )
     w = Window.partitionBy(*keys).orderBy("ym")
     last3 = w.rowsBetween(-3, -1)
+    before = Window.partitionBy(*keys).orderBy(month_number(F.to_date(F.concat("ym", F.lit("-01"))))).rangeBetween(-1, -1)
     return (
-        g.join(prev, [*keys, "ym"], "left")
-        .withColumn("prev_expected_sales", F.coalesce("_ps", F.lit(0)))
-        .withColumn("prev_orders", F.coalesce("_po", F.lit(0)))
+        g.withColumn("prev_expected_sales", F.coalesce(F.max("expected_sales").over(before), F.lit(0)))
+        .withColumn("prev_orders", F.coalesce(F.max("oc").over(before), F.lit(0)))
         .withColumn("avg3_sales", trunc_int(F.avg("expected_sales").over(last3)))
         .withColumn("avg3_orders", trunc_int(F.avg("expected_orders").over(last3)))
         .withColumn("prev_day_sales", F.coalesce(F.lag("avg_day_sales").over(w), F.lit(0)))
-        .drop("_ps", "_po", "ms")
+        .drop("ms")
     )
 
 
 def store_month_rollup(daily: DataFrame, as_of) -> DataFrame:
     """Store x brand month run rate with the store's current revenue band."""
     exp = store_expected(daily, as_of)
-    band = (
-        exp.where(F.col("ym") == month_of(as_of))
-        .groupBy("store")
-        .agg(F.sum("expected_sales").alias("_es"))
-        .select("store", revenue_band(F.col("_es")).alias("_band"))
-    )
-    return exp.join(band, "store", "left").select(
+    now = F.when(F.col("ym") == month_of(as_of), F.col("expected_sales"))
+    total = F.sum(now).over(Window.partitionBy("store"))
+    exp = exp.withColumn("_band", F.when(total.isNotNull(), revenue_band(total)))
+    return exp.select(
         "ym", "store", "brand",
         F.col("expected_sales").alias("store_expected_month_sales"),
         F.col("expected_orders").alias("store_expected_month_order_cnt"),
@@ -196,19 +191,19 @@ def store_month_rollup(daily: DataFrame, as_of) -> DataFrame:
 
 def daily_summary(lines: DataFrame, as_of) -> DataFrame:
     """Day rows with month, week and store figures joined back."""
-    daily = daily_channel(lines)
+    # Four branches read the day grain, so the line scan is staged once at that grain.
+    daily = stage(daily_channel(lines))
     monthly = avg_prev_3(prev_month_lag(expected_month(monthly_channel(daily), as_of))).select(
         "ym", *CHANNEL,
         F.col("expected_month_sales").alias("_ems"), F.col("expected_month_order_cnt").alias("_emo"),
         "prev_expected_month_sales", "avg_3m_expected_sales", "prev_month_order_cnt", "avg_3m_order_cnt",
     )
+    store_week = Window.partitionBy("week_start", "store", "brand")
     weekly = weekly_channel(daily, as_of).select(
         "week_start", *CHANNEL, "expected_week_sales", "expected_week_order_cnt",
         "prev_expected_week_sales", "avg_3w_expected_sales", "prev_week_order_cnt", "avg_3w_order_cnt",
-    )
-    store_week = weekly.groupBy("week_start", "store", "brand").agg(
-        F.sum("expected_week_sales").alias("store_expected_week_sales"),
-        F.sum("expected_week_order_cnt").alias("store_expected_week_order_cnt"),
+        F.sum("expected_week_sales").over(store_week).alias("store_expected_week_sales"),
+        F.sum("expected_week_order_cnt").over(store_week).alias("store_expected_week_order_cnt"),
     )
     past = F.col("ym") < month_of(as_of)
     return (
@@ -216,7 +211,6 @@ def daily_summary(lines: DataFrame, as_of) -> DataFrame:
         .join(monthly, ["ym", *CHANNEL], "left")
         .join(store_month_rollup(daily, as_of), ["ym", "store", "brand"], "left")
         .join(weekly, ["week_start", *CHANNEL], "left")
-        .join(store_week, ["week_start", "store", "brand"], "left")
         .withColumn("expected_month_sales", F.when(past, F.col("total_price")).otherwise(F.col("_ems")))
         .withColumn("expected_month_order_cnt", F.when(past, F.col("order_cnt")).otherwise(F.col("_emo")))
         .drop("_ems", "_emo")

@@ -20,6 +20,7 @@ from tillmart.operators import order_lines as o
 from tillmart.operators.core import AUTO, attach, by_heat, keep_one, resolve_hot
 from tillmart.operators.filters import exclude_overlapping_stores, store_scoped_blacklist
 from tillmart.operators.joins import code_to_name_map, dim_enrich, last_two_tokens
+from tillmart.session import stage
 
 CANCELLED, NORMAL = "취소", "정상"
 UNIFIED = [
@@ -60,7 +61,7 @@ def _receipt_lines(rows: DataFrame, keys: Sequence[str], line_order: Sequence, h
     )
     rows = o.order_cnt_last_line(rows, keys, hot=hot)
     rows = rows.withColumns({m: signed_amount(m, is_cancelled()).cast("bigint") for m in ("total_price", "discount_amount")})
-    rows = o.adjustment_rows(rows, keys, "actual_amount")
+    rows = o.adjustment_rows(rows, keys, "actual_amount", hot=hot)
     return rows.withColumn("amount", F.when(F.col("item_id") == o.ADJUST_ID, 0).otherwise(F.col("amount")))
 
 
@@ -91,7 +92,7 @@ def unify_receipts(
     rows = _receipt_lines(rows, keys, line_order, hall, counter, phone, hot=hot)
 
     # Refunds without lines take the name of an order with the same amount that day, else of the same receipt.
-    rows = inherit_refund_names(rows, keys)
+    rows = inherit_refund_names(stage(rows), keys)
     has_time = F.col("order_time") != ""
     rows = rows.withColumns(
         {

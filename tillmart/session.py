@@ -53,3 +53,14 @@ def reliable_checkpoint(df):
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stage(df):
+    """Write the rows out once on the shared folder and read them back.
+
+    For an intermediate that several branches of a job use: the work below it
+    runs once, its columns can still be pruned, and lost executors cost nothing.
+    """
+    path = fresh_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillmart.functions.clean import text
 from tillmart.operators.core import keep_one
-from tillmart.session import fresh_path
+from tillmart.session import fresh_path, stage
 
 
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite") -> None:
@@ -34,16 +34,7 @@ def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Stage the rows, then replace exactly the partitions they fall in."""
-    stage = fresh_path(df.sparkSession, "stage")
-    write_table(df, stage, by)
-    write_table(read_table(df.sparkSession, stage, df), path, by)
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """The rows written out once, for merges that read them several times."""
-    path = fresh_path(df.sparkSession, "stage")
-    write_table(df, path)
-    return read_table(df.sparkSession, path, df)
+    write_table(stage(df), path, by)
 
 
 def touched(existing: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -68,10 +59,7 @@ def unique_new(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
 def append_unique(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Append rows with unseen keys; returns one row (inserted, duplicated, total)."""
     existing = read_table(spark, path, new)
-    stage = fresh_path(spark, "stage")
-    flagged = new.join(existing.select(*keys).distinct().withColumn("_seen", F.lit(1)), list(keys), "left")
-    write_table(flagged, stage)
-    done = spark.read.parquet(stage)
+    done = stage(new.join(existing.select(*keys).distinct().withColumn("_seen", F.lit(1)), list(keys), "left"))
     write_table(done.where(F.col("_seen").isNull()).select(*new.columns), path, by, mode="append")
     return done.agg(
         F.count_if(F.col("_seen").isNull()).alias("inserted"), F.count("_seen").alias("duplicated"), F.count(F.lit(1)).alias("total")
@@ -126,7 +114,7 @@ def source_priority_override(existing: DataFrame, better: DataFrame, keys=("sale
 
 def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], by: Sequence[str], order: Sequence = ()) -> None:
     """Merge new rows into the partitions they touch; the newest row per key stays."""
-    new = staged(new)
+    new = stage(new)
     old = touched(read_table(spark, path, new), new, by)
     replace_partitions(keep_last(old, new, keys, order), path, by)
 
@@ -135,7 +123,7 @@ def partitioned_write(
     spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], by: Sequence[str], stamp: str, tie: Sequence = ()
 ) -> None:
     """Merge into partitions; per key the row collected last wins, whichever side it is on."""
-    new = staged(new)
+    new = stage(new)
     old = touched(read_table(spark, path, new), new, by)
     merged = keep_one(old.unionByName(new), [*by, *keys], [F.col(stamp).desc_nulls_last(), *tie])
     replace_partitions(merged, path, by)
