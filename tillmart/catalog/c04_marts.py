@@ -397,6 +397,13 @@ def wide_to_long(t):
     )
 
 
+@query("unpivot_accounts", f"""WITH {HEADS} SELECT store, platform, {big('count(DISTINCT c_custkey)')} AS accounts FROM heads JOIN orders o ON o.o_orderkey = heads.o_orderkey JOIN customer ON c_custkey = o_custkey GROUP BY store, platform""")
+def unpivot_accounts(t):
+    o = t.table("orders").select("o_orderkey", "o_custkey")
+    wide = t.heads.join(o, "o_orderkey").groupBy("store").pivot("platform", list(PLATFORMS)).agg(F.countDistinct("o_custkey"))
+    return m.wide_to_long(wide, ["store"], PLATFORMS, "platform", "accounts")
+
+
 @query("input_completeness", f"""WITH {HEADS}, g AS (SELECT s.store, CAST(d AS DATE) AS sale_date FROM stores s,
     generate_series(DATE '{AS_OF}' - INTERVAL 7 DAY, DATE '{AS_OF}' - INTERVAL 1 DAY, INTERVAL 1 DAY) x(d)),
   dl AS (SELECT store, sale_date, {big("COALESCE(sum(order_amount) FILTER (platform = 'BUILDING'), 0)")} AS amt, count(*) FILTER (source = 'F') AS n FROM heads GROUP BY ALL),

@@ -272,12 +272,12 @@ def runs(t):
     )
 
 
-@query("run_log_health", f"""WITH {RUNS}, l AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY job ORDER BY run_at DESC, run_id DESC) = 1),
+@query("dag_run_health", f"""WITH {RUNS}, l AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY job ORDER BY run_at DESC, run_id DESC) = 1),
   c AS (SELECT job, run_id, count(*) AS total, count(*) FILTER (state = 'success') AS success, count(*) FILTER (state = 'failed') AS failed, count(*) FILTER (state = 'skipped') AS skipped, count(*) FILTER (state = 'upstream_failed') AS upstream_failed FROM tasks GROUP BY ALL),
   j AS (SELECT l.job, l.run_id, strftime(run_at, '%Y-%m-%d %H:%M:%S') AS run_at, run_state, seconds, total, success, failed, skipped, upstream_failed, skipped > 0 AND failed = 0 AND upstream_failed = 0 AND run_state = 'success' AND success + skipped = total AS planned FROM l JOIN c ON c.job = l.job AND c.run_id = l.run_id),
   k AS (SELECT * EXCLUDE (planned), CASE WHEN run_state = 'failed' THEN 'run_failed' WHEN skipped * 2 >= total AND NOT planned THEN 'high_skip_ratio' WHEN upstream_failed > 0 THEN 'upstream_failed' WHEN skipped = total THEN 'all_skipped' WHEN NOT planned AND seconds > 0 AND seconds < 200 THEN 'short_duration' END AS fail_type FROM j)
   SELECT *, CASE WHEN fail_type IN ('run_failed', 'high_skip_ratio', 'upstream_failed') THEN 'FAIL' WHEN fail_type IS NOT NULL THEN 'WARN' ELSE 'OK' END AS verdict FROM k""")
-def run_log_health(t):
+def dag_run_health(t):
     return rc.run_health(runs(t), tasks(t), 200.0)
 
 
@@ -286,6 +286,23 @@ def run_start_hours(t):
     return rc.start_hours(runs(t))
 
 
+@query("unresolved_failures", f"""WITH {EVENTS}, r AS (SELECT store AS job, 'r' || event_id AS run_id, ts AS run_at, CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS run_state FROM ev),
+  l AS (SELECT * FROM r WHERE CAST(run_at AS DATE) = DATE '2024-01-15' QUALIFY row_number() OVER (PARTITION BY job ORDER BY run_at DESC, run_id DESC) = 1)
+  SELECT job, run_id, strftime(run_at, '%Y-%m-%d %H:%M:%S') AS run_at, run_state FROM l WHERE run_state = 'failed'""")
+def unresolved_failures(t):
+    state = F.when(F.col("event_type") == "error", "failed").otherwise("success")
+    rows = t.events.select(F.col("store").alias("job"), F.concat(F.lit("r"), "event_id").alias("run_id"), F.col("ts").alias("run_at"), state.alias("run_state"))
+    return rc.unresolved_failures(rows, "2024-01-15")
+
+
+@query("source_collisions", f"""WITH {HEADS}, s AS (SELECT CASE WHEN source = 'P' THEN '' WHEN source = 'O' AND platform = 'BUILDING' THEN 'o ' ELSE source END AS raw FROM heads),
+  g AS (SELECT lower(trim(raw)) AS name, count(*) AS rows, count(DISTINCT raw) AS spellings, string_agg(DISTINCT raw, '|' ORDER BY raw) AS variants FROM s GROUP BY 1)
+  SELECT *, CASE WHEN name = '' THEN 'blank' ELSE 'collision' END AS issue FROM g WHERE name = '' OR spellings > 1""")
+def source_collisions(t):
+    raw = F.when(F.col("source") == "P", None).when((F.col("source") == "O") & (F.col("platform") == "BUILDING"), "o ").otherwise(F.col("source"))
+    return rc.source_collisions(t.heads.select(raw.alias("source")))
+
+
 OPS = EVENTS + """, chg AS (SELECT store, event_id, date_trunc('second', ts) AS ts, CASE WHEN event_type = 'signup' THEN 'holiday' ELSE 'pause' END AS kind, d, k,
     CASE WHEN event_type = 'signup' AND k % 5 = 0 THEN k % 7 END AS reg_day, CASE WHEN event_type = 'signup' AND k % 3 = 0 THEN true ELSE false END AS sets,
     CASE WHEN event_type = 'signup' AND k % 4 = 0 THEN true ELSE false END AS cancels FROM ev WHERE event_type IN ('signup', 'error'))"""

@@ -91,16 +91,16 @@ def matrix_sql(m):
     {rnd(ratio(mtd.replace(f'sum({m})', f'sum(t.{m})'), f'mt.{m}') + ' * 100', 1)} AS month_rate, {rnd(ratio(f't.{m}', f'{m}_target') + ' * 100', 1)} AS week_rate FROM trk t LEFT JOIN mt ON mt.ym = t.ym"""
 
 
-@query("report_matrix", f"WITH {TRACK} {matrix_sql('sales')} UNION ALL {matrix_sql('orders')}")
-def report_matrix(t):
+@query("excel_matrix_report", f"WITH {TRACK} {matrix_sql('sales')} UNION ALL {matrix_sql('orders')}")
+def excel_matrix_report(t):
     return tg.report_matrix(tracking(t), month_targets(t), ["sales", "orders"])
 
 
 @query("month_forecast_fill", f"""WITH {HEADS}, dl AS (SELECT store, sale_date, {big('sum(order_amount)')} AS sales, count(*) AS orders FROM heads WHERE ym = '2001-07' GROUP BY ALL),
   f AS (SELECT store, count(*) AS n, regr_slope(CAST(sales AS DOUBLE), day(sale_date)) AS s1, regr_intercept(CAST(sales AS DOUBLE), day(sale_date)) AS i1, regr_slope(CAST(orders AS DOUBLE), day(sale_date)) AS s2, regr_intercept(CAST(orders AS DOUBLE), day(sale_date)) AS i2 FROM dl GROUP BY store),
   g AS (SELECT s.store, CAST(d AS DATE) AS sale_date FROM stores s, generate_series(DATE '2001-07-01', DATE '2001-07-31', INTERVAL 1 DAY) x(d))
-  SELECT g.store, CAST(g.sale_date AS VARCHAR) AS sale_date, CASE WHEN dl.store IS NULL THEN '예측값' ELSE '실제값' END AS kind, COALESCE(dl.sales, CASE WHEN COALESCE(n, 0) < 3 THEN 250000 ELSE greatest({rint('s1 * day(g.sale_date) + i1')}, 0) END) AS sales,
-    COALESCE(dl.orders, CASE WHEN COALESCE(n, 0) < 3 THEN 5 ELSE greatest({rint('s2 * day(g.sale_date) + i2')}, 0) END) AS orders FROM g LEFT JOIN dl USING (store, sale_date) LEFT JOIN f ON f.store = g.store""")
+  SELECT g.store, CAST(g.sale_date AS VARCHAR) AS sale_date, CASE WHEN dl.store IS NULL THEN '예측값' ELSE '실제값' END AS kind, COALESCE(dl.sales, CASE WHEN COALESCE(n, 0) < 3 THEN 250000 ELSE greatest(CAST({rnd('s1 * day(g.sale_date) + i1', 0)} AS BIGINT), 0) END) AS sales,
+    COALESCE(dl.orders, CASE WHEN COALESCE(n, 0) < 3 THEN 5 ELSE greatest(CAST({rnd('s2 * day(g.sale_date) + i2', 0)} AS BIGINT), 0) END) AS orders FROM g LEFT JOIN dl USING (store, sale_date) LEFT JOIN f ON f.store = g.store""")
 def month_forecast_fill(t):
     daily = t.heads.groupBy("store", "sale_date").agg(F.sum("order_amount").alias("sales"), F.count(F.lit(1)).alias("orders"))
     return tg.month_forecast_fill(daily, t.stores, "2001-07", {"sales": 250_000, "orders": 5})

@@ -194,10 +194,9 @@ def review_dedup(reviews: DataFrame, id_less: str, id_key: Sequence[str], other_
 def fill_target_day(df: DataFrame, day: str, target) -> DataFrame:
     """If the target day has no row, repeat the day before under the target date."""
     t = F.lit(target).cast("date")
-    has = df.where(F.col(day) == t).select(F.lit(1).alias("_has")).limit(1)
-    moved = df.where(F.col(day) == F.date_sub(t, 1)).withColumn(day, t)
-    probe = moved.withColumn("_one", F.lit(1)).join(has.select(F.col("_has").alias("_one")), "_one", "left_anti")
-    return df.unionByName(probe.drop("_one"))
+    if not df.where(F.col(day) == t).isEmpty():
+        return df
+    return df.unionByName(df.where(F.col(day) == F.date_sub(t, 1)).withColumn(day, t))
 
 
 def review_topic_counts(reviews: DataFrame) -> DataFrame:

@@ -215,6 +215,24 @@ def run_health(runs: DataFrame, tasks: DataFrame, short_seconds: float = 10.0) -
     )
 
 
+def unresolved_failures(runs: DataFrame, day) -> DataFrame:
+    """Jobs whose last run of the day failed; a later good run of the same day resolves a failure."""
+    of_day = runs.where(F.to_date("run_at") == F.lit(day).cast("date"))
+    last = keep_one(of_day, ["job"], [F.col("run_at").desc(), F.col("run_id").desc()])
+    return last.where(F.col("run_state").isin("failed", "upstream_failed"))
+
+
+def source_collisions(df: DataFrame, column: str = "source") -> DataFrame:
+    """Normalised source names with their spellings: blank ones, and names that differ by case or spaces only."""
+    spell = df.groupBy(F.coalesce(column, F.lit("")).alias("_raw")).agg(F.count(F.lit(1)).alias("_n"))
+    g = spell.groupBy(F.lower(F.trim("_raw")).alias("name")).agg(
+        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("spellings"),
+        F.array_join(F.array_sort(F.collect_set("_raw")), "|").alias("variants"),
+    )
+    issue = F.when(F.col("name") == "", "blank").when(F.col("spellings") > 1, "collision")
+    return g.withColumn("issue", issue).where(F.col("issue").isNotNull())
+
+
 def start_hours(runs: DataFrame) -> DataFrame:
     """Number of runs per start hour."""
     return runs.groupBy(F.hour("run_at").alias("hour")).agg(F.count(F.lit(1)).alias("runs"))

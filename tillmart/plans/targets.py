@@ -82,7 +82,8 @@ def month_forecast_fill(daily: DataFrame, stores: DataFrame, ym: str, metrics: d
     grid = stores.select("store", F.explode(F.sequence(first, F.last_day(first))).alias("sale_date"))
     j = grid.join(month.select("store", "sale_date", *metrics, F.lit(1).alias("_a")), ["store", "sale_date"], "left").join(fit, "store", "left")
     guess = lambda m, t: F.when(F.coalesce("_n", F.lit(0)) < least, F.lit(t)).otherwise(
-        F.greatest(rnd_int(F.col(f"_s_{m}") * x + F.col(f"_i_{m}")), F.lit(0))
+        # Decimal rounding: the fitted value carries binary noise that must not decide a tie.
+        F.greatest(rnd(F.col(f"_s_{m}") * x + F.col(f"_i_{m}"), 0).cast("bigint"), F.lit(0))
     )
     return j.select(
         "store", "sale_date", F.when(F.col("_a") == 1, "실제값").otherwise("예측값").alias("kind"),

@@ -30,11 +30,21 @@ UNIFIED = [
 ]
 
 
-def finish(df: DataFrame, stores: DataFrame, source: str, brand: Column | str) -> DataFrame:
-    """Source, month, store attributes and key; unified columns in order."""
+ATTRS = ["region", "manager", "open_date"]
+
+
+def finish(df: DataFrame, stores: DataFrame, source: str, brand: Column | str, one_store: str | None = None) -> DataFrame:
+    """Source, month, store attributes and key; unified columns in order.
+
+    With ``one_store`` all rows are of that store and its attributes are scalar subqueries.
+    """
     brand = F.lit(brand) if isinstance(brand, str) else brand
-    df = df.withColumns({"source": F.lit(source), "brand": brand, "ym": F.date_format("sale_date", "yyyy-MM")})
-    df = dim_enrich(df.drop("region", "manager", "open_date"), stores, "store", "store", ["region", "manager", "open_date"])
+    df = df.withColumns({"source": F.lit(source), "brand": brand, "ym": F.date_format("sale_date", "yyyy-MM")}).drop(*ATTRS)
+    if one_store is None:
+        df = dim_enrich(df, stores, "store", "store", ATTRS)
+    else:
+        one = stores.where(F.col("store") == one_store)
+        df = df.withColumns({a: one.select(F.max(a)).scalar() for a in ATTRS})
     return df.withColumn("_pk", unified_pk()).select(*UNIFIED)
 
 
@@ -272,7 +282,7 @@ def unify_easy_pos(
     )
     rows = rows.withColumn("total_price", signed_amount("unit_price", is_cancelled()))
     rows = code_to_name_map(rows, master.select("code", "name"), "item_id", "item_name")
-    return finish(_easy_orders(rows, ["order_id"], line_order, hot=hot), stores, source, brand)
+    return finish(_easy_orders(rows, ["order_id"], line_order, hot=hot), stores, source, brand, one_store=store)
 
 
 @by_heat
