@@ -9,6 +9,7 @@ from tillmart.catalog.c02_series import QUOTES, quotes
 from tillmart.operators import joins as j
 from tillmart.operators.core import keep_one
 from tillmart.plans import marts
+from tillmart.session import stage
 from tillmart.sources.fixtures import AS_OF
 
 D = "CAST(sale_date AS VARCHAR) AS sale_date"
@@ -161,7 +162,7 @@ def near_sql(target, tol, out):
   LEFT JOIN {near_sql('a.base_date - INTERVAL 1 MONTH', 7, 'price_prev_month')} m USING (site, base_date)
   LEFT JOIN {near_sql('a.base_date - INTERVAL 1 YEAR', 14, 'price_prev_year')} y USING (site, base_date)""")
 def nearest_asof(t):
-    q = quotes(t).drop("collected_at")
+    q = stage(quotes(t).drop("collected_at"))
     out = j.nearest_asof(q, q, "site", F.add_months("base_date", -1), 7, "price_prev_month")
     return j.nearest_asof(out, q, "site", F.add_months("base_date", -12), 14, "price_prev_year")
 
@@ -169,9 +170,9 @@ def nearest_asof(t):
 ACTIONS = SERIES + """, acts AS (SELECT DISTINCT store, CAST(date_trunc('month', sale_date) + INTERVAL 14 DAY AS DATE) AS action_date FROM series)"""
 
 
-def actions(t):
+def actions(series):
     mid = F.date_add(F.trunc("sale_date", "MM"), 14).alias("action_date")
-    return t.series.select("store", mid).distinct()
+    return series.select("store", mid).distinct()
 
 
 def side(op, order, n=7):
@@ -191,7 +192,8 @@ EVENT_WINDOW = ACTIONS + f""", ew AS (SELECT a.store, a.action_date, p.total_amo
 def event_window(t):
     from tillmart.functions.numbers import rnd as r
 
-    out = j.event_window_join(actions(t), t.series, "store", {"total_amount": "sum", "settlement_amount": "mean"})
+    series = stage(t.series)
+    out = j.event_window_join(actions(series), series, "store", {"total_amount": "sum", "settlement_amount": "mean"})
     return out.withColumns({c: r(c, 4) for c in ("settlement_amount_prev", "settlement_amount_next")})
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmart.functions.clean import blank_to_null, text
 from tillmart.functions.keys import unified_pk
@@ -225,9 +226,9 @@ def is_latest_flag(df: DataFrame, keys: Sequence[str], stamp: str, version: str)
     return out.withColumn("is_latest", F.when(hit, "Y").otherwise("N")).drop("_top")
 
 
-def canonical(c, numeric: bool) -> Column:
-    """Compare form of a value: numbers with six decimals, text trimmed."""
-    if numeric:
+def canonical(c, numeric: bool, whole: bool = False) -> Column:
+    """Compare form of a value: numbers with six decimals (whole ones as they are), text trimmed."""
+    if numeric and not whole:
         return F.coalesce(F.bround(col(c).cast("decimal(30,8)"), 6).cast("string"), F.lit(""))
     return text(c)
 
@@ -237,7 +238,8 @@ def canonical_line_dedup(df: DataFrame, columns: dict[str, bool], newest_first:
 
     The key is the digest of the canonical form, so the shuffle carries one short column.
     """
-    digest = F.sha2(F.concat_ws("\u0001", *[canonical(c, n) for c, n in columns.items()]), 256)
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    digest = F.sha2(F.concat_ws("\u0001", *[canonical(c, n, c in whole) for c, n in columns.items()]), 256)
     return keep_one(df.withColumn("_form", digest), ["_form"], newest_first).drop("_form")
 
 

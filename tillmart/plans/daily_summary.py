@@ -42,6 +42,11 @@ def week_start(c) -> Column:
     return F.date_trunc("week", c).cast("date")
 
 
+def active_days(keys) -> Column:
+    """Days with sales: rows at channel grain (one per day), a distinct count at coarser ones."""
+    return F.count(F.lit(1)) if list(keys) == CHANNEL else F.countDistinct("sale_date")
+
+
 def daily_channel(lines: DataFrame) -> DataFrame:
     """Sales and orders per day, store, brand, order type and platform."""
     keys = ["sale_date", "ym", *CHANNEL]
@@ -63,7 +68,7 @@ def monthly_channel(daily: DataFrame, keys=CHANNEL) -> DataFrame:
         .agg(
             F.sum("total_price").alias("month_sales"),
             F.sum("order_cnt").alias("month_order_cnt"),
-            F.countDistinct("sale_date").alias("actual_days"),
+            active_days(keys).alias("actual_days"),
             F.max("sale_date").alias("max_sale_date"),
         )
         .withColumn("avg_daily_sales", rnd(ratio("month_sales", "actual_days"), 2))
@@ -109,7 +114,7 @@ def weekly_channel(daily: DataFrame, as_of, keys=CHANNEL) -> DataFrame:
         .agg(
             F.sum("total_price").alias("week_sales"),
             F.sum("order_cnt").alias("week_order_cnt"),
-            F.countDistinct("sale_date").alias("days_cnt"),
+            active_days(keys).alias("days_cnt"),
         )
         .withColumn("avg_dw", rnd(ratio("week_sales", "days_cnt"), 2))
         .withColumn("avg_dw_o", rnd(ratio("week_order_cnt", "days_cnt"), 2))

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from tillmart.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
 from tillmart.operators import series as s
-from tillmart.operators.core import col, global_rank, keep_one, top_k
+from tillmart.operators.core import col, keep_one, top_k
+from tillmart.session import stage
 
 AGG_FUNCTIONS = {
     "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count, "nunique": F.countDistinct,
@@ -114,7 +115,8 @@ def manager_daily(lines: DataFrame) -> DataFrame:
         g.groupBy("sale_date", "manager")
         .agg(
             F.sum("_a").alias("total_amount"), F.sum("_s").alias("settlement_amount"),
-            F.countDistinct("store").alias("store_count"), joined_set("platform").alias("platform"),
+            # Sets of stores and platforms are small; only the order ids need a distinct count.
+            F.size(F.collect_set("store")).alias("store_count"), joined_set("platform").alias("platform"),
             F.countDistinct("order_id").alias("total_order_count"),
         )
         .withColumn("arpu", rnd_int(ratio("total_amount", "total_order_count")))
@@ -213,14 +215,10 @@ def review_daily_counts(reviews: DataFrame, id_less: str) -> DataFrame:
 
 def voc_store_summary(reviews: DataFrame, review_key: Column) -> DataFrame:
     """Distinct reviews and negative ones per day, manager and store, with 30-row sums and their change."""
-    g = (
-        reviews.withColumn("_rk", review_key)
-        .groupBy("d", "manager", "store")
-        .agg(
-            F.countDistinct("_rk").alias("reviews"),
-            F.countDistinct(F.when(F.col("sentiment") == "negative", F.col("_rk"))).alias("negatives"),
-        )
+    once = reviews.groupBy("d", "manager", "store", review_key.alias("_rk")).agg(
+        F.max(F.when(F.col("sentiment") == "negative", 1).otherwise(0)).alias("_neg")
     )
+    g = once.groupBy("d", "manager", "store").agg(F.count(F.lit(1)).alias("reviews"), F.sum("_neg").alias("negatives"))
     keys = ["manager", "store"]
     g = g.withColumn("sum_30d_recent", trunc_int(s.rolling(F.sum, "negatives", keys, "d", -29))).withColumn(
         "sum_30d_prev", trunc_int(s.rolling(F.sum, "negatives", keys, "d", -59, -30))
@@ -294,10 +292,8 @@ def cs_daily_completion(rows: DataFrame) -> DataFrame:
     answered = first.where(F.col("_memo").isNotNull()).groupBy(F.col("_memo").alias("collected")).agg(
         rnd(F.avg(F.greatest(F.datediff("_memo", "_reg"), F.lit(0))), 2).alias("avg_response_days")
     )
-    daily = rows.groupBy("collected").agg(
-        F.countDistinct("ticket").alias("total"),
-        F.countDistinct(F.when(F.col("status") == DONE, F.col("ticket"))).alias("done"),
-    )
+    once = rows.groupBy("collected", "ticket").agg(F.max(F.when(F.col("status") == DONE, 1).otherwise(0)).alias("_done"))
+    daily = once.groupBy("collected").agg(F.count(F.lit(1)).alias("total"), F.sum("_done").alias("done"))
     return daily.join(answered, "collected", "left").withColumn("done_rate", share_pct("done", "total", 1))
 
 
@@ -318,12 +314,12 @@ def menu_store_agg(sales: DataFrame, period: str = "ym") -> DataFrame:
     g = sales.groupBy(period, "store", "menu", "category").agg(
         F.sum("qty").alias("store_qty"), F.sum("sales").alias("store_sales")
     )
-    peers = g.groupBy(period, "menu").agg(
-        rnd(F.avg("store_qty"), 4).alias("avg_qty"), rnd(F.avg("store_sales"), 4).alias("avg_sales"),
-        F.countDistinct("store").alias("stores"),
-    )
-    return g.join(peers, [period, "menu"], "left").withColumns(
+    # A menu's rows are one per store by now, so its window is bounded by the stores.
+    peers = Window.partitionBy(period, "menu")
+    return g.withColumns(
         {
+            "avg_qty": rnd(F.avg("store_qty").over(peers), 4), "avg_sales": rnd(F.avg("store_sales").over(peers), 4),
+            "stores": F.size(F.collect_set("store").over(peers)),
             "qty_rank": ranked([period, "menu"], "store_qty"),
             "sales_rank": ranked([period, "menu"], "store_sales"),
         }
@@ -339,9 +335,8 @@ def menu_store_summary(store_menu: DataFrame, period: str = "ym") -> DataFrame:
         F.max(F.struct("store_qty", "store_sales", "menu", "category")).alias("_q"),
         F.max(F.struct("store_sales", "store_qty", "menu", "category")).alias("_s"),
     )
-    per_day = g.groupBy(period).agg(F.count(F.lit(1)).alias("stores"))
-    return g.join(per_day, period).select(
-        *keys, "total_qty", "total_sales", "menus", "stores",
+    return g.select(
+        *keys, "total_qty", "total_sales", "menus", F.count(F.lit(1)).over(Window.partitionBy(period)).alias("stores"),
         F.col("_q.menu").alias("top_qty_menu"), F.col("_q.store_qty").alias("top_qty"),
         F.col("_s.menu").alias("top_sales_menu"), F.col("_s.store_sales").alias("top_sales"),
         ranked([period], "total_qty").alias("qty_rank"), ranked([period], "total_sales").alias("sales_rank"),
@@ -351,9 +346,9 @@ def menu_store_summary(store_menu: DataFrame, period: str = "ym") -> DataFrame:
 def menu_total_agg(sales: DataFrame, period: str = "ym") -> DataFrame:
     """Menu totals with rank overall and in the category, and the share of the category."""
     g = sales.groupBy(period, "menu", "category").agg(F.sum("qty").alias("qty"), F.sum("sales").alias("sales"))
-    cat = g.groupBy(period, "category").agg(F.sum("qty").alias("_cq"), F.sum("sales").alias("_cs"))
+    cat = Window.partitionBy(period, "category")
     return (
-        g.join(cat, [period, "category"], "left")
+        g.withColumns({"_cq": F.sum("qty").over(cat), "_cs": F.sum("sales").over(cat)})
         .withColumns(
             {
                 "qty_rank": ranked([period], "qty"), "sales_rank": ranked([period], "sales"),
@@ -424,15 +419,17 @@ def flag_conflicts(rows: DataFrame, conflicts: DataFrame, key: Sequence[str]) ->
     return rows.join(c, list(key), "left").withColumn("conflict", F.coalesce("_c", F.lit("N"))).drop("_c")
 
 
-def most_common(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+def most_common(cells: DataFrame, keys: Sequence[str], value: str, out: str, weight: str) -> DataFrame:
     """Most frequent non-null value per key, the smallest one on ties."""
-    n = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    n = cells.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(weight).alias("_n"))
     return keep_one(n, keys, [F.col("_n").desc(), F.col(value)]).select(*keys, F.col(value).alias(out))
 
 
 def item_evidence(lines: DataFrame, keys: Sequence[str], menu: str, top: int = 5) -> DataFrame:
     """Modal brand and price of an item, number of menus it appears in, its top menus and their share."""
-    counts = lines.groupBy(*keys, menu).agg(F.count(F.lit(1)).alias("_n"))
+    # One pass over the lines; all evidence comes from this small table.
+    cells = stage(lines.groupBy(*keys, menu, "brand", "unit_price").agg(F.count(F.lit(1)).alias("_c")))
+    counts = cells.groupBy(*keys, menu).agg(F.sum("_c").alias("_n"))
     base = counts.groupBy(*keys).agg(
         F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("menu_count"), F.max("_n").alias("_top")
     )
@@ -440,8 +437,8 @@ def item_evidence(lines: DataFrame, keys: Sequence[str], menu: str, top: int = 5
     text = F.concat(F.col(menu).cast("string"), F.lit("("), F.col("_n").cast("string"), F.lit(")"))
     sample = best.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_rank", text.alias("t")))).alias("_l"))
     sample = sample.select(*keys, F.array_join(F.transform("_l", lambda x: x["t"]), " | ").alias("menu_sample"))
-    brand = most_common(lines, keys, "brand", "common_brand")
-    price = most_common(lines, keys, "unit_price", "common_price")
+    brand = most_common(cells, keys, "brand", "common_brand", "_c")
+    price = most_common(cells, keys, "unit_price", "common_price", "_c")
     out = base.join(sample, list(keys)).join(brand, list(keys), "left").join(price, list(keys), "left")
     conf = rnd(ratio("_top", "rows"), 2)
     reasons = F.array_join(

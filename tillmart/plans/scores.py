@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillmart.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
@@ -279,5 +279,6 @@ def consecutive_risk(pairs) -> Column:
 
 def max_score_per_group(df: DataFrame, group: str, score: str) -> DataFrame:
     """Rows whose score equals the group's maximum; ties stay."""
-    best = df.groupBy(group).agg(F.max(F.coalesce(F.col(score), F.lit(0))).alias("_best"))
-    return df.join(best, group).where(F.coalesce(F.col(score), F.lit(0)) >= F.col("_best")).drop("_best")
+    value = F.coalesce(F.col(score), F.lit(0))
+    best = F.max(value).over(Window.partitionBy(group))
+    return df.withColumn("_best", best).where(value >= F.col("_best")).drop("_best")

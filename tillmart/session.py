@@ -49,9 +49,8 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def reliable_checkpoint(df):
     """Eager checkpoint on the shared folder: survives the loss of executors."""
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(shared_dir(spark))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
 
 
