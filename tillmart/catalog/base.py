@@ -63,6 +63,39 @@ PRODUCTS = """products AS (
 LINE_SEQ = ", ".join(LINE_ORDER)
 
 
+TABLES = """region(r_regionkey INTEGER, r_name VARCHAR);
+nation(n_nationkey INTEGER, n_name VARCHAR, n_regionkey INTEGER);
+customer(c_custkey BIGINT, c_name VARCHAR, c_nationkey INTEGER, c_acctbal DOUBLE, c_mktsegment VARCHAR);
+supplier(s_suppkey BIGINT, s_name VARCHAR, s_nationkey INTEGER, s_acctbal DOUBLE);
+part(p_partkey BIGINT, p_name VARCHAR, p_brand VARCHAR, p_type VARCHAR, p_size INTEGER, p_retailprice DOUBLE);
+orders(o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus VARCHAR, o_totalprice DOUBLE, o_orderdate TIMESTAMP, o_orderpriority VARCHAR);
+lineitem(l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INTEGER, l_quantity DOUBLE, l_extendedprice DOUBLE,
+  l_discount DOUBLE, l_tax DOUBLE, l_returnflag VARCHAR, l_linestatus VARCHAR, l_shipdate TIMESTAMP);
+events(event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR);
+documents(doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT);
+labels(doc_id BIGINT, quality INTEGER, toxic INTEGER)"""
+
+
+def oracle_with_wide_integers() -> dict[str, str]:
+    """The oracle SQL with every whole-number column as BIGINT, the type the Spark side returns.
+
+    Column types come from binding each query to empty tables.
+    """
+    try:
+        import duckdb
+    except ImportError:
+        return dict(ORACLE)
+    con = duckdb.connect()
+    for table in TABLES.split(";"):
+        con.execute(f"CREATE TABLE {table.strip()}")
+    out = {}
+    for name, sql in ORACLE.items():
+        narrow = [c[0] for c in con.execute(f"DESCRIBE {sql}").fetchall() if c[1] == "INTEGER"]
+        casts = ", ".join(f'CAST("{c}" AS BIGINT) AS "{c}"' for c in narrow)
+        out[name] = f"SELECT * REPLACE ({casts}) FROM ({sql})" if narrow else sql
+    return out
+
+
 def rnd(expr: str, digits: int = 2) -> str:
     """Half-even rounding on the decimal value, as text for the oracle."""
     return f"CAST(round_even(CAST({expr} AS DECIMAL(30, 8)), {digits}) AS DOUBLE)"

@@ -160,7 +160,7 @@ def independence_test_2x2(t):
     return st.independence_test(t.table("labels"), "quality", "toxic")
 
 
-@query("simple_regression", f"""SELECT l_returnflag, regr_count(l_extendedprice, l_quantity) AS n, {rnd('regr_slope(l_extendedprice, l_quantity)', 6)} AS slope, {rnd('regr_intercept(l_extendedprice, l_quantity)', 4)} AS intercept,
+@query("simple_regression", f"""SELECT l_returnflag, CAST(regr_count(l_extendedprice, l_quantity) AS BIGINT) AS n, {rnd('regr_slope(l_extendedprice, l_quantity)', 6)} AS slope, {rnd('regr_intercept(l_extendedprice, l_quantity)', 4)} AS intercept,
   {rnd('regr_r2(l_extendedprice, l_quantity)', 6)} AS r2 FROM lineitem GROUP BY l_returnflag""")
 def simple_regression(t):
     return st.simple_regression(t.table("lineitem"), "l_extendedprice", "l_quantity", ["l_returnflag"])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmart.functions.clean import text
 from tillmart.functions.numbers import ratio
-from tillmart.operators.core import col
+from tillmart.operators.core import AUTO, attach, col
 
 # The order types of the unified fact, hall words and the cancel mark.
 HALL_TABLE, HALL_PACK, DELIVERY_PACK, DELIVERY = "홀_테이블", "홀_포장", "배달_포장", "배달"
@@ -36,10 +36,9 @@ def order_type_classify(
     return p1, o3
 
 
-def reclassify_by_order(df: DataFrame, order: str, mark: Column, values: dict[str, Column]) -> DataFrame:
+def reclassify_by_order(df: DataFrame, order: str, mark: Column, values: dict[str, Column], hot=AUTO) -> DataFrame:
     """Set columns on every line of an order in which any line carries the mark."""
-    hit = df.where(mark).select(order).distinct().withColumn("_hit", F.lit(True))
-    out = df.join(hit, order, "left")
+    out = attach(df, [order], {"_hit": F.max(F.coalesce(mark, F.lit(False)))}, hot=hot)
     return out.withColumns({c: F.when(F.col("_hit"), v).otherwise(F.col(c)) for c, v in values.items()}).drop("_hit")
 
 

@@ -182,7 +182,7 @@ def unify_delivery_feed(
         }
     )
     rows = reclassify_by_order(
-        rows, "order_id", F.col("item_name").contains(f"{HALL}_"), {"platform": F.lit(HALL), "order_type": F.lit(HALL_TABLE)}
+        rows, "order_id", F.col("item_name").contains(f"{HALL}_"), {"platform": F.lit(HALL), "order_type": F.lit(HALL_TABLE)}, hot=hot
     )
     key = c.item_key("item_name")
     kept = _feed_best(store_scoped_blacklist(rows, blacklist, key), ["order_id"], hot=hot)
