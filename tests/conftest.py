@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tillmart.session import local_session
+from tillbook.session import local_session
 
 
 @pytest.fixture(scope="session")

@@ -68,7 +68,7 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 def main():
     import __spark_entry__ as entry
-    from tillmart.session import local_session
+    from tillbook.session import local_session
 
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     only = sys.argv[1:]

@@ -1,6 +1,6 @@
 """Registered queries against their DuckDB oracle on the smallest tables.
 
-A selection runs by default; TILLMART_TESTS=all runs every registered query.
+A selection runs by default; FULL_TESTS=all runs every registered query.
 """
 
 import os
@@ -17,7 +17,7 @@ review_topic_counts parse_mixed_date parse_localized_datetime order_type_classif
 remainder_allocation adjustment_rows store_scoped_blacklist collection_compare monthly_operation order_structure
 unify_receipts unify_union_pos unify_platform_b target_achievement month_forecast_fill token_overlap_match spearman_test
 independence_test scan_csv_union append_unique upsert_keep_last incremental_file_ingest stream_dedup_ingest""".split()
-NAMES = list(entry.queries()) if os.environ.get("TILLMART_TESTS") == "all" else SMOKE
+NAMES = list(entry.queries()) if os.environ.get("FULL_TESTS") == "all" else SMOKE
 
 
 @pytest.fixture(scope="module")

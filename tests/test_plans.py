@@ -6,11 +6,11 @@ from contextlib import redirect_stdout
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tillmart.operators.core import keep_one
-from tillmart.operators import filters as fl
-from tillmart.session import fresh_path
-from tillmart.sources import readers as rd, writers as wr
-from tillmart.sources.fixtures import Fixture
+from tillbook.operators.core import keep_one
+from tillbook.operators import filters as fl
+from tillbook.session import fresh_path
+from tillbook.sources import readers as rd, writers as wr
+from tillbook.sources.fixtures import Fixture
 
 SF = "/root/testdata/sf0.001"
 

@@ -5,12 +5,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from tillmart.functions import clean as c, numbers as n, rules as r
-from tillmart.operators import joins as j, matching as mt, order_lines as o, series as s, sets
-from tillmart.operators.core import keep_one
-from tillmart.plans import marts, scores as sc, targets as tg
-from tillmart.session import fresh_path
-from tillmart.sources import writers as wr
+from tillbook.functions import clean as c, numbers as n, rules as r
+from tillbook.operators import joins as j, matching as mt, order_lines as o, series as s, sets
+from tillbook.operators.core import keep_one
+from tillbook.plans import marts, scores as sc, targets as tg
+from tillbook.session import fresh_path
+from tillbook.sources import writers as wr
 
 
 def one(spark, expr, **cols):

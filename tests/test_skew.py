@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tillmart.operators import order_lines as o
-from tillmart.operators.core import attach, global_rank, hot_keys, running, running_total
+from tillbook.operators import order_lines as o
+from tillbook.operators.core import attach, global_rank, hot_keys, running, running_total
 
 
 @pytest.fixture(scope="module")
@@ -74,7 +74,7 @@ def test_source_jobs_with_hot_orders_match_oracle(spark, monkeypatch, name):
     """Orders of more than six lines take the hot path; the oracle does not know about it."""
     import __spark_entry__ as entry
     from oracle_check import compare, oracle
-    from tillmart.operators import core
+    from tillbook.operators import core
 
     seen = []
     original = core.hot_keys

@@ -8,7 +8,7 @@ import pkgutil
 
 def load_all():
     """Import every catalog module and return the registry."""
-    from tillmart.catalog import base
+    from tillbook.catalog import base
 
     for m in pkgutil.iter_modules(__path__):
         importlib.import_module(f"{__name__}.{m.name}")

@@ -1,8 +1,8 @@
 """Daily summary family."""
 
-from tillmart.catalog.base import LINES, big, query, ratio, rint, rnd, tint
-from tillmart.plans import daily_summary as ds
-from tillmart.sources.fixtures import AS_OF
+from tillbook.catalog.base import LINES, big, query, ratio, rint, rnd, tint
+from tillbook.plans import daily_summary as ds
+from tillbook.sources.fixtures import AS_OF
 
 ASOF_YM = AS_OF[:7]
 

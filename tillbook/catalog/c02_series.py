@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import EVENTS, HEADS, LINES, SERIES, big, pct, query, ratio, rint, rnd, tint
-from tillmart.operators import series as s
-from tillmart.plans import marts, scores as sc
-from tillmart.sources.fixtures import AS_OF
+from tillbook.catalog.base import EVENTS, HEADS, LINES, SERIES, big, pct, query, ratio, rint, rnd, tint
+from tillbook.operators import series as s
+from tillbook.plans import marts, scores as sc
+from tillbook.sources.fixtures import AS_OF
 
 D = "CAST(sale_date AS VARCHAR) AS sale_date"
 
@@ -262,7 +262,7 @@ SERVICE = EVENTS + ", svc AS (SELECT d, store, " + ", ".join(
 
 
 def service(t):
-    from tillmart.functions.numbers import rnd as r
+    from tillbook.functions.numbers import rnd as r
 
     kinds = zip(sc.SERVICE_METRICS, ("view", "click", "purchase", "signup"))
     return t.events.groupBy("d", "store").agg(
@@ -381,7 +381,7 @@ QUOTES = HEADS + f""", quotes AS (SELECT platform AS site, sale_date AS base_dat
 
 
 def quotes(t):
-    from tillmart.functions.numbers import rnd_int
+    from tillbook.functions.numbers import rnd_int
 
     return t.heads.groupBy(F.col("platform").alias("site"), F.col("sale_date").alias("base_date")).agg(
         rnd_int(F.avg("order_amount")).alias("price"), F.max("o_orderkey").alias("collected_at")
@@ -457,7 +457,7 @@ def sales_band_alerts(t):
     target = sc.latest_complete_date(scored.select("sale_date"), "sale_date")
     day = scored.join(target, scored.sale_date == target.target_date).where(F.col("status") != "정상")
     best = sc.max_score_per_group(day, "manager", "score")
-    from tillmart.operators.joins import manager_refresh_join
+    from tillbook.operators.joins import manager_refresh_join
 
     return manager_refresh_join(
         best.select("sale_date", "store", "manager", "score", "status", "pre_status", "total_amount"),

@@ -2,15 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import (
+from tillbook.catalog.base import (
     EVENTS, HEADS, LINES, PRODUCTS, RAW_LINES, REVIEWS, SERIES, STORES, big, query, ratio, rnd, tint,
 )
-from tillmart.catalog.c02_series import QUOTES, quotes
-from tillmart.operators import joins as j
-from tillmart.operators.core import keep_one
-from tillmart.plans import marts
-from tillmart.session import stage
-from tillmart.sources.fixtures import AS_OF
+from tillbook.catalog.c02_series import QUOTES, quotes
+from tillbook.operators import joins as j
+from tillbook.operators.core import keep_one
+from tillbook.plans import marts
+from tillbook.session import stage
+from tillbook.sources.fixtures import AS_OF
 
 D = "CAST(sale_date AS VARCHAR) AS sale_date"
 Y = "strftime"
@@ -190,7 +190,7 @@ EVENT_WINDOW = ACTIONS + f""", ew AS (SELECT a.store, a.action_date, p.total_amo
 
 
 def event_window(t):
-    from tillmart.functions.numbers import rnd as r
+    from tillbook.functions.numbers import rnd as r
 
     series = stage(t.series)
     out = j.event_window_join(actions(series), series, "store", {"total_amount": "sum", "settlement_amount": "mean"})
@@ -209,7 +209,7 @@ def event_window_join(t):
   CASE WHEN settlement_amount_next <= settlement_amount_prev THEN '개선' WHEN settlement_amount_next > settlement_amount_prev THEN '악화' END AS settlement_amount_result
   FROM ew""")
 def action_effect(t):
-    from tillmart.plans.effects import action_effect as effect
+    from tillbook.plans.effects import action_effect as effect
 
     out = effect(event_window(t), {"total_amount": True, "settlement_amount": False})
     return out.select(

@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import (
+from tillbook.catalog.base import (
     EVENTS, HEADS, LINES, PRODUCTS, REVIEWS, SERIES, big, pct, query, ratio, rint, rnd, tint,
 )
-from tillmart.catalog.c02_series import manager_lines, over, roll
-from tillmart.catalog.c03_joins import SLOTS, slotted
-from tillmart.plans import marts as m
-from tillmart.sources.fixtures import AS_OF
+from tillbook.catalog.c02_series import manager_lines, over, roll
+from tillbook.catalog.c03_joins import SLOTS, slotted
+from tillbook.plans import marts as m
+from tillbook.sources.fixtures import AS_OF
 
 D = "CAST(sale_date AS VARCHAR) AS sale_date"
 PLATFORMS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
@@ -28,7 +28,7 @@ def hall_type():
   {rnd('avg(total_price)', 4)} AS total_price_mean, min(sale_date)::VARCHAR AS sale_date_min, max(qty) AS qty_max,
   count(DISTINCT order_id) AS order_id_nunique FROM lines GROUP BY store, platform""")
 def agg_generic(t):
-    from tillmart.functions.numbers import rnd as r
+    from tillbook.functions.numbers import rnd as r
 
     g = m.agg_generic(
         t.lines, ["store", "platform"],
@@ -111,7 +111,7 @@ def bid_change_stats(t):
 @query("mean_excluding_zero", f"""WITH {EVENTS} SELECT store, event_type, COALESCE({rnd('avg(CASE WHEN k - 40 > 0 THEN k - 40 END)', 6)}, 0.0) AS mean_k
   FROM ev GROUP BY store, event_type""")
 def mean_excluding_zero(t):
-    from tillmart.functions.numbers import rnd as r
+    from tillbook.functions.numbers import rnd as r
 
     return t.events.groupBy("store", "event_type").agg(r(m.mean_excluding_zero(F.col("k") - 40), 6).alias("mean_k"))
 
@@ -143,7 +143,7 @@ def hall_weekly_slots(t):
 @query("complete_weeks_only", f"""WITH {HEADS} SELECT CAST(CAST(date_trunc('week', sale_date) AS DATE) AS VARCHAR) AS week_start, store,
   {big('sum(order_amount)')} AS sales FROM heads WHERE sale_date < date_trunc('week', DATE '{AS_OF}') GROUP BY ALL""")
 def complete_weeks_only(t):
-    from tillmart.operators.filters import complete_weeks_only as keep
+    from tillbook.operators.filters import complete_weeks_only as keep
 
     return keep(t.heads, "sale_date", AS_OF).groupBy(
         F.date_trunc("week", "sale_date").cast("date").alias("week_start"), "store"
@@ -289,7 +289,7 @@ def menu_month_category(t):
 @query("group_rank", f"""WITH {LINES}, g AS (SELECT item_id, {big('sum(net_amount)')} AS sales, {big('sum(qty)')} AS qty FROM lines GROUP BY item_id)
   SELECT item_id, sales, qty, rank() OVER (ORDER BY sales DESC) AS sales_rank, rank() OVER (ORDER BY qty DESC) AS qty_rank FROM g""")
 def group_rank(t):
-    from tillmart.operators.core import global_rank
+    from tillbook.operators.core import global_rank
 
     g = t.raw_lines.groupBy(F.col("l_partkey").cast("string").alias("item_id")).agg(
         F.sum("net_amount").alias("sales"), F.sum("qty").alias("qty")

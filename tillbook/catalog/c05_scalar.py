@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import EVENTS, HEADS, LINE_SEQ, RAW_LINES, REVIEWS, big, query, ratio, rint, rnd
-from tillmart.catalog.c02_series import CARD
-from tillmart.functions import clean as c, keys, rules as r
-from tillmart.plans import scores as sc
-from tillmart.sources.fixtures import AS_OF, LINE_ORDER
+from tillbook.catalog.base import EVENTS, HEADS, LINE_SEQ, RAW_LINES, REVIEWS, big, query, ratio, rint, rnd
+from tillbook.catalog.c02_series import CARD
+from tillbook.functions import clean as c, keys, rules as r
+from tillbook.plans import scores as sc
+from tillbook.sources.fixtures import AS_OF, LINE_ORDER
 
 S = lambda x: F.col(x).cast("string")
 KEY = ["order_id"]
@@ -241,7 +241,7 @@ def week_start_label(t):
 
 @query("weekday_flags", f"""WITH {HEADS} SELECT order_id, strftime(sale_date, '%A') AS weekday, CASE WHEN isodow(sale_date) >= 6 THEN '주말' ELSE '평일' END AS kind FROM heads""")
 def weekday_flags(t):
-    from tillmart.plans.marts import weekday_flag
+    from tillbook.plans.marts import weekday_flag
 
     return t.heads.select("order_id", F.date_format("sale_date", "EEEE").alias("weekday"), weekday_flag("sale_date").alias("kind"))
 
@@ -315,7 +315,7 @@ RATE = HEADS + f""", rt AS (SELECT order_id, order_amount, {rnd("order_amount /
 
 
 def graded(t):
-    from tillmart.functions.numbers import rnd as rr
+    from tillbook.functions.numbers import rnd as rr
 
     h = t.heads.select(
         "order_id", "order_amount", rr(F.col("order_amount") / 2500.0, 1).alias("rate"),
@@ -327,7 +327,7 @@ def graded(t):
 @query("grade_buckets", f"""WITH {RATE} SELECT order_id, rate, grade, CASE WHEN order_amount * 100 <= 10000000 THEN '1천 이하' WHEN order_amount * 100 <= 20000000 THEN '1천 초과 ~ 2천 이하'
   WHEN order_amount * 100 <= 30000000 THEN '2천 초과 ~ 3천 이하' WHEN order_amount * 100 <= 50000000 THEN '3천초과 ~ 5천 이하' ELSE '5천 초과' END AS band FROM gr""")
 def grade_buckets(t):
-    from tillmart.plans.daily_summary import revenue_band
+    from tillbook.plans.daily_summary import revenue_band
 
     return graded(t).select("order_id", "rate", "grade", revenue_band(F.col("order_amount") * 100).alias("band"))
 

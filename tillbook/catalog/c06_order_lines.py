@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import LINE_SEQ, LINES, PRODUCTS, big, query, ratio, rint, rnd
-from tillmart.operators import order_lines as o
-from tillmart.operators.core import hot_keys
-from tillmart.sources.fixtures import LINE_ORDER
+from tillbook.catalog.base import LINE_SEQ, LINES, PRODUCTS, big, query, ratio, rint, rnd
+from tillbook.operators import order_lines as o
+from tillbook.operators.core import hot_keys
+from tillbook.sources.fixtures import LINE_ORDER
 
 K = ["order_id"]
 NAME = "CASE l_partkey % 11 WHEN 0 THEN '배달비' WHEN 1 THEN '토핑추가' WHEN 2 THEN '' ELSE 'ITEM ' || CAST(l_partkey % 50 AS VARCHAR) END"

@@ -2,15 +2,15 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import EVENTS, HEADS, LINES, REVIEWS, big, pct, query, ratio, rint, rnd, tint
-from tillmart.catalog.c02_series import QUOTES, quotes, roll
-from tillmart.catalog.c03_joins import RECON
-from tillmart.catalog.c04_marts import CSMART, cs_mart
-from tillmart.catalog.c06_order_lines import NAME, OL, hot_orders, item_name, order_lines
-from tillmart.functions.clean import item_key
-from tillmart.operators import filters as fl
-from tillmart.plans import marts, reconcile as rc
-from tillmart.sources.fixtures import AS_OF
+from tillbook.catalog.base import EVENTS, HEADS, LINES, REVIEWS, big, pct, query, ratio, rint, rnd, tint
+from tillbook.catalog.c02_series import QUOTES, quotes, roll
+from tillbook.catalog.c03_joins import RECON
+from tillbook.catalog.c04_marts import CSMART, cs_mart
+from tillbook.catalog.c06_order_lines import NAME, OL, hot_orders, item_name, order_lines
+from tillbook.functions.clean import item_key
+from tillbook.operators import filters as fl
+from tillbook.plans import marts, reconcile as rc
+from tillbook.sources.fixtures import AS_OF
 
 D = "CAST(sale_date AS VARCHAR) AS sale_date"
 
@@ -70,8 +70,8 @@ def missing_settlement_check(t):
     QUALIFY row_number() OVER (PARTITION BY d, store ORDER BY doc_id) = 1), p AS (SELECT *, {pct('now', 'before', 4)} AS pct_change_30d FROM g)
   SELECT CAST(d AS VARCHAR) AS d, store, manager, pct_change_30d FROM p WHERE d = DATE '2024-01-20' AND pct_change_30d < 0""")
 def voc_drop_alert(t):
-    from tillmart.functions.numbers import pct as pc
-    from tillmart.operators.core import keep_one
+    from tillbook.functions.numbers import pct as pc
+    from tillbook.operators.core import keep_one
 
     one = keep_one(t.reviews, ["d", "store"], ["doc_id"]).select(
         "d", "store", "manager", pc(F.col("n_chars") % 40, F.col("n_chars") % 30, 4).alias("pct_change_30d")

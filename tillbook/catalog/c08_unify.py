@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import EVENTS, HEADS, LINE_SEQ, LINES, PRODUCTS, STORES, big, query, ratio, rint, rnd
-from tillmart.catalog.c06_order_lines import NAME, adjust_sql, item_name, remainder_sql, segments_sql
-from tillmart.functions.clean import item_key
-from tillmart.plans import master as ms, unify as u
-from tillmart.sources.fixtures import AS_OF, LINE_ORDER
+from tillbook.catalog.base import EVENTS, HEADS, LINE_SEQ, LINES, PRODUCTS, STORES, big, query, ratio, rint, rnd
+from tillbook.catalog.c06_order_lines import NAME, adjust_sql, item_name, remainder_sql, segments_sql
+from tillbook.functions.clean import item_key
+from tillbook.plans import master as ms, unify as u
+from tillbook.sources.fixtures import AS_OF, LINE_ORDER
 
 T = lambda x: F.col(x).cast("string")
 
@@ -97,7 +97,7 @@ R2 = LINES + f""", f0 AS (SELECT l.*, {FNAME} AS nm, (o_orderkey % 3) * 1000 AS
 
 
 def feed(t):
-    from tillmart.catalog.c07_reconcile import blacklist
+    from tillbook.catalog.c07_reconcile import blacklist
 
     k = F.col("o_orderkey")
     orders = t.heads.select(

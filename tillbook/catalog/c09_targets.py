@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import HEADS, big, query, ratio, rint, rnd
-from tillmart.catalog.c04_marts import ACT, WEEKLY_SLOTS, actuals, weekly_slots
-from tillmart.plans import targets as tg
+from tillbook.catalog.base import HEADS, big, query, ratio, rint, rnd
+from tillbook.catalog.c04_marts import ACT, WEEKLY_SLOTS, actuals, weekly_slots
+from tillbook.plans import targets as tg
 
 # Targets of a (month, store, brand): fixed day amounts per region; one region has none.
 TARGET = ACT + """, tgt AS (SELECT DISTINCT l.ym, l.store, l.brand, CASE WHEN l.region = 'AFRICA' THEN NULL ELSE 40000 END AS weekday_target, 60000 AS weekend_target, 30000 AS target_price FROM lines l WHERE l.region <> 'ASIA')"""

@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import EVENTS, HEADS, LINE_SEQ, LINES, PRODUCTS, RAW_LINES, REVIEWS, big, query, ratio, rint, rnd
-from tillmart.operators import matching as mt, sets, statistics as st
-from tillmart.plans.master import explicit_order
-from tillmart.sources.fixtures import LINE_ORDER
+from tillbook.catalog.base import EVENTS, HEADS, LINE_SEQ, LINES, PRODUCTS, RAW_LINES, REVIEWS, big, query, ratio, rint, rnd
+from tillbook.operators import matching as mt, sets, statistics as st
+from tillbook.plans.master import explicit_order
+from tillbook.sources.fixtures import LINE_ORDER
 
 RULES = [("METAL", ["bolt", "gear"]), ("DECOR", ["ring", "widget"])]
 

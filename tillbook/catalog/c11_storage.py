@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tillmart.catalog.base import EVENTS, HEADS, RAW_LINES, big, query
-from tillmart.session import fresh_path
-from tillmart.sources import readers as rd, writers as wr
-from tillmart.streaming.ingest import ingest_files
+from tillbook.catalog.base import EVENTS, HEADS, RAW_LINES, big, query
+from tillbook.session import fresh_path
+from tillbook.sources import readers as rd, writers as wr
+from tillbook.streaming.ingest import ingest_files
 
 COLS = ["order_id", "sale_date", "ym", "store", "platform", "source", "order_amount"]
 H = HEADS + ", h AS (SELECT order_id, CAST(sale_date AS VARCHAR) AS sale_date, ym, store, platform, source, order_amount FROM heads)"
@@ -238,7 +238,7 @@ def prune_pre_open(t):
 
 @query("incremental_file_ingest", f"WITH {H} SELECT {C.replace('order_amount', "order_amount + CASE WHEN source = 'O' THEN 3 ELSE 0 END AS order_amount")}, substr(md5(concat_ws('|', order_id, store, order_amount + CASE WHEN source = 'O' THEN 3 ELSE 0 END)), 1, 12) AS row_hash FROM h")
 def incremental_file_ingest(t):
-    from tillmart.functions.keys import row_hash
+    from tillbook.functions.keys import row_hash
 
     df, root = slim(t), fresh_path(t.spark, "inbox")
     prepare = lambda s: s.withColumn("row_hash", row_hash(["order_id", "store", "order_amount"]))

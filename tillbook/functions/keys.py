@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions.clean import text
-from tillmart.operators.core import AUTO, running
+from tillbook.functions.clean import text
+from tillbook.operators.core import AUTO, running
 
 
 def surrogate_key(columns: Sequence[str], length: int = 16) -> Column:

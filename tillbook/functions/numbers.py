@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillmart.operators.core import col
+from tillbook.operators.core import col
 
 
 def rnd(c, digits: int = 0) -> Column:

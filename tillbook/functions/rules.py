@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions.clean import text
-from tillmart.functions.numbers import ratio
-from tillmart.operators.core import AUTO, attach, col
+from tillbook.functions.clean import text
+from tillbook.functions.numbers import ratio
+from tillbook.operators.core import AUTO, attach, col
 
 # The order types of the unified fact, hall words and the cancel mark.
 HALL_TABLE, HALL_PACK, DELIVERY_PACK, DELIVERY = "홀_테이블", "홀_포장", "배달_포장", "배달"

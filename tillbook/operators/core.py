@@ -24,7 +24,7 @@ from functools import reduce, wraps
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.session import reliable_checkpoint
+from tillbook.session import reliable_checkpoint
 
 HOT_GROUP_ROWS = 2_000_000
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.functions.numbers import ratio, rnd
-from tillmart.operators.core import col
+from tillbook.functions.numbers import ratio, rnd
+from tillbook.operators.core import col
 
 
 def store_scoped_blacklist(lines: DataFrame, blacklist: DataFrame, key: Column, removed: bool = False) -> DataFrame:

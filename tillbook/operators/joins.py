@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.operators.core import col, keep_one, null_safe, unique_by
+from tillbook.operators.core import col, keep_one, null_safe, unique_by
 
 UNASSIGNED = "미배정"
 
@@ -77,7 +77,7 @@ def full_outer_reconcile(
     left: DataFrame, right: DataFrame, keys: Sequence[str], reported: str, unified: str, limit: float = 2.0
 ) -> DataFrame:
     """Difference and error rate of two totals per key; a side without the key counts as 0."""
-    from tillmart.functions.numbers import ratio, rnd
+    from tillbook.functions.numbers import ratio, rnd
 
     zero = F.lit(0).cast("bigint")
     j = left.join(right, list(keys), "full").select(

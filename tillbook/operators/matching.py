@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.functions.clean import text
-from tillmart.operators.core import col, keep_one, top_k
+from tillbook.functions.clean import text
+from tillbook.operators.core import col, keep_one, top_k
 
 
 def keyword_label(

@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.functions.clean import blank_to_null, text
-from tillmart.functions.keys import unified_pk
-from tillmart.functions.numbers import rnd_int
-from tillmart.operators.core import AUTO, attach, by_heat, col, keep_one, running
+from tillbook.functions.clean import blank_to_null, text
+from tillbook.functions.keys import unified_pk
+from tillbook.functions.numbers import rnd_int
+from tillbook.operators.core import AUTO, attach, by_heat, col, keep_one, running
 
 SEQ = "item_seq"
 

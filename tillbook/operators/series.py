@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
-from tillmart.operators.core import col, keep_one, top_k
+from tillbook.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
+from tillbook.operators.core import col, keep_one, top_k
 
 EPOCH = "1970-01-05"  # a Monday
 

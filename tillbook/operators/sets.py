@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.operators.core import col, top_k
+from tillbook.operators.core import col, top_k
 
 
 def stable_sort(df: DataFrame, keys: Sequence) -> DataFrame:

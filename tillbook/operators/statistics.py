@@ -10,8 +10,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions.numbers import ratio, rnd
-from tillmart.operators.core import running_total
+from tillbook.functions.numbers import ratio, rnd
+from tillbook.operators.core import running_total
 
 
 def correlation_test(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:

@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.functions.numbers import ratio, rnd, rnd_int, trunc_int
-from tillmart.operators.series import month_number
-from tillmart.session import stage
+from tillbook.functions.numbers import ratio, rnd, rnd_int, trunc_int
+from tillbook.operators.series import month_number
+from tillbook.session import stage
 
 CHANNEL = ["store", "brand", "order_type", "platform"]
 ATTRS = ["region", "manager", "open_date"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions.numbers import ratio, rnd
+from tillbook.functions.numbers import ratio, rnd
 
 # Result labels.
 IMPROVED, WORSE = "개선", "악화"

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
-from tillmart.operators import series as s
-from tillmart.operators.core import col, keep_one, top_k
-from tillmart.session import stage
+from tillbook.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
+from tillbook.operators import series as s
+from tillbook.operators.core import col, keep_one, top_k
+from tillbook.session import stage
 
 AGG_FUNCTIONS = {
     "sum": F.sum, "mean": F.avg, "min": F.min, "max": F.max, "count": F.count, "nunique": F.countDistinct,

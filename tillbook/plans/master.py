@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions.clean import blank_to_null
-from tillmart.operators.core import keep_one
-from tillmart.operators.joins import snapshot_change_detect
-from tillmart.operators.order_lines import is_latest_flag
+from tillbook.functions.clean import blank_to_null
+from tillbook.operators.core import keep_one
+from tillbook.operators.joins import snapshot_change_detect
+from tillbook.operators.order_lines import is_latest_flag
 
 KEYS = ("source", "code")
 

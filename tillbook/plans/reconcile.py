@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.functions.clean import holiday_dates, regular_holiday_weekdays, suspension_minutes, text
-from tillmart.functions.numbers import ratio, rnd
-from tillmart.operators.core import col, keep_one
-from tillmart.operators.joins import full_outer_reconcile
+from tillbook.functions.clean import holiday_dates, regular_holiday_weekdays, suspension_minutes, text
+from tillbook.functions.numbers import ratio, rnd
+from tillbook.operators.core import col, keep_one
+from tillbook.operators.joins import full_outer_reconcile
 
 ZERO = F.lit
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
-from tillmart.operators import series as s
-from tillmart.operators.core import col
+from tillbook.functions.numbers import pct, ratio, rnd, rnd_int, trunc_int
+from tillbook.operators import series as s
+from tillbook.operators.core import col
 
 # Status labels from best to worst, and the score each one starts at.
 NORMAL, WATCH, CAUTION, DANGER = "정상", "관심", "주의", "위험"

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmart.functions.numbers import ratio, rnd, rnd_int
-from tillmart.functions.rules import achievement_grade, sales_diagnosis
-from tillmart.plans.marts import WEEKDAY
+from tillbook.functions.numbers import ratio, rnd, rnd_int
+from tillbook.functions.rules import achievement_grade, sales_diagnosis
+from tillbook.plans.marts import WEEKDAY
 
 NO_TARGET = "목표없음"
 

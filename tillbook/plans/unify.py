@@ -12,15 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.functions import clean as c
-from tillmart.functions.keys import sub_order_id, unified_pk
-from tillmart.functions.numbers import ratio, rnd_int
-from tillmart.functions.rules import DELIVERY, DELIVERY_PACK, HALL, HALL_PACK, HALL_TABLE, PACK, mapped, order_type_classify, platform_revenue, reclassify_by_order, signed_amount
-from tillmart.operators import order_lines as o
-from tillmart.operators.core import AUTO, attach, by_heat, keep_one, resolve_hot
-from tillmart.operators.filters import exclude_overlapping_stores, store_scoped_blacklist
-from tillmart.operators.joins import code_to_name_map, dim_enrich, last_two_tokens
-from tillmart.session import stage
+from tillbook.functions import clean as c
+from tillbook.functions.keys import sub_order_id, unified_pk
+from tillbook.functions.numbers import ratio, rnd_int
+from tillbook.functions.rules import DELIVERY, DELIVERY_PACK, HALL, HALL_PACK, HALL_TABLE, PACK, mapped, order_type_classify, platform_revenue, reclassify_by_order, signed_amount
+from tillbook.operators import order_lines as o
+from tillbook.operators.core import AUTO, attach, by_heat, keep_one, resolve_hot
+from tillbook.operators.filters import exclude_overlapping_stores, store_scoped_blacklist
+from tillbook.operators.joins import code_to_name_map, dim_enrich, last_two_tokens
+from tillbook.session import stage
 
 CANCELLED, NORMAL = "취소", "정상"
 UNIFIED = [

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = 8, app: str = "tillmart") -> SparkSession:
+def local_session(cores: int | str = 8, app: str = "tillbook") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,7 +36,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tillmart-")
+    made = tempfile.mkdtemp(prefix="tillbook-")
     spark.conf.set(CHECKPOINT_CONF, made)
     return made
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.operators.core import keep_one
+from tillbook.operators.core import keep_one
 
 
 def scan_parquet_union(

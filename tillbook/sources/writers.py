@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.functions.clean import text
-from tillmart.operators.core import keep_one
-from tillmart.session import fresh_path, stage
+from tillbook.functions.clean import text
+from tillbook.operators.core import keep_one
+from tillbook.session import fresh_path, stage
 
 
 def write_table(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite") -> None:

@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tillmart.operators.core import keep_one
-from tillmart.session import fresh_path
-from tillmart.sources.writers import upsert
+from tillbook.operators.core import keep_one
+from tillbook.session import fresh_path
+from tillbook.sources.writers import upsert
 
 
 def ingest_files(
