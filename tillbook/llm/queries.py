@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm import decontaminate, mixing, quality, sharding, simhash
+from tillbook.llm import decontaminate, extract, hmm, mixing, quality, secrets, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +31,32 @@ ITEM_WORDS = r"""regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 
+DOMAINS = ", ".join(f"('{d}')" for d in urls.BLOCKED_DOMAINS)
+
+
+@query(
+    "op1_url_filters",
+    rf"""
+WITH r(kind, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+b(domain) AS (VALUES {DOMAINS}),
+x AS (SELECT row_number() OVER () AS n, page_id, CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '(?s)\A([^?#]*)', 1) ELSE '' END AS rest FROM pages),
+p AS (SELECT n, page_id, translate(regexp_extract(rest, '\A([^/]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '(?s)\A[^/]*(.*)\z', 1) AS path FROM x),
+f AS (SELECT n, rh || rp AS rule, kind, row_number() OVER (PARTITION BY n ORDER BY length(rh || rp) DESC) AS k
+  FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT page_id, host, path, rule, coalesce(kind, CASE WHEN EXISTS (SELECT 1 FROM b WHERE host = domain OR ends_with(host, '.' || domain)) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN f ON p.n = f.n AND f.k = 1""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domains = spark.createDataFrame([(d,) for d in urls.BLOCKED_DOMAINS], "domain string")
+    return urls.filter_urls(table(spark, sf_dir, "pages"), domains)
+
+
+@query("op2_secret_scans")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("n_markov")
+
+
 @query(
     "op3_benchmark_decontamination",
     rf"""
@@ -55,6 +81,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op6_html_extraction")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
@@ -94,10 +125,18 @@ c AS (SELECT m.k, CASE WHEN least(mark - g.below, g.below + g.held - mark) > sla
       WHEN mark - g.below <= g.below + g.held - mark THEN g.h ELSE g.h + 1 END AS ch,
     CASE WHEN least(mark - g.below, g.below + g.held - mark) > slack THEN CASE WHEN mark - o.below <= o.below + o.held - mark THEN o.t ELSE o.t + 1 END ELSE 0 END AS ct
   FROM m JOIN g ON g.below <= mark AND mark < g.below + g.held JOIN o ON o.below <= mark AND mark < o.below + o.held),
-p AS (SELECT d.r, d.doc_id, d.size, d.h, d.t, d.body, count(c.k) AS shard FROM d LEFT JOIN c ON d.h > c.ch OR (d.h = c.ch AND d.t >= c.ct) GROUP BY ALL)
-SELECT doc_id, size, CAST(shard AS BIGINT) AS shard, row_number() OVER (PARTITION BY shard ORDER BY h, t) - 1 AS slot, 'bytes' AS law,
-  CAST(NULL AS BIGINT) AS grown_shard, h AS text_crc32 FROM p""",
+p AS (SELECT d.r, d.doc_id, d.size, d.h, d.t, d.body, count(c.k) AS shard FROM d LEFT JOIN c ON d.h > c.ch OR (d.h = c.ch AND d.t >= c.ct) GROUP BY ALL),
+tab AS (SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) x(i))),
+y AS (SELECT p.*, tab, hex(encode(body)) AS x FROM p, tab),
+z AS (SELECT *, [CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(len(x) // 2)] AS bytes FROM y)
+SELECT doc_id, size, CAST(shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY shard ORDER BY h, t) - 1 AS slot, 'bytes' AS law, CAST(NULL AS INTEGER) AS grown_shard,
+  xor(list_reduce(list_prepend(4294967295, bytes), lambda c, v: xor(c >> 8, tab[(xor(c, v) & 255) + 1])), 4294967295) AS text_crc32 FROM z""",
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assignment(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_lm_scoring")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
