@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm import decontaminate, extract, hmm, mixing, quality, secrets, sharding, simhash, urls
+from tillbook.llm import decontaminate, extract, hmm, mixing, quality, repeats, secrets, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -81,6 +81,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op6_html_extraction")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.main_text(table(spark, sf_dir, "pages"))
