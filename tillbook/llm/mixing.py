@@ -36,14 +36,15 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, total: float = TOTAL, most
     number = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (number % len(weights) + 1).cast("int"))
     out = sizes.withColumn("weight", weight).withColumn("cap", most * F.col("source_size"))
-    # Sources in the order in which a rising level caps them; those behind share what the capped ones leave.
+    # Sources in the order in which a rising level caps them; those from here on share what the capped ones leave. Past the
+    # first that fits the levels fall, so the largest of those that fit is the one that holds.
     order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").isNull(), "source")
     whole = Window.partitionBy()
     capped = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     behind = F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing))
     level = (total * F.sum("source_size").over(whole) - capped) / behind
     out = out.withColumn("level", level).withColumn("fits", F.col("level") * F.col("weight") <= F.col("cap"))
-    out = out.withColumn("final", F.min(F.when(F.col("fits"), F.col("level"))).over(whole))
+    out = out.withColumn("final", F.max(F.when(F.col("fits"), F.col("level"))).over(whole))
     target = F.least("cap", F.coalesce(F.col("final") * F.col("weight"), "cap"))
     offset = unit(F.concat(F.lit(SEED), F.when(F.col("source").isNull(), ":null").otherwise(F.concat(F.lit("="), "source"))))
     return out.select("source", "source_size", target.alias("target"), offset.alias("offset"))

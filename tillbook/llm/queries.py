@@ -106,7 +106,7 @@ w AS (SELECT *, [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source IS NULL,
 l AS (SELECT *, (CAST(1.5 AS DOUBLE) * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source IS NULL, encode(source)
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
   / sum(weight) OVER (ORDER BY cap / weight, source IS NULL, encode(source) ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
-t AS (SELECT *, least(cap, coalesce(min(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap)) AS target,
+t AS (SELECT *, least(cap, coalesce(max(CASE WHEN level * weight <= cap THEN level END) OVER () * weight, cap)) AS target,
   CAST(CAST('0x' || substr(md5('mix-1' || coalesce('=' || source, ':null')), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0 AS off FROM l),
 k AS (SELECT d.*, t.source_size, t.target, t.off, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS each,
   row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.spread, d.doc_id) AS rank FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
