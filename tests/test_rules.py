@@ -133,7 +133,7 @@ def test_upsert_is_idempotent_and_keeps_other_partitions(spark):
     wr.write_table(old, path, ["p"])
     new = spark.createDataFrame([(1, "a", 11), (3, "a", 30)], "id int, p string, v int")
     for _ in range(2):
-        wr.upsert(spark, path, new, ["id"], ["p"])
+        wr.upsert(spark, path, new, ["id"], ["p"], ["id"])
         got = sorted((x.id, x.p, x.v) for x in wr.read_table(spark, path, old).collect())
         assert got == [(1, "a", 11), (2, "b", 20), (3, "a", 30)]
     assert wr.same_keys(new, new, "id") and not wr.same_keys(old, new, "id")

@@ -433,8 +433,7 @@ def latest_complete_date(t):
 def consecutive_risk_alert(t):
     # One series feeds both scores, so they are columns of one plan, not a join.
     scored = sc.fee_ratio_score(sc.store_risk_score(t.series))
-    hit = sc.consecutive_risk([("status", "pre_status"), ("fee_status", "pre_fee_status")])
-    return scored.where(hit).select("sale_date", "store", "status", "pre_status", "fee_status", "pre_fee_status")
+    return scored.where(sc.consecutive_risk(scored.columns)).select("sale_date", "store", "status", "pre_status", "fee_status", "pre_fee_status")
 
 
 @query("max_score_per_group", f"""WITH {SCORED} SELECT {D}, store, manager, score FROM scored
@@ -445,21 +444,23 @@ def max_score_per_group(t):
     )
 
 
-@query("sales_band_alerts", f"""WITH {SCORED}, dt AS (SELECT sale_date, count(*) AS n FROM scored GROUP BY sale_date),
+@query("sales_band_alerts", f"""WITH {SCORED}, fee AS (WITH {FEE} SELECT sale_date, store, fee_status,
+    {lagged_status('fee_t', 'fee_status', 'store', 'sale_date', 'pre_fee_status')} FROM fee_t),
+  dt AS (SELECT sale_date, count(*) AS n FROM scored GROUP BY sale_date),
   lim AS (SELECT greatest(quantile_cont(n, 0.5) * 0.5, 10) AS need, max(sale_date) AS latest FROM dt),
   tgt AS (SELECT COALESCE((SELECT max(sale_date) FROM dt WHERE n >= (SELECT need FROM lim)), (SELECT latest FROM lim)) AS td),
-  day AS (SELECT s.* FROM scored s JOIN tgt ON s.sale_date = tgt.td WHERE s.status <> '정상'),
-  best AS (SELECT * FROM day QUALIFY score = max(score) OVER (PARTITION BY manager))
+  day AS (SELECT s.*, f.fee_status, f.pre_fee_status FROM scored s JOIN fee f USING (sale_date, store), tgt WHERE s.sale_date >= tgt.td - 400
+    AND ((s.status = '위험' AND s.pre_status = '위험') OR (f.fee_status = '위험' AND f.pre_fee_status = '위험'))),
+  best AS (SELECT * FROM day QUALIFY score = max(score) OVER (PARTITION BY manager, sale_date))
   SELECT CAST(b.sale_date AS VARCHAR) AS sale_date, b.store, COALESCE(st.manager, b.manager, '미배정') AS manager, b.score, b.status,
-    b.pre_status, b.total_amount FROM best b LEFT JOIN stores st ON st.store = b.store""")
+    b.pre_status, b.fee_status, b.total_amount FROM best b LEFT JOIN stores st ON st.store = b.store""")
 def sales_band_alerts(t):
-    scored = sc.store_risk_score(t.series)
-    target = sc.latest_complete_date(scored.select("sale_date"), "sale_date")
-    day = scored.join(target, scored.sale_date == target.target_date).where(F.col("status") != "정상")
-    best = sc.max_score_per_group(day, "manager", "score")
+    # The alerts of the last 400 days; a job that alerts for the report day takes days=0.
+    scored = sc.fee_ratio_score(sc.store_risk_score(t.series))
+    alerts = sc.risk_alerts(scored, "sale_date", "manager", "score", days=400)
     from tillbook.operators.joins import manager_refresh_join
 
     return manager_refresh_join(
-        best.select("sale_date", "store", "manager", "score", "status", "pre_status", "total_amount"),
+        alerts.select("sale_date", "store", "manager", "score", "status", "pre_status", "fee_status", "total_amount"),
         t.stores.select("store", "manager"), "store", "manager",
     )

@@ -21,7 +21,7 @@ Y = "strftime"
   FROM heads h LEFT JOIN raw_lines l ON l.l_orderkey = h.o_orderkey""")
 def order_item_join(t):
     h, l = t.heads, t.raw_lines
-    return j.order_item_join(h, l, h.o_orderkey == l.l_orderkey).select(
+    return j.order_item_join(h, l, {"o_orderkey": "l_orderkey"}).select(
         "order_id", "sale_date", "store", "order_amount", "l_linenumber", "l_partkey", "qty", "net_amount",
         F.col("l_orderkey").isNull().cast("int").alias("no_items"),
     )

@@ -208,16 +208,21 @@ def brand_coverage(t):
     return rc.brand_coverage(rows.select("store", "brand").unionByName(extra), rows, day)
 
 
-@query("count_amount_check", f"""WITH {LINES}, g AS (SELECT ym, store, count(DISTINCT order_id) AS actual_count, sum(net_amount) AS a, sum(list_amount) AS b, sum(settle_amount) AS c FROM lines GROUP BY ALL),
-  e AS (SELECT ym, store, CASE WHEN store = 'NATION_4' THEN count(*) + 1 ELSE count(DISTINCT order_id) END AS expected_count, {big("CASE WHEN ym < '1998' THEN sum(list_amount) WHEN ym < '2000' THEN sum(settle_amount) ELSE 7 END")} AS expected_amount
-    FROM lines WHERE region <> 'ASIA' GROUP BY ym, store)
+@query("count_amount_check", f"""WITH {LINES}, g AS (SELECT ym, store, count(DISTINCT order_id) FILTER (platform <> 'BUILDING') AS actual_count, sum(net_amount) AS a, sum(list_amount) AS b, sum(settle_amount) AS c FROM lines GROUP BY ALL),
+  e AS (SELECT ym, store, CASE WHEN store = 'NATION_4' THEN count(*) + 1 ELSE count(DISTINCT order_id) FILTER (platform <> 'BUILDING') END AS expected_count, {big("CASE WHEN ym < '1998' THEN sum(list_amount) WHEN ym < '2000' THEN sum(settle_amount) ELSE 7 END")} AS expected_amount
+    FROM lines WHERE region <> 'ASIA' GROUP BY ym, store UNION ALL SELECT '2030-01', store, 0, CASE WHEN region = 'ASIA' THEN 0 ELSE 5 END FROM stores),
+  j AS (SELECT ym, store, coalesce(actual_count, 0) AS actual_count, expected_count, expected_amount, coalesce(a, 0) AS a, coalesce(b, 0) AS b, coalesce(c, 0) AS c FROM g FULL JOIN e USING (ym, store))
   SELECT ym, store, actual_count, expected_count, expected_amount, CASE WHEN a = expected_amount THEN 'net_amount' WHEN b = expected_amount THEN 'list_amount' WHEN c = expected_amount THEN 'settle_amount' ELSE 'net_amount' END AS amount_source,
-    CASE WHEN expected_count IS NULL THEN NULL WHEN actual_count = expected_count AND expected_amount IN (a, b, c) THEN 1 ELSE 0 END AS matched FROM g LEFT JOIN e USING (ym, store)""")
+    CASE WHEN expected_count IS NULL THEN NULL WHEN actual_count = expected_count AND expected_amount IN (a, b, c) THEN 1 ELSE 0 END AS matched FROM j""")
 def count_amount_check(t):
+    # The lines of one platform carry a blank order id; every store has a summary for a month without rows.
     amt = F.when(F.col("ym") < "1998", F.sum("list_amount")).when(F.col("ym") < "2000", F.sum("settle_amount")).otherwise(7)
-    cnt = F.when(F.col("store") == "NATION_4", F.count(F.lit(1)) + 1).otherwise(F.countDistinct("order_id"))
-    expected = t.lines.where(F.col("region") != "ASIA").groupBy("ym", "store").agg(cnt.alias("expected_count"), amt.alias("expected_amount"))
-    return rc.count_amount_check(t.lines, expected, ["ym", "store"], "order_id", ["net_amount", "list_amount", "settle_amount"])
+    lines = t.lines.withColumn("order_id", F.when(F.col("platform") == "BUILDING", " ").otherwise(F.col("order_id")))
+    orders = F.countDistinct(F.when(F.col("order_id") != " ", F.col("order_id")))
+    cnt = F.when(F.col("store") == "NATION_4", F.count(F.lit(1)) + 1).otherwise(orders)
+    expected = lines.where(F.col("region") != "ASIA").groupBy("ym", "store").agg(cnt.alias("expected_count"), amt.alias("expected_amount"))
+    still = t.stores.select(F.lit("2030-01").alias("ym"), "store", F.lit(0).cast("bigint").alias("expected_count"), F.when(F.col("region") == "ASIA", 0).otherwise(5).cast("bigint").alias("expected_amount"))
+    return rc.count_amount_check(lines, expected.unionByName(still), ["ym", "store"], "order_id", ["net_amount", "list_amount", "settle_amount"])
 
 
 @query("snapshot_shrink_check", f"""WITH {HEADS}, a AS (SELECT sale_date, count(*) AS new_count FROM heads WHERE source <> 'P' OR ym < '1999' GROUP BY ALL), b AS (SELECT sale_date, count(*) AS prev_count FROM heads GROUP BY ALL)

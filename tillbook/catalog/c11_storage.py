@@ -46,15 +46,19 @@ def scan_parquet_union(t):
     return out.withColumn("part", F.regexp_extract("file", r"/(old|new)/[^/]+$", 1)).drop("file")
 
 
-@query("scan_csv_union", f"WITH {H} SELECT order_id, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS kind, CASE source WHEN 'F' THEN 'utf' WHEN 'O' THEN 'kr' ELSE 'utf2' END AS part FROM h")
+@query("scan_csv_union", f"WITH {H} SELECT order_id, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS kind, CAST(NULL AS VARCHAR) AS memo, CASE source WHEN 'F' THEN 'utf' WHEN 'O' THEN 'kr' ELSE 'utf2' END AS part FROM h")
 def scan_csv_union(t):
+    # Files in two encodings, with the columns in either order; one folder holds a file with an odd row, which is left out.
     root = fresh_path(t.spark, "csv")
     t.spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # the export to write is EUC-KR
     df = slim(t).select("order_id", F.when(F.col("source") == "P", "취소").otherwise("정상").alias("kind"), "source")
     for src, name, enc in (("F", "utf", "UTF-8"), ("O", "kr", "EUC-KR"), ("P", "utf2", "UTF-8")):
-        df.where(F.col("source") == src).drop("source").write.option("header", True).option("encoding", enc).csv(f"{root}/{name}")
-    out = rd.scan_csv_union(t.spark, [f"{root}/{n}" for n in ("utf", "kr", "utf2")], ["order_id", "kind"], source_col="file")
-    return out.withColumn("part", F.regexp_extract("file", r"/(utf|kr|utf2)/[^/]+$", 1)).drop("file")
+        rows = df.where(F.col("source") == src).select(*(("kind", "order_id") if src == "O" else ("order_id", "kind")))
+        rows.write.option("header", True).option("encoding", enc).csv(f"{root}/{name}")
+    odd = t.spark.createDataFrame([("order_id,kind",), ("1,a",), ("2,b,c",)], "value string")
+    odd.coalesce(1).write.option("compression", "none").text(f"{root}/odd")
+    out = rd.scan_csv_union(t.spark, [f"{root}/{n}" for n in ("utf", "kr", "utf2", "odd")], ["order_id", "kind", "memo"], source_col="file")
+    return out.withColumn("part", F.regexp_extract("file", r"/(utf|kr|utf2|odd)/[^/]+$", 1)).drop("file")
 
 
 @query("scan_partitioned", f"WITH {H} SELECT order_id, order_amount, platform, ym FROM h WHERE platform = 'BUILDING' AND ym IN ('1998-01', '1999-05')")
@@ -93,7 +97,7 @@ def flow_inbox_merge(t):
     found = files.groupBy("folder").agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("orders"))
     manifest = found.withColumn("rows", F.when(F.col("folder") == "f3", F.col("rows") + 1).otherwise(F.col("rows")))
     ready = rd.ready_folders(found, manifest)
-    wr.upsert(t.spark, table, files.join(ready, "folder", "left_semi").select(*COLS), ["order_id"], ["ym"])
+    wr.upsert(t.spark, table, files.join(ready, "folder", "left_semi").select(*COLS), ["order_id"], ["ym"], ["order_amount"])
     return back(t, table, df)
 
 
@@ -114,11 +118,16 @@ def append_unique_counts(t):
     return wr.append_unique(t.spark, stored(t, of(df, "F", "O")), of(df, "O", "P"), ["order_id"])
 
 
-@query("upsert_keep_last", f"WITH {H} SELECT {C.replace('order_amount', "CASE WHEN source <> 'F' THEN order_amount + 1 ELSE order_amount END AS order_amount")} FROM h")
+NO_MONTH = "CASE WHEN platform = 'BUILDING' THEN NULL ELSE ym END AS ym"
+
+
+@query("upsert_keep_last", f"WITH {H} SELECT {C.replace('ym', NO_MONTH).replace('order_amount', "CASE WHEN source <> 'F' THEN order_amount + 1 ELSE order_amount END AS order_amount")} FROM h")
 def upsert_keep_last(t):
-    df = slim(t)
+    # Orders of one platform have no month: their partition is the null one.
+    df = slim(t).withColumn("ym", F.when(F.col("platform") != "BUILDING", F.col("ym")))
     path = stored(t, of(df, "F", "O"), ["ym"])
-    wr.upsert(t.spark, path, bumped(of(df, "O", "P")), ["order_id"], ["ym"])
+    new = bumped(of(df, "O", "P"))
+    wr.upsert(t.spark, path, new.unionByName(bumped(of(df, "O"), -1)), ["order_id"], ["ym"], [F.col("order_amount").desc()])
     return back(t, path, df)
 
 
@@ -153,7 +162,7 @@ def source_aware_replace(t):
     if not wr.same_keys(of(old, "P").where(F.col("store").isin(stores)), new, "order_id"):
         # Days on which the source has nothing any more must change too, so the whole slice's partitions are rewritten.
         months = old.where((F.col("source") == "P") & F.col("store").isin(stores)).select("ym").unionByName(new.select("ym"))
-        wr.replace_partitions(wr.source_aware_replace(wr.touched(old, months, ["ym"]), new, "P", "order_id", stores), path, ["ym"])
+        wr.replace_partitions(wr.source_aware_replace(wr.touched(old, months, ["ym"]), new, "P", "order_id", ["order_amount"], stores), path, ["ym"])
     return back(t, path, df)
 
 
@@ -253,11 +262,38 @@ def incremental_file_ingest(t):
     return back(t, target, prepare(df))
 
 
-@query("stream_dedup_ingest", f"WITH {EVENTS} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, store, event_type, amount, CAST(d AS VARCHAR) AS d FROM ev")
+@query("stream_dedup_ingest", f"WITH {EVENTS} SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, store, event_type, CASE WHEN event_type = 'error' THEN amount + 9 ELSE amount END AS amount, CAST(d AS VARCHAR) AS d FROM ev")
 def stream_dedup_ingest(t):
+    # The second hour sends equal rows again, corrects the errors, and brings the purchases weeks late.
     ev, root = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "store", "event_type", "amount", "d"), fresh_path(t.spark, "inbox")
-    wr.write_table(ev, f"{root}/a")
-    wr.write_table(ev.where(F.col("event_type") != "view"), f"{root}/b")
-    target = stored(t, ev.limit(0), ["d"])
-    ingest_files(t.spark, root, ev.schema, target, ["event_id"], ["d"], lambda s: s, ["ts"], event_time="ts", delay="40 days")
+    target, checkpoint = stored(t, ev.limit(0), ["d"]), fresh_path(t.spark, "stream")
+    run = lambda: ingest_files(t.spark, root, ev.schema, target, ["event_id"], ["d"], lambda s: s, ["ts"], checkpoint)
+    wr.write_table(ev.where(F.col("event_type") != "purchase"), f"{root}/a")
+    run()
+    fixed = ev.where(F.col("event_type") == "error").withColumn("amount", F.col("amount") + 9)
+    wr.write_table(ev.where(F.col("event_type") != "error").unionByName(fixed), f"{root}/b")
+    run()
     return back(t, target, ev)
+
+
+@query("line_grain_ingest", f"""WITH {HEADS}, {RAW_LINES}, x AS (SELECT order_id, CAST(l_linenumber AS BIGINT) AS l_linenumber, source, strftime(sale_date, '%Y-%m') AS ym,
+    source = 'O' AND bool_or(l_linenumber <> 2) OVER (PARTITION BY order_id) AS again FROM heads JOIN raw_lines ON l_orderkey = o_orderkey WHERE platform <> 'BUILDING')
+  SELECT DISTINCT order_id, l_linenumber, source, ym, CASE WHEN again THEN 2 ELSE 1 END AS version FROM x WHERE NOT again OR l_linenumber <> 2""")
+def line_grain_ingest(t):
+    # Orders of source O arrive again without their second line; a platform's rows have an unreadable date and are left out.
+    lines = t.raw_lines.join(t.heads.select("o_orderkey", "order_id", "sale_date", "platform", "source"), F.col("l_orderkey") == F.col("o_orderkey"))
+    text = F.when(F.col("platform") == "BUILDING", "soon").otherwise(F.date_format("sale_date", "yyyy.MM.dd"))
+    raw = lines.select("order_id", F.col("l_linenumber").cast("bigint").alias("l_linenumber"), "source", text.alias("day"))
+    root, checkpoint = fresh_path(t.spark, "inbox"), fresh_path(t.spark, "stream")
+    prepare = lambda s: s.withColumn("ym", F.date_format(F.try_to_timestamp("day", F.lit("yyyy.MM.dd")), "yyyy-MM")).drop("day")
+    first, again = raw.withColumn("version", F.lit(1).cast("bigint")), of(raw, "O").where("l_linenumber <> 2").withColumn("version", F.lit(2).cast("bigint"))
+    target = stored(t, prepare(first.limit(0)), ["ym"])
+    run = lambda: ingest_files(
+        t.spark, root, first.schema, target, ["order_id"], ["ym"], prepare, [], checkpoint, archive=fresh_path(t.spark, "done"),
+        valid=F.col("ym").isNotNull(), whole=F.col("version"),
+    )
+    wr.write_table(first, f"{root}/hour1")
+    run()
+    wr.write_table(again, f"{root}/hour2")
+    run()
+    return back(t, target, prepare(first))

@@ -55,8 +55,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS)
 
     At most rows / hot_rows keys come out; they are checkpointed, not collected.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    found = reliable_checkpoint(sizes.drop("_n"))
+    return hot_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), hot_rows)
+
+
+def hot_counts(sizes: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
+    """The same from counts (keys, _n) that a job has already."""
+    found = reliable_checkpoint(sizes.where(F.col("_n") > hot_rows).drop("_n"))
     return None if found.isEmpty() else found
 
 

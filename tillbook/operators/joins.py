@@ -26,9 +26,24 @@ def last_two_tokens(c) -> Column:
     return F.concat_ws(" ", F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)))
 
 
-def order_item_join(heads: DataFrame, items: DataFrame, on: Column, keep_unmatched: bool = True) -> DataFrame:
-    """Header x items; unmatched headers stay (refunds) or are dropped by rule."""
-    return heads.join(items, on, "left" if keep_unmatched else "inner")
+def heads_with_lines(heads: DataFrame, items: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Headers LEFT JOIN lines on equally named keys, as an inner join and the headers without lines.
+
+    Adaptive skew handling can split either side of an inner join but not the right side of an outer one, and the
+    header that holds a third of all lines is on the right. The keys of the lines are made unique before the rest.
+    """
+    alone = heads.join(items.select(*on).distinct(), list(on), "left_anti")
+    return items.join(heads, list(on)).unionByName(alone, allowMissingColumns=True)
+
+
+def order_item_join(heads: DataFrame, items: DataFrame, on: dict[str, str], keep_unmatched: bool = True) -> DataFrame:
+    """Header x items on header column -> item column; unmatched headers stay (refunds) or are dropped by rule."""
+    same = [F.col(h) == F.col(i) for h, i in on.items()]
+    both = items.join(heads, same).select(*heads.columns, *items.columns)
+    if not keep_unmatched:
+        return both
+    alone = heads.join(items.select(*on.values()).distinct(), same, "left_anti")
+    return both.unionByName(alone, allowMissingColumns=True)
 
 
 def dim_enrich(facts: DataFrame, dim: DataFrame, name: str, dim_name: str, attrs: Sequence[str]) -> DataFrame:
@@ -163,12 +178,14 @@ def event_window_join(
     )
     asked = actions.withColumn("_d", F.col("action_date")).withColumn("_kind", F.lit(0))
     both = asked.unionByName(marked, allowMissingColumns=True)
-    # Range frames on the day number leave out rows of the action date itself.
-    span = Window.partitionBy(key).orderBy(F.datediff("_d", F.lit("1970-01-01").cast("date")))
+    # Range frames on the day number leave out rows of the action date itself. Looking ahead is looking back over the
+    # negated day number: a frame that only grows is one pass, one that only shrinks is evaluated anew for each row.
+    number = F.datediff("_d", F.lit("1970-01-01").cast("date"))
+    span, back = Window.partitionBy(key).orderBy(number), Window.partitionBy(key).orderBy(-number)
     both = both.withColumns(
         {
             "_prev": F.last("_back", ignorenulls=True).over(span.rangeBetween(Window.unboundedPreceding, -1)),
-            "_next": F.first("_ahead", ignorenulls=True).over(span.rangeBetween(1, Window.unboundedFollowing)),
+            "_next": F.last("_ahead", ignorenulls=True).over(back.rangeBetween(Window.unboundedPreceding, -1)),
             "_same": F.first("_spot", ignorenulls=True).over(span.rangeBetween(0, 0)),
         }
     )

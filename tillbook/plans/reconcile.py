@@ -142,10 +142,13 @@ def brand_coverage(expected: DataFrame, rows: DataFrame, day_rows: DataFrame) ->
 def count_amount_check(rows: DataFrame, expected: DataFrame, keys: Sequence[str], order: str, amounts: Sequence[str]) -> DataFrame:
     """Order count and any one of the amount sums equal the platform's own summary.
 
-    Null when there is no summary. The first matching amount column is named.
+    Rows without an order id (options unfolded below an order) do not count as orders. Null when there is no summary; a
+    summary without rows is compared with zeros. The first matching amount column is named.
     """
-    g = rows.groupBy(*keys).agg(F.countDistinct(order).alias("actual_count"), *[F.sum(a).alias(f"sum_{a}") for a in amounts])
-    j = g.join(expected, list(keys), "left")
+    known = F.nullif(F.trim(F.col(order).cast("string")), F.lit(""))
+    g = rows.groupBy(*keys).agg(F.countDistinct(known).alias("actual_count"), *[F.sum(a).alias(f"sum_{a}") for a in amounts])
+    j = g.join(expected, list(keys), "full")
+    j = j.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("actual_count", *(f"sum_{a}" for a in amounts))})
     hit = F.coalesce(*[F.when(F.col(f"sum_{a}") == F.col("expected_amount"), a) for a in amounts])
     matched = (F.col("actual_count") == F.col("expected_count")) & hit.isNotNull()
     return j.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -269,16 +271,32 @@ def latest_complete_date(df: DataFrame, day: str, share: float = 0.5, floor: int
     )
 
 
-def consecutive_risk(pairs) -> Column:
-    """True when any (status, previous status) pair is at its worst in both periods."""
+#: The five scored areas, as (status, status a week earlier).
+STATUS_PAIRS = (
+    ("status", "pre_status"), ("fee_status", "pre_fee_status"), ("ad_b_status", "pre_ad_b_status"),
+    ("ad_a_status", "pre_ad_a_status"), ("service_status", "pre_service_status"),
+)
+
+
+def consecutive_risk(columns: Sequence[str], pairs=STATUS_PAIRS) -> Column:
+    """True when any area is at its worst in both weeks; an area without an earlier status counts by the present one."""
     hit = F.lit(False)
     for now, before in pairs:
-        hit = hit | F.coalesce((F.col(now) == DANGER) & (F.col(before) == DANGER), F.lit(False))
+        if now in columns:
+            worst = F.col(now) == DANGER
+            hit = hit | F.coalesce(worst & (F.col(before) == DANGER) if before in columns else worst, F.lit(False))
     return hit
 
 
-def max_score_per_group(df: DataFrame, group: str, score: str) -> DataFrame:
+def max_score_per_group(df: DataFrame, group: str | Sequence[str], score: str) -> DataFrame:
     """Rows whose score equals the group's maximum; ties stay."""
     value = F.coalesce(F.col(score), F.lit(0))
     best = F.max(value).over(Window.partitionBy(group))
     return df.withColumn("_best", best).where(value >= F.col("_best")).drop("_best")
+
+
+def risk_alerts(scored: DataFrame, day: str, group: str, score: str, days: int = 0) -> DataFrame:
+    """Rows of the last complete day (and ``days`` before it) at their worst two weeks running, of each group and day the highest score."""
+    target = latest_complete_date(scored.select(day), day)
+    at = scored.join(target, scored[day] >= F.date_sub(target["target_date"], days)).drop("target_date")
+    return max_score_per_group(at.where(consecutive_risk(scored.columns)), [group, day], score)

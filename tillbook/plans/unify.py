@@ -17,9 +17,9 @@ from tillbook.functions.keys import sub_order_id, unified_pk
 from tillbook.functions.numbers import ratio, rnd_int
 from tillbook.functions.rules import DELIVERY, DELIVERY_PACK, HALL, HALL_PACK, HALL_TABLE, PACK, mapped, order_type_classify, platform_revenue, reclassify_by_order, signed_amount
 from tillbook.operators import order_lines as o
-from tillbook.operators.core import AUTO, attach, by_heat, keep_one, resolve_hot
+from tillbook.operators.core import AUTO, attach, by_heat, hot_counts, keep_one, resolve_hot
 from tillbook.operators.filters import exclude_overlapping_stores, store_scoped_blacklist
-from tillbook.operators.joins import code_to_name_map, dim_enrich, last_two_tokens
+from tillbook.operators.joins import code_to_name_map, dim_enrich, heads_with_lines, last_two_tokens
 from tillbook.session import stage
 
 CANCELLED, NORMAL = "취소", "정상"
@@ -86,7 +86,7 @@ def unify_receipts(
     hot = resolve_hot(items.select(*keys), keys, hot)
     main = master.where((F.col("is_main_candidate") == "Y") & (F.coalesce("exclude_check", F.lit("N")) != "Y"))
     main = main.select(F.col("code").alias("item_id"), F.lit("Y").alias("is_main")).distinct()
-    rows = heads.join(items, keys, "left").join(main, "item_id", "left")
+    rows = heads_with_lines(heads, items, keys).join(main, "item_id", "left")
     rows = rows.withColumns(
         {
             "item_id": F.coalesce("item_id", F.lit("")), "qty": F.coalesce("qty", F.lit(0)),
@@ -171,7 +171,10 @@ def unify_delivery_feed(
     rows = heads.join(items, "order_code")
     rows = _feed_amounts(rows, ["order_code"], hot=resolve_hot(items.select("order_code"), ["order_code"], hot))
     # Orders without an external number share a surrogate id, so hot ids are counted on the joined keys.
-    hot = resolve_hot(heads.select("order_code", "order_id").join(items.select("order_code"), "order_code"), ["order_id"], hot)
+    if isinstance(hot, str) and hot == AUTO:  # lines are counted by code before the headers name the orders
+        per_code = items.groupBy("order_code").agg(F.count(F.lit(1)).alias("_n"))
+        named = heads.select("order_code", "order_id").join(per_code, "order_code").groupBy("order_id")
+        hot = hot_counts(named.agg(F.sum("_n").alias("_n")))
     rows = o.item_seq(rows, ["order_id"], line_order, hot=hot)
     name = F.ltrim(c.text("item_name"), F.lit("'+ "))
     rows = rows.withColumns(
@@ -232,11 +235,11 @@ def unify_union_pos(
     main = master.where((F.col("is_main_candidate") == "Y") & (F.col("exclude_check") != "Y"))
     main = main.select(F.col("code").alias("item_id"), F.lit("Y").alias("is_main")).distinct()
     ids = ["store", "receipt_no", "sold_at"]
-    named = heads.select(*ids, "pos_no").join(items.select(*ids), ids).select(
-        F.concat_ws("_", "pos_no", "receipt_no", "sold_at").alias("order_id")
-    )
-    hot = resolve_hot(named, ["order_id"], hot)
-    rows = heads.join(items, ids, "left").join(main, "item_id", "left")
+    if isinstance(hot, str) and hot == AUTO:  # lines are counted by receipt before the headers name the orders
+        per_receipt = items.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n"))
+        named = heads.select(*ids, "pos_no").join(per_receipt, ids).groupBy(F.concat_ws("_", "pos_no", "receipt_no", "sold_at").alias("order_id"))
+        hot = hot_counts(named.agg(F.sum("_n").alias("_n")))
+    rows = heads_with_lines(heads, items, ids).join(main, "item_id", "left")
     rows = rows.withColumns(
         {
             "order_id": F.concat_ws("_", "pos_no", "receipt_no", "sold_at"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillbook.functions.clean import text
@@ -40,13 +40,22 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
 def touched(existing: DataFrame, new: DataFrame, by: Sequence[str]) -> DataFrame:
     """Existing rows of the partitions that the new rows fall in.
 
-    The values of the first partition column are fetched, at most one per folder
-    of the table, so that the scan prunes folders before it starts.
+    A blank text lies in the same folder as a null. Rows whose keys are all known meet in an equi join, which prunes
+    folders when the plan runs; the others are matched with nulls as equals, among the null folders only.
     """
     if not by:
         return existing
-    values = [r[0] for r in new.select(by[0]).distinct().collect()]
-    return existing.where(F.col(by[0]).isin(values)).join(new.select(*by).distinct(), list(by), "left_semi")
+    stored = [F.nullif(F.col(c), F.lit("")).alias(c) if dict(new.dtypes)[c] == "string" else F.col(c) for c in by]
+    wanted = new.select(*stored).distinct()
+    known = F.lit(True)
+    for c in by:
+        known = known & F.col(c).isNotNull()
+    theirs = wanted.where(~known).withColumnsRenamed({c: f"_{c}" for c in by})
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    plain = existing.join(wanted.where(known), list(by), "left_semi")
+    return plain.unionByName(existing.where(~known).join(theirs, same, "left_semi"))
 
 
 # -- merges -------------------------------------------------------------------
@@ -66,15 +75,19 @@ def append_unique(spark: SparkSession, path: str, new: DataFrame, keys: Sequence
     )
 
 
-def keep_last(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence = ()) -> DataFrame:
-    """Union in which the new row of a key wins, and among equals the last by ``order``."""
+def keep_last(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
+    """Union in which the new row of a key wins, and among several new rows the first by ``order``."""
     both = existing.withColumn("_v", F.lit(0)).unionByName(new.withColumn("_v", F.lit(1)), allowMissingColumns=True)
     return keep_one(both, keys, [F.col("_v").desc(), *order]).drop("_v")
 
 
 def replace_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Existing rows without the key tuples of new, plus all new rows."""
-    return existing.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
+    """Existing rows without the key tuples of new (nulls are equal), plus all new rows."""
+    theirs = new.select(*[F.col(c).alias(f"_{c}") for c in keys]).distinct()
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return existing.join(theirs, same, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
 def row_signature(columns: Sequence[str]) -> Column:
@@ -88,14 +101,14 @@ def merge_by_signature(existing: DataFrame, new: DataFrame, columns: Sequence[st
 
 
 def source_aware_replace(
-    existing: DataFrame, new: DataFrame, source: str, pk: str, stores: Sequence[str] | None = None
+    existing: DataFrame, new: DataFrame, source: str, pk: str, order: Sequence, stores: Sequence[str] | None = None
 ) -> DataFrame:
     """Rows of one source (optionally of given stores) replaced by new ones, all others kept, unique by key."""
     mine = F.lower(F.trim("source")) == source.lower()
     if stores is not None:
         mine = mine & F.col("store").isin(list(stores))
     kept = existing.where(~F.coalesce(mine, F.lit(False)))
-    return keep_last(kept, new, [pk])
+    return keep_last(kept, new, [pk], order)
 
 
 def same_keys(existing: DataFrame, new: DataFrame, pk: str) -> bool:
@@ -112,13 +125,28 @@ def source_priority_override(existing: DataFrame, better: DataFrame, keys=("sale
 # -- table operations ---------------------------------------------------------
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], by: Sequence[str], order: Sequence = ()) -> None:
-    """Merge new rows into the partitions they touch; the newest row per key stays."""
+def upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], by: Sequence[str], order: Sequence) -> None:
+    """Merge new rows into the partitions they touch; per key the new row stays, of several the first by ``order``.
+
+    The partition of a row must follow from its key: a key that moved leaves its old row behind.
+    """
     new = stage(new)
     old = touched(read_table(spark, path, new), new, by)
     replace_partitions(keep_last(old, new, keys, order), path, by)
 
 
+def replace_units(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], by: Sequence[str], version: Column) -> None:
+    """Replace whole units, such as all lines of an order, by their newest version in the new rows.
+
+    ``keys`` name a unit, ``version`` orders its arrivals; equal rows of one version count once. As in ``upsert`` the
+    partition must follow from the keys.
+    """
+    ranked = new.distinct().withColumn("_v", F.rank().over(Window.partitionBy(*keys).orderBy(version.desc_nulls_last())))
+    latest = stage(ranked.where(F.col("_v") == 1).drop("_v"))
+    old = touched(read_table(spark, path, latest), latest, by)
+    replace_partitions(replace_by_key(old, latest, keys), path, by)
+
+
 def partitioned_write(
     spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], by: Sequence[str], stamp: str, tie: Sequence = ()
 ) -> None:

@@ -1,44 +1,46 @@
-"""Incremental ingest of dropped files as a stream with an idempotent upsert."""
+"""Incremental ingest of dropped files as a stream with an idempotent merge."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillbook.operators.core import keep_one
-from tillbook.session import fresh_path
-from tillbook.sources.writers import upsert
+from tillbook.sources.writers import replace_units, upsert
 
 
 def ingest_files(
     spark: SparkSession, inbox: str, schema: StructType, target: str, keys: Sequence[str], by: Sequence[str],
-    prepare: Callable[[DataFrame], DataFrame], order: Sequence, checkpoint: str | None = None, archive: str | None = None,
-    event_time: str | None = None, delay: str = "7 days", files_per_batch: int = 100, fmt: str = "parquet",
+    prepare: Callable[[DataFrame], DataFrame], order: Sequence, checkpoint: str, archive: str | None = None,
+    valid: Column | None = None, whole: Column | None = None, files_per_batch: int = 100, fmt: str = "parquet",
 ) -> None:
-    """Process all files not seen yet and stop (an hourly job calls it again).
+    """Process all files not seen yet and stop (an hourly job calls it again with the same checkpoint).
 
-    Files are micro-batches; a repeated key inside the watermark is dropped by
-    the state store, a later correction reaches the table through the upsert.
-    Replaying a batch after a failure gives the same table. ``archive`` moves
-    finished files away.
+    Files are micro-batches. By default a row per key is kept, of one batch the first by ``order``; a later batch
+    corrects an earlier one, however late it comes. With ``whole``, a version expression, ``keys`` name a unit such as
+    an order, and all its lines are replaced by those of its newest version in the batch. Rows that are not ``valid``
+    (such as those with a bad date) are left out. Replaying a batch after a failure gives the same table. ``archive``
+    moves files that earlier calls have finished away.
     """
     options = {"maxFilesPerTrigger": str(files_per_batch), "recursiveFileLookup": "true"}
     if archive:
         options |= {"cleanSource": "archive", "sourceArchiveDir": archive}
-    stream = spark.readStream.format(fmt).schema(schema).options(**options).load(inbox)
-    stream = prepare(stream)
-    if event_time:
-        stream = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    stream = prepare(spark.readStream.format(fmt).schema(schema).options(**options).load(inbox))
+    if valid is not None:
+        stream = stream.where(F.coalesce(valid, F.lit(False)))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert(spark, target, keep_one(batch, keys, order), keys, by, order)
+        if whole is not None:
+            replace_units(spark, target, batch, keys, by, whole)
+        else:
+            upsert(spark, target, keep_one(batch, keys, order), keys, by, order)
 
     query = (
         stream.writeStream.foreachBatch(merge).outputMode("append")
-        .option("checkpointLocation", checkpoint or fresh_path(spark, "stream"))
-        .trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
     if query.exception():
