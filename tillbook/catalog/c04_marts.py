@@ -7,6 +7,7 @@ from tillbook.catalog.base import (
 )
 from tillbook.catalog.c02_series import manager_lines, over, roll
 from tillbook.catalog.c03_joins import SLOTS, slotted
+from tillbook.functions.rules import review_reasons
 from tillbook.plans import marts as m
 from tillbook.sources.fixtures import AS_OF
 
@@ -338,28 +339,36 @@ def label_conflicts(t):
     return flagged.join(c, "name", "left")
 
 
-EVID = LINES + """, il AS (SELECT l.store, l.source, l.item_id, p.p_brand AS brand, CAST(round(l.unit_price / 1000) AS BIGINT) AS unit_price, l.l_linenumber AS menu
+EVID = LINES + """, il AS (SELECT l.store, l.source, l.item_id, p.p_brand AS brand, CAST(round(l.unit_price / 1000) AS BIGINT) AS unit_price,
+    CASE WHEN l.l_linenumber > 4 THEN NULL ELSE CAST(l.l_linenumber AS VARCHAR) END AS menu
   FROM lines l JOIN part p ON p.p_partkey = l.l_partkey), n AS (SELECT store, source, item_id, menu, count(*) AS n FROM il GROUP BY ALL),
-  b AS (SELECT store, source, item_id, CAST(sum(n) AS BIGINT) AS rows, count(*) AS menu_count, max(n) AS top FROM n GROUP BY ALL),
-  s AS (SELECT store, source, item_id, string_agg(menu || '(' || n || ')', ' | ' ORDER BY n DESC, menu) AS menu_sample FROM (
-    SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY store, source, item_id ORDER BY n DESC, menu) <= 2) GROUP BY ALL),
+  b AS (SELECT store, source, item_id, CAST(sum(n) AS BIGINT) AS rows, count(menu) AS menu_count FROM n GROUP BY ALL),
+  s AS (SELECT store, source, item_id, string_agg(menu, ' | ' ORDER BY n DESC, menu) AS menu_sample, first(menu ORDER BY n DESC, menu) AS representative_menu FROM (
+    SELECT * FROM n WHERE menu IS NOT NULL QUALIFY row_number() OVER (PARTITION BY store, source, item_id ORDER BY n DESC, menu) <= 2) GROUP BY ALL),
   br0 AS (SELECT store, source, item_id, brand, count(*) AS n FROM il GROUP BY ALL),
   br AS (SELECT * FROM br0 QUALIFY row_number() OVER (PARTITION BY store, source, item_id ORDER BY n DESC, brand) = 1),
   pr0 AS (SELECT store, source, item_id, unit_price, count(*) AS n FROM il GROUP BY ALL),
   pr AS (SELECT * FROM pr0 QUALIFY row_number() OVER (PARTITION BY store, source, item_id ORDER BY n DESC, unit_price) = 1)"""
 
 
-@query("item_evidence", f"""WITH {EVID}, e AS (SELECT b.store, b.source, b.item_id, b.rows, b.menu_count, s.menu_sample, br.brand AS common_brand,
-    pr.unit_price AS common_price, {rnd(ratio('b.top', 'b.rows'))} AS confidence FROM b JOIN s USING (store, source, item_id) JOIN br USING (store, source, item_id) JOIN pr USING (store, source, item_id))
-  SELECT *, array_to_string(list_filter([CASE WHEN menu_count > 2 THEN 'many_menus' END, CASE WHEN confidence < 0.5 THEN 'low_confidence' END,
-    CASE WHEN common_price <= 0 THEN 'no_price' END], lambda x: x IS NOT NULL), ',') AS review_reasons FROM e""")
+@query("item_evidence", f"""WITH {EVID}, e AS (SELECT b.store, b.source, b.item_id, b.rows, b.menu_count, coalesce(s.menu_sample, '') AS menu_sample, coalesce(s.representative_menu, '') AS representative_menu,
+    br.brand AS common_brand, pr.unit_price AS common_price, CASE WHEN menu_count = 1 THEN 'high' WHEN menu_count > 1 THEN 'low' ELSE '' END AS confidence,
+    CASE common_price % 5 WHEN 0 THEN '메인' WHEN 1 THEN '기타' WHEN 2 THEN '음료' WHEN 3 THEN '1인' ELSE '' END AS label
+    FROM b LEFT JOIN s USING (store, source, item_id) JOIN br USING (store, source, item_id) JOIN pr USING (store, source, item_id))
+  SELECT * EXCLUDE (label), CASE WHEN common_price % 7 = 0 THEN '' ELSE concat_ws(', ', CASE WHEN menu_count = 0 THEN '표준명 미입력' END, CASE WHEN label = '' THEN '수동분류 미입력' END,
+      CASE WHEN label = '기타' THEN '기타 분류 확인' END, CASE WHEN menu_count > 1 AND label IN ('메인', '1인') THEN '부모메뉴 후보 다수' END,
+      CASE WHEN common_price % 3 = 0 AND menu_count > 0 AND (label = '음료' OR (label IN ('메인', '1인') AND menu_count = 1)) THEN 'LLM 분류 확인' END) END AS review_reasons FROM e""")
 def item_evidence(t):
     p = t.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
     il = t.lines.drop("brand").join(p, "l_partkey").select(
         "store", "source", "item_id", "brand", F.round(F.col("unit_price") / 1000).cast("bigint").alias("unit_price"),
-        F.col("l_linenumber").alias("menu"),
+        F.when(F.col("l_linenumber") > 4, " ").otherwise(F.col("l_linenumber").cast("string")).alias("menu"),
     )
-    return m.item_evidence(il, ["store", "source", "item_id"], "menu", top=2)
+    found = m.item_evidence(il, ["store", "source", "item_id"], "menu", top=2)
+    of = F.col("common_price") % 5
+    label = F.when(of == 0, "메인").when(of == 1, "기타").when(of == 2, "음료").when(of == 3, "1인")
+    by, seen = F.when(F.col("common_price") % 3 == 0, "llm"), F.when(F.col("common_price") % 7 == 0, "y")
+    return found.withColumn("review_reasons", review_reasons("representative_menu", label, "menu_count", seen, by))
 
 
 @query("sheet_group_sum", f"""WITH {HEADS} SELECT platform, {big('sum(o_orderkey)')} AS o_orderkey, {big('sum(order_amount)')} AS order_amount

@@ -332,24 +332,51 @@ def grade_buckets(t):
     return graded(t).select("order_id", "rate", "grade", revenue_band(F.col("order_amount") * 100).alias("band"))
 
 
-@query("rule_diagnosis", f"""WITH {RATE}, dg AS (SELECT order_id, grade, CASE WHEN grade = 'A' THEN '목표초과' WHEN grade = 'B' THEN '목표근접'
-    WHEN order_amount / 200000.0 < 0.9 AND tables < 20 THEN '유입과 구매단가 복합 문제' WHEN order_amount / 200000.0 < 0.9 THEN '객단가/메뉴구성 문제'
-    WHEN pack_share < 8 THEN '포장유입 부족' ELSE '테이블수 부족' END AS diagnosis,
-    list_filter([CASE WHEN tables > 25 THEN 'cook_very_slow' END, CASE WHEN tables > 20 AND tables <= 25 THEN 'cook_slow' END, CASE WHEN pack_share < 10 THEN 'accept_low' END,
-      CASE WHEN rate < 50 THEN 'reorder_low' END], lambda x: x IS NOT NULL) AS s FROM gr)
-  SELECT order_id, grade, diagnosis, s[1] AS primary_code, s[2] AS secondary_code, array_to_string(s[3:], ',') AS watch_codes FROM dg""")
+ST = "CASE {0} % 4 WHEN 0 THEN '정상' WHEN 1 THEN '관심' WHEN 2 THEN '주의' ELSE '위험' END"
+# Every figure of the scorecard from the order's key, so that each branch is met; 'pick' leaves some of them unknown.
+CARDS = HEADS + f""", k AS (SELECT o_orderkey AS k, order_id, order_amount FROM heads),
+  c AS (SELECT *, k % 41 - 30.0 AS day_pct, k % 37 - 25.0 AS week_pct, CAST(k % 13 AS DOUBLE) AS orders, CASE WHEN k % 11 = 0 THEN NULL ELSE k % 17 END AS prev_orders,
+    (k % 17) * 20000.0 AS prev_amount, 15000.0 + (k % 9) * 1500 AS ticket, 80.0 + k % 23 AS ma14, 95.0 + k % 7 AS ma28, {ST.format('(k // 3)')} AS fee_status, {ST.format('(k // 5)')} AS ad_a_status,
+    {ST.format('(k // 7)')} AS ad_b_status, {ST.format('(k // 11)')} AS service_status, k % 43 + 0.5 AS fee_rate, k % 31 + 0.5 AS prev_fee_rate, CAST(k % 29 AS DOUBLE) AS fee_rate_a, CAST(k % 19 AS DOUBLE) AS fee_rate_b,
+    CAST(k % 3 * 40 AS DOUBLE) AS ad_a_clicks, CAST(k % 2 AS DOUBLE) AS ad_a_orders, CAST(k % 5 * 20 AS DOUBLE) AS ad_b_clicks, CAST(k % 6 AS DOUBLE) AS ad_b_orders, (k % 12) * 1000.0 AS ad_spend,
+    CAST(k % 33 AS DOUBLE) AS cook_minutes, (k % 101) / 100.0 AS accept_rate, (k % 103) / 100.0 AS promise_rate, (k % 47) / 100.0 AS reorder_rate, (k % 53) / 10.0 AS rating FROM k)"""
+
+
+@query("rule_diagnosis", f"""WITH {CARDS}, x AS (SELECT *, fee_status IN ('주의', '위험') AS fb, ad_a_status IN ('주의', '위험') AS ab, ad_b_status IN ('주의', '위험') AS bb,
+    coalesce(day_pct < -15 AND week_pct < -15, false) AS down, coalesce(prev_orders > 0 AND orders > 0, false) AS two,
+    coalesce(fee_rate > 0 AND prev_fee_rate > 0 AND fee_rate - prev_fee_rate > 5, false) AS spike, coalesce(fee_rate_a > 0 AND fee_rate_b > 0 AND abs(fee_rate_a - fee_rate_b) > 10, false) AS gap FROM c),
+  y AS (SELECT *, CASE WHEN NOT down THEN NULL WHEN two AND (orders / prev_orders - 1) * 100 < -15 THEN CASE WHEN fb THEN 'sales_orders_fee' WHEN ab OR bb THEN 'sales_orders_campaign' ELSE 'sales_orders_invest' END
+      WHEN two AND prev_amount > 0 AND abs(ticket / (prev_amount / prev_orders) - 1) * 100 > 10 THEN 'sales_ticket' ELSE 'sales_together' END AS c1,
+    CASE WHEN day_pct < -15 AND week_pct >= 0 THEN 'sales_one_day' END AS c2, CASE WHEN ma14 > 0 AND ma28 > 0 AND (ma14 / ma28 - 1) * 100 < -10 THEN 'sales_trend' END AS c3,
+    CASE WHEN fb AND spike THEN 'fee_spike' WHEN fb AND gap THEN 'fee_platform' WHEN fb THEN 'fee_high' WHEN fee_rate > 33 THEN 'fee_third' END AS c4,
+    CASE WHEN NOT bb THEN NULL WHEN ad_b_clicks > 0 AND ad_b_orders > 0 THEN CASE WHEN ad_b_orders / ad_b_clicks * 100 < 5 THEN 'ad_b_conversion' ELSE 'ad_b_targeting' END ELSE 'ad_b_review' END AS c5,
+    CASE WHEN NOT ab THEN NULL WHEN ad_a_clicks > 0 AND ad_a_orders > 0 THEN 'ad_a_conversion' ELSE 'ad_a_review' END AS c6,
+    CASE WHEN NOT (ab OR bb OR fb) AND (day_pct < -10 OR week_pct < -10) AND ad_spend > 0 AND order_amount > 0 AND ad_spend / order_amount * 100 < 7 THEN 'ad_room' END AS c7,
+    CASE WHEN cook_minutes > 25 THEN 'cook_very_slow' WHEN cook_minutes > 20 THEN 'cook_slow' END AS c8, CASE WHEN accept_rate > 0 AND accept_rate < 0.95 THEN 'accept_low' END AS c9,
+    CASE WHEN promise_rate > 0 AND promise_rate < 0.9 THEN 'promise_low' END AS c10, CASE WHEN reorder_rate > 0 AND reorder_rate < 0.12 THEN 'reorder_low' END AS c11,
+    CASE WHEN rating > 0 AND rating < 4.3 THEN 'rating_low' END AS c12, CASE WHEN service_status IN ('주의', '위험') THEN 'service_bad' END AS c13 FROM x),
+  z AS (SELECT order_id, list_filter([c1, c2, c3, c4, c5, c6, c7, c8, c9, c10, c11, c12, c13], lambda x: x IS NOT NULL) AS s FROM y)
+  SELECT order_id, s[1] AS primary_code, s[2] AS secondary_code, array_to_string(s[3:], ',') AS watch_codes FROM z""")
 def rule_diagnosis(t):
-    g = graded(t)
-    codes = r.suggestions(
-        [
-            ("cook_very_slow", F.col("tables") > 25), ("cook_slow", (F.col("tables") > 20) & (F.col("tables") <= 25)),
-            ("accept_low", F.col("pack_share") < 10), ("reorder_low", F.col("rate") < 50),
-        ]
-    )
-    g = g.withColumn("diagnosis", r.sales_diagnosis("grade", F.lit(200000), "order_amount", "tables", "pack_share"))
-    return g.withColumn("_codes", codes).withColumns(r.prioritize("_codes")).select(
-        "order_id", "grade", "diagnosis", "primary_code", "secondary_code", "watch_codes"
-    )
+    k = F.col("k")
+    status = lambda n: F.element_at(F.array(*(F.lit(x) for x in ("정상", "관심", "주의", "위험"))), (F.floor(k / n) % 4 + 1).cast("int"))
+    cards = t.heads.select(F.col("o_orderkey").alias("k"), "order_id", F.col("order_amount").alias("amount")).select(
+        "order_id", "amount", (k % 41 - 30).alias("day_pct"), (k % 37 - 25).alias("week_pct"), (k % 13).alias("orders"), F.when(k % 11 != 0, k % 17).alias("prev_orders"),
+        (k % 17 * 20000).alias("prev_amount"), (15000 + k % 9 * 1500).alias("ticket"), (80 + k % 23).alias("ma14"), (95 + k % 7).alias("ma28"),
+        status(3).alias("fee_status"), status(5).alias("ad_a_status"), status(7).alias("ad_b_status"), status(11).alias("service_status"),
+        (k % 43 + 0.5).alias("fee_rate"), (k % 31 + 0.5).alias("prev_fee_rate"), (k % 29).alias("fee_rate_a"), (k % 19).alias("fee_rate_b"),
+        (k % 3 * 40).alias("ad_a_clicks"), (k % 2).alias("ad_a_orders"), (k % 5 * 20).alias("ad_b_clicks"), (k % 6).alias("ad_b_orders"), (k % 12 * 1000).alias("ad_spend"),
+        (k % 33).alias("cook_minutes"), (k % 101 / 100).alias("accept_rate"), (k % 103 / 100).alias("promise_rate"), (k % 47 / 100).alias("reorder_rate"), (k % 53 / 10).alias("rating"),
+    )
+    found = cards.withColumn("_codes", r.suggestions(r.four_areas(columns=cards.columns)))
+    return found.withColumns(r.prioritize("_codes")).select("order_id", "primary_code", "secondary_code", "watch_codes")
+
+
+@query("sales_diagnosis", f"""WITH {RATE} SELECT order_id, grade, CASE WHEN grade = 'A' THEN '목표초과' WHEN grade = 'B' THEN '목표근접'
+    WHEN order_amount / 200000.0 < 0.9 AND tables < 20 THEN '유입과 구매단가 복합 문제' WHEN order_amount / 200000.0 < 0.9 THEN '객단가/메뉴구성 문제'
+    WHEN pack_share < 8 THEN '포장유입 부족' ELSE '테이블수 부족' END AS diagnosis FROM gr""")
+def sales_diagnosis(t):
+    return graded(t).select("order_id", "grade", r.sales_diagnosis("grade", F.lit(200000), "order_amount", "tables", "pack_share").alias("diagnosis"))
 
 
 CAUSE = """CASE WHEN short_score > 0 AND mid_score > 0 AND long_score > 0 AND yoy_score > 0 THEN 'broad_weakness' WHEN short_score > 0 AND mid_score > 0 THEN 'sudden_and_mid'

@@ -114,6 +114,67 @@ def suggestions(rules: Sequence[tuple[str, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(F.coalesce(cond, F.lit(False)), code) for code, cond in rules]))
 
 
+#: The limits of the four-area diagnosis, in percent where not said otherwise.
+AREA_LIMITS = {
+    "fall": -15, "order_fall": -15, "ticket_move": 10, "trend": -10, "fee_spike": 5, "fee_gap": 10, "fee_share": 33,
+    "conversion": 5, "weak": -10, "ad_room": 7, "cook_long": 25, "cook": 20, "accept": 0.95, "promise": 0.9, "reorder": 0.12, "rating": 4.3,
+}
+
+
+def four_areas(limits: dict[str, float] | None = None, columns: Sequence[str] = ()) -> list[tuple[str, Column]]:
+    """(code, condition) of the sales, fee, advertising and service diagnosis, in the order in which they are reported.
+
+    Column names are those of the daily scorecard; ``columns`` names those at hand, others count as unknown, and an
+    unknown figure meets no condition. A bad status is the third or fourth of the four. Pass the list to ``suggestions``.
+    """
+    at = AREA_LIMITS | (limits or {})
+    v = lambda name: (F.col(name) if not columns or name in columns else F.lit(None)).cast("double")
+    known = lambda cond: F.coalesce(cond, F.lit(False))
+    bad = lambda name: known(F.col(name).isin("주의", "위험")) if not columns or name in columns else F.lit(False)
+    change = lambda now, base: F.when(base > 0, (now / base - 1) * 100)
+    fee_bad, ad_a_bad, ad_b_bad = bad("fee_status"), bad("ad_a_status"), bad("ad_b_status")
+    ads_bad = ad_a_bad | ad_b_bad
+    day, week = v("day_pct"), v("week_pct")
+    together = known((day < at["fall"]) & (week < at["fall"]))
+    measured = known((v("prev_orders") > 0) & (v("orders") > 0))
+    fewer = measured & known(change(v("orders"), v("prev_orders")) < at["order_fall"])
+    prev_ticket = v("prev_amount") / F.nullif(v("prev_orders"), F.lit(0.0))
+    ticket = measured & ~fewer & known(F.abs(F.coalesce(change(v("ticket"), prev_ticket), F.lit(0.0))) > at["ticket_move"])
+    fee, fee_a, fee_b = v("fee_rate"), v("fee_rate_a"), v("fee_rate_b")
+    spike = known((fee > 0) & (v("prev_fee_rate") > 0) & (fee - v("prev_fee_rate") > at["fee_spike"]))
+    gap = known((fee_a > 0) & (fee_b > 0) & (F.abs(fee_a - fee_b) > at["fee_gap"]))
+    rate = lambda orders, clicks: F.when((v(clicks) > 0) & (v(orders) > 0), v(orders) / v(clicks) * 100)
+    conv_a, conv_b = rate("ad_a_orders", "ad_a_clicks"), rate("ad_b_orders", "ad_b_clicks")
+    room = known((v("ad_spend") > 0) & (v("amount") > 0) & (v("ad_spend") / F.nullif(v("amount"), F.lit(0.0)) * 100 < at["ad_room"]))
+    below = lambda name, limit: (v(name) > 0) & (v(name) < at[limit])
+    return [
+        ("sales_orders_invest", together & fewer & ~fee_bad & ~ads_bad),
+        ("sales_orders_fee", together & fewer & fee_bad),
+        ("sales_orders_campaign", together & fewer & ~fee_bad & ads_bad),
+        ("sales_ticket", together & ticket),
+        ("sales_together", together & ~fewer & ~ticket),
+        ("sales_one_day", (day < at["fall"]) & (week >= 0)),
+        ("sales_trend", (v("ma14") > 0) & (change(v("ma14"), v("ma28")) < at["trend"])),
+        ("fee_spike", fee_bad & spike),
+        ("fee_platform", fee_bad & ~spike & gap),
+        ("fee_high", fee_bad & ~spike & ~gap),
+        ("fee_third", ~fee_bad & (fee > at["fee_share"])),
+        ("ad_b_conversion", ad_b_bad & (conv_b < at["conversion"])),
+        ("ad_b_targeting", ad_b_bad & (conv_b >= at["conversion"])),
+        ("ad_b_review", ad_b_bad & conv_b.isNull()),
+        ("ad_a_conversion", ad_a_bad & conv_a.isNotNull()),
+        ("ad_a_review", ad_a_bad & conv_a.isNull()),
+        ("ad_room", ~ads_bad & ~fee_bad & (known(day < at["weak"]) | known(week < at["weak"])) & room),
+        ("cook_very_slow", v("cook_minutes") > at["cook_long"]),
+        ("cook_slow", (v("cook_minutes") > at["cook"]) & (v("cook_minutes") <= at["cook_long"])),
+        ("accept_low", below("accept_rate", "accept")),
+        ("promise_low", below("promise_rate", "promise")),
+        ("reorder_low", below("reorder_rate", "reorder")),
+        ("rating_low", below("rating", "rating")),
+        ("service_bad", bad("service_status")),
+    ]
+
+
 def prioritize(codes) -> dict[str, Column]:
     """First suggestion, second one, and the rest as watch list."""
     c = col(codes)
@@ -156,3 +217,24 @@ def drop_total_rows(df: DataFrame, columns: Sequence[str], label: str = "합계"
 
 def any_status(columns: Sequence[str], values: Sequence[str]) -> Column:
     return F.exists(F.array(*[text(c) for c in columns]), lambda x: x.isin(list(values)))
+
+
+#: The labels an item can have, and those whose parent menu must be known.
+ITEM_LABELS = ("메인", "1인", "사이드", "기타", "주류", "음료", "토핑", "옵션", "세트")
+PARENT_LABELS = ("메인", "1인")
+
+
+def review_reasons(name, label, menu_count, reviewed=None, labelled_by=None) -> Column:
+    """Why an item still needs a look: names, label, several parent menus, else a label by a model; blank once reviewed."""
+    n, lab = text(name), text(label)
+    unknown, rest = ~lab.isin(*ITEM_LABELS), lab == "기타"
+    many = (F.coalesce(col(menu_count), F.lit(0)) > 1) & lab.isin(*PARENT_LABELS)
+    model = (text(labelled_by) if labelled_by is not None else F.lit("")) == "llm"
+    found = F.array_compact(
+        F.array(
+            F.when(n == "", "표준명 미입력"), F.when(unknown, "수동분류 미입력"), F.when(rest, "기타 분류 확인"), F.when(many, "부모메뉴 후보 다수"),
+            F.when(model & (n != "") & ~unknown & ~rest & ~many, "LLM 분류 확인"),
+        )
+    )
+    done = F.upper(text(reviewed)) == "Y" if reviewed is not None else F.lit(False)
+    return F.when(done, "").otherwise(F.array_join(found, ", "))

@@ -426,31 +426,23 @@ def most_common(cells: DataFrame, keys: Sequence[str], value: str, out: str, wei
 
 
 def item_evidence(lines: DataFrame, keys: Sequence[str], menu: str, top: int = 5) -> DataFrame:
-    """Modal brand and price of an item, number of menus it appears in, its top menus and their share."""
+    """Modal brand and price of an item, the menus it appears in (blank ones left out), the most frequent of them, and whether it is the only one."""
     # One pass over the lines; all evidence comes from this small table.
-    cells = stage(lines.groupBy(*keys, menu, "brand", "unit_price").agg(F.count(F.lit(1)).alias("_c")))
+    named = F.nullif(F.trim(F.col(menu).cast("string")), F.lit(""))
+    cells = stage(lines.withColumn(menu, named).groupBy(*keys, menu, "brand", "unit_price").agg(F.count(F.lit(1)).alias("_c")))
     counts = cells.groupBy(*keys, menu).agg(F.sum("_c").alias("_n"))
-    base = counts.groupBy(*keys).agg(
-        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("menu_count"), F.max("_n").alias("_top")
+    base = counts.groupBy(*keys).agg(F.sum("_n").alias("rows"), F.count(menu).alias("menu_count"))
+    best = top_k(counts.where(F.col(menu).isNotNull()), keys, [F.col("_n").desc(), F.col(menu)], top)
+    names = best.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_rank", F.col(menu).alias("t")))).alias("_l"))
+    names = names.select(
+        *keys, F.get(F.col("_l"), F.lit(0))["t"].alias("representative_menu"), F.array_join(F.transform("_l", lambda x: x["t"]), " | ").alias("menu_sample")
     )
-    best = top_k(counts, keys, [F.col("_n").desc(), F.col(menu)], top)
-    text = F.concat(F.col(menu).cast("string"), F.lit("("), F.col("_n").cast("string"), F.lit(")"))
-    sample = best.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_rank", text.alias("t")))).alias("_l"))
-    sample = sample.select(*keys, F.array_join(F.transform("_l", lambda x: x["t"]), " | ").alias("menu_sample"))
     brand = most_common(cells, keys, "brand", "common_brand", "_c")
     price = most_common(cells, keys, "unit_price", "common_price", "_c")
-    out = base.join(sample, list(keys)).join(brand, list(keys), "left").join(price, list(keys), "left")
-    conf = rnd(ratio("_top", "rows"), 2)
-    reasons = F.array_join(
-        F.array_compact(
-            F.array(
-                F.when(F.col("menu_count") > top, "many_menus"),
-                F.when(F.col("confidence") < 0.5, "low_confidence"),
-                F.when(F.col("common_price") <= 0, "no_price"),
-            )
-        ), ",",
-    )
-    return out.withColumn("confidence", conf).withColumn("review_reasons", reasons).drop("_top")
+    out = base.join(names, list(keys), "left").join(brand, list(keys), "left").join(price, list(keys), "left")
+    sure = F.when(F.col("menu_count") == 1, "high").when(F.col("menu_count") > 1, "low").otherwise("")
+    blank = {c: F.coalesce(c, F.lit("")) for c in ("representative_menu", "menu_sample")}
+    return out.withColumns(blank).withColumn("confidence", sure)
 
 
 def sheet_group_sum(df: DataFrame, group: str, total_label: str = "합계") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,10 +13,13 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = 8, app: str = "tillbook") -> SparkSession:
-    """A local session for tests and the bench; a cluster brings its own."""
+    """A local session for tests and the bench, with its own shared folder; a cluster brings its own."""
+    folder = tempfile.mkdtemp(prefix=f"{app}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
+        .config(CHECKPOINT_CONF, folder)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
@@ -29,21 +34,34 @@ def local_session(cores: int | str = 8, app: str = "tillbook") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the session.
 
-    Only a local-mode session that names none gets a temporary folder.
+    A session on one machine that names none gets a temporary folder, removed when Python ends.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tillbook-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set(CHECKPOINT_CONF, made)
     return made
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The application's own folder below the shared one; it holds all it stages until ``remove_run``."""
+    return f"{shared_dir(spark)}/tillbook-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in the run folder."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_run(spark: SparkSession) -> None:
+    """Remove what this application has staged; call it when its results are written elsewhere."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def reliable_checkpoint(df):
