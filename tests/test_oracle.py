@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import compare, oracle
+from tillbook.catalog import load_all
 
 SF = "/root/testdata/sf0.001"
 SMOKE = """daily_summary next_month_join store_risk_score service_score sales_scorecard cascading_match nearest_asof
@@ -16,8 +17,9 @@ event_window_join time_slot_inherit refund_inherit store_daily_actuals platform_
 review_topic_counts parse_mixed_date parse_localized_datetime order_type_classify platform_revenue_rule main_item_segments
 remainder_allocation adjustment_rows store_scoped_blacklist collection_compare monthly_operation order_structure
 unify_receipts unify_union_pos unify_platform_b target_achievement month_forecast_fill token_overlap_match spearman_test
-independence_test scan_csv_union append_unique upsert_keep_last incremental_file_ingest stream_dedup_ingest""".split()
-NAMES = list(entry.queries()) if os.environ.get("FULL_TESTS") == "all" else SMOKE
+independence_test scan_csv_union append_unique upsert_keep_last incremental_file_ingest stream_dedup_ingest
+line_grain_ingest rule_diagnosis item_evidence sales_band_alerts count_amount_check log_error_extract linear_regression_two""".split()
+NAMES = list(load_all().QUERIES) if os.environ.get("FULL_TESTS") == "all" else SMOKE
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +35,9 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_registry_is_consistent():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"linear_regression"}
+    base = load_all()
+    assert set(base.QUERIES) <= set(entry.queries())
+    assert set(base.QUERIES) - set(base.ORACLE) == {"linear_regression"}
 
 
 def test_entry_runs(spark):

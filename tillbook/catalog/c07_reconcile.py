@@ -351,13 +351,13 @@ def monthly_operation(t):
 TYPES = {"main": "STANDARD", "size": "SMALL", "protein": "MEDIUM", "flavor": "LARGE", "topping": "ECONOMY", "side": "PROMO", "drink": "NONE"}
 
 
-@query("order_structure", f"""WITH {OL}, l AS (SELECT o.order_id, o.sale_date, o.store, o.platform, o.item_seq, o.unit_price, p.p_name AS nm, p.p_type AS ty, o.order_type = '1-URGENT' AS hall, CASE WHEN o.l_suppkey % 3 = 0 THEN p.p_brand ELSE '' END AS menu
+@query("order_structure", f"""WITH {OL}, l AS (SELECT o.order_id, o.sale_date, o.store, o.platform, o.item_seq, o.unit_price, p.p_name AS nm, p.p_type AS ty, o.order_type = '1-URGENT' AS hall, CASE WHEN o.l_suppkey % 9 = 0 THEN '배달비' WHEN o.l_suppkey % 3 = 0 THEN p.p_brand ELSE '' END AS menu, o.l_suppkey % 4 = 0 AS out
     FROM ol o JOIN part p ON p.p_partkey = o.l_partkey),
-  g AS (SELECT order_id, sale_date, store, platform, COALESCE(arg_min(nm, item_seq) FILTER (ty = 'STANDARD'), arg_min(nm, item_seq) FILTER (contains(nm, 'ring')), arg_min(nm, (-unit_price, item_seq))) AS mm,
+  g AS (SELECT order_id, sale_date, store, platform, COALESCE(arg_min(nm, item_seq) FILTER (ty = 'STANDARD'), arg_min(nm, item_seq) FILTER (contains(nm, 'ring')), arg_min(nm, (out, -unit_price, item_seq))) AS mm,
     COALESCE(arg_min(nm, item_seq) FILTER (ty = 'SMALL'), '') AS size_option, COALESCE(arg_min(nm, item_seq) FILTER (ty = 'MEDIUM'), '') AS protein_option, COALESCE(arg_min(nm, item_seq) FILTER (ty = 'LARGE'), '') AS flavor_option,
     COALESCE(string_agg(nm, ', ' ORDER BY item_seq) FILTER (ty = 'ECONOMY'), '') AS topping_list, COALESCE(string_agg(nm, ', ' ORDER BY item_seq) FILTER (ty = 'PROMO'), '') AS side_list, '' AS drink_list,
-    bool_or(hall) AS hall FROM l GROUP BY order_id, sale_date, store, platform),
-  mn AS (SELECT order_id, string_agg(menu, ' | ' ORDER BY s) AS menus, arg_min(menu, s) AS m1 FROM (SELECT order_id, menu, min(item_seq) AS s FROM l WHERE menu <> '' GROUP BY ALL) GROUP BY order_id)
+    arg_min(hall, item_seq) AS hall FROM l GROUP BY order_id, sale_date, store, platform),
+  mn AS (SELECT order_id, string_agg(menu, ' | ' ORDER BY s) AS menus, arg_min(menu, s) AS m1 FROM (SELECT order_id, menu, min(item_seq) AS s FROM l WHERE menu NOT IN ('', '배달비') GROUP BY ALL) GROUP BY order_id)
   SELECT g.order_id, CAST(sale_date AS VARCHAR) AS sale_date, store, platform, CASE WHEN NOT hall AND menus IS NOT NULL THEN m1 ELSE mm END AS main_menu, size_option, protein_option, flavor_option, topping_list, side_list, drink_list,
     CASE WHEN NOT hall AND menus IS NOT NULL THEN menus ELSE concat_ws(' ', NULLIF(size_option, ''), NULLIF(protein_option, ''), NULLIF(mm, '')) END AS final_menu_name FROM g LEFT JOIN mn USING (order_id)""")
 def order_structure(t):
@@ -365,6 +365,7 @@ def order_structure(t):
     rows = order_lines(t, hot_orders(t)).drop("item_name").join(p, "l_partkey").select(
         "order_id", "sale_date", "store", "platform", "item_seq", "unit_price", F.col("nm").alias("item_name"), "item_type",
         F.when(F.col("order_type") == "1-URGENT", "홀_테이블").otherwise("배달").alias("order_type"),
-        F.when(F.col("l_suppkey") % 3 == 0, F.col("pb")).otherwise("").alias("menu_name"),
+        F.when(F.col("l_suppkey") % 9 == 0, "배달비").when(F.col("l_suppkey") % 3 == 0, F.col("pb")).otherwise("").alias("menu_name"),
+        F.when(F.col("l_suppkey") % 4 == 0, "y").alias("exclude_check"),
     )
     return rc.order_structure(rows, TYPES, "ring")

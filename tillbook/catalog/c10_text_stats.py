@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillbook.catalog.base import EVENTS, HEADS, LINE_SEQ, LINES, PRODUCTS, RAW_LINES, REVIEWS, big, query, ratio, rint, rnd
+from tillbook.functions.numbers import rnd as num
 from tillbook.operators import matching as mt, sets, statistics as st
 from tillbook.plans.master import explicit_order
 from tillbook.sources.fixtures import LINE_ORDER
@@ -93,11 +94,17 @@ def unit_price_vote(t):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", mt.unit_price_vote("p", "qty", "m").alias("unit_price_each"))
 
 
-@query("log_error_extract", """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents),
-  h AS (SELECT * FROM l WHERE trim(line) <> '' AND regexp_matches(lower(line), 'err|exc') AND NOT contains(lower(line), 'traceback') AND NOT regexp_matches(lower(line), 'received sigterm|::endgroup:|local_task_job_runner\\.py'))
-  SELECT doc_id, count(*) AS error_lines, max(n) AS last_line_no, right(trim(arg_max(line, n)), 220) AS summary FROM h GROUP BY doc_id""")
+@query("log_error_extract", """WITH d AS (SELECT doc_id, string_split(CASE WHEN doc_id % 3 = 0 THEN replace(text, ' and ', ' Traceback ') ELSE text END, chr(10)) AS ls FROM documents),
+  l AS (SELECT doc_id, len(ls) AS size, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS n FROM d),
+  p AS (SELECT *, trim(line) <> '' AND NOT contains(lower(line), 'traceback') AND NOT regexp_matches(lower(line), 'received sigterm|::endgroup:|local_task_job_runner\\.py') AS plain FROM l),
+  h AS (SELECT *, plain AND regexp_matches(lower(line), 'err|exc') AS named, plain AND regexp_matches(trim(line), '^[A-Z]') AS capital FROM p),
+  f AS (SELECT doc_id, count(*) FILTER (named) AS error_lines, max(n) FILTER (named OR capital) AS last_line_no, arg_max(trim(line), n) FILTER (named OR capital) AS summary,
+    coalesce(max(n) FILTER (contains(line, 'Traceback')), greatest(max(size) - 40, 0)) AS beg FROM h GROUP BY doc_id),
+  x AS (SELECT doc_id, string_agg(rtrim(line), chr(10) ORDER BY n) AS excerpt, arg_max(trim(line), n) AS tail FROM l JOIN f USING (doc_id) WHERE n BETWEEN beg AND beg + 39 AND trim(line) <> '' GROUP BY doc_id)
+  SELECT doc_id, error_lines, last_line_no, coalesce(summary, tail) AS summary, trim(excerpt) AS excerpt FROM f LEFT JOIN x USING (doc_id)""")
 def log_error_extract(t):
-    return mt.log_error_extract(t.table("documents"), "doc_id", "text", "err|exc")
+    body = F.when(F.col("doc_id") % 3 == 0, F.replace("text", F.lit(" and "), F.lit(" Traceback "))).otherwise(F.col("text"))
+    return mt.log_error_extract(t.table("documents").select("doc_id", body.alias("text")), "doc_id", "text", "err|exc")
 
 
 # -- statistics ---------------------------------------------------------------
@@ -213,3 +220,15 @@ def key_intersection(t):
 def key_difference(t):
     h = t.heads
     return sets.key_difference(h.where(F.col("source") == "F"), h.where(F.col("source") != "F"), ["store", "sale_date"])
+
+
+@query("linear_regression_two", f"""WITH v AS (SELECT l_extendedprice AS y, l_quantity AS a, l_discount AS b FROM lineitem),
+  m AS (SELECT count(*) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, count(*) * var_pop(a) AS aa, count(*) * var_pop(b) AS bb, count(*) * covar_pop(a, b) AS ab, count(*) * covar_pop(a, y) AS ay, count(*) * covar_pop(b, y) AS by_, count(*) * var_pop(y) AS yy FROM v),
+  c AS (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS ca, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS cb FROM m),
+  r AS (SELECT *, (ca * ay + cb * by_) / yy AS r2, my - ca * ma - cb * mb AS c0, (yy - ca * ay - cb * by_) / (n - 3) AS s2 FROM c),
+  o AS (SELECT 'l_quantity' AS term, ca AS coefficient, sqrt(s2 * bb / (aa * bb - ab * ab)) AS se, r2, n FROM r UNION ALL SELECT 'l_discount', cb, sqrt(s2 * aa / (aa * bb - ab * ab)), r2, n FROM r
+    UNION ALL SELECT '(intercept)', c0, sqrt(s2 * (1.0 / n + (ma * ma * bb - 2 * ma * mb * ab + mb * mb * aa) / (aa * bb - ab * ab))), r2, n FROM r)
+  SELECT term, {rnd('coefficient', 4)} AS coefficient, {rnd('se', 4)} AS std_error, {rnd('coefficient / se', 3)} AS t, {rnd('r2', 6)} AS r2, {rnd('1 - (1 - r2) * (n - 1) / (n - 3)', 6)} AS r2_adj FROM o""")
+def linear_regression_two(t):
+    found = st.linear_regression(t.table("lineitem"), "l_extendedprice", ["l_quantity", "l_discount"])
+    return found.select("term", num(F.col("coefficient"), 4).alias("coefficient"), num(F.col("std_error"), 4).alias("std_error"), num(F.col("t"), 3).alias("t"), num(F.col("r2"), 6).alias("r2"), num(F.col("r2_adj"), 6).alias("r2_adj"))

@@ -132,13 +132,27 @@ def unit_price_vote(price, qty, master_price) -> Column:
 LOG_NOISE = "received sigterm|::endgroup:|local_task_job_runner\\.py"
 
 
-def log_error_extract(logs: DataFrame, key: str, body: str, mark: str = "error|exception", tail: int = 220) -> DataFrame:
-    """Last line that names an error, its number, and the count of such lines, noise left out."""
-    lines = logs.select(key, F.posexplode(F.split(F.coalesce(body, F.lit("")), "\n")).alias("line_no", "line")).where(F.trim("line") != "")
+def log_error_extract(logs: DataFrame, key: str, body: str, mark: str = "error|exception", keep: int = 40) -> DataFrame:
+    """Per log: lines that name an error, the last line that does or starts with a capital, and the last traceback.
+
+    Noise is left out and no line is cut. The excerpt has ``keep`` lines from the last one that says Traceback, or else
+    the last ``keep``; blank ones are dropped. Without a telling line its last line is the summary.
+    """
+    every = F.split(F.coalesce(body, F.lit("")), "\n")
+    lines = logs.select(key, F.size(every).alias("_size"), F.posexplode(every).alias("line_no", "line"))
     low = F.lower("line")
-    hit = low.rlike(mark) & ~low.contains("traceback") & ~low.rlike(LOG_NOISE)
-    bad = lines.where(hit)
-    return bad.groupBy(key).agg(
-        F.count(F.lit(1)).alias("error_lines"), F.max("line_no").alias("last_line_no"),
-        F.max_by(F.substring(F.trim("line"), -tail, tail), "line_no").alias("summary"),
+    plain = (F.trim("line") != "") & ~low.contains("traceback") & ~low.rlike(LOG_NOISE)
+    named, capital = plain & low.rlike(mark), plain & F.trim("line").rlike("^[A-Z]")
+    at = F.when(named | capital, F.col("line_no"))
+    found = lines.groupBy(key).agg(
+        F.count_if(named).alias("error_lines"), F.max(at).alias("last_line_no"), F.max_by(F.trim("line"), at).alias("summary"),
+        F.coalesce(F.max(F.when(F.col("line").contains("Traceback"), F.col("line_no"))), F.greatest(F.max("_size") - keep, F.lit(0))).alias("_from"),
+    )
+    shown = lines.join(found.select(key, "_from"), key).where(F.col("line_no").between(F.col("_from"), F.col("_from") + keep - 1) & (F.trim("line") != ""))
+    shown = shown.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("line_no", F.rtrim("line").alias("t")))).alias("_l"))
+    shown = shown.select(key, F.transform("_l", lambda x: x["t"]).alias("_l"))
+    out = found.join(shown, key, "left")
+    return out.select(
+        key, "error_lines", "last_line_no", F.coalesce("summary", F.trim(F.element_at(F.col("_l"), -1))).alias("summary"),
+        F.trim(F.array_join("_l", "\n")).alias("excerpt"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.functions.clean import holiday_dates, regular_holiday_weekdays, suspension_minutes, text
+from tillbook.functions.clean import clean_item_name, holiday_dates, regular_holiday_weekdays, suspension_minutes, text
 from tillbook.functions.numbers import ratio, rnd
 from tillbook.operators.core import col, keep_one
 from tillbook.operators.joins import full_outer_reconcile
@@ -314,33 +314,51 @@ def monthly_operation(changes: DataFrame, hours: DataFrame, first, last) -> Data
     )
 
 
+#: Menu names that are charges and services, no dishes.
+FEE_MENUS = "배달비|배달팁|포장비|쿠폰|할인|서비스|수수료"
+
+
 def order_structure(lines: DataFrame, types: dict[str, str], keyword: str) -> DataFrame:
     """One row per order: main menu, first options and lists by item type, final menu name.
 
-    ``types`` maps main / size / protein / flavor / topping / side / drink to the
-    item type labels. The lists are part of the result row, so an order is
-    gathered on purpose here.
+    ``types`` maps main / size / protein / flavor / topping / side / drink to the item type labels. Without a main item
+    the dearest line counts, lines marked ``exclude_check`` only if there are no others. The order is a hall order by its
+    first line; the menus of others make up the final name, cleaned, each once, charges left out. Lines are first
+    reduced to one row per order, type and name with their places, so the lists gather names, not lines.
     """
+    keys = ["order_id", "sale_date", "store", "platform"]
+    excluded = F.upper(text("exclude_check")) == "Y" if "exclude_check" in lines.columns else F.lit(False)
     name, seq, kind = F.col("item_name"), F.col("item_seq"), F.col("item_type")
     first = lambda t: F.coalesce(F.min_by(name, F.when(kind == types[t], seq)), F.lit(""))
-    many = lambda t: F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.when(kind == types[t], F.struct(seq.alias("s"), name.alias("n"))))), lambda x: x["n"]), ", "
-    )
-    dear = F.min_by(name, F.struct((-F.col("unit_price")).alias("p"), seq.alias("s")))
-    g = lines.groupBy("order_id", "sale_date", "store", "platform").agg(
+    dear = F.min_by(name, F.struct(excluded.alias("x"), (-F.col("unit_price")).alias("p"), seq.alias("s")))
+    g = lines.groupBy(*keys).agg(
         F.coalesce(F.min_by(name, F.when(kind == types["main"], seq)), F.min_by(name, F.when(name.contains(keyword), seq)), dear).alias("main_menu"),
         first("size").alias("size_option"), first("protein").alias("protein_option"), first("flavor").alias("flavor_option"),
-        many("topping").alias("topping_list"), many("side").alias("side_list"), many("drink").alias("drink_list"),
-        F.max(F.col("order_type").contains("홀")).alias("_hall"),
-        F.array_distinct(F.transform(
-            F.array_sort(F.collect_list(F.when(text("menu_name") != "", F.struct(seq.alias("s"), F.col("menu_name").alias("n"))))), lambda x: x["n"]
-        )).alias("_menus"),
+        F.min_by(F.coalesce(F.col("order_type"), F.lit("")), seq).contains("홀").alias("_hall"),
     )
-    part = lambda c: F.when(F.col(c) != "", F.col(c))
-    split_menus = ~F.col("_hall") & (F.size("_menus") > 0)
-    return g.withColumn(
+
+    joined = lambda places, sep: F.array_join(F.transform(F.array_sort(places), lambda x: x["n"]), sep)
+    part = {t: types[t] for t in ("topping", "side", "drink")}
+    many = lines.where(kind.isin(*part.values())).groupBy(*keys, "item_type", "item_name").agg(F.collect_list(seq).alias("_at"))
+    spread = F.transform("_at", lambda s: F.struct(s.alias("s"), name.alias("n")))
+    many = many.groupBy(*keys).agg(*[joined(F.flatten(F.collect_list(F.when(kind == v, spread))), ", ").alias(f"{t}_list") for t, v in part.items()])
+
+    menu = clean_item_name("menu_name")
+    menus = lines.where(~text("menu_name").rlike(FEE_MENUS)).withColumn("_menu", menu).where(F.coalesce(F.col("_menu"), F.lit("")) != "")
+    menus = menus.groupBy(*keys, "_menu").agg(F.min(seq).alias("s"))
+    menus = menus.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("s", F.col("_menu").alias("n")))), lambda x: x["n"]).alias("_menus"))
+
+    for right in (many, menus):
+        theirs = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        g = g.join(theirs, same, "left").drop(*[f"_{k}" for k in keys])
+    some = lambda c: F.when(F.col(c) != "", F.col(c))
+    split_menus = ~F.col("_hall") & F.col("_menus").isNotNull()
+    return g.withColumns({f"{t}_list": F.coalesce(f"{t}_list", F.lit("")) for t in part}).withColumn(
         "final_menu_name",
         F.when(split_menus, F.array_join("_menus", " | ")).otherwise(
-            F.concat_ws(" ", part("size_option"), part("protein_option"), part("main_menu"))
+            F.concat_ws(" ", some("size_option"), some("protein_option"), some("main_menu"))
         ),
     ).withColumn("main_menu", F.when(split_menus, F.element_at("_menus", 1)).otherwise(F.col("main_menu"))).drop("_hall", "_menus")
