@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.llm.arrow import CONTINUATION, LOWER, by_batch, map_rows, utf8
+from tillbook.session import stage
 
 WHITE = b" \t\n\r\x0b\x0c"
 SYMBOLS = b"#*$%&|<>"
@@ -34,7 +35,7 @@ CLASS_OF = bytes(
 COMMON_WORDS = 100
 MIN_REFERENCE_SHARE = 0.001
 #: Length guards and largest distances.
-MIN_CHARS, MAX_CLASS_DISTANCE = 200, 0.25
+MIN_CHARS, MAX_CLASS_DISTANCE = 400, 0.3
 MIN_COMMON_WORDS, MAX_WORD_DISTANCE = 50, 0.55
 #: Words counted in a task before it passes them on.
 FLUSH_WORDS = 300_000
@@ -108,13 +109,12 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
     1 / MIN_REFERENCE_SHARE languages, come to the driver.
     """
     counts = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).mapInArrow(_counts, "lang string, kind string, token binary, n bigint")
-    counts = counts.groupBy("lang", "kind", "token").agg(F.sum("n").alias("n"))
-    top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "token")))
-    sums = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
-    top = top.where(F.col("rank") <= common).drop("rank").withColumnsRenamed({"lang": "l", "kind": "k"})
-    share = sums.where("kind = 'w'").agg(F.sum("total").alias("all"))
-    big = sums.where("kind = 'w'").crossJoin(F.broadcast(share)).where(F.col("total") >= MIN_REFERENCE_SHARE * F.col("all")).select(F.col("lang").alias("big"))
-    rows = top.join(sums, F.col("l").eqNullSafe(F.col("lang")) & (F.col("k") == F.col("kind"))).join(big, F.col("lang").eqNullSafe(F.col("big")), "left_semi")
+    counts = stage(counts.groupBy("lang", "kind", "token").agg(F.sum("n").alias("n")))
+    top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "token"))).where(F.col("rank") <= common)
+    totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total")).withColumn("words", F.max(F.when(F.col("kind") == "w", F.col("total"))).over(Window.partitionBy("lang")))
+    every = totals.where("kind = 'w'").agg(F.sum("total")).first()[0] or 0
+    totals = totals.where(F.col("words") >= MIN_REFERENCE_SHARE * every).withColumnsRenamed({"lang": "l", "kind": "k"})
+    rows = top.join(totals, F.col("l").eqNullSafe(F.col("lang")) & (F.col("k") == F.col("kind"))).select("lang", "kind", "token", "n", "total")
     return pack_references([(r.lang, r.kind, bytes(r.token), r.n, r.total) for r in rows.collect()])
 
 
