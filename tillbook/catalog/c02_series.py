@@ -9,6 +9,12 @@ from tillbook.sources.fixtures import AS_OF
 
 D = "CAST(sale_date AS VARCHAR) AS sale_date"
 
+# Limits and labels of the definition, written out for the oracles.
+RISK_BANDS = ((5, "위험"), (3, "주의"), (2, "관심"))
+SERVICE_BANDS = ((15, "위험"), (10, "주의"), (5, "관심"))
+GRADE_BANDS = ((5, "위험"), (3, "경고"), (1, "주의"))
+MEASURES = (("cook_time", "up", 2), ("accept_time", "up", 2), ("reorder_rate", "down", 4), ("stars", "down", 2))
+
 
 def over(key, day, a, b=0):
     end = "CURRENT ROW" if b == 0 else f"{-b} PRECEDING"
@@ -137,7 +143,7 @@ SCORED = MTD + f""", sc0 AS (SELECT a.*, COALESCE(pm.amt_curr_mtd, 0) AS amt_pre
   SELECT *, {drop_score('ma_14', 'ma_28')} AS score_trend, {drop_score('sum_7d_recent', 'sum_7d_prev')} AS score_7d_total,
     {drop_score('amt_curr_mtd', 'amt_prev_mtd')} AS score_4week_total FROM sc1), sc3 AS (
   SELECT *, score_trend + score_7d_total + score_4week_total AS score FROM sc2), sc4 AS (
-  SELECT *, {band('score', sc.STATUS_LIMITS)} AS status FROM sc3), scored AS (
+  SELECT *, {band('score', RISK_BANDS)} AS status FROM sc3), scored AS (
   SELECT *, COALESCE(lag(status, 7) OVER (PARTITION BY store, manager ORDER BY sale_date), '정상') AS pre_status FROM sc4)"""
 
 
@@ -167,7 +173,7 @@ MSC = MANAGER + f""", m1 AS (SELECT *, {rint(ratio('total_amount', 'total_order_
   m3 AS (SELECT *, {drop_score('ma_14', 'ma_28')} AS score_trend, {drop_score('total_amount', 'prev_1w_same_day')} AS score_total,
     {drop_score('sum_7d_recent', 'sum_7d_prev')} AS score_7d_total, {drop_score('amt_curr_mtd', 'amt_prev_mtd')} AS score_4week_total FROM m2),
   m4 AS (SELECT *, score_trend + score_7d_total + score_4week_total AS score FROM m3),
-  m5 AS (SELECT *, {band('score', sc.STATUS_LIMITS)} AS status FROM m4),
+  m5 AS (SELECT *, {band('score', RISK_BANDS)} AS status FROM m4),
   m6 AS (SELECT *, COALESCE(lag(status, 7) OVER (PARTITION BY manager ORDER BY sale_date), '정상') AS pre_status FROM m5),
   wt AS (SELECT manager, date_trunc('week', sale_date) AS w, {big('sum(total_amount)')} AS amt, {big('sum(settlement_amount)')} AS st FROM md GROUP BY ALL),
   mt AS (SELECT manager, date_trunc('month', sale_date) AS m, {big('sum(total_amount)')} AS amt, {big('sum(settlement_amount)')} AS st FROM md GROUP BY ALL),
@@ -220,7 +226,7 @@ FEE_MTD = f"""CASE WHEN {month_run('sum', 'total_amount', 'store', 'sale_date')}
   {ratio(month_run('sum', '(total_amount - settlement_amount)', 'store', 'sale_date'), month_run('sum', 'total_amount', 'store', 'sale_date'))} END"""
 FEE = SERIES + f""", fee0 AS (SELECT *, {rnd("CASE WHEN total_amount > 0 THEN " + ratio('(total_amount - settlement_amount)', 'total_amount') + " END", 4)} AS fee_ratio
   FROM series) {ratio_sql('fee0', 'fee', 'fee_ratio', FEE_MTD, 'up', 'store', 'sale_date', 4)},
-  fee_t AS (SELECT *, {band('fee_score', sc.STATUS_LIMITS)} AS fee_status FROM fee_s)"""
+  fee_t AS (SELECT *, {band('fee_score', RISK_BANDS)} AS fee_status FROM fee_s)"""
 
 
 @query("fee_ratio_score", f"""WITH {FEE} SELECT * REPLACE (CAST(sale_date AS VARCHAR) AS sale_date),
@@ -245,7 +251,7 @@ def ad_sql(name, clicks, shown):
       {ratio(month_run('sum', clicks, 'store', 'd'), month_run('sum', shown, 'store', 'd'))} END"""
     return f""", {name}_0 AS (SELECT *, {rnd(ratio(clicks, shown), 4)} AS {name} FROM {{src}})
       {ratio_sql(name + '_0', name, name, mtd, 'down', 'store', 'd', 4)},
-      {name}_t AS (SELECT *, {band(name + '_score', sc.STATUS_LIMITS)} AS {name}_status FROM {name}_s),
+      {name}_t AS (SELECT *, {band(name + '_score', RISK_BANDS)} AS {name}_status FROM {name}_s),
       {name}_u AS (SELECT *, {lagged_status('', name + '_status', 'store', 'd', 'pre_' + name + '_status')} FROM {name}_t)"""
 
 
@@ -258,13 +264,13 @@ def ad_effect_score(t):
 
 SERVICE = EVENTS + ", svc AS (SELECT d, store, " + ", ".join(
     f"{rnd(f'avg(amount) FILTER (event_type = {chr(39)}{e}{chr(39)}) / 100.0', g)} AS {m}"
-    for (m, _, g), e in zip(sc.SERVICE_METRICS, ("view", "click", "purchase", "signup"))) + " FROM ev GROUP BY d, store)"
+    for (m, _, g), e in zip(MEASURES, ("view", "click", "purchase", "signup"))) + " FROM ev GROUP BY d, store)"
 
 
 def service(t):
     from tillbook.functions.numbers import rnd as r
 
-    kinds = zip(sc.SERVICE_METRICS, ("view", "click", "purchase", "signup"))
+    kinds = zip(MEASURES, ("view", "click", "purchase", "signup"))
     return t.events.groupBy("d", "store").agg(
         *[r(F.avg(F.when(F.col("event_type") == e, F.col("amount"))) / 100.0, g).alias(m) for (m, _, g), e in kinds]
     )
@@ -272,12 +278,12 @@ def service(t):
 
 def service_sql():
     out, src = "", "svc"
-    for n, bad, g in sc.SERVICE_METRICS:
+    for n, bad, g in MEASURES:
         out += ratio_sql(src, n, n, month_run("avg", n, "store", "d"), bad, "store", "d", g)
         src = f"{n}_s"
-    total = " + ".join(f"{n}_score" for n, _, _ in sc.SERVICE_METRICS)
+    total = " + ".join(f"{n}_score" for n, _, _ in MEASURES)
     return out + f""", svc_t AS (SELECT *, {total} AS service_score_total FROM {src}),
-      svc_u AS (SELECT *, {band('service_score_total', sc.SERVICE_LIMITS)} AS service_status FROM svc_t)"""
+      svc_u AS (SELECT *, {band('service_score_total', SERVICE_BANDS)} AS service_status FROM svc_t)"""
 
 
 @query("service_score", f"""WITH {SERVICE} {service_sql()} SELECT * REPLACE (CAST(d AS VARCHAR) AS d),
@@ -352,7 +358,7 @@ def card_sql():
       {fall('mid_pct', 3, 7)} AS mid_score, {fall('long_pct', 3, 7)} AS long_score, {fall('yoy_pct', 5, 10)} AS yoy_score FROM k1),
     k3 AS (SELECT *, short_score + mid_score + long_score + yoy_score AS total_score FROM k2),
     card AS (SELECT * REPLACE ({rnd('short_pct', 4)} AS short_pct, {rnd('mid_pct', 4)} AS mid_pct, {rnd('long_pct', 4)} AS long_pct,
-      {rnd('yoy_pct', 4)} AS yoy_pct), {band('total_score', sc.SCORECARD_GRADES)} AS grade FROM k3)"""
+      {rnd('yoy_pct', 4)} AS yoy_pct), {band('total_score', GRADE_BANDS)} AS grade FROM k3)"""
 
 
 CARD = HEADS + card_sql()
