@@ -106,15 +106,15 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT_BUCKET) ->
     if max_bits not in (0, 2, 4):  # three segments serve up to five bits, midpoints even numbers
         raise ValueError("max_bits must be 0, 2 or 4")
     variants = _variants(prints)
-    shared = variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stage(variants.join(shared, "key"))
-    cold = members.where(F.col("n") <= hot)
+    crowds = stage(variants.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
+    crowded = variants.join(crowds, "key", "left_semi").select("fp").distinct()
+    some = not crowds.isEmpty()
+    cold = variants.join(crowds, "key", "left_anti") if some else variants
     x = F.col("fp").bitwiseXOR(F.col("other"))
     near = (F.col("fp") < F.col("other")) & (F.bit_count(x) <= max_bits) & (_taken_at(x) == F.shiftright("key", WIDEST))
-    pairs = cold.select("key", "fp").join(cold.select(F.col("key").alias("k"), F.col("fp").alias("other")), (F.col("key") == F.col("k")) & near)
+    pairs = cold.join(cold.select(F.col("key").alias("k"), F.col("fp").alias("other")), (F.col("key") == F.col("k")) & near)
     found = pairs.select(F.col("fp").alias("a"), F.col("other").alias("b"))
-    crowded = members.where(F.col("n") > hot).select("fp").distinct()
-    if crowded.isEmpty():
+    if not some:
         return found
     balls = _balls(crowded, max_bits // 2)
     centres = balls.groupBy("key").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
