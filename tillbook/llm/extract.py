@@ -344,8 +344,11 @@ def extract(pages: list[str], model: BiLstm, vectors: Vectors) -> list[str]:
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", body: str = "html", sample: int = TRAIN_PAGES) -> DataFrame:
     """(page_id, url, text, n_chars), one row for each page."""
-    taken = pages.where(F.col(body).isNotNull()).select(F.col(body).alias("html"), F.xxhash64(F.col(page_id).cast("string")).alias("order")).orderBy("order", F.xxhash64("html")).limit(sample)
-    model = train([r.html for r in taken.collect()])
+    spread = F.xxhash64(F.col(page_id).cast("string"))
+    known = pages.where(F.col(body).isNotNull())
+    first = known.select(spread.alias("spread")).orderBy("spread").limit(sample).agg(F.max("spread")).first()[0]
+    taken = known.where(spread <= first).select(F.col(body).alias("html")).limit(sample).collect() if first is not None else []
+    model = train([r.html for r in taken])
     slim = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(body).alias("html"))
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
