@@ -6,7 +6,7 @@ unbounded group:
 * ``keep_one`` / ``top_k`` filter a ranking window; Spark prunes each map
   partition to k rows per key before the shuffle (WindowGroupLimit).
 * ``attach`` and ``running`` use plain windows for ordinary groups (one shuffle,
-  shared by all windows on the same key). Groups above ``HOT_GROUP_ROWS`` take
+  shared by all windows on the same key). Groups above ``hot_limit`` rows take
   another way: whole-group values are partial aggregates joined back, running
   values go through a range partitioning on (key, order) whose slices carry
   their totals on. Which keys are hot is counted once, on the key column alone.
@@ -27,6 +27,12 @@ from pyspark.sql import functions as F
 from tillbook.session import reliable_checkpoint
 
 HOT_GROUP_ROWS = 2_000_000
+#: Session setting that replaces HOT_GROUP_ROWS: the rows that one task can well hold of a group.
+HOT_CONF = "spark.tillbook.hotGroupRows"
+
+
+def hot_limit(spark) -> int:
+    return int(spark.conf.get(HOT_CONF, str(HOT_GROUP_ROWS)))
 
 
 def col(c) -> Column:
@@ -50,7 +56,7 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 AUTO, ALL = "auto", "all"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows, None when there are none.
 
     At most rows / hot_rows keys come out; they are checkpointed, not collected.
@@ -58,13 +64,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS)
     return hot_counts(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), hot_rows)
 
 
-def hot_counts(sizes: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
+def hot_counts(sizes: DataFrame, hot_rows: int | None = None) -> DataFrame | None:
     """The same from counts (keys, _n) that a job has already."""
-    found = reliable_checkpoint(sizes.where(F.col("_n") > hot_rows).drop("_n"))
+    limit = hot_limit(sizes.sparkSession) if hot_rows is None else hot_rows
+    found = reliable_checkpoint(sizes.where(F.col("_n") > limit).drop("_n"))
     return None if found.isEmpty() else found
 
 
-def resolve_hot(df: DataFrame, keys: Sequence[str], hot, hot_rows: int = HOT_GROUP_ROWS):
+def resolve_hot(df: DataFrame, keys: Sequence[str], hot, hot_rows: int | None = None):
     return hot_keys(df, keys, hot_rows) if isinstance(hot, str) and hot == AUTO else hot
 
 
@@ -136,10 +143,9 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence, specs: dict, ho
     return by_heat(_running)(df, list(keys), order, specs, hot=hot)
 
 
-def running_total(df: DataFrame, order: Sequence, specs: dict, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """The same over the whole table as one group."""
-    few = df.limit(hot_rows + 1).count() <= hot_rows
-    return _running(df, [], order, specs, hot=None if few else ALL)
+def running_total(df: DataFrame, order: Sequence, specs: dict) -> DataFrame:
+    """The same over the whole table as one group, always in slices."""
+    return _running(df, [], order, specs, hot=ALL)
 
 
 def _running(df: DataFrame, keys: Sequence[str], order: Sequence, specs: dict, hot) -> DataFrame:
@@ -187,12 +193,12 @@ def _running(df: DataFrame, keys: Sequence[str], order: Sequence, specs: dict, h
     return reliable_checkpoint(joined.select(*df.columns, *specs))
 
 
-def global_rank(df: DataFrame, value: str, out: str, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+def global_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     """Competition rank (largest first) over the whole table.
 
     Ranks the distinct values, not the rows, so the ordered part is small.
     """
     per_value = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(per_value, [F.col("_v").desc()], {"_upto": ("sum", "_n")}, hot_rows)
+    ranked = running_total(per_value, [F.col("_v").desc()], {"_upto": ("sum", "_n")})
     ranks = ranked.select("_v", (F.col("_upto") - F.col("_n") + 1).alias(out))
     return df.join(ranks, df[value] == ranks["_v"], "left").drop("_v")
