@@ -7,7 +7,7 @@ of a hash of the id), one random offset a source is added, and a document is tak
 step of the sum crosses. As the order goes by size, the words taken follow the target closely.
 
 The prefix sum needs no task with a whole source: documents are ranked in groups of one (source, size, slice of the
-hash), and the groups' offsets come from a running sum over their counts.
+hash), and the groups' offsets come from running sums over counts, over the sizes of a source and the slices of a size.
 
 Defined cases: a null text has no words; a null source is a source of its own, the last; a source without words has a
 target of zero and is not taken; repeated rows are ranked in any order, being equal; an empty table gives an empty result.
@@ -60,8 +60,13 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     key = ["known", "name", "size", "slice"]
     counts = rows.groupBy("source", *key).agg(F.count("*").alias("n"))
     targets = source_targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, total, most)
-    before = F.sum("n").over(Window.partitionBy("known", "name").orderBy("size", "slice").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select(*key, F.coalesce(before, F.lit(0)).alias("before"))
+    back = (Window.unboundedPreceding, -1)
+    by_size = counts.groupBy("known", "name", "size").agg(F.sum("n").alias("n"))
+    smaller = F.sum("n").over(Window.partitionBy("known", "name").orderBy("size").rowsBetween(*back))
+    by_size = by_size.select("known", "name", "size", F.coalesce(smaller, F.lit(0)).alias("smaller"))
+    same = F.sum("n").over(Window.partitionBy("known", "name", "size").orderBy("slice").rowsBetween(*back))
+    starts = counts.withColumn("same", F.coalesce(same, F.lit(0))).join(by_size, ["known", "name", "size"])
+    starts = starts.select(*key, (F.col("smaller") + F.col("same")).alias("before"))
     targets = targets.withColumns({"known": F.col("source").isNotNull(), "name": F.coalesce("source", F.lit(""))}).drop("source")
     starts = starts.join(targets, ["known", "name"])
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy("spread", F.col(f"doc.`{doc_id}`"))))
