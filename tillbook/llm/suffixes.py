@@ -1,6 +1,7 @@
 """Suffix order of many strings by the distributed difference-cover algorithm (modulo three).
 
-Strings are rows (sid, names): names are positive 64-bit numbers, and an end of string sorts below every name. One level
+Strings are rows (sid, names): names are positive 64-bit numbers, and an end of string sorts below every name. A zero is a
+gap: no suffix begins there, and none reads on past it, as the name before a gap occurs once. One level
 sorts the triples at the positions 1 and 2 modulo 3 and numbers them; if numbers repeat, the strings of these numbers are
 ordered first by the same algorithm. The remaining positions are then merged: beside positions 1 modulo 3 they go by
 (name, place of the next suffix), beside positions 2 modulo 3 by (name, name, place of the one after), and a suffix's
@@ -16,13 +17,22 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from tillbook.session import stage
 
 MAX_LEVELS = 12
 
 
+def release(*staged: DataFrame) -> None:
+    """Remove staged tables whose readers are staged themselves."""
+    for df in staged:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def looked_up(values: dict[int, int], key: str):
     """A column: the value of each key, keys being small numbers."""
     known = [values.get(i, 0) for i in range(max(values, default=0) + 1)]
@@ -34,11 +44,16 @@ def range_sorted(rows: DataFrame, keys: list[str], ties: list[str]) -> DataFrame
 
 
 def numbered(rows: DataFrame, keys: list[str], ties: list[str]) -> tuple[DataFrame, int, int]:
-    """(ties, number, place): number counts the distinct keys up to a row from 1, place the rows before it. Also both totals."""
-    fields = [rows.schema[t] for t in ties] + [StructField(n, LongType()) for n in ("number", "place")] + [StructField("part", IntegerType()), StructField("edge", BinaryType())]
+    """(ties, number, place, twin): number counts the distinct keys up to a row from 1, place the rows before it. Also both totals.
+
+    twin tells whether another row has the key; it may also be set for the first and last row of a partition.
+    """
+    own = [rows.schema[t] for t in ties]
+    fields = [*own, *(StructField(n, LongType()) for n in ("number", "place")), StructField("twin", BooleanType()), StructField("part", IntegerType()), StructField("edge", BinaryType())]
+    names = [f.name for f in fields]
 
     def run(batches):
-        part, last, number, place = TaskContext.get().partitionId(), None, 0, 0
+        part, last, number, place, held = TaskContext.get().partitionId(), None, 0, 0, None
         for b in batches:
             if not b.num_rows:
                 continue
@@ -51,11 +66,21 @@ def numbered(rows: DataFrame, keys: list[str], ties: list[str]) -> tuple[DataFra
             numbers = number + np.cumsum(new)
             edge = [None] * b.num_rows
             edge[0], edge[-1] = ends[0], ends[1]
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(b.schema.get_field_index(t)) for t in ties), pa.array(numbers), pa.array(place + np.arange(b.num_rows)), pa.array(np.full(b.num_rows, part, np.int32)), pa.array(edge, pa.binary())],
-                names=[f.name for f in fields],
-            )
-            last, number, place = ends[1], int(numbers[-1]), place + b.num_rows
+            twin = ~new
+            twin[:-1] |= ~new[1:]
+            if place == 0:
+                twin[0] = True
+            if held is not None:  # the last row of the batch before, which has met its successor now
+                yield pa.RecordBatch.from_arrays([*held[:-3], pa.array([bool(held[-3][0].as_py() or not new[0])]), *held[-2:]], names=names)
+            made = [
+                *(b.column(b.schema.get_field_index(t)) for t in ties), pa.array(numbers), pa.array(place + np.arange(b.num_rows)),
+                pa.array(twin), pa.array(np.full(b.num_rows, part, np.int32)), pa.array(edge, pa.binary()),
+            ]
+            if b.num_rows > 1:
+                yield pa.RecordBatch.from_arrays([c[:-1] for c in made], names=names)
+            held, last, number, place = [c[-1:] for c in made], ends[1], int(numbers[-1]), place + b.num_rows
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([*held[:-3], pa.array([True]), *held[-2:]], names=names)
 
     found = stage(range_sorted(rows.select(*keys, *ties), keys, ties).mapInArrow(run, StructType(fields)))
     edges = found.where("edge is not null").groupBy("part").agg(F.min_by("edge", "place").alias("first"), F.max_by("edge", "place").alias("last"), F.max("number").alias("number"), F.max("place").alias("place"))
@@ -64,7 +89,7 @@ def numbered(rows: DataFrame, keys: list[str], ties: list[str]) -> tuple[DataFra
     for r in edges.orderBy("part").collect():
         numbers[r.part], places[r.part] = number - (bytes(r["first"]) == before), place
         number, place, before = numbers[r.part] + r.number, place + r.place + 1, bytes(r["last"])
-    out = found.select(*ties, (F.col("number") + looked_up(numbers, "part")).alias("number"), (F.col("place") + looked_up(places, "part")).alias("place"))
+    out = found.select(*ties, (F.col("number") + looked_up(numbers, "part")).alias("number"), (F.col("place") + looked_up(places, "part")).alias("place"), "twin")
     return out, number, place
 
 
@@ -72,14 +97,19 @@ def unpacked(names: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, np.int64) for x in names.to_pylist()]
 
 
+def _closed(names: np.ndarray, sid: int) -> np.ndarray:
+    """The names with an end after them, which gaps are as well."""
+    return np.concatenate((np.where(names > 0, names, -sid - 1), np.full(2, -sid - 1)))
+
+
 def _triples(batches):
     for b in batches:
         out = [[], [], [], [], []]
         for sid, names in zip(b.column(0).to_pylist(), unpacked(b.column(1)), strict=True):
-            j = np.arange(len(names))
+            j = np.flatnonzero(names)
             j = j[j % 3 > 0]
             if len(j):
-                long = np.concatenate((names, np.full(2, -sid - 1)))
+                long = _closed(names, sid)
                 for column, x in zip(out, (long[j], long[j + 1], long[j + 2], np.full(len(j), sid), j), strict=True):
                     column.append(x)
         if out[0]:
@@ -104,75 +134,82 @@ def _numbers_as_strings(batches):
     for b in batches:
         sids, names = [], []
         for sid, (j, v) in zip(b.column(0).to_pylist(), entries(b.column(1)), strict=True):
-            order = np.argsort(j)
-            j, v = j[order], v[order]
+            own = np.zeros(int(j.max()) + 1, np.int64)
+            own[j] = v
             for rest in (1, 2):
                 sids.append(2 * sid + rest - 1)
-                names.append(v[j % 3 == rest].tobytes())
+                names.append(own[rest::3].tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(names, pa.binary())], names=["sid", "names"])
 
 
 def _merge_keys(batches):
-    """Each string's rows for the two merges: with positions 1 modulo 3 (side 1), with positions 2 modulo 3 (side 2)."""
-    names_of = ["side", "x", "y", "z", "rest", "sid", "j", "own"]
+    """Each string's rows for the two merges. kind: 3 * side + position modulo 3, side 1 or 2 being that of the sampled positions."""
+    names_of = ["side", "x", "y", "z", "kind", "sid", "j", "own"]
     for b in batches:
         out = [[] for _ in names_of]
         for sid, names, (js, vs) in zip(b.column(0).to_pylist(), unpacked(b.column(1)), entries(b.column(2)), strict=True):
             n = len(names)
-            long, places = np.concatenate((names, np.full(2, -sid - 1))), np.full(n + 2, -sid - 1)
+            long, places = _closed(names, sid), np.full(n + 2, -sid - 1)
             places[:n] = 0
             np.add.at(places, js, vs)
+            every = np.flatnonzero(names)
             for side in (1, 2):
-                j = np.arange(n)
-                j = j[(j % 3 == 0) | (j % 3 == side)]
+                j = every[(every % 3 == 0) | (every % 3 == side)]
                 second = places[j + 1] if side == 1 else long[j + 1]
                 third = np.zeros(len(j), np.int64) if side == 1 else places[j + 2]
-                for column, x in zip(out, (np.full(len(j), side), long[j], second, third, j % 3, np.full(len(j), sid), j, places[j]), strict=True):
+                for column, x in zip(out, (np.full(len(j), side), long[j], second, third, 3 * side + j % 3, np.full(len(j), sid), j, places[j]), strict=True):
                     column.append(x)
         if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=names_of)
+            columns = [np.concatenate(c).astype(np.int64) for c in out]
+            small = (0, 4)
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if i in small else c) for i, c in enumerate(columns)], names=names_of)
+
+
+MERGE = "side int, x bigint, y bigint, z bigint, kind int, sid bigint, j bigint, own bigint"
+MERGED = "kind int, sid bigint, j bigint, v bigint, c bigint, part int, zeros bigint, ones bigint"
 
 
 def _merged(batches):
-    """Counts, within the partition, of the rows before each row: remaining positions, and sampled ones."""
+    """(kind, sid, j, v, c, part): v and c count, within the partition, the sampled rows and the others before a row, with what is known already."""
     part, zeros, ones = TaskContext.get().partitionId(), 0, 0
     for b in batches:
         if not b.num_rows:
             continue
-        side, rest, sid, j, own = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("side", "rest", "sid", "j", "own"))
-        is0 = (rest == 0).astype(np.int64)
+        kind, sid, j, own = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("kind", "sid", "j", "own"))
+        is0 = (kind % 3 == 0).astype(np.int64)
         c0, c1 = np.cumsum(is0) - is0 + zeros, np.cumsum(1 - is0) - (1 - is0) + ones
         zeros, ones = zeros + int(is0.sum()), ones + int((1 - is0).sum())
         last = np.zeros(b.num_rows, bool)
         last[-1] = True
-        columns = (side, rest, sid, j, own, c0, c1, np.full(b.num_rows, part), np.where(last, zeros, -1), np.where(last, ones, -1))
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["side", "rest", "sid", "j", "own", "c0", "c1", "part", "zeros", "ones"])
+        columns = (kind, sid, j, np.where(is0 == 1, c1, own), c0, np.full(b.num_rows, part, np.int32), np.where(last, zeros, -1), np.where(last, ones, -1))
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "sid", "j", "v", "c", "part", "zeros", "ones"])
 
 
 def places(strings: DataFrame, levels: int = MAX_LEVELS) -> DataFrame:
     """(sid, j, v): the v of a position's rows add up to the number of suffixes before its own.
 
-    With ``levels`` spent, suffixes that agree over 3 ** levels names and more are put in any order.
+    With ``levels`` spent, suffixes that agree over 3 ** (levels + 1) names are put in any order.
     """
     named, distinct, total = numbered(strings.mapInArrow(_triples, "a bigint, b bigint, c bigint, sid bigint, j bigint"), ["a", "b", "c"], ["sid", "j"])
+    used = [named]
     if distinct == total or not levels:
         sample = named.select("sid", "j", F.col("place").alias("v"))
     else:
         shorter = stage(gathered(named, "number").mapInArrow(_numbers_as_strings, "sid bigint, names binary"))
         deeper = places(shorter, levels - 1)
+        used += [shorter, deeper]
         sample = deeper.select(F.shiftright("sid", 1).alias("sid"), (3 * F.col("j") + 1 + F.col("sid") % 2).alias("j"), "v")
     known = strings.join(gathered(sample, "v"), "sid", "left").withColumn("found", F.coalesce("found", F.expr("cast(array() as array<struct<j: bigint, v: bigint>>)")))
-    rows = known.select("sid", "names", "found").mapInArrow(_merge_keys, ", ".join(f"{c} bigint" for c in ("side", "x", "y", "z", "rest", "sid", "j", "own")))
-    kinds = ", ".join(f"{c} bigint" for c in ("side", "rest", "sid", "j", "own", "c0", "c1", "part", "zeros", "ones"))
-    merged = stage(range_sorted(rows, ["side", "x", "y", "z"], ["sid", "j"]).mapInArrow(_merged, kinds))
+    rows = known.select("sid", "names", "found").mapInArrow(_merge_keys, MERGE)
+    merged = stage(range_sorted(rows, ["side", "x", "y", "z"], ["sid", "j"]).mapInArrow(_merged, MERGED))
+    release(*used)
     zeros = ones = 0
     zero_at, one_at = {}, {}
     for r in merged.where("zeros >= 0").groupBy("part").agg(F.max("zeros").alias("zeros"), F.max("ones").alias("ones")).orderBy("part").collect():
         zero_at[r.part], one_at[r.part] = zeros, ones
         zeros, ones = zeros + r.zeros, ones + r.ones
-    first = merged.where("side = 1").agg(F.count(F.when(F.col("rest") == 0, 1)).alias("n0"), F.count(F.when(F.col("rest") != 0, 1)).alias("n1")).first()
-    side2 = F.col("side") == 2
-    c0 = F.col("c0") + looked_up(zero_at, "part") - F.when(side2, first.n0).otherwise(0)
-    c1 = F.col("c1") + looked_up(one_at, "part") - F.when(side2, first.n1).otherwise(0)
-    value = F.when(F.col("rest") != 0, F.col("own") + c0).when(side2, c1).otherwise(c0 + c1)
+    first = merged.where("kind < 6").agg(F.count_if(F.col("kind") == 3).alias("n0"), F.count_if(F.col("kind") != 3).alias("n1")).first()
+    c0 = F.col("c") + looked_up(zero_at, "part") - F.when(F.col("kind") >= 6, first.n0).otherwise(0)
+    c1 = F.col("v") + looked_up(one_at, "part") - F.when(F.col("kind") >= 6, first.n1).otherwise(0)
+    value = F.when(F.col("kind") % 3 != 0, F.col("v") + c0).when(F.col("kind") == 6, c1).otherwise(c0 + c1)
     return merged.select("sid", "j", value.alias("v"))
