@@ -93,27 +93,27 @@ def numbered(rows: DataFrame, keys: list[str], ties: list[str]) -> tuple[DataFra
     return out, number, place
 
 
-def unpacked(names: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.int64) for x in names.to_pylist()]
+class Joined:
+    """The strings of a batch one after the other, each with two ends behind it; gaps are ends as well."""
 
-
-def _closed(names: np.ndarray, sid: int) -> np.ndarray:
-    """The names with an end after them, which gaps are as well."""
-    return np.concatenate((np.where(names > 0, names, -sid - 1), np.full(2, -sid - 1)))
+    def __init__(self, sids: pa.Array, names: pa.Array):
+        packed = names.to_pylist()
+        sizes = np.array([len(x) // 8 for x in packed], np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(sizes + 2)))[:-1]
+        self.sid = np.repeat(sids.to_numpy(), sizes + 2)
+        self.j = np.arange(len(self.sid)) - np.repeat(self.starts, sizes + 2)
+        self.names = np.where(self.j < np.repeat(sizes, sizes + 2), 1, 0)
+        self.names[self.names > 0] = np.frombuffer(b"".join(packed), np.int64)
+        self.begins = np.flatnonzero(self.names > 0)
+        self.names = np.where(self.names > 0, self.names, -self.sid - 1)
 
 
 def _triples(batches):
     for b in batches:
-        out = [[], [], [], [], []]
-        for sid, names in zip(b.column(0).to_pylist(), unpacked(b.column(1)), strict=True):
-            j = np.flatnonzero(names)
-            j = j[j % 3 > 0]
-            if len(j):
-                long = _closed(names, sid)
-                for column, x in zip(out, (long[j], long[j + 1], long[j + 2], np.full(len(j), sid), j), strict=True):
-                    column.append(x)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["a", "b", "c", "sid", "j"])
+        s = Joined(b.column(0), b.column(1))
+        at = s.begins[s.j[s.begins] % 3 > 0]
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (s.names[at], s.names[at + 1], s.names[at + 2], s.sid[at], s.j[at])], names=["a", "b", "c", "sid", "j"])
 
 
 def gathered(rows: DataFrame, value: str) -> DataFrame:
@@ -121,12 +121,17 @@ def gathered(rows: DataFrame, value: str) -> DataFrame:
     return rows.groupBy("sid").agg(F.collect_list(F.struct("j", F.col(value).alias("v"))).alias("found"))
 
 
+def flat_entries(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a gathered column: the row of each entry, its position and its value."""
+    flat, ends = column.flatten(), column.offsets.to_numpy()
+    return np.repeat(np.arange(len(column)), np.diff(ends)), flat.field("j").to_numpy(), flat.field("v").to_numpy()
+
+
 def entries(column: pa.Array):
     """Of each row of a gathered column: positions and values."""
-    flat, ends = column.flatten(), column.offsets.to_numpy()
-    j, v = flat.field("j").to_numpy(), flat.field("v").to_numpy()
-    base = ends[0]
-    for a, z in zip(ends[:-1] - base, ends[1:] - base, strict=True):
+    _, j, v = flat_entries(column)
+    ends = column.offsets.to_numpy() - column.offsets[0].as_py()
+    for a, z in zip(ends[:-1], ends[1:], strict=True):
         yield j[a:z], v[a:z]
 
 
@@ -144,25 +149,20 @@ def _numbers_as_strings(batches):
 
 def _merge_keys(batches):
     """Each string's rows for the two merges. kind: 3 * side + position modulo 3, side 1 or 2 being that of the sampled positions."""
-    names_of = ["side", "x", "y", "z", "kind", "sid", "j", "own"]
     for b in batches:
-        out = [[] for _ in names_of]
-        for sid, names, (js, vs) in zip(b.column(0).to_pylist(), unpacked(b.column(1)), entries(b.column(2)), strict=True):
-            n = len(names)
-            long, places = _closed(names, sid), np.full(n + 2, -sid - 1)
-            places[:n] = 0
-            np.add.at(places, js, vs)
-            every = np.flatnonzero(names)
-            for side in (1, 2):
-                j = every[(every % 3 == 0) | (every % 3 == side)]
-                second = places[j + 1] if side == 1 else long[j + 1]
-                third = np.zeros(len(j), np.int64) if side == 1 else places[j + 2]
-                for column, x in zip(out, (np.full(len(j), side), long[j], second, third, 3 * side + j % 3, np.full(len(j), sid), j, places[j]), strict=True):
-                    column.append(x)
-        if out[0]:
-            columns = [np.concatenate(c).astype(np.int64) for c in out]
-            small = (0, 4)
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32) if i in small else c) for i, c in enumerate(columns)], names=names_of)
+        s = Joined(b.column(0), b.column(1))
+        row, j, v = flat_entries(b.column(2))
+        places = np.where(s.names > 0, 0, s.names)
+        np.add.at(places, s.starts[row] + j, v)
+        rest = s.j % 3
+        out = []
+        for side in (1, 2):
+            at = s.begins[(rest[s.begins] == 0) | (rest[s.begins] == side)]
+            second = places[at + 1] if side == 1 else s.names[at + 1]
+            third = np.zeros(len(at), np.int64) if side == 1 else places[at + 2]
+            out.append((np.full(len(at), side, np.int32), s.names[at], second, third, (3 * side + rest[at]).astype(np.int32), s.sid[at], s.j[at], places[at]))
+        if len(s.begins):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["side", "x", "y", "z", "kind", "sid", "j", "own"])
 
 
 MERGE = "side int, x bigint, y bigint, z bigint, kind int, sid bigint, j bigint, own bigint"
