@@ -10,10 +10,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark import TaskContext
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm import edge
 from tillbook.llm import components, decontaminate, extract, hmm, mixing, quality, queries, repeats, secrets, sharding, simhash, suffixes, urls
+from tillbook.session import stage
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -460,6 +463,22 @@ def test_symbol_probabilities_sum_to_one(spark, docs):
     assert all((r.c + hmm.SMOOTH) / lex.class_size[hmm.ending(bytes(r.word))] <= 1 for r in rare)
 
 
+def test_every_round_runs_in_tasks(spark, monkeypatch, docs):
+    counts = hmm.expected_counts
+
+    def in_task(*a):
+        assert TaskContext.get() is not None
+        return counts(*a)
+
+    monkeypatch.setattr(hmm, "expected_counts", in_task)
+    train = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.lit(False).alias("held_out"), "text")
+    rounds, run = [], hmm.one_round
+    monkeypatch.setattr(hmm, "one_round", lambda *a: rounds.append(1) or run(*a))
+    lex, _ = hmm.lexicon(train)
+    hmm.train(stage(hmm.encode(train, lex)), lex)
+    assert len(rounds) == hmm.ROUNDS
+
+
 # --- Pipeline ----------------------------------------------------------------
 
 

@@ -1,11 +1,10 @@
 """LM scoring by a hidden Markov model over words.
 
 Words are counted over all training documents. The VOCABULARY most frequent words are symbols of their own, every other
-word is the symbol of its ending's class times its share of the class; the end of a document is a symbol too. Baum-Welch
-starts from a bounded sample (START_DOCS training documents, START_ROUNDS rounds on the driver) and then runs
-FULL_ROUNDS rounds over the whole training set: each task adds up the expected transitions and emissions of its
-documents, the sums over tasks give the next model. A text's score is the log10 of its exact probability, by the scaled
-forward recursion over the whole text.
+word is the symbol of its ending's class times its share of the class; the end of a document is a symbol too. Each of the
+ROUNDS rounds of Baum-Welch runs over the whole training set: each task adds up the expected transitions and emissions of
+its documents, the sums over tasks give the next model. A text's score is the log10 of its exact probability, by the
+scaled forward recursion over the whole text.
 
 Counts of the DICTIONARY most frequent words (of at most LONGEST bytes, so of a proven size) travel to the tasks; every
 other word of a text finds its count by a join on the word.
@@ -30,7 +29,7 @@ from tillbook.session import stage
 STATES, VOCABULARY, ENDINGS = 8, 8192, 64
 SYMBOLS = VOCABULARY + ENDINGS
 DICTIONARY, LONGEST = 1 << 18, 64
-START_DOCS, START_ROUNDS, FULL_ROUNDS = 1000, 12, 2
+ROUNDS = 4
 #: Training only: longer documents count as several sequences, and so many tokens are in memory at a time.
 SEQUENCE, TOKENS = 100_000, 1_000_000
 FLUSH_WORDS = 300_000
@@ -255,16 +254,11 @@ def one_round(encoded: DataFrame, model: Hmm) -> np.ndarray:
     return sums
 
 
-def train(encoded: DataFrame, lex: Lexicon, start_docs: int = START_DOCS, start_rounds: int = START_ROUNDS, full_rounds: int = FULL_ROUNDS) -> Hmm:
+def train(encoded: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Hmm:
     """encoded: the training documents."""
     unigram = lex.symbol_counts()
     model = Hmm.first(unigram / max(1.0, unigram.sum()))
-    sample = encoded.orderBy(F.xxhash64("row")).select("symbols").limit(start_docs).toArrow()["symbols"].combine_chunks()
-    if not len(sample):
-        return model
-    for _ in range(start_rounds):
-        model = Hmm.from_counts(sum(expected_counts(model, g) for g in _pieces(sample, SEQUENCE, TOKENS)), unigram)
-    for _ in range(full_rounds):
+    for _ in range(rounds if lex.total else 0):
         model = Hmm.from_counts(one_round(encoded, model), unigram)
     return model
 
