@@ -471,14 +471,30 @@ def test_every_round_runs_in_tasks(spark, monkeypatch, docs):
         return counts(*a)
 
     monkeypatch.setattr(hmm, "expected_counts", in_task)
-    train = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.lit(False).alias("held_out"), "text")
+    train = docs.select("doc_id", F.lit(False).alias("held_out"), "text")
     rounds, run = [], hmm.one_round
     monkeypatch.setattr(hmm, "one_round", lambda *a: rounds.append(1) or run(*a))
-    lex, _ = hmm.lexicon(train)
-    hmm.train(stage(hmm.encode(train, lex)), lex)
+    lex, words = hmm.lexicon(train)
+    hmm.train(stage(hmm.encode(train, lex)), lex, words)
     assert len(rounds) == hmm.ROUNDS
 
 
+def test_every_training_word_has_emissions_of_its_own(spark, monkeypatch, docs):
+    """In the dictionary or by the join: the same scores, and each word's expected counts add up to its count."""
+    whole = {r.doc_id: r.score for r in hmm.score(docs).collect()}
+    monkeypatch.setattr(hmm, "DICTIONARY", 9_000)
+    assert {r.doc_id: r.score for r in hmm.score(docs).collect()} == pytest.approx(whole, rel=1e-3)
+    train = docs.select("doc_id", F.lit(False).alias("held_out"), "text")
+    lex, counts = hmm.lexicon(train)
+    _, table = hmm.train(stage(hmm.encode(train, lex)), lex, counts)
+    rows = {bytes(r.word): r for r in table.collect()}
+    times = {bytes(r.word): r.c for r in counts.collect()}
+    assert len(rows) > 1000 and set(rows) == set(times) - set(lex.index()) - {b""}
+    assert all(r.c == times[w] == pytest.approx(sum(r[e] for e in hmm.SUMS), rel=1e-4) for w, r in rows.items())
+    lean = Counter((hmm.ending(w), max(hmm.SUMS, key=lambda e: r[e])) for w, r in rows.items())
+    assert len(lean) > len({g for g, _ in lean})  # words of one ending lean to several states
+
+
 # --- Pipeline ----------------------------------------------------------------
 
 

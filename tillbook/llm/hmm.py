@@ -1,13 +1,15 @@
 """LM scoring by a hidden Markov model over words.
 
-Words are counted over all training documents. The VOCABULARY most frequent words are symbols of their own, every other
-word is the symbol of its ending's class times its share of the class; the end of a document is a symbol too. Each of the
-ROUNDS rounds of Baum-Welch runs over the whole training set: each task adds up the expected transitions and emissions of
-its documents, the sums over tasks give the next model. A text's score is the log10 of its exact probability, by the
-scaled forward recursion over the whole text.
+Words are counted over all training documents, and every training word has its own emission in every state. The VOCABULARY
+most frequent words are symbols of their own; every other word has, in each state, a share of its ending's class, by its
+expected counts in that state. The end of a document is a symbol too. Each of the ROUNDS rounds of Baum-Welch runs over
+the whole training set: each task adds up the expected transitions and emissions of its documents, the sums over tasks
+give the next model. A text's score is the log10 of its exact probability, by the scaled forward recursion over the whole
+text.
 
-Counts of the DICTIONARY most frequent words (of at most LONGEST bytes, so of a proven size) travel to the tasks; every
-other word of a text finds its count by a join on the word.
+The DICTIONARY most frequent words (of at most LONGEST bytes, so of a proven size) travel to the tasks with their counts
+and expected counts. Those of all other training words are a table (word, c, one sum a state), made anew by every round
+and joined to the distinct words of each block of documents.
 
 Defined cases: a null text is empty and has only its end; a null id counts as the empty text, so its document is held out;
 without training documents all counts are zero; repeated rows are scored one by one; an empty table gives an empty result.
@@ -20,21 +22,29 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.arrow import LOWER, by_batch, utf8
+from tillbook.llm.arrow import LOWER, utf8
+from tillbook.llm.suffixes import release
 from tillbook.session import stage
 
 STATES, VOCABULARY, ENDINGS = 8, 8192, 64
 SYMBOLS = VOCABULARY + ENDINGS
 DICTIONARY, LONGEST = 1 << 18, 64
-ROUNDS = 4
+ROUNDS = 3
+#: Tokens of a block of documents, which share one list of other words; a longer document is a block of its own.
+BLOCK = 4_000_000
 #: Training only: longer documents count as several sequences, and so many tokens are in memory at a time.
 SEQUENCE, TOKENS = 100_000, 1_000_000
 FLUSH_WORDS = 300_000
 SMOOTH = 0.1
+#: Expected counts leave a block as whole numbers of this part, near the precision of the recursion; so their sums have no order.
+PART = 2.0**-20
 END = b""
+#: Columns of a word's expected counts.
+SUMS = [f"e{k}" for k in range(STATES)]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -63,7 +73,7 @@ def _count(batches):
 
 
 class Lexicon:
-    """The frequent words and what each adds to a score; symbol numbers, the end being symbol 0."""
+    """The frequent words with their counts and symbols, the end being word and symbol 0."""
 
     def __init__(self, words: list[bytes], counts: list[int], total: int, distinct: int, classes: dict[int, tuple[int, int]]):
         """words by falling count, without the end, whose count comes first in counts. classes: ending -> (sum, words) of all but the end."""
@@ -74,13 +84,10 @@ class Lexicon:
         for g, c in zip(ends[: VOCABULARY - 1].tolist(), counts[1:VOCABULARY], strict=True):
             known[g][0] -= c
             known[g][1] -= 1
+        self.class_counts = np.array([s for s, _ in known], np.float64)
         self.class_size = np.array([s + SMOOTH * (n + 1) for s, n in known])
-        self.symbol = np.arange(len(words) + 1)
-        self.symbol[VOCABULARY:] = VOCABULARY + ends[VOCABULARY - 1 :]
-        self.base = np.log10((self.counts + SMOOTH) / self.base_size)
-        self.share = np.zeros(len(words) + 1)
-        rare = self.symbol >= VOCABULARY
-        self.share[rare] = np.log10((self.counts[rare] + SMOOTH) / self.class_size[self.symbol[rare] - VOCABULARY])
+        #: Ending classes of the words from VOCABULARY on.
+        self.rare = ends[VOCABULARY - 1 :]
 
     @property
     def base_size(self) -> float:
@@ -92,7 +99,17 @@ class Lexicon:
 
     def symbol_counts(self) -> np.ndarray:
         """Training counts of the symbols."""
-        return np.concatenate([np.bincount(self.symbol[: len(self.counts)][:VOCABULARY], self.counts[:VOCABULARY], VOCABULARY)[:VOCABULARY], np.maximum(0, self.class_size - SMOOTH)])
+        own = np.zeros(VOCABULARY)
+        own[: len(self.counts[:VOCABULARY])] = self.counts[:VOCABULARY]
+        return np.concatenate([own, np.maximum(0, self.class_size - SMOOTH)])
+
+    def shares(self, g: np.ndarray, c: np.ndarray, sums: np.ndarray, class_sums: np.ndarray) -> np.ndarray:
+        """(states x words): the share each word has of its class g, from its count c and its expected counts, sums.
+
+        In a state the shares of a class and one unseen word add up to one; without expected counts they follow c.
+        """
+        scaled = (self.class_counts[g] * sums + c) / (class_sums[:, g] + 1)
+        return (scaled + SMOOTH) / self.class_size[g]
 
 
 def lexicon(train: DataFrame, text: str = "text") -> tuple[Lexicon, DataFrame]:
@@ -106,40 +123,53 @@ def lexicon(train: DataFrame, text: str = "text") -> tuple[Lexicon, DataFrame]:
 
 
 def encode(rows: DataFrame, lex: Lexicon) -> DataFrame:
-    """rows (row, doc_id, held_out, text) -> symbols as 16-bit numbers, sums over the dictionary's words, the other words."""
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "share", "symbols", "others"]
-    other = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64()), ("g", pa.int32())]))
+    """rows (doc_id, held_out, text) -> blocks of documents: their words as 32-bit numbers, the block's other words numbered after the dictionary's."""
+    names = ["block", "held_out", "doc_ids", "lengths", "words", "others"]
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         index = lex.index()
+        first, made = len(lex.counts), TaskContext.get().partitionId() << 32
+        ids, words, held, others = ({False: kind(), True: kind()} for kind in (list, list, Counter, dict))
 
-        def one(text: bytes) -> tuple:
-            words = words_of(text)
-            at = np.array([index.get(w, -1) for w in words] + [0], np.int64)
-            missing = np.flatnonzero(at < 0).tolist()
-            symbols = lex.symbol[at]
-            others = Counter(words[i] for i in missing)
-            for i in missing:
-                symbols[i] = VOCABULARY + ending(words[i])
-            known = at[at >= 0]
-            return len(at), int((lex.counts[known] > 0).sum()), float(lex.base[known].sum()), float(lex.share[known].sum()), symbols.astype("<u2").tobytes(), [{"word": w, "n": n, "g": ending(w)} for w, n in others.items()]
-
-        def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = [one(t) for t in utf8(batch.column(3))]
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), other)
-            return pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], names=names)
-
-        yield from by_batch(encoded)(batches)
+        def packed(flag: bool) -> pa.RecordBatch:
+            nonlocal made
+            made += 1
+            cells = made, flag, pa.array(ids[flag], id_type), pa.array(map(len, words[flag]), pa.int64()), np.concatenate(words[flag]).tobytes(), pa.array(others[flag], pa.binary())
+            kinds = pa.int64(), pa.bool_(), pa.list_(id_type), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.binary())
+            ids[flag], words[flag], held[flag], others[flag] = [], [], Counter(), {}
+            return pa.RecordBatch.from_arrays([pa.array([c], type=k) for c, k in zip(cells, kinds, strict=True)], names=names)
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, share double, symbols binary, others array<struct<word: binary, n: bigint, g: int>>")
+        for batch in batches:
+            id_type = batch.column(0).type
+            for doc_id, flag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
+                found = words_of(text)
+                if ids[flag] and held[flag]["tokens"] + len(found) >= BLOCK:
+                    yield packed(flag)
+                more = others[flag]
+                at = [index[w] if w in index else first + more.setdefault(w, len(more)) for w in found]
+                ids[flag].append(doc_id)
+                words[flag].append(np.array([*at, 0], "<u4"))
+                held[flag]["tokens"] += len(at) + 1
+        for flag in (False, True):
+            if ids[flag]:
+                yield packed(flag)
+
+    return rows.mapInArrow(run, f"block bigint, held_out boolean, doc_ids array<{kind}>, lengths array<bigint>, words binary, others array<binary>")
 
 
 class Hmm:
-    """start (states), move (states x states), emit (states x symbols)."""
+    """start (states), move (states x states), emit (states x symbols); expected counts of the dictionary's words from VOCABULARY on, and of the classes (states x each)."""
+
+    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray, rare: np.ndarray | float = 0.0, class_sums: np.ndarray | None = None):
+        self.start, self.move, self.emit, self.rare = start, move, emit, rare
+        self.class_sums = np.zeros((len(start), ENDINGS)) if class_sums is None else class_sums
 
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit
+    def over(self, lex: Lexicon, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> Hmm:
+        """The model with an emission for each word: the dictionary's, then the others given by class, count and expected counts."""
+        rare = self.emit[:, VOCABULARY + lex.rare] * lex.shares(lex.rare, lex.counts[VOCABULARY:], self.rare, self.class_sums)
+        other = self.emit[:, VOCABULARY + g] * lex.shares(g, c, sums, self.class_sums)
+        return Hmm(self.start, self.move, np.concatenate([self.emit[:, : len(lex.counts[:VOCABULARY])], rare, other], axis=1))
 
     @classmethod
     def first(cls, unigram: np.ndarray, seed: int = 11) -> Hmm:
@@ -221,10 +251,9 @@ def expected_counts(model: Hmm, sequences: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([forward[: alive[0]].sum(axis=0, dtype=np.float64), (moves * model.move).reshape(-1), *emissions])
 
 
-def _pieces(column: pa.Array, longest: int, tokens: int):
-    """The symbol sequences of a batch in groups of so many tokens, the longest first; longer ones cut."""
-    rows = [np.frombuffer(b, "<u2").astype(np.int64) for b in column.to_pylist()]
-    rows = sorted((r[at : at + longest] for r in rows for at in range(0, len(r), longest)), key=len, reverse=True)
+def _pieces(sequences: list[np.ndarray], longest: int, tokens: int):
+    """The sequences in groups of so many tokens, the longest first; longer ones cut."""
+    rows = sorted((r[at : at + longest] for r in sequences for at in range(0, len(r), longest)), key=len, reverse=True)
     group, held = [], 0
     for r in rows:
         group.append(r)
@@ -236,58 +265,89 @@ def _pieces(column: pa.Array, longest: int, tokens: int):
         yield group
 
 
-def one_round(encoded: DataFrame, model: Hmm) -> np.ndarray:
-    """Expected counts over all documents given: sums in each task, then over tasks."""
-    size = STATES + STATES**2 + STATES * model.emit.shape[1]
-
-    def run(batches):
-        sums = np.zeros(size)
-        for batch in batches:
-            for group in _pieces(batch.column(0), SEQUENCE, TOKENS):
-                sums += expected_counts(model, group)
-        at = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at])], names=["i", "v"])
-
-    found = encoded.select("symbols").mapInArrow(run, "i bigint, v double").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
-    sums = np.zeros(size)
-    sums[found["i"].to_numpy()] = found["v"].to_numpy()
-    return sums
-
-
-def train(encoded: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> Hmm:
-    """encoded: the training documents."""
+def _with_words(blocks: DataFrame, table: DataFrame, fn, schema: str) -> DataFrame:
+    """fn(a block, its other words' classes, counts and expected counts) -> a table of the schema, for each block. table: (word, c, the sums)."""
+    by_end = (F.crc32(F.substring("word", -2, 2)) % ENDINGS).cast("int").alias("g")
+    pairs = blocks.select(F.col("block").alias("of"), F.posexplode("others").alias("at", "word")).join(table, "word", "left")
+    pairs = pairs.select("of", "at", by_end, F.coalesce("c", F.lit(0)).alias("c"), *(F.coalesce(e, F.lit(0)).cast("float").alias(e) for e in SUMS))
+
+    def run(block: pa.Table, words: pa.Table) -> pa.Table:
+        words = words.sort_by("at")
+        g, c, sums = words["g"].to_numpy(), words["c"].to_numpy(), np.array([words[e].to_numpy() for e in SUMS], np.float64)
+        return fn({n: block[n][0] for n in block.column_names}, g.astype(np.int64), c, sums)
+
+    return blocks.groupBy("block").cogroup(pairs.groupBy("of")).applyInArrow(run, schema)
+
+
+def _sequences(block: dict) -> list[np.ndarray]:
+    words = np.frombuffer(block["words"].as_py(), "<u4").astype(np.int64)
+    return np.split(words, np.cumsum(block["lengths"].values.to_numpy())[:-1])
+
+
+def one_round(blocks: DataFrame, table: DataFrame, lex: Lexicon, model: Hmm) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """Expected counts over all blocks, summed in each, then over all: those of the model's symbols, those of the dictionary's words from VOCABULARY on, the table of the others."""
+    known = len(lex.counts)
+    shared = blocks.sparkSession.sparkContext.broadcast((lex, model))
+
+    def run(block: dict, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
+        lex, model = shared.value
+        whole, sequences = model.over(lex, g, c, sums), _sequences(block)
+        start, move, emit = split_counts(sum(expected_counts(whole, p) for p in _pieces(sequences, SEQUENCE, TOKENS)), known + len(g))
+        seen = np.flatnonzero(emit[:, :known].any(axis=0))
+        times = np.bincount(np.concatenate(sequences), minlength=known + len(g))[known:]
+        classes = np.array([np.bincount(g, e, ENDINGS) for e in emit[:, known:]])
+        # Numbered rows: the dictionary's words, the classes of other words, the start, the moves; then the other words themselves.
+        at = np.concatenate([seen, np.arange(known, known + ENDINGS + 1 + STATES), np.full(len(g), -1)])
+        values = np.concatenate([emit[:, seen], classes, start[:, None], move.T, emit[:, known:]], axis=1)
+        none = len(at) - len(g)
+        word = pa.concat_arrays([pa.nulls(none, pa.binary()), block["others"].values.cast(pa.binary())])
+        return pa.table([pa.array(at, pa.int32()), word, pa.array(np.concatenate([np.zeros(none, np.int64), times])), *map(pa.array, np.rint(values / PART).astype(np.int64))], names=["i", "word", "c", *SUMS])
+
+    found = _with_words(blocks, table, run, f"i int, word binary, c bigint, {', '.join(f'{e} bigint' for e in SUMS)}")
+    found = stage(found.groupBy("i", "word").agg(F.sum("c").alias("c"), *((F.sum(e) * PART).alias(e) for e in SUMS)))
+    blocks.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of this round
+    dense = found.where("i >= 0").select("i", *SUMS).toArrow()
+    sums = np.zeros((STATES, known + ENDINGS + 1 + STATES))
+    sums[:, dense["i"].to_numpy()] = [dense[e].to_numpy() for e in SUMS]
+    words, classes, start, move = np.split(sums, [known, known + ENDINGS, known + ENDINGS + 1], axis=1)
+    emit = np.zeros((STATES, SYMBOLS))
+    emit[:, : len(lex.counts[:VOCABULARY])], rare = words[:, :VOCABULARY], words[:, VOCABULARY:]
+    emit[:, VOCABULARY:] = classes + [np.bincount(lex.rare, e, ENDINGS) for e in rare]
+    return np.concatenate([start.reshape(-1), move.T.reshape(-1), emit.reshape(-1)]), rare, found.where("i < 0").drop("i")
+
+
+def train(blocks: DataFrame, lex: Lexicon, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Hmm, DataFrame]:
+    """blocks: of the training documents. counts: (word, c). The model, and the table of the words that are not in the dictionary."""
     unigram = lex.symbol_counts()
     model = Hmm.first(unigram / max(1.0, unigram.sum()))
-    for _ in range(rounds if lex.total else 0):
-        model = Hmm.from_counts(one_round(encoded, model), unigram)
-    return model
-
-
-def likelihoods(encoded: DataFrame, model: Hmm) -> DataFrame:
-    """(row, hmm): log10 probability of each document's symbols."""
-
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = log10_likelihoods(model, [np.frombuffer(b, "<u2").astype(np.int64) for b in batch.column(1).to_pylist()])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["row", "hmm"])
-
-    return encoded.select("row", "symbols").mapInArrow(by_batch(rows), "row bigint, hmm double")
+    table = counts.select("word", "c", *(F.lit(0.0).alias(e) for e in SUMS))
+    for n in range(rounds if lex.total else 0):
+        sums, rare, made = one_round(blocks, table, lex, model)
+        if n:
+            release(table)
+        model, table = Hmm.from_counts(sums, unigram), made
+        model.rare, model.class_sums = rare, split_counts(sums, SYMBOLS)[2][:, VOCABULARY:]
+    return model, table
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row for each document."""
     fold = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 10
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), (fold == 0).alias("held_out"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), (fold == 0).alias("held_out"), F.col(text).alias("text"))
     lex, counts = lexicon(rows.where("not held_out"))
-    encoded = stage(encode(rows, lex))
-    model = train(encoded.where("not held_out"), lex)
-    sizes = F.element_at(F.array(*(F.lit(float(x)) for x in lex.class_size)), F.col("g") + 1)
-    others = encoded.select("row", F.inline("others")).join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    others = others.groupBy("row").agg(
-        F.sum(F.col("n") * F.log10((F.col("c") + SMOOTH) / lex.base_size)).alias("other_base"), F.sum(F.col("n") * F.log10((F.col("c") + SMOOTH) / sizes)).alias("other_share"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("other_known"),
-    )
-    whole = likelihoods(encoded, model).join(encoded.drop("symbols", "others"), "row").join(others, "row", "left")
-    nothing = F.lit(0)
-    return whole.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("other_known", nothing)).alias("n_known"), F.lit(lex.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("other_base", nothing)).alias("base_score"), (F.col("hmm") + F.col("share") + F.coalesce("other_share", nothing)).alias("score"),
-    )
+    blocks = stage(encode(rows, lex))
+    model, table = train(blocks.where("not held_out"), lex, counts)
+    shared = docs.sparkSession.sparkContext.broadcast((lex, model))
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def run(block: dict, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
+        lex, model = shared.value
+        sequences, counts = _sequences(block), np.concatenate([lex.counts, c])
+        base, whole = np.log10((counts + SMOOTH) / lex.base_size), model.over(lex, g, c, sums)
+        found = log10_likelihoods(whole, sequences)
+        n = len(sequences)
+        out = [block["doc_ids"].values, pa.array([block["held_out"].as_py()] * n), pa.array([len(q) for q in sequences]), pa.array([int((counts[q] > 0).sum()) for q in sequences])]
+        return pa.table([*out, pa.array([lex.total] * n, pa.int64()), pa.array([float(base[q].sum()) for q in sequences]), pa.array(found)], names=names)
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return _with_words(blocks, table, run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
