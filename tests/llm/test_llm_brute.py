@@ -277,6 +277,14 @@ def test_quality_keeps_good_and_rejects_junk(spark, docs):
     assert sorted(r.doc_id for r in quality.keep_good(docs).collect()) == sorted(d for d, r in rows.items() if r.kept)
 
 
+def test_short_junk_is_judged_by_its_characters(spark, docs):
+    junk = "%%% *** ### win@@ $$$ 777 && <<< " * 7
+    junk = " ".join(f"{w}{i}" for i, w in enumerate(junk.split()[:40]))  # no word twice, so the base rules pass
+    row = quality.quality(docs.select("doc_id", "text", "lang").union(spark.createDataFrame([(-1, junk, "en")], "a bigint, b string, c string"))).where("doc_id = -1").first()
+    assert 200 <= len(junk) < 400 and not row.base_failed and row.word_distance is None
+    assert row.class_distance > quality.MAX_CLASS_DISTANCE and not row.kept
+
+
 def test_js_distance():
     refs = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0]])
     assert np.allclose(quality.js_distance(np.array([2, 2, 0]), refs), [0, 1])
