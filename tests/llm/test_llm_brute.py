@@ -285,6 +285,14 @@ def test_short_junk_is_judged_by_its_characters(spark, docs):
     assert row.class_distance > quality.MAX_CLASS_DISTANCE and not row.kept
 
 
+def test_a_rare_language_has_its_reference(spark, docs):
+    more = [(-1, " ".join(f"zo{chr(97 + i % 26)}ra{i}" for i in range(60)), "zz"), (-2, " ".join(f"鮪{i}鯨" for i in range(60)), "yy"), (-3, "", "ww")]
+    mixed = docs.select("doc_id", "text", "lang").union(spark.createDataFrame(more, "a bigint, b string, c string"))
+    rows = {r.doc_id: r for r in quality.quality(mixed).collect()}
+    assert len(rows) == docs.count() + 3 and rows[-1].kept and rows[-2].kept and not rows[-3].kept
+    assert sorted(r.doc_id for r in quality.keep_good(mixed).collect()) == sorted(d for d, r in rows.items() if r.kept)
+
+
 def test_js_distance():
     refs = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0]])
     assert np.allclose(quality.js_distance(np.array([2, 2, 0]), refs), [0, 1])

@@ -2,11 +2,12 @@
 
 References come from all documents of a language: a histogram over character classes, and one over the language's most
 common words (the rest of the words is one more bin). A document is compared with every reference by Jensen-Shannon
-distance (base 2, so 0 to 1) and goes by the nearest, which forgives a wrong or missing language tag.
+distance (base 2, so 0 to 1) and goes by the nearest, which forgives a wrong or missing language tag. References of
+languages with less than ``MIN_REFERENCE_SHARE`` of all words, of which there may be any number, stay a table and are
+joined to the documents of their language.
 
-Defined cases: a null text has no words and fails the base rules; a null language is a language of its own; languages
-with less than ``MIN_REFERENCE_SHARE`` of all words give no reference; documents under the length guards are not judged
-by that histogram, and with no reference at all only the base rules hold. Repeated rows are judged one by one.
+Defined cases: a null text has no words and fails the base rules; a null language is a language of its own; documents
+under the length guards are not judged by that histogram. Repeated rows are judged one by one.
 """
 
 from __future__ import annotations
@@ -102,20 +103,34 @@ def _counts(batches):
         yield packed(out)
 
 
-def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON_WORDS) -> tuple[np.ndarray, dict[bytes, int], np.ndarray]:
-    """Class histograms (languages x classes), the common words, word histograms (languages x words + 1).
+def language_references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON_WORDS) -> tuple[tuple, list, DataFrame | None]:
+    """The references of the common languages (see ``pack_references``), these languages, and a table (l, own) of the other languages' reference rows.
 
-    Counts cover all documents. Only the common words of languages above a share of all words, so of at most
-    1 / MIN_REFERENCE_SHARE languages, come to the driver.
+    Counts cover all documents. Only the words of languages above a share of all words, so of at most
+    1 / MIN_REFERENCE_SHARE languages, come to the driver. There is no table without other languages.
     """
     counts = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).mapInArrow(_counts, "lang string, kind string, token binary, n bigint")
     counts = stage(counts.groupBy("lang", "kind", "token").agg(F.sum("n").alias("n")))
     top = counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "token"))).where(F.col("rank") <= common)
     totals = counts.groupBy("lang", "kind").agg(F.sum("n").alias("total")).withColumn("words", F.max(F.when(F.col("kind") == "w", F.col("total"))).over(Window.partitionBy("lang")))
     every = totals.where("kind = 'w'").agg(F.sum("total")).first()[0] or 0
-    totals = totals.where(F.col("words") >= MIN_REFERENCE_SHARE * every).withColumnsRenamed({"lang": "l", "kind": "k"})
-    rows = top.join(totals, F.col("l").eqNullSafe(F.col("lang")) & (F.col("k") == F.col("kind"))).select("lang", "kind", "token", "n", "total")
-    return pack_references([(r.lang, r.kind, bytes(r.token), r.n, r.total) for r in rows.collect()])
+    totals = totals.where("words > 0").withColumnsRenamed({"lang": "l", "kind": "k"})
+    rows = top.join(totals, F.col("l").eqNullSafe(F.col("lang")) & (F.col("k") == F.col("kind"))).select("lang", "kind", "token", "n", "total", (F.col("words") >= MIN_REFERENCE_SHARE * every).alias("common"))
+    rows = stage(rows)
+    found = [(r.lang, r.kind, bytes(r.token), r.n, r.total) for r in rows.where("common").collect()]
+    rare = rows.where("not common")
+    own = rare.groupBy(F.col("lang").alias("l")).agg(F.collect_list(F.struct("kind", "token", "n", "total")).alias("own"))
+    return pack_references(found), list({r[0] for r in found}), None if rare.isEmpty() else stage(own)
+
+
+def with_own(df: DataFrame, key: str, langs: list, rare: DataFrame | None) -> DataFrame:
+    """df and a last column: the reference rows of a document's language where that is none of langs."""
+    nothing = F.lit(None).cast("array<struct<kind: string, token: binary, n: bigint, total: bigint>>")
+    if rare is None:
+        return df.withColumn("own", nothing)
+    lang = F.col(key).cast("string")
+    common = F.when(lang.isNull(), F.lit(None in langs)).otherwise(lang.isin([x for x in langs if x is not None]))
+    return df.where(common).withColumn("own", nothing).union(df.where(~common).join(rare, lang.eqNullSafe(F.col("l")), "left").drop("l"))
 
 
 def pack_references(rows) -> tuple[np.ndarray, dict[bytes, int], np.ndarray]:
@@ -148,11 +163,12 @@ def distances(text: bytes, words: list[bytes], refs) -> tuple[float | None, floa
     return by_class, by_word
 
 
-def judge(text: bytes, refs) -> tuple:
-    """The row of counts and verdicts for one text."""
+def judge(text: bytes, refs, own=None) -> tuple:
+    """The row of counts and verdicts for one text; own: the references of its language, if not in refs."""
     *counts, words = base_counts(text)
     failed = fails_base(counts[0], counts[4])
-    by_class, by_word = distances(text, words, refs)
+    found = [distances(text, words, r) for r in (refs, own) if r]
+    by_class, by_word = (min((d for d in kind if d is not None), default=None) for kind in zip(*found, strict=True))
     far = (by_class or 0) > MAX_CLASS_DISTANCE or (by_word or 0) > MAX_WORD_DISTANCE
     return (*counts, failed, not failed and not far, by_class, by_word)
 
@@ -160,26 +176,35 @@ def judge(text: bytes, refs) -> tuple:
 NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "class_distance", "word_distance")
 
 
+def _judged(texts: pa.Array, own: pa.Array, refs) -> list[tuple]:
+    rows = [x and pack_references([("", r["kind"], r["token"], r["n"], r["total"]) for r in x]) for x in own.to_pylist()]
+    return [judge(t, refs, x) for t, x in zip(utf8(texts), rows, strict=True)]
+
+
 def quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row for each document: counts, base verdict, verdict, distances."""
-    refs = docs.sparkSession.sparkContext.broadcast(language_references(docs, text, lang))
+    found, langs, rare = language_references(docs, text, lang)
+    refs = docs.sparkSession.sparkContext.broadcast(found)
     kinds = (pa.int64(),) * 5 + (pa.bool_(),) * 2 + (pa.float64(),) * 2
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = [judge(t, refs.value) for t in utf8(batch.column(1))]
+        out = _judged(batch.column(1), batch.column(2), refs.value)
         return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, type=k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], names=["doc_id", *NAMES])
 
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     schema = f"doc_id {slim.schema[0].dataType.simpleString()}, {', '.join(f'{n} bigint' for n in NAMES[:5])}, base_failed boolean, kept boolean, class_distance double, word_distance double"
-    return slim.mapInArrow(by_batch(rows), schema)
+    return with_own(slim, "lang", langs, rare).drop("lang").mapInArrow(by_batch(rows), schema)
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The documents that pass, with all their columns."""
-    refs = docs.sparkSession.sparkContext.broadcast(language_references(docs, text, lang))
+    found, langs, rare = language_references(docs, text, lang)
+    refs = docs.sparkSession.sparkContext.broadcast(found)
     at = docs.columns.index(text)
 
     def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array([judge(t, refs.value)[6] for t in utf8(batch.column(at))], type=pa.bool_()))
+        return batch.filter(pa.array([r[6] for r in _judged(batch.column(at), batch.column(batch.num_columns - 1), refs.value)], type=pa.bool_()))
 
-    return map_rows(docs, by_batch(rows))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    wide = with_own(docs.toDF(*names), names[docs.columns.index(lang)], langs, rare)
+    return map_rows(wide, by_batch(rows)).drop("own").toDF(*docs.columns)
