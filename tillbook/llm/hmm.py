@@ -305,7 +305,6 @@ def one_round(blocks: DataFrame, table: DataFrame, lex: Lexicon, model: Hmm) ->
 
     found = _with_words(blocks, table, run, f"i int, word binary, c bigint, {', '.join(f'{e} bigint' for e in SUMS)}")
     found = stage(found.groupBy("i", "word").agg(F.sum("c").alias("c"), *((F.sum(e) * PART).alias(e) for e in SUMS)))
-    blocks.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of this round
     dense = found.where("i >= 0").select("i", *SUMS).toArrow()
     sums = np.zeros((STATES, known + ENDINGS + 1 + STATES))
     sums[:, dense["i"].to_numpy()] = [dense[e].to_numpy() for e in SUMS]
