@@ -33,7 +33,7 @@ from tillbook.session import stage
 STATES, VOCABULARY, ENDINGS = 8, 8192, 64
 SYMBOLS = VOCABULARY + ENDINGS
 DICTIONARY, LONGEST = 1 << 18, 64
-ROUNDS = 3
+ROUNDS = 4
 #: Tokens of a block of documents, which share one list of other words; a longer document is a block of its own.
 BLOCK = 4_000_000
 #: Training only: longer documents count as several sequences, and so many tokens are in memory at a time.
