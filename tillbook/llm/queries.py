@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm import decontaminate, extract, hmm, mixing, quality, repeats, secrets, sharding, simhash, urls
+from tillbook.llm import decontaminate, extract, hmm, infill, mixing, quality, repeats, secrets, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -145,3 +145,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_lm_scoring")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op13_fill_in_middle",
+    r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS body, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+x AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS h2,
+  CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4, body = '' OR strpos(body, '<P>') > 0 OR strpos(body, '<S>') > 0 OR strpos(body, '<M>') > 0 AS is_plain FROM d),
+p AS (SELECT *, array_to_string(u[1:least(h1, h2)], '') AS prefix, array_to_string(u[least(h1, h2) + 1:greatest(h1, h2)], '') AS middle, array_to_string(u[greatest(h1, h2) + 1:], '') AS suffix FROM x),
+f AS (SELECT *, CASE WHEN is_plain THEN 'plain' WHEN h4 < 50 THEN 'spm' ELSE 'psm' END AS form FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN body WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN body ELSE prefix || middle || suffix END) AS restored_sha256 FROM f""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"))
