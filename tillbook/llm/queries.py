@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.llm import decontaminate, extract, hmm, infill, mixing, quality, repeats, secrets, sharding, simhash, urls
+from tillbook.llm import decontaminate, extract, hmm, infill, mixing, phrases, quality, repeats, secrets, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -161,3 +161,29 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BI
 )
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_phrase_collocations",
+    r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+c1 AS (SELECT lang, phrase, CAST(count(*) AS HUGEINT) AS f FROM (SELECT lang, unnest(w) AS phrase FROM w) GROUP BY ALL),
+c2 AS (SELECT lang, x, y, x || ' ' || y AS phrase, CAST(count(*) AS HUGEINT) AS f FROM (SELECT lang, v.x AS x, v.y AS y FROM (SELECT lang, unnest([{'x': w[i], 'y': w[i + 1]} FOR i IN range(1, len(w))]) AS v FROM w)) GROUP BY ALL),
+c3 AS (SELECT lang, x, y, z, x || ' ' || y || ' ' || z AS phrase, CAST(count(*) AS HUGEINT) AS f
+  FROM (SELECT lang, v.x AS x, v.y AS y, v.z AS z FROM (SELECT lang, unnest([{'x': w[i], 'y': w[i + 1], 'z': w[i + 2]} FOR i IN range(1, len(w) - 1)]) AS v FROM w)) GROUP BY ALL),
+s3 AS (SELECT c3.lang, c3.phrase, c3.x, c3.y, c3.z, c3.f AS a, p.f AS fx, q.f AS fyz, r.f AS fxy, s.f AS fz, 1000000 * c3.f * c3.f // (p.f * q.f) AS one, 1000000 * c3.f * c3.f // (r.f * s.f) AS two
+  FROM c3 JOIN c1 p ON p.lang = c3.lang AND p.phrase = c3.x JOIN c2 q ON q.lang = c3.lang AND q.x = c3.y AND q.y = c3.z
+  JOIN c2 r ON r.lang = c3.lang AND r.x = c3.x AND r.y = c3.y JOIN c1 s ON s.lang = c3.lang AND s.phrase = c3.z WHERE c3.f >= 10),
+held AS (SELECT lang, x, y, max(a) AS most FROM (SELECT lang, x, y, a FROM s3 UNION ALL SELECT lang, y, z, a FROM s3) GROUP BY lang, x, y),
+s2 AS (SELECT c2.lang, c2.phrase, c2.f AS a, p.f AS l, q.f AS r, 1000000 * c2.f * c2.f // (p.f * q.f) AS score
+  FROM c2 JOIN c1 p ON p.lang = c2.lang AND p.phrase = c2.x JOIN c1 q ON q.lang = c2.lang AND q.phrase = c2.y LEFT JOIN held h ON h.lang = c2.lang AND h.x = c2.x AND h.y = c2.y
+  WHERE c2.f >= 10 AND (h.most IS NULL OR 100 * h.most < 50 * c2.f)),
+every AS (SELECT * FROM s2 UNION ALL SELECT lang, phrase, a, CASE WHEN one <= two THEN fx ELSE fxy END, CASE WHEN one <= two THEN fyz ELSE fz END, least(one, two) FROM s3),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM every),
+n AS (SELECT lang, sum(f) AS n FROM c1 GROUP BY lang)
+SELECT k.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked k JOIN n ON n.lang = k.lang WHERE rank <= 2000""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
