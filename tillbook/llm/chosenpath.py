@@ -2,14 +2,14 @@
 
 Documents with equal sets are one set. Each of ``TREES`` independent trees branches the sets: a node selects one minwise
 function, a second one with probability 1 / similarity - 1, and sends each set to the child of its minwise token. Two sets of
-the least similarity thus share one child on average at every depth, while unlike sets part. A node of up to ``SMALL`` sets is
-not branched further but compared exhaustively; ``recall`` gives the probability that a pair meets in one of the trees down
-to a depth, and ``trees_for`` the number of trees for a target. ``TREES`` meets RECALL at DEPTH for pairs at the threshold;
-pairs more alike, and nodes that are small before, do better.
+the least similarity thus share one child on average, while unlike sets part. A node of up to ``SMALL`` sets is not branched
+further but compared exhaustively. A pair meets at depth d of a tree with probability similarity^d at least; ``TREES`` is the
+number of trees that brings pairs at the threshold to RECALL at DEPTH. Pairs more alike and nodes that are small before do
+better.
 
 Down to DEPTH the tokens come from a signature of TREES * DEPTH minwise values, DEPTH of its own for each tree. In small nodes
-the signatures' low bytes first tell which sets have a partner at all: LIKE equal ones of 64, which a pair at the threshold
-misses with a probability under 10^-8. Only the full sets of such sets are looked up.
+the signatures' low bytes first tell which sets have a partner at all: nine of sixteen equal ones, which a pair at the
+threshold misses with a probability under 10^-8. Only the full sets of such sets are looked up.
 
 Links are confirmed on full sets, and only between sets that are not in one class already: the trees are compared in
 batches (BATCHES), and after each batch the classes so far are the labels of the next. A node whose sets have one label needs
@@ -46,7 +46,7 @@ from tillbook.operators.core import keep_one
 from tillbook.session import stage
 
 SHINGLE, PERCENT = 5, 85
-DEPTH, RECALL = 4, 1 - 1e-7
+DEPTH, RECALL = 4, 1 - 1e-6
 SMALL, WEIGHT, LEVELS = 256, 2_000_000, 12
 #: Trees of each batch; the last takes the rest.
 BATCHES = (1, 3)
@@ -55,24 +55,19 @@ KNOWN_WORDS = 500_000
 CHUNK = 2048
 
 
-def recall(similarity: float, trees: int, depth: int, percent: int = PERCENT) -> float:
-    """Probability that two sets share a node at this depth of one of the trees."""
-    second = 100 / percent - 1
-    lost = 0.0  # of one path: no common child on the way down
-    for _ in range(depth):
-        one = 1 - similarity + similarity * lost
-        lost = (1 - second) * one + second * one * one
-    return 1 - lost**trees
+def recall(similarity: float, trees: int, depth: int) -> float:
+    """Least probability that two sets share a node at this depth of one of the trees."""
+    return 1 - (1 - similarity**depth) ** trees
 
 
 def trees_for(target: float, depth: int, percent: int = PERCENT) -> int:
     """Trees that give pairs at the threshold this recall."""
-    return math.ceil(math.log(1 - target) / math.log(1 - recall(percent / 100, 1, depth, percent)))
+    return math.ceil(math.log(1 - target) / math.log(1 - (percent / 100) ** depth))
 
 
 TREES = trees_for(RECALL, DEPTH)
 COORDINATES = TREES * DEPTH
-#: Equal low bytes of two signatures, of COORDINATES, from which their sets are compared; about 6.5 deviations below the mean at the threshold.
+#: Equal low bytes of two signatures, of COORDINATES, from which their sets are compared; seven deviations below the mean at the threshold.
 LIKE = COORDINATES * 9 // 16
 
 
