@@ -87,19 +87,6 @@ def test_corrections_and_late_rows_reach_the_table(spark):
     assert sorted((x.id, x.v) for x in wr.read_table(spark, target, df).collect()) == [("o0", 5), ("o1", 99), ("o2", 2)]
 
 
-def test_csv_by_name_and_by_file(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("store,amount\n서울,1\n", "utf-8")
-    (tmp_path / "b.csv").write_text("amount,store,more\n2,부산 똠,x\n", "cp949")
-    (tmp_path / "c.csv").write_text("store,amount\n�,3\n", "utf-8")
-    (tmp_path / "odd.csv").write_text("store,amount\nx,1\ny\n", "utf-8")
-    out = rd.scan_csv_union(spark, [str(tmp_path)], ["store", "amount"], source_col="f").collect()
-    assert sorted((x.store, x.amount) for x in out) == sorted([("서울", "1"), ("부산 똠", "2"), ("�", "3")])
-    skipped = rd.skipped_csv_files(spark, [str(tmp_path)], ["store", "amount"]).collect()
-    assert [(os.path.basename(x.file), "row 3" in x.error) for x in skipped] == [("odd.csv", True)]
-    with pytest.raises(Exception, match="odd.csv"):
-        rd.scan_csv_union(spark, [str(tmp_path)], ["store", "amount"], on_error="raise").collect()
-
-
 def test_latest_files_are_files_not_folders(spark, tmp_path):
     for n, (folder, name, v) in enumerate((("d1", "y", 1), ("d2", "y", 2), ("d1", "x", 3))):
         (tmp_path / folder).mkdir(exist_ok=True)

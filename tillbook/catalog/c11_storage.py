@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tillbook.catalog.base import EVENTS, HEADS, RAW_LINES, big, query
 from tillbook.session import fresh_path
 from tillbook.sources import readers as rd, writers as wr
+from tillbook.sources.csv_files import scan_csv_union
 from tillbook.streaming.ingest import ingest_files
 
 COLS = ["order_id", "sale_date", "ym", "store", "platform", "source", "order_amount"]
@@ -46,18 +47,40 @@ def scan_parquet_union(t):
     return out.withColumn("part", F.regexp_extract("file", r"/(old|new)/[^/]+$", 1)).drop("file")
 
 
-@query("scan_csv_union", f"WITH {H} SELECT order_id, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS kind, CAST(NULL AS VARCHAR) AS memo, CASE source WHEN 'F' THEN 'utf' WHEN 'O' THEN 'kr' ELSE 'utf2' END AS part FROM h")
-def scan_csv_union(t):
-    # Files in two encodings, with the columns in either order; one folder holds a file with an odd row, which is left out.
+def exported(header, charset):
+    """Lines of an export as bytes, each file led by the header."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"value": [header.encode(charset)]})
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"value": [x.encode(charset) for x in batch.column(0).to_pylist()]})
+
+    return run
+
+
+@query("scan_csv_union", f"WITH {H} SELECT order_id, CASE WHEN source = 'P' THEN '취소' ELSE '정상' END AS kind, CASE WHEN platform <> 'MACHINERY' THEN 'a ' || chr(34) || platform || chr(34) || ', ' || CASE WHEN source = 'P' THEN chr(10) ELSE ' ' END || store END AS memo, CAST(NULL AS VARCHAR) AS extra, CASE source WHEN 'F' THEN 'utf' WHEN 'O' THEN 'kr' ELSE 'utf2' END AS part FROM h")
+def csv_union(t):
+    # Files in two encodings, with the columns in either order; lines of one platform are short by a field, memos hold
+    # quotes, commas and line feeds; one folder holds a file with a row too long, which is left out.
     root = fresh_path(t.spark, "csv")
-    t.spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # the export to write is EUC-KR
-    df = slim(t).select("order_id", F.when(F.col("source") == "P", "취소").otherwise("정상").alias("kind"), "source")
-    for src, name, enc in (("F", "utf", "UTF-8"), ("O", "kr", "EUC-KR"), ("P", "utf2", "UTF-8")):
-        rows = df.where(F.col("source") == src).select(*(("kind", "order_id") if src == "O" else ("order_id", "kind")))
-        rows.write.option("header", True).option("encoding", enc).csv(f"{root}/{name}")
+    memo = F.when(F.col("platform") == "MACHINERY", F.lit(None)).otherwise(F.concat(F.lit('a "'), "platform", F.lit('", '), F.when(F.col("source") == "P", "\n").otherwise(" "), "store"))
+    df = slim(t).select("order_id", F.when(F.col("source") == "P", "취소").otherwise("정상").alias("kind"), memo.alias("memo"), "source")
+    quoted = F.concat(F.lit('"'), F.replace("memo", F.lit('"'), F.lit('""')), F.lit('"'))
+
+    def export(source, name, fields, charset="utf-8"):
+        line = F.concat_ws(",", *fields, quoted)  # without a memo a line is short
+        rows = df.where(F.col("source") == source).select(line.alias("value"))
+        encoded = rows.mapInArrow(exported(",".join([*fields, "memo"]), charset), "value binary")
+        encoded.select(F.col("value").cast("string")).write.text(f"{root}/{name}")
+
+    export("F", "utf", ["order_id", "kind"])
+    export("O", "kr", ["kind", "order_id"], "euc-kr")
+    export("P", "utf2", ["order_id", "kind"])
     odd = t.spark.createDataFrame([("order_id,kind",), ("1,a",), ("2,b,c",)], "value string")
     odd.coalesce(1).write.option("compression", "none").text(f"{root}/odd")
-    out = rd.scan_csv_union(t.spark, [f"{root}/{n}" for n in ("utf", "kr", "utf2", "odd")], ["order_id", "kind", "memo"], source_col="file")
+    out = scan_csv_union(t.spark, [f"{root}/{n}" for n in ("utf", "kr", "utf2", "odd")], ["order_id", "kind", "memo", "extra"], source_col="file", on_error="skip")
     return out.withColumn("part", F.regexp_extract("file", r"/(utf|kr|utf2|odd)/[^/]+$", 1)).drop("file")
 
 

@@ -1,4 +1,4 @@
-"""Scans: parquet and CSV unions, partitioned lakes, newest files, tables, inboxes."""
+"""Scans: parquet unions, partitioned lakes, newest files, tables, inboxes."""
 
 from __future__ import annotations
 
@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from tillbook.operators.core import keep_one
 
-#: In the order in which they are tried; the last takes any bytes.
-CSV_ENCODINGS = ("utf-8-sig", "cp949", "euc-kr", "latin-1")
-
-
 def scan_parquet_union(
     spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, source_col: str | None = None
 ) -> DataFrame:
@@ -24,75 +20,6 @@ def scan_parquet_union(
     return df.select(*out)
 
 
-def csv_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], encodings: Sequence[str] = CSV_ENCODINGS) -> DataFrame:
-    """(file, encoding, error, the columns): the rows of CSV files, columns bound by the names in each file's header.
-
-    A file is decoded with the first encoding that takes all its bytes, and read once. A file that none takes, or with
-    a row of more or fewer fields than its header, gives one row with the error and no others. A wanted column that a
-    file lacks is null, an empty field too. A file is read whole in one task, as its encoding holds for all of it.
-    """
-    wanted, charsets = list(columns), list(encodings)
-    names = ["file", "encoding", "error", *(f"c{i}" for i in range(len(wanted)))]
-
-    def rows(batches):
-        import csv
-        import io
-
-        import pyarrow as pa
-
-        def parsed(raw: bytes) -> tuple[str | None, list[list]]:
-            for charset in charsets:
-                try:
-                    text = raw.decode(charset)
-                except UnicodeDecodeError:
-                    continue
-                lines = [r for r in csv.reader(io.StringIO(text, newline="")) if r]
-                head = [h.strip() for h in lines[0]] if lines else []
-                odd = [i for i, r in enumerate(lines, 1) if len(r) != len(head)]
-                if odd:
-                    raise ValueError(f"row {odd[0]} has {len(lines[odd[0] - 1])} fields, the header {len(head)}")
-                at = [head.index(c) if c in head else None for c in wanted]
-                return charset, [[r[i] or None if i is not None else None for i in at] for r in lines[1:]]
-            raise ValueError("no encoding fits")
-
-        for batch in batches:
-            for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                try:
-                    charset, found = parsed(raw)
-                    out = [(path, charset, None, *r) for r in found]
-                except (ValueError, csv.Error) as e:
-                    out = [(path, None, str(e), *([None] * len(wanted)))]
-                for i in range(0, len(out), 10_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*out[i : i + 10_000], strict=True)], names=names)
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{csv,txt}").load(list(paths))
-    found = files.select("path", "content").mapInArrow(rows, ", ".join(f"{n} string" for n in names))
-    return found.toDF("_file", "_encoding", "_error", *wanted)
-
-
-def scan_csv_union(
-    spark: SparkSession, paths: Sequence[str], columns: Sequence[str], encodings: Sequence[str] = CSV_ENCODINGS,
-    source_col: str | None = None, on_error: str = "skip",
-) -> DataFrame:
-    """The rows of all CSV files; a file that cannot be read is left out whole, or fails the job (``on_error="raise"``).
-
-    ``skipped_csv_files`` names the files left out.
-    """
-    found = csv_files(spark, paths, columns, encodings)
-    if on_error == "skip":
-        found = found.where(F.col("_error").isNull())
-    else:
-        fail = F.raise_error(F.concat_ws(": ", "_file", "_error")).cast("string")
-        found = found.withColumn("_file", F.when(F.col("_error").isNotNull(), fail).otherwise(F.col("_file"))).where(F.col("_file").isNotNull())
-    return found.select(*columns, *([F.col("_file").alias(source_col)] if source_col else []))
-
-
-def skipped_csv_files(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], encodings: Sequence[str] = CSV_ENCODINGS) -> DataFrame:
-    """(file, error) of the files that ``scan_csv_union`` leaves out."""
-    found = csv_files(spark, paths, columns, encodings).where(F.col("_error").isNotNull())
-    return found.select(F.col("_file").alias("file"), F.col("_error").alias("error"))
-
-
 def scan_partitioned(spark: SparkSession, root: str, **keys) -> DataFrame:
     """Hive-partitioned lake with optional key filters (values or lists), which prune folders."""
     df = spark.read.option("basePath", root).parquet(root)
