@@ -48,7 +48,7 @@ START, GROWTH = 2, 4
 #: bytes apart, under 60,000), so numbers never run out if the task's words are written out at FULL.
 NUMBER_BITS = 21
 #: Bytes of text worked on at a time, words and phrases held before they are written out.
-SLICE, HELD_WORDS, HELD_CODES = 4_000_000, 1_500_000, 4_000_000
+SLICE, HELD_WORDS, HELD_CODES = 2_000_000, 600_000, 2_000_000
 FULL = (1 << NUMBER_BITS) - SLICE // 4 - 60_000
 MIN_BITS, MAX_BITS, BITS_EACH = 1 << 20, 1 << 27, 16
 PAGE = 4096  # bytes of a bitmap in Spark's bitmap functions
@@ -56,7 +56,7 @@ SLOTS = 256
 
 #: A-Z to lower case, what ends a piece to a line feed.
 FOLD = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
-TOKEN, SPACE = re.compile(rb"[^ \t\n]+|\n"), re.compile(rb"[ \t\n]")
+SPACE = re.compile(rb"[ \t\n]")
 
 
 # --- Bit tables ----------------------------------------------------------------
@@ -148,6 +148,18 @@ def _slices(text: bytes) -> Iterator[bytes]:
         at = end
 
 
+def tokens(text: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of a folded text; the number of each word in turn; the line feeds before each word and in all."""
+    raw = np.frombuffer(text, np.uint8)
+    space = (raw == 32) | (raw == 9) | (raw == 10)
+    edges = np.r_[0, np.flatnonzero(space[1:] != space[:-1]) + 1, len(raw)].astype(np.int32)
+    values = pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(text)])
+    at = np.arange(int(space[0]), len(values), 2)
+    coded = values.take(pa.array(at)).dictionary_encode()
+    feeds = np.flatnonzero(raw == 10)
+    return coded.dictionary, coded.indices.to_numpy(), np.r_[np.searchsorted(feeds, edges[at]), len(feeds)]
+
+
 class _Counter:
     """Counts of the phrases of ``size`` words of one language."""
 
@@ -184,10 +196,14 @@ class _Counter:
         text, self.texts, self.bytes = b"\n".join(self.texts), [], 0
         carried: list[bytes] = []
         for part in _slices(text.translate(FOLD)):
-            tokens = TOKEN.findall(part)
-            ids = np.fromiter(map(self.words.__getitem__, carried + tokens), np.int64, len(carried) + len(tokens))
+            distinct, at, feeds = tokens(part)
+            numbers = np.fromiter(map(self.words.__getitem__, carried + distinct.to_pylist()), np.int64, len(carried) + len(distinct))
+            before = np.cumsum(np.diff(feeds, prepend=0) > 0)  # one place for each end of a piece
+            ids = np.full(len(carried) + len(at) + before[-1], -1, np.int64)
+            ids[: len(carried)] = numbers[: len(carried)]
+            ids[len(carried) + np.arange(len(at)) + before[:-1]] = numbers[len(carried) + at]
             found = self.codes_of(ids) if len(ids) >= self.size else np.empty(0, np.int64)
-            carried = (carried + tokens)[-(self.size - 1) :] if self.size > 1 else []
+            carried = [self.words.words[i] if i >= 0 else b"\n" for i in ids[-(self.size - 1) :].tolist()] if self.size > 1 else []
             self.new.append(found)
             self.held += len(found)
             crowded = len(self.words) > HELD_WORDS or len(self.words.words) > FULL
