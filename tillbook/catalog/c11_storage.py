@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillbook.catalog.base import EVENTS, HEADS, RAW_LINES, big, query
 from tillbook.session import fresh_path
-from tillbook.sources import readers as rd, writers as wr
+from tillbook.sources import inbox as ib, readers as rd, versions as vt, writers as wr
 from tillbook.sources.csv_files import scan_csv_union
 from tillbook.streaming.ingest import ingest_files
 
@@ -25,6 +25,23 @@ def bumped(df, by=1):
     return df.withColumn("order_amount", F.col("order_amount") + by)
 
 
+def bumped_amounts(df):
+    return df.withColumn("amount", F.col("amount") + 1)
+
+
+def write_manifest(spark, root, run, missing=False):
+    """The manifest of the files under a run's folder, as the sender writes it; ``missing`` names bytes that are not there."""
+    import json
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{root}/{run}").select("path", "length").collect()
+    names = {r.path.split(f"/{run}/", 1)[1]: r.length + missing for r in listed}
+    body = json.dumps({"run": run, "files": {f"{run}/{n}": {"rel": n, "size": size} for n, size in names.items()}})
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/manifest_{run}.json")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(body.encode()))
+    out.close()
+
+
 def stored(t, df, by=()):
     path = fresh_path(t.spark, "table")
     wr.write_table(df, path, by)
@@ -109,19 +126,47 @@ def jdbc_table_read(t):
     return rd.table_read(slim(t), ["order_id", "store", "order_amount"], {"platform": "BUILDING", "source": ["F", "P"]}, ["-order_amount", "order_id"])
 
 
-@query("flow_inbox_merge", f"""WITH {H} SELECT {C.replace('order_amount', "order_amount + CASE WHEN source = 'O' THEN 1 ELSE 0 END AS order_amount")} FROM h WHERE source IN ('F', 'O')""")
+@query("flow_inbox_merge", f"""WITH {HEADS}, {RAW_LINES}, {EVENTS},
+  day AS (SELECT store, CAST(sale_date AS VARCHAR) AS d, source, sum(order_amount) AS amount FROM heads WHERE source IN ('F', 'O') GROUP BY ALL),
+  lines AS (SELECT order_id, l_linenumber, l_partkey, qty, source, platform FROM heads JOIN raw_lines ON l_orderkey = o_orderkey WHERE source = 'F')
+  SELECT 'daily' AS dataset, store || '|' || d AS id, {big('amount')} AS amount FROM day QUALIFY row_number() OVER (PARTITION BY store, d ORDER BY source DESC) = 1
+  UNION ALL SELECT 'orders', order_id || '|' || l_linenumber || '|' || l_partkey, qty FROM lines
+    WHERE platform <> 'BUILDING' OR l_linenumber <> 2 OR NOT EXISTS (SELECT 1 FROM lines x WHERE x.order_id = lines.order_id AND x.l_linenumber <> 2)
+  UNION ALL SELECT 'changes', store || '|' || event_type || '|' || d || '|' || amount, count(DISTINCT 1) FROM ev WHERE event_type IN ('click', 'purchase') GROUP BY ALL""")
 def flow_inbox_merge(t):
-    # Three drop folders; the manifest of the last one names more rows than arrived, so it waits.
-    root, df = fresh_path(t.spark, "inbox"), slim(t)
-    for folder, rows in (("f1", of(df, "F")), ("f2", bumped(of(df, "O"))), ("f3", of(df, "P"))):
-        wr.write_table(rows, f"{root}/{folder}")
-    table = stored(t, of(df, "O"), ["ym"])
-    files = t.spark.read.option("recursiveFileLookup", True).parquet(root).withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), r"/(f\d)/[^/]+$", 1))
-    found = files.groupBy("folder").agg(F.count(F.lit(1)).alias("rows")).withColumn("dataset", F.lit("orders"))
-    manifest = found.withColumn("rows", F.when(F.col("folder") == "f3", F.col("rows") + 1).otherwise(F.col("rows")))
-    ready = rd.ready_folders(found, manifest)
-    wr.upsert(t.spark, table, files.join(ready, "folder", "left_semi").select(*COLS), ["order_id"], ["ym"], ["order_amount"])
-    return back(t, table, df)
+    """Three runs of three datasets: by key, by order and by signature. The third names a size that has not arrived, so it waits."""
+    from datetime import datetime, timedelta
+
+    root, ledger = fresh_path(t.spark, "inbox"), fresh_path(t.spark, "ledger")
+    heads = t.heads.select("o_orderkey", "order_id", F.col("sale_date").cast("string").alias("d"), "ym", "store", "platform", "source", "order_amount")
+    daily = heads.groupBy("store", "d", "ym", "source").agg(F.sum("order_amount").alias("amount"))
+    lines = heads.join(t.raw_lines, F.col("l_orderkey") == F.col("o_orderkey")).select("order_id", "ym", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_partkey", "qty", "platform", "source")
+    log = t.events.select("store", "event_type", F.col("d").cast("string").alias("d"), F.date_format("d", "yyyy-MM").alias("ym"), "amount")
+    of_type = lambda *types: log.where(F.col("event_type").isin(*types))
+    runs = {
+        "r1": {"daily": of(daily, "F"), "orders": of(lines, "F"), "changes": of_type("click")},
+        # Days of the other source, some orders again without their second line, and the clicks a second time.
+        "r2": {"daily": of(daily, "O"), "orders": of(lines, "F").where("platform = 'BUILDING' AND l_linenumber <> 2"), "changes": of_type("click", "purchase")},
+        "r3": {"daily": bumped_amounts(of(daily, "F")), "orders": of(lines, "P"), "changes": of_type("view", "error")},
+    }
+    for run, parts in runs.items():
+        for name, rows in parts.items():
+            wr.write_table(rows, f"{root}/{run}/{name}")
+        write_manifest(t.spark, root, run, missing=run == "r3")
+    tables = {name: vt.new_table(t.spark, rows.schema, ["ym"]) for name, rows in runs["r1"].items()}
+    datasets = {
+        "daily": ib.Dataset(tables["daily"], ib.keyed(["store", "d"], ["amount"])),
+        "orders": ib.Dataset(tables["orders"], ib.units(["order_id"])),
+        "changes": ib.Dataset(tables["changes"], ib.by_signature(["store", "event_type", "d", "amount"], ["ym"])),
+    }
+    for _ in range(2):  # a second call finds nothing to do
+        ib.merge_inbox(t.spark, root, datasets, ledger, datetime.now() + timedelta(hours=1))
+    text = lambda *c: F.concat_ws("|", *c)
+    return (
+        tables["daily"].read().select(F.lit("daily").alias("dataset"), text("store", "d").alias("id"), "amount")
+        .unionByName(tables["orders"].read().select(F.lit("orders").alias("dataset"), text("order_id", "l_linenumber", "l_partkey").alias("id"), F.col("qty").alias("amount")))
+        .unionByName(tables["changes"].read().select(F.lit("changes").alias("dataset"), text("store", "event_type", "d", "amount").alias("id"), F.lit(1).cast("long").alias("amount")))
+    )
 
 
 # -- writes -------------------------------------------------------------------

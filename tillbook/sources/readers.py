@@ -1,4 +1,4 @@
-"""Scans: parquet unions, partitioned lakes, newest files, tables, inboxes."""
+"""Scans: parquet unions, partitioned lakes, newest files, tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillbook.operators.core import keep_one
 
+
 def scan_parquet_union(
     spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None, source_col: str | None = None
 ) -> DataFrame:
@@ -65,14 +66,3 @@ def jdbc_table(spark: SparkSession, url: str, name: str, partition_column: str,
         spark.read.format("jdbc").options(url=url, dbtable=name, partitionColumn=partition_column, lowerBound=str(bounds[0]),
                                           upperBound=str(bounds[1]), numPartitions=str(partitions), **options).load()
     )
-
-
-def ready_folders(files: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Drop folders whose files all carry the row counts their manifest names.
-
-    ``files``: folder, dataset, rows (counted); ``manifest``: folder, dataset, rows.
-    """
-    m = manifest.select("folder", "dataset", F.col("rows").alias("_want"))
-    j = m.join(files, ["folder", "dataset"], "left")
-    ok = F.coalesce(F.col("rows") == F.col("_want"), F.lit(False))
-    return j.groupBy("folder").agg(F.every(ok).alias("_ok")).where(F.col("_ok")).select("folder")
