@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from tillbook.catalog.base import EVENTS, HEADS, RAW_LINES, big, query
-from tillbook.session import fresh_path
+from tillbook.session import fresh_path, stage
 from tillbook.sources import inbox as ib, readers as rd, versions as vt, writers as wr
 from tillbook.sources.csv_files import scan_csv_union
-from tillbook.streaming.ingest import ingest_files
+from tillbook.streaming.ingest import StatefulIngest, ingest_files
 
 COLS = ["order_id", "sale_date", "ym", "store", "platform", "source", "order_amount"]
 H = HEADS + ", h AS (SELECT order_id, CAST(sale_date AS VARCHAR) AS sale_date, ym, store, platform, source, order_amount FROM heads)"
@@ -365,3 +365,26 @@ def line_grain_ingest(t):
     wr.write_table(again, f"{root}/hour2")
     run()
     return back(t, target, prepare(first))
+
+
+@query("stateful_event_ingest", f"""WITH {EVENTS}, m AS (SELECT max(d) AS newest FROM ev WHERE event_type <> 'purchase')
+  SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN amount + 9 ELSE amount END AS amount, CAST(d AS VARCHAR) AS d,
+    CAST(CASE WHEN event_type IN ('error', 'purchase') THEN 1 ELSE 0 END AS BIGINT) AS changed_in, event_type IN ('error', 'purchase') AND date_diff('day', d, newest) > 7 AS late FROM ev, m""")
+def stateful_event_ingest(t):
+    """An hour without purchases; then all rows again, the errors corrected, the purchases new. State drops what is repeated, so only changed rows get the second batch."""
+    ev = t.events.select("event_id", "event_type", "amount", F.col("d").cast("string").alias("d"), F.date_format("d", "yyyy-MM").alias("ym"), F.lit(1).alias("sent"))
+    root, spark = fresh_path(t.spark, "inbox"), t.spark
+    kept = ev.withColumn("changed_in", F.lit(0).cast("long"))
+    table, late = vt.new_table(spark, kept.schema, ["ym"]), vt.new_table(spark, kept.schema, ["changed_in"])
+    days = vt.new_table(spark, spark.createDataFrame([], "newest string, changed_in long").schema, ["changed_in"])
+    checkpoint = fresh_path(spark, "stream")
+    run = lambda: StatefulIngest(spark, root, ev.schema, table, late, days, ["event_id"], "d", "sent", checkpoint).run()
+    wr.write_table(ev.where(F.col("event_type") != "purchase"), f"{root}/a")
+    run()
+    fixed = ev.where(F.col("event_type") == "error").withColumn("amount", F.col("amount") + 9)
+    wr.write_table(ev.where(F.col("event_type") != "error").unionByName(fixed), f"{root}/b")
+    run()  # a new object: state, days and late rows come from the checkpoint and the tables
+    waiting = stage(late.read().select("event_id", F.lit(True).alias("late")))
+    StatefulIngest(spark, root, ev.schema, table, late, days, ["event_id"], "d", "sent", checkpoint).merge_late()
+    out = table.read().join(waiting, "event_id", "left").withColumn("late", F.coalesce("late", F.lit(False)))
+    return out.select("event_id", "event_type", "amount", "d", "changed_in", "late")

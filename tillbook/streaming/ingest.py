@@ -1,15 +1,18 @@
-"""Incremental ingest of dropped files as a stream with an idempotent merge."""
+"""Incremental ingest of dropped files as a stream with an idempotent merge, with or without state per key."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructField, StructType, TimestampType
 
 from tillbook.operators.core import keep_one
-from tillbook.sources.writers import replace_units, upsert
+from tillbook.session import stage
+from tillbook.sources.versions import VersionedTable
+from tillbook.sources.writers import keep_last, replace_units, row_signature, upsert
 
 
 def ingest_files(
@@ -45,3 +48,129 @@ def ingest_files(
     query.awaitTermination()
     if query.exception():
         raise query.exception()
+
+
+#: What the state of a key holds: the signature of the row delivered last, and its version.
+STATE = "signature string, version long"
+
+
+def changes(stream: DataFrame, keys: Sequence[str], version: str, forget_ms: int | None) -> DataFrame:
+    """Of each key the newest row of a batch, if it says something new: keyed state drops what was delivered before.
+
+    A row is dropped if it is older than the key's last one or equals it. A row that returns to an earlier content is a
+    change again. State that has seen nothing for ``forget_ms`` is let go; a later repetition then passes, and the merge
+    makes nothing of it.
+    """
+    fields = stream.schema.fields
+    packed = [_as_text(f).alias(f"p{i}") for i, f in enumerate(fields)]
+    signed = stream.select(*packed, row_signature(stream.columns).alias("_signature"), F.col(version).cast("long").cast("string").alias("_version"))
+    schema = signed.schema
+    timeout = GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+
+    def newest(key, frames: Iterator, state: GroupState) -> Iterator:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        best = None
+        for frame in frames:
+            for at in range(len(frame)):
+                row = frame.iloc[at : at + 1]
+                if best is None or _place(row) > _place(best):
+                    best = row
+        place, signature = _place(best)
+        known = state.get if state.exists else None
+        if known is None or (place >= known[1] and signature != known[0]):
+            state.update((signature, place))
+            yield best
+        if forget_ms is not None and state.exists:
+            state.setTimeoutDuration(forget_ms)
+
+    def _place(row) -> tuple[int, str]:
+        version = row["_version"].iloc[0]
+        return (-(1 << 62) if version is None else int(version)), row["_signature"].iloc[0]
+
+    by = [f"p{stream.columns.index(k)}" for k in keys]
+    fresh = signed.groupBy(*by).applyInPandasWithState(newest, schema, STATE, "append", timeout)
+    return fresh.select(*[_from_text(F.col(f"p{i}"), f).alias(f.name) for i, f in enumerate(fields)])
+
+
+def _as_text(field: StructField) -> Column:
+    """A value as text, exactly: data frames in Python would turn whole numbers with nulls into floats."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+        raise ValueError(f"{field.name}: only plain columns")
+    if isinstance(field.dataType, TimestampType):
+        c = F.unix_micros(c)
+    return F.base64(c) if isinstance(field.dataType, BinaryType) else c.cast("string")
+
+
+def _from_text(c: Column, field: StructField) -> Column:
+    if isinstance(field.dataType, TimestampType):
+        return F.timestamp_micros(c.cast("long"))
+    return F.unbase64(c) if isinstance(field.dataType, BinaryType) else c.cast(field.dataType)
+
+
+class StatefulIngest:
+    """Files of keyed rows into a versioned table, with state per key and late rows kept aside.
+
+    ``changes`` drops what a key's state knows; the rest of a batch is merged into ``table`` under the batch as tag, so a
+    batch that is run again after a failure finds its tag and is left. Rows of a day more than ``late_days`` before the newest
+    day of earlier batches are late: closed days are not reopened by every batch, the rows go into the table ``late`` with
+    their batch, and ``merge_late`` merges all of them at once. ``table`` has the column ``changed_in``, the batch that
+    changed a row last; ``late`` has it too and is partitioned by it, and so does ``days``, which keeps each batch's newest day.
+    """
+
+    def __init__(
+        self, spark: SparkSession, inbox: str, schema: StructType, table: VersionedTable, late: VersionedTable, days: VersionedTable, keys: Sequence[str], day: str,
+        version: str, checkpoint: str, late_days: int = 7, forget_ms: int | None = None, files_per_batch: int = 1000, fmt: str = "parquet",
+        prepare: Callable[[DataFrame], DataFrame] = lambda s: s,
+    ):
+        self.spark, self.inbox, self.schema, self.table, self.late, self.days = spark, inbox, schema, table, late, days
+        self.keys, self.day, self.version, self.checkpoint = list(keys), day, version, checkpoint
+        self.late_days, self.forget_ms, self.files_per_batch, self.fmt, self.prepare = late_days, forget_ms, files_per_batch, fmt, prepare
+
+    def run(self) -> list[dict]:
+        """All files not seen yet; per batch that ran how many rows were new, and how many of them late."""
+        stream = self.spark.readStream.format(self.fmt).schema(self.schema).options(maxFilesPerTrigger=str(self.files_per_batch), recursiveFileLookup="true").load(self.inbox)
+        fresh, report = changes(self.prepare(stream), self.keys, self.version, self.forget_ms), []
+
+        def merge(batch: DataFrame, batch_id: int) -> None:
+            rows = stage(batch.withColumn("changed_in", F.lit(batch_id).cast("long")))
+            seen = self.days.read().where(F.col("changed_in") < batch_id).agg(F.max("newest")).first()[0]
+            late = F.coalesce(F.datediff(F.lit(seen).cast("date"), F.col(self.day).cast("date")) > self.late_days, F.lit(False))
+            tag = f"batch-{batch_id}"
+            for table, part, how in (
+                (self.late, rows.where(late), lambda old, new: new),
+                (self.days, rows.agg(F.max(F.col(self.day).cast("date")).cast("string").alias("newest")).withColumn("changed_in", F.lit(batch_id).cast("long")), lambda old, new: new),
+                (self.table, rows.where(~late), self._newer),
+            ):
+                if not table.applied(tag):
+                    table.merge(part.select(*table.schema.names), how, tag=tag)
+            counts = rows.agg(F.count("*").alias("rows"), F.count_if(late).alias("late")).first()
+            report.append({"batch": batch_id, "rows": counts.rows, "late": counts.late})
+
+        query = (
+            fresh.writeStream.foreachBatch(merge).outputMode("append").option("checkpointLocation", self.checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+        return report
+
+    def _newer(self, old: DataFrame, new: DataFrame) -> DataFrame:
+        return keep_last(old, new, self.keys, [F.col("changed_in").desc()])
+
+    def merge_late(self) -> int:
+        """Merge the late rows kept aside into the table and empty their partitions; returns their number.
+
+        A row that a later batch has changed since stays as it is. Stopped between the two writes, a second call merges the
+        same rows again, to the same table.
+        """
+        waiting = stage(self.late.read())
+        n = waiting.count()
+        if n:
+            newest = lambda old, new: keep_one(old.unionByName(new), self.keys, [F.col("changed_in").desc()])
+            self.table.merge(waiting.select(*self.table.schema.names), newest)
+            none = self.spark.createDataFrame([], self.late.schema)
+            self.late.replace(none, emptied=waiting.select(*self.late.by).distinct())
+        return n
