@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from tillbook.catalog.base import EVENTS, HEADS, RAW_LINES, big, query
+from tillbook.operators.core import keep_one
 from tillbook.session import fresh_path, stage
 from tillbook.sources import inbox as ib, readers as rd, versions as vt, writers as wr
 from tillbook.sources.csv_files import scan_csv_union
+from tillbook.sources.keyed_appends import KeyedAppends
 from tillbook.streaming.ingest import StatefulIngest, ingest_files
 
 COLS = ["order_id", "sale_date", "ym", "store", "platform", "source", "order_amount"]
@@ -256,6 +258,47 @@ def partitioned_write(t):
     return back(t, path, df)
 
 
+@query("versioned_partition_writes", f"""WITH {H} SELECT {C.replace('order_amount', "CASE WHEN source = 'O' THEN order_amount + 1 ELSE order_amount END AS order_amount")},
+  CASE WHEN source = 'O' THEN 2 ELSE 1 END AS collected_at FROM h WHERE source <> 'P' AND sale_date >= '1996-01-01'""")
+def versioned_partition_writes(t):
+    """Collected orders, a later collection merged, one source purged and old days pruned, each published as a version; a writer that comes second starts anew."""
+    df = slim(t).withColumn("collected_at", F.lit(1))
+    table = vt.new_table(t.spark, df.schema, ["ym"])
+    table.replace(df)
+    again = bumped(of(df, "O")).withColumn("collected_at", F.lit(2))
+    latest = lambda old, new: keep_one(old.unionByName(new), ["order_id"], [F.col("collected_at").desc()])
+    table.merge(again, latest)
+    try:
+        table.replace(bumped(df, 1000), base=1)  # made from the first version, which is no longer the last
+    except vt.Conflict:
+        table.rewrite(lambda rows: rows.where(F.col("source") != "P"))
+    old = table.read().where(F.col("sale_date") < "1996-01-01")
+    table.replace(table.read().where(F.col("sale_date") >= "1996-01-01").join(old.select("ym").distinct(), "ym", "left_semi"), emptied=old)
+    return table.read().select(*df.columns)
+
+
+@query("append_unique_indexed", f"WITH {H} SELECT {C.replace('order_amount', "CASE WHEN source = 'P' THEN order_amount + 1 ELSE order_amount END AS order_amount")} FROM h")
+def append_unique_indexed(t):
+    """Two sources, then all orders with other amounts: only those of the third source are new."""
+    df = slim(t)
+    table = KeyedAppends(vt.new_table(t.spark, df.schema, ["ym"]), ["order_id"])
+    for part in (of(df, "F"), of(df, "O"), bumped(df)):
+        table.append(part)
+    return table.table.read().select(*COLS)
+
+
+@query("append_unique_files_read", f"WITH {H}, d AS (SELECT count(*) AS n FROM h WHERE sale_date >= '1998-01-01'), e AS (SELECT count(*) AS n FROM h) SELECT {big('0')} AS inserted, d.n AS duplicated, d.n AS total, true AS fewer_files FROM d, e")
+def append_unique_files_read(t):
+    """An append of the last months again: the index leaves out the files of all others."""
+    df = slim(t)
+    table = KeyedAppends(vt.new_table(t.spark, df.schema, ["ym"]), ["sale_date", "order_id"])
+    table.append(df)
+    late = df.where(F.col("sale_date") >= "1998-01-01")
+    n = table.candidates(late).count()
+    every = table.table.read().select(F.col("ym")).distinct().count()
+    return table.append(late).withColumn("fewer_files", F.lit(0 < n < every))
+
+
 @query("repartition_by_business_date", f"WITH {H} SELECT {C} FROM h")
 def repartition_by_business_date(t):
     df = slim(t)

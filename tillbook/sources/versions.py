@@ -27,8 +27,8 @@ from tillbook.session import fresh_path, stage
 from tillbook.sources.writers import touched
 
 DIGITS = 12
-#: Marks of log rows that name no partition: the entry replaces the whole table, or only carries its tag.
-EVERYTHING, TAG = "everything", "tag"
+#: Marks of log rows: the entry replaces the whole table; it carries a tag; the partition keeps what it has beside this write.
+EVERYTHING, TAG, APPEND = "everything", "tag", "append"
 NULL = "\u0001null"
 
 
@@ -91,9 +91,11 @@ class VersionedTable:
             entries = entries.where(F.col("version") <= version)
         first = entries.where(F.col("mark") == EVERYTHING).agg(F.max("version")).first()[0] or 0
         keys = [f"p{i}" for i in range(len(self.by))]
-        last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("version").desc()))
-        named = entries.where((F.col("version") >= first) & F.col("mark").isNull()).withColumn("_last", last)
-        return named.where((F.col("_last") == 1) & F.col("w").isNotNull()).select(*keys, "w")
+        entries = entries.where(F.col("version") >= first).where(F.coalesce(F.col("mark") == APPEND, F.lit(True)))
+        # Since its last replacement a partition has that write and all that were appended to it.
+        replaced = F.max(F.when(F.col("mark").isNull(), F.col("version"))).over(Window.partitionBy(*keys))
+        valid = entries.withColumn("_replaced", F.coalesce(replaced, F.lit(0))).where(F.col("version") >= F.col("_replaced"))
+        return valid.where(F.col("w").isNotNull()).select(*keys, "w").distinct()
 
     def read(self, version: int | None = None) -> DataFrame:
         """The rows of a version, the newest by default.
@@ -125,19 +127,41 @@ class VersionedTable:
         ``everything`` replaces the whole table. ``base`` is the version that rows were made from.
         """
         base = (self.versions() or [0])[-1] if base is None else base
-        write = uuid.uuid4().hex
-        rows = rows.select(*[F.col(f"`{c}`") for c in self.schema.names])
-        staged = rows.withColumn("w", F.lit(write)).hint("rebalance", *[F.col(c) for c in self.by])
-        staged.write.mode("append").partitionBy("w", *self.by).parquet(f"{self.path}/data")
-        mine = self.spark.read.schema(StructType([*[f for f in self.schema.fields if f.name not in self.by], *[self.schema[c] for c in self.by]]))
-        p, fs = self._hadoop(f"{self.path}/data/w={write}")
-        filled = self._texts(mine.parquet(f"{self.path}/data/w={write}")) if fs.exists(p) else self._texts(self.spark.createDataFrame([], self.schema))
+        write = self._stage_write(rows)
+        filled = self._filled(write)
         entry = filled.withColumn("w", F.lit(write))
         if emptied is not None:
             keys = [f"p{i}" for i in range(len(self.by))]
             gone = self._texts(emptied).exceptAll(filled).withColumn("w", F.lit(None).cast("string"))
             entry = entry.unionByName(gone.select(*keys, "w"))
-        entry = entry.withColumns({"tag": F.lit(tag).cast("string"), "mark": F.lit(None).cast("string")})
+        return self._enter(entry, None, tag, everything, base)
+
+    def append(self, rows: DataFrame, tag: str | None = None, base: int | None = None, staged: Callable[[str], None] = lambda write: None) -> int:
+        """Publish rows beside those the table has; ``staged`` is called with the write's name before it is published."""
+        base = (self.versions() or [0])[-1] if base is None else base
+        write = self._stage_write(rows)
+        staged(write)
+        return self._enter(self._filled(write).withColumn("w", F.lit(write)), APPEND, tag, False, base)
+
+    def _stage_write(self, rows: DataFrame) -> str:
+        write = uuid.uuid4().hex
+        rows = rows.select(*[F.col(f"`{c}`") for c in self.schema.names]).withColumn("w", F.lit(write))
+        rows.hint("rebalance", *[F.col(c) for c in self.by]).write.mode("append").partitionBy("w", *self.by).parquet(f"{self.path}/data")
+        return write
+
+    def files_of(self, write: str) -> DataFrame:
+        """The rows of one write, published or not."""
+        schema = StructType([*[f for f in self.schema.fields if f.name not in self.by], *[self.schema[c] for c in self.by]])
+        p, fs = self._hadoop(f"{self.path}/data/w={write}")
+        if not fs.exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.path}/data/w={write}")
+
+    def _filled(self, write: str) -> DataFrame:
+        return self._texts(self.files_of(write))
+
+    def _enter(self, entry: DataFrame, mark: str | None, tag: str | None, everything: bool, base: int) -> int:
+        entry = entry.withColumns({"tag": F.lit(tag).cast("string"), "mark": F.lit(mark).cast("string")})
         marks = [m for m, on in ((EVERYTHING, everything), (TAG, tag is not None)) if on]
         if marks:
             entry = entry.unionByName(self.spark.createDataFrame([(*[None] * len(self.by), None, tag, m) for m in marks], self._entry))
