@@ -116,18 +116,25 @@ def corr_sql(a, b):
     return f"SELECT '{a}' AS x, '{b}' AS y, count(*) AS n, corr({a}, {b}) AS r FROM lineitem"
 
 
-@query("correlation_test", "WITH c AS (" + " UNION ALL ".join(corr_sql(a, b) for i, a in enumerate(CORR) for b in CORR[i + 1:])
-       + f") SELECT x, y, n, {rnd('r', 6)} AS r, {rnd('r * sqrt((n - 2) / (1 - r * r))', 4)} AS t FROM c")
+#: The tails of t beyond what is seen, by Simpson's rule over its density (gamma functions by their series, for many rows); from 40 on they are nothing.
+P_SQL = """, t AS (SELECT *, r * sqrt((n - 2) / (1 - r * r)) AS t FROM c),
+  i AS (SELECT x, y, sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * power(1 + power(least(abs(t), 40) * i / 2000, 2) / (n - 2), -(n - 1) / 2.0)) * least(abs(t), 40) / 6000 AS area
+    FROM t, range(0, 2001) s(i) GROUP BY x, y, t)
+  SELECT t.x, t.y, n, {r} AS r, {t} AS t, {p} AS p FROM t JOIN i ON i.x = t.x AND i.y = t.y"""
+P_SQL = P_SQL.format(r=rnd("r", 6), t=rnd("t", 4), p=rnd("CASE WHEN abs(t) >= 40 THEN 0 ELSE abs(1 - 2 * exp(-1 / (4.0 * (n - 2)) + 1 / (24.0 * (n - 2) * (n - 2) * (n - 2))) / sqrt(2 * pi()) * area) END", 6))
+
+
+@query("correlation_test", "WITH c AS (" + " UNION ALL ".join(corr_sql(a, b) for i, a in enumerate(CORR) for b in CORR[i + 1:]) + ")" + P_SQL)
 def correlation_test(t):
-    return st.correlation_test(t.table("lineitem"), CORR)
+    return st.correlation_test(t.table("lineitem"), CORR).withColumn("p", num(F.col("p"), 6))
 
 
 @query("spearman_test", f"""WITH v AS (SELECT o_totalprice AS a, c_acctbal AS b FROM orders JOIN customer ON c_custkey = o_custkey),
   r AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb FROM v),
-  c AS (SELECT count(*) AS n, corr(ra, rb) AS r FROM r) SELECT 'o_totalprice' AS x, 'c_acctbal' AS y, n, {rnd('r', 6)} AS r, {rnd('r * sqrt((n - 2) / (1 - r * r))', 4)} AS t FROM c""")
+  c AS (SELECT 'o_totalprice' AS x, 'c_acctbal' AS y, count(*) AS n, corr(ra, rb) AS r FROM r){P_SQL}""")
 def spearman_test(t):
     j = t.table("orders").join(t.table("customer"), F.col("c_custkey") == F.col("o_custkey"))
-    return st.spearman_test(j, "o_totalprice", "c_acctbal")
+    return st.spearman_test(j, "o_totalprice", "c_acctbal").withColumn("p", num(F.col("p"), 6))
 
 
 PAIRS = [("AUTOMOBILE", "BUILDING"), ("FURNITURE", "MACHINERY"), ("BUILDING", "HOUSEHOLD")]
@@ -173,9 +180,26 @@ def simple_regression(t):
     return st.simple_regression(t.table("lineitem"), "l_extendedprice", "l_quantity", ["l_returnflag"])
 
 
-@query("linear_regression")
+@query("linear_regression", f"""WITH v AS (SELECT l_extendedprice AS y, l_quantity AS a, l_discount AS b, l_quantity * l_discount AS c FROM lineitem),
+  m AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc FROM v),
+  d AS (SELECT y - my AS y, a - ma AS a, b - mb AS b, c - mc AS c, n, ma, mb, mc, my FROM v, m),
+  g AS (SELECT sum(a * a) AS aa, sum(a * b) AS ab, sum(a * c) AS ac, sum(b * b) AS bb, sum(b * c) AS bc, sum(c * c) AS cc, sum(a * y) AS ay, sum(b * y) AS yb, sum(c * y) AS cy, sum(y * y) AS yy FROM d),
+  t AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM g),
+  i AS (SELECT *, (bb * cc - bc * bc) / det AS vaa, (ac * bc - ab * cc) / det AS vab, (ab * bc - ac * bb) / det AS vac, (aa * cc - ac * ac) / det AS vbb, (ab * ac - aa * bc) / det AS vbc, (aa * bb - ab * ab) / det AS vcc FROM t),
+  k AS (SELECT *, vaa * ay + vab * yb + vac * cy AS ka, vab * ay + vbb * yb + vbc * cy AS kb, vac * ay + vbc * yb + vcc * cy AS kc FROM i),
+  r AS (SELECT *, yy - ka * ay - kb * yb - kc * cy AS rss FROM k),
+  e AS (SELECT d.y - ka * d.a - kb * d.b - kc * d.c AS e, vaa * d.a + vab * d.b + vac * d.c AS ha, vab * d.a + vbb * d.b + vbc * d.c AS hb, vac * d.a + vbc * d.b + vcc * d.c AS hc, d.a, d.b, d.c, n, ma, mb, mc FROM d, r),
+  w AS (SELECT *, power(e / (1 - 1 / n - ha * a - hb * b - hc * c), 2) AS w, 1 / n - ha * ma - hb * mb - hc * mc AS h0 FROM e),
+  h AS (SELECT sum(w * ha * ha) AS wa, sum(w * hb * hb) AS wb, sum(w * hc * hc) AS wc, sum(w * h0 * h0) AS w0, avg(e * e) AS e2, avg(e * e * e) AS e3, avg(e * e * e * e) AS e4 FROM w),
+  f AS (SELECT *, rss / (n - 4) AS s2, 1 - rss / yy AS r2, e3 / power(e2, 1.5) AS skew, e4 / (e2 * e2) AS kurt FROM r, h, m),
+  o AS (SELECT 'l_quantity' AS term, ka AS b, vaa AS v, wa AS hc3, vaa * aa AS vif, f.* FROM f UNION ALL SELECT 'l_discount', kb, vbb, wb, vbb * bb, f.* FROM f UNION ALL SELECT 'l_quantity:l_discount', kc, vcc, wc, vcc * cc, f.* FROM f
+    UNION ALL SELECT '(intercept)', my - ka * ma - kb * mb - kc * mc, 1 / n + ma * ma * vaa + mb * mb * vbb + mc * mc * vcc + 2 * (ma * mb * vab + ma * mc * vac + mb * mc * vbc), w0, NULL, f.* FROM f)
+  SELECT term, {rnd('b', 3)} AS coefficient, {rnd('sqrt(s2 * v)', 3)} AS std_error, {rnd('b / sqrt(s2 * v)', 3)} AS t, {rnd('sqrt(hc3)', 3)} AS std_error_hc3, {rnd('vif', 4)} AS vif, CAST(n AS BIGINT) AS n, {rnd('r2', 6)} AS r2,
+    {rnd('1 - (1 - r2) * (n - 1) / (n - 4)', 6)} AS r2_adj, {rnd('r2 / 3 / ((1 - r2) / (n - 4))', 1)} AS f, {rnd('skew', 5)} AS skew, {rnd('kurt', 5)} AS kurtosis, {rnd('n / 6 * (skew * skew + (kurt - 3) * (kurt - 3) / 4)', 1)} AS jarque_bera FROM o""")
 def linear_regression(t):
-    return st.linear_regression(t.table("lineitem"), "l_extendedprice", ["l_quantity", "l_discount", "l_tax"], [("l_quantity", "l_discount")])
+    found = st.regression(t.table("lineitem"), "l_extendedprice", ["l_quantity", "l_discount"], [("l_quantity", "l_discount")])
+    digits = {"coefficient": 3, "std_error": 3, "t": 3, "std_error_hc3": 3, "vif": 4, "r2": 6, "r2_adj": 6, "f": 1, "skew": 5, "kurtosis": 5, "jarque_bera": 1}
+    return found.select("term", "n", *[num(F.col(c), d).alias(c) for c, d in digits.items()])
 
 
 # -- sorts, limits, sets ------------------------------------------------------
