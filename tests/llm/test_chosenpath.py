@@ -5,7 +5,6 @@ import re
 from collections import defaultdict
 
 import numpy as np
-import pytest
 
 from tillbook.llm import chosenpath
 
@@ -69,20 +68,30 @@ def made(seed):
 ROWS = made(2)
 
 
-@pytest.mark.parametrize("options", [{}, {"small": 3}, {"small": 2, "levels": 0}, {"small": 5, "levels": 2, "percent": 85}])
-def test_against_all_pairs(spark, options):
-    """small=3 sends nodes through blocks, pivots and minwise functions over full sets, levels=0 through all pairs of blocks."""
-    assert run(spark, ROWS, **options) == plain_version(ROWS)
+def test_against_all_pairs(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    rows = ROWS + [(r.doc_id + 1000, r.text) for r in docs]
+    assert run(spark, rows) == plain_version(rows)
 
 
-def test_given_documents_against_all_pairs(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
-    assert run(spark, [tuple(r) for r in docs.collect()]) == plain_version([tuple(r) for r in docs.collect()])
+def test_blocks_pivots_and_functions_over_full_sets(spark):
+    """Nodes of more than three sets are crowded."""
+    assert run(spark, ROWS, small=3, levels=2) == plain_version(ROWS)
 
 
-def test_weight_splits_nodes_of_few_long_texts(spark, monkeypatch):
+def test_weight_splits_nodes_and_all_pairs_of_blocks_settle_the_rest(spark, monkeypatch):
     monkeypatch.setattr(chosenpath, "WEIGHT", 300)
-    assert run(spark, ROWS) == plain_version(ROWS)
+    assert run(spark, ROWS, levels=0) == plain_version(ROWS)
+
+
+def test_shingles_of_pieces_and_blocks(monkeypatch):
+    monkeypatch.setattr(chosenpath, "BYTES", 64)
+    texts = [(t or "").encode() for _, t in ROWS]
+    sets = [s for i in range(0, len(texts), 7) for s in chosenpath.shingle_sets(texts[i : i + 7], 5)]
+    plain = [plain_set(t) for _, t in ROWS]
+    assert [len(s) for s in sets] == [len(p) for p in plain]
+    for i, j in [(0, 1), (0, 70), (75, 80), (140, 141), (180, 181), (180, 182)]:
+        assert len(np.intersect1d(sets[i], sets[j])) == len(plain[i] & plain[j])
 
 
 def test_trees_reach_the_recall():

@@ -50,7 +50,8 @@ DEPTH, RECALL = 4, 1 - 1e-6
 SMALL, WEIGHT, LEVELS = 256, 2_000_000, 12
 #: Trees of each batch; the last takes the rest.
 BATCHES = (1, 3)
-KNOWN_WORDS = 500_000
+#: Texts, and bytes of them, worked on at a time.
+ROWS, BYTES = 500, 1_000_000
 #: Shingles hashed at a time by all functions of a signature.
 CHUNK = 2048
 
@@ -90,26 +91,73 @@ def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _numbers(n, 11) | np.uint64(1), _numbers(n, 12)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, 9)
-        return h
-
-
-def shingle_set(text: bytes, size: int, hashes: dict) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text."""
-    words = text.translate(LOWER).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    size = min(size, len(words))
+#: Of byte values: white space, and their numbers in word hashes.
+SPACE = np.array([c in b" \t\n\x0b\x0c\r" for c in range(256)])
+BYTE = _numbers(256, 9)
+FACTOR = 0x9E3779B97F4A7C15 | 1
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of all texts in turn, and where each text's words begin and the last one's end.
+
+    A word's hash is a polynomial in its bytes' numbers, modulo 2^64, so it is one sum over the word.
+    """
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    joined = b"\n".join([*texts, b""]).translate(LOWER)
+    found, words = [], []
+    for at, end in _blocks(joined):
+        raw = np.frombuffer(joined, np.uint8, end - at, at)
+        space = SPACE[raw]
+        edges = np.r_[0, np.flatnonzero(space[1:] != space[:-1]) + 1]
+        place = np.arange(len(raw)) - np.repeat(edges, np.diff(edges, append=len(raw)))
+        powers = np.cumprod(np.r_[np.uint64(1), np.full(int(place.max()), FACTOR, np.uint64)])
+        sums = np.add.reduceat(BYTE[raw] * powers[place], edges)
+        odd = slice(int(space[0]), None, 2)  # words and white space take turns
+        found.append(sums[odd])
+        words.append(edges[odd] + at)
+    where = np.concatenate(words)
+    return mix(np.concatenate(found)), np.searchsorted(where, starts)
+
+
+def _blocks(joined: bytes) -> Iterator[tuple[int, int]]:
+    """Limits of blocks of about BYTES bytes that begin and end between words."""
+    at = 0
+    while at < len(joined):
+        end = min(at + BYTES, len(joined))
+        while end < len(joined) and not SPACE[joined[end]]:
+            end += 1
+        yield at, end
+        at = end
+
+
+def shingle_sets(texts: list[bytes], size: int) -> Iterator[np.ndarray]:
+    """Sorted hashes of the distinct shingles of each text."""
+    h, limits = word_hashes(texts)
+    full = _shingles(h, size) if len(h) >= size else np.empty(0, np.uint64)
+    for start, end in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+        if end - start >= size:
+            yield np.unique(full[start : end - size + 1])
+        else:
+            yield _shingles(h[start:end], end - start) if end > start else np.empty(0, np.uint64)
+
+
+def _shingles(h: np.ndarray, size: int) -> np.ndarray:
     factors = _numbers(size, 5) | np.uint64(1)
-    total = np.full(len(words) - size + 1, size, np.uint64)
+    total = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
         total += h[k : len(h) - size + 1 + k] * factors[k]
-    return np.unique(mix(total))
+    return mix(total)
+
+
+def by_pieces(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Batches in pieces of up to ROWS rows and about BYTES bytes of text, with their texts."""
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            piece = utf8(batch.column(text).slice(at, ROWS))
+            n = max(1, int(np.searchsorted(np.cumsum([len(t) for t in piece]), BYTES)))
+            yield batch.slice(at, min(n, len(piece))), piece[:n]
+            at += n
 
 
 def signature(items: np.ndarray, multipliers: np.ndarray, masks: np.ndarray) -> np.ndarray:
@@ -130,13 +178,10 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, functions = _WordHashes(), _functions(COORDINATES)
-        for batch in batches:
-            made = []
-            for text in utf8(batch.column(2)):
-                items = shingle_set(text, size, known)
-                made.append((len(items), xxhash.xxh3_128_digest(items.tobytes()), signature(items, *functions).tobytes()))
-            n, rep, sig = zip(*made, strict=True) if made else ((), (), ())
+        functions = _functions(COORDINATES)
+        for batch, texts in by_pieces(batches, 2):
+            made = [(len(x), xxhash.xxh3_128_digest(x.tobytes()), signature(x, *functions).tobytes()) for x in shingle_sets(texts, size)]
+            n, rep, sig = zip(*made, strict=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(rep, pa.binary()), pa.array(sig, pa.binary())], names=["doc_id", "key", "n", "rep", "sig"]
             )
@@ -386,10 +431,9 @@ def full_sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) ->
     """(rep, n, items) of the wanted sets, made again from one text of each."""
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
-        for batch in batches:
-            items = [shingle_set(t, size, known).tobytes() for t in utf8(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(items, pa.large_binary()).cast(pa.binary())], names=["rep", "n", "items"])
+        for batch, texts in by_pieces(batches, 2):
+            items = pa.array([x.tobytes() for x in shingle_sets(texts, size)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), items], names=["rep", "n", "items"])
 
     keys = reps.join(wanted, "rep", "left_semi").select("rep", "n", "key")
     texts = keep_one(docs.select("key", "text"), ["key"], ["key"])
