@@ -47,8 +47,8 @@ START, GROWTH = 2, 4
 #: Bits of a word's number in a task. A slice has at most a quarter as many different words as bytes (those of one and two
 #: bytes apart, under 60,000), so numbers never run out if the task's words are written out at FULL.
 NUMBER_BITS = 21
-#: Bytes of text worked on at a time, words and phrases held before they are written out.
-SLICE, HELD_WORDS, HELD_CODES = 2_000_000, 600_000, 2_000_000
+#: Bytes of text worked on at a time, words and phrases held before they are written out, texts taken from a batch at a time.
+SLICE, HELD_WORDS, HELD_CODES, ROWS = 1_000_000, 400_000, 1_000_000, 500
 FULL = (1 << NUMBER_BITS) - SLICE // 4 - 60_000
 MIN_BITS, MAX_BITS, BITS_EACH = 1 << 20, 1 << 27, 16
 PAGE = 4096  # bytes of a bitmap in Spark's bitmap functions
@@ -240,7 +240,7 @@ def count(docs: DataFrame, size: int, tables: list[np.ndarray] = ()) -> DataFram
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[bytes, _Counter] = {}
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             for lang, text in zip(utf8(batch.column(0)), utf8(batch.column(1)), strict=True):
                 c = counters.get(lang) or counters.setdefault(lang, _Counter(lang, size, shared.value))
                 c.texts.append(text)
