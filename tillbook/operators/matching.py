@@ -28,28 +28,39 @@ def tokens(c) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text(c)), r"[^\p{L}\p{N}]+"), lambda x: x != ""))
 
 
+#: Examples that a token may be in to join items with examples; more frequent tokens join groups of them.
+FREQUENT = 1000
+
+
 def token_overlap_match(
-    items: DataFrame, examples: DataFrame, key: str, name: str, label: str = "label", threshold: int = 70, evidence: int = 5
+    items: DataFrame, examples: DataFrame, key: str, name: str, label: str = "label", threshold: int = 70, evidence: int = 5, frequent: int = FREQUENT
 ) -> DataFrame:
     """Best labelled example per item by shared tokens / larger token count; an equal name scores 100.
 
-    Names repeat, so distinct names are matched, examples are first merged per
-    (name, label), and candidates come from an equi join on tokens. Exact
-    overlap needs no pruning: a pair is only built when it shares a token.
+    Distinct names are matched with examples merged per (name, label). Tokens in up to ``frequent`` examples join both, so a
+    token of an item makes at most that many pairs, which are then verified on all tokens. Two names that share only more
+    frequent tokens have a score that depends on these and the token counts alone: such names are grouped by their frequent
+    tokens and count, examples also by label, and the groups are joined. An item's score with a label is the better of both
+    ways; of its group the first ``evidence`` labels suffice.
     """
     norm = F.array_join(F.array_sort(tokens(name)), " ")
     full = F.regexp_replace(F.lower(text(name)), r"\s+", "")
     names = items.select(F.col(name).alias("_i_name"), norm.alias("_i_norm"), full.alias("_i_full")).distinct()
     ex = examples.select(F.col(label).alias("_label"), norm.alias("_e_norm"), full.alias("_e_full")).distinct()
-    i_words = names.select("_i_norm").distinct().withColumn("_i", F.split("_i_norm", " "))
-    e_words = ex.select("_e_norm").distinct().withColumn("_e", F.split("_e_norm", " "))
-    i_tok = i_words.select("_i_norm", F.size("_i").alias("_in"), F.explode("_i").alias("_w")).where(F.col("_w") != "")
-    e_tok = e_words.select("_e_norm", F.size("_e").alias("_en"), F.explode("_e").alias("_w")).where(F.col("_w") != "")
-    shared = i_tok.join(e_tok, "_w").groupBy("_i_norm", "_in", "_e_norm", "_en").agg(F.count(F.lit(1)).alias("_s"))
-    score = F.floor(100 * F.col("_s") / F.greatest("_in", "_en")).cast("int")
-    pairs = shared.withColumn("_score", score).join(ex, "_e_norm").join(names, "_i_norm")
-    pairs = pairs.withColumn("_score", F.when(F.col("_i_full") == F.col("_e_full"), 100).otherwise(F.col("_score")))
-    best = pairs.groupBy("_i_name", "_label").agg(F.max("_score").alias("_score"))
+    i_words = _words(names.select(F.col("_i_norm").alias("_norm")).distinct())
+    e_words = _words(ex.select(F.col("_e_norm").alias("_norm")).distinct())
+    often = e_words.groupBy("_w").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > frequent).select("_w", F.lit(True).alias("_often"))
+    i_words, e_words = (w.join(often, "_w", "left").withColumn("_often", F.coalesce("_often", F.lit(False))) for w in (i_words, e_words))
+    # Pairs that share a rare token, verified on all tokens.
+    rare = lambda w, n: w.where(~F.col("_often")).select("_w", F.col("_norm").alias(n))
+    shared = rare(i_words, "_i_norm").join(rare(e_words, "_e_norm"), "_w").select("_i_norm", "_e_norm").distinct()
+    i, e = F.split("_i_norm", " "), F.split("_e_norm", " ")
+    score = F.floor(100 * F.size(F.array_intersect(i, e)) / F.greatest(F.size(i), F.size(e))).cast("int")
+    found = shared.withColumn("_score", score).join(ex.select("_label", "_e_norm"), "_e_norm").join(names.select("_i_name", "_i_norm"), "_i_norm")
+    # Equal names that share a token.
+    equal = names.join(ex, names["_i_full"] == ex["_e_full"]).where(F.size(F.filter(F.array_intersect(i, e), lambda w: w != "")) > 0)
+    best = found.select("_i_name", "_label", "_score").unionByName(equal.select("_i_name", "_label", F.lit(100).alias("_score")))
+    best = best.unionByName(_frequent_matches(names, ex, i_words, e_words, evidence)).groupBy("_i_name", "_label").agg(F.max("_score").alias("_score"))
     ranked = top_k(best, ["_i_name"], [F.col("_score").desc(), F.col("_label")], evidence)
     text_of = F.concat(F.col("_label"), F.lit(":"), F.col("_score").cast("string"))
     out = ranked.groupBy("_i_name").agg(
@@ -64,6 +75,27 @@ def token_overlap_match(
     )
 
 
+def _words(norms: DataFrame) -> DataFrame:
+    """(_norm, _size, _w): the tokens of normalised names."""
+    words = norms.withColumn("_words", F.split("_norm", " "))
+    return words.select("_norm", F.size("_words").alias("_size"), F.explode("_words").alias("_w")).where(F.col("_w") != "")
+
+
+def _frequent_matches(names: DataFrame, ex: DataFrame, i_words: DataFrame, e_words: DataFrame, evidence: int) -> DataFrame:
+    """(_i_name, _label, _score) by frequent tokens alone: the first labels of each group of names."""
+    grouped = lambda words: words.where("_often").groupBy("_norm", "_size").agg(F.array_join(F.array_sort(F.collect_list("_w")), " ").alias("_set"))
+    i_groups, e_groups = grouped(i_words), grouped(e_words).join(ex.select(F.col("_e_norm").alias("_norm"), "_label"), "_norm")
+    of = lambda groups, *more: groups.select(*more, "_set", "_size").distinct().withColumn("_w", F.explode(F.split("_set", " ")))
+    left = of(i_groups).withColumnsRenamed({"_set": "_i_set", "_size": "_i_size"})
+    right = of(e_groups, "_label").withColumnsRenamed({"_set": "_e_set", "_size": "_e_size"})
+    shared = left.join(right, "_w").groupBy("_i_set", "_i_size", "_e_set", "_e_size", "_label").agg(F.count(F.lit(1)).alias("_s"))
+    score = F.floor(100 * F.col("_s") / F.greatest("_i_size", "_e_size")).cast("int")
+    best = shared.groupBy("_i_set", "_i_size", "_label").agg(F.max(score).alias("_score"))
+    first = top_k(best, ["_i_set", "_i_size"], [F.col("_score").desc(), F.col("_label")], evidence).drop("_rank")
+    mine = i_groups.join(first, (F.col("_set") == F.col("_i_set")) & (F.col("_size") == F.col("_i_size")))
+    return mine.join(names.select("_i_name", F.col("_i_norm").alias("_norm")), "_norm").select("_i_name", "_label", "_score")
+
+
 def label_override_chain(items: DataFrame, overrides: DataFrame, rule: Column, unknown: str = "미분류") -> DataFrame:
     """Manual label by item key, then id, then name (the last one given wins), else the rule's label.
 
