@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.operators.core import col, keep_one, null_safe, unique_by
+from tillbook.operators.core import col, hot_keys, keep_one, null_safe, running, unique_by
 
 UNASSIGNED = "미배정"
 
@@ -140,20 +140,24 @@ def range_join_launch(sales: DataFrame, launches: DataFrame, key: str = "item_id
 def nearest_asof(
     left: DataFrame, quotes: DataFrame, key: str, target: Column, tolerance: int, out: str, day="base_date", price="price"
 ) -> DataFrame:
-    """Price of the quote nearest to ``target`` within +-tolerance days (earlier wins ties).
+    """Price of the quote nearest to ``target`` within +-tolerance days (earlier wins ties; on one day the smallest price).
 
-    The tolerance window is exploded to days, which makes this an equi join.
+    Quotes and asked days are one set of rows, ordered by day; each asked day carries the last quote up to it and, in the order
+    turned round, the first one from it on. Nothing is multiplied by the tolerance, and hot keys go in slices (``core.running``).
     """
-    probe = left.select(key, day).distinct().withColumn("_t", target)
-    probe = probe.withColumn("_d", F.explode(F.sequence(F.date_sub("_t", tolerance), F.date_add("_t", tolerance))))
-    q = quotes.select(F.col(key), F.col(day).alias("_d"), F.col(price).alias("_p"))
-    near = (
-        probe.join(q, [key, "_d"])
-        .groupBy(key, day)
-        .agg(F.min(F.struct(F.abs(F.datediff("_d", "_t")).alias("gap"), "_d", "_p")).alias("_best"))
-        .select(key, day, F.col("_best._p").alias(out))
-    )
-    return left.join(near, [key, day], "left")
+    probe = left.select(key, day).distinct().withColumn("_d", target)
+    found = quotes.where(F.col(key).isNotNull() & F.col(day).isNotNull())
+    found = found.groupBy(F.col(key), F.col(day).alias("_d")).agg(F.min(F.struct(F.col(price).alias("p"))).alias("_p"))
+    found = found.select(key, "_d", F.lit(0).alias("_asked"), F.struct(F.col("_d").alias("d"), F.col("_p.p").alias("p")).alias("_q"))
+    both = found.unionByName(probe.where(F.col(key).isNotNull() & F.col("_d").isNotNull()).withColumn("_asked", F.lit(1)), allowMissingColumns=True)
+    both = both.withColumn("_back", -F.datediff("_d", F.lit("1970-01-01").cast("date")))
+    hot = hot_keys(both, [key])
+    for order, name in (("_d", "_before"), ("_back", "_after")):
+        both = running(both, [key], [order, "_asked", day], {name: ("last", "_q")}, hot=hot)
+    gap = lambda q: F.when(F.abs(F.datediff(F.col(q)["d"], "_d")) <= tolerance, F.abs(F.datediff(F.col(q)["d"], "_d")))
+    earlier = gap("_before").isNotNull() & (gap("_after").isNull() | (gap("_before") <= gap("_after")))
+    best = F.when(earlier, F.col("_before")["p"]).when(gap("_after").isNotNull(), F.col("_after")["p"])
+    return left.join(both.where(F.col("_asked") == 1).select(key, day, best.alias(out)), [key, day], "left")
 
 
 def event_window_join(
