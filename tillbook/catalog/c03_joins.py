@@ -9,8 +9,9 @@ from tillbook.catalog.c02_series import QUOTES, quotes
 from tillbook.operators import joins as j
 from tillbook.operators.core import keep_one
 from tillbook.plans import marts
-from tillbook.session import stage
+from tillbook.session import fresh_path, stage
 from tillbook.sources.fixtures import AS_OF
+from tillbook.sources.snapshots import Snapshot
 
 D = "CAST(sale_date AS VARCHAR) AS sale_date"
 Y = "strftime"
@@ -236,6 +237,22 @@ def snapshot_change_detect(t):
     return j.snapshot_change_detect(new, old, ["code"], ["name", "list_price"])
 
 
+@query("snapshot_bucket_changes", f"""WITH {PRODUCTS}, old AS (SELECT code, name, list_price FROM products WHERE part_key % 997 <> 5),
+  new AS (SELECT code, name, CASE WHEN part_key % 499 = 7 THEN list_price + 100 ELSE list_price END AS list_price FROM products)
+  SELECT n.code, n.name, n.list_price, CASE WHEN o.code IS NULL THEN '신규' ELSE '변경' END AS change_type, true AS few_buckets
+  FROM new n LEFT JOIN old o USING (code) WHERE o.code IS NULL OR o.name <> n.name OR o.list_price <> n.list_price""")
+def snapshot_bucket_changes(t):
+    """Few products changed: their buckets are found by checksums, and only those are read."""
+    cols = ["code", "name", "list_price"]
+    old = t.products.where(F.col("part_key") % 997 != 5).select(*cols)
+    price = F.when(F.col("part_key") % 499 == 7, F.col("list_price") + 100).otherwise(F.col("list_price"))
+    new = t.products.select("code", "name", price.alias("list_price"))
+    snapshot = Snapshot(t.spark, fresh_path(t.spark, "snapshot"), old.schema, ["code"], ["name", "list_price"], buckets=64)
+    snapshot.update(old)
+    few = len(snapshot.differing(snapshot._dealt(new))) < 48
+    return snapshot.changes(new).withColumn("few_buckets", F.lit(few))
+
+
 @query("code_to_name_map", f"""WITH {PRODUCTS}, {RAW_LINES}, m AS (SELECT * FROM products WHERE label <> 'PROMO'),
   nm AS (SELECT name, min(code) AS code FROM m GROUP BY name),
   l AS (SELECT l_orderkey, l_linenumber, l.l_partkey, p.p_name AS item_name,
