@@ -100,8 +100,12 @@ def feed(t):
     from tillbook.catalog.c07_reconcile import blacklist
 
     k = F.col("o_orderkey")
+    # Some orders come under the store's old name, some with the brand before it.
+    old = F.regexp_replace("store", "^NATION_", "TOWN_")
+    given = F.when(k % 9 == 0, old).when(k % 9 == 1, F.concat(F.lit("Grill "), "store")).when(k % 9 == 2, F.concat(F.lit(" Grill "), old)).otherwise(F.col("store"))
+    aliases = t.stores.select(F.concat(F.lit("Grill "), old).alias("old"), F.col("store").alias("new"))
     orders = t.heads.select(
-        "sale_date", "store", F.col("region").alias("brand"), F.concat(F.lit("00"), "order_id").alias("order_code"),
+        "sale_date", given.alias("store"), F.col("region").alias("brand"), F.concat(F.lit("00"), "order_id").alias("order_code"),
         F.when(k % 6 == 0, " ").otherwise(F.concat(F.lit("X"), "order_id")).alias("external_no"), F.col("platform").alias("path"),
         F.when(F.col("order_type").isin("1-URGENT", "2-HIGH"), "포장").otherwise("배달").alias("order_kind"), F.col("source").alias("status"),
         F.col("order_amount").alias("total"), ((k % 3) * 1000).alias("fee"), F.when(k % 10 == 0, F.col("order_amount")).otherwise(0).alias("discount"),
@@ -114,7 +118,8 @@ def feed(t):
     )
     rules = dict(flat_pack=["AUTOMOBILE"], paid_less_fee=["BUILDING"], total_less_fee=["FURNITURE"], own_rider=["HOUSEHOLD"], rider_mark="own rider")
     return u.unify_delivery_feed(
-        orders, items, t.stores, blacklist(t), ["l_orderkey", *LINE_ORDER], {"AUTOMOBILE": "GARAGE", "MACHINERY": "GARAGE"}, ["F", "O"], rules
+        orders, items, t.stores, blacklist(t), ["l_orderkey", *LINE_ORDER], {"AUTOMOBILE": "GARAGE", "MACHINERY": "GARAGE"}, ["F", "O"], rules,
+        aliases=aliases, brands=["Grill"],
     )
 
 

@@ -151,8 +151,16 @@ def _feed_best(rows: DataFrame, keys, hot=AUTO):
 def unify_delivery_feed(
     orders: DataFrame, items: DataFrame, stores: DataFrame, blacklist: DataFrame, line_order: Sequence[str],
     platforms: dict[str, str], complete: Sequence[str], revenue_rules: dict, source: str = "feed", hot=AUTO,
+    aliases: DataFrame | None = None, brands: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """(unified lines, lines removed by the black list). Orders without lines are left out."""
+    """(unified lines, lines removed by the black list). Orders without lines are left out.
+
+    Old store names (``aliases``: old, new) are replaced and brand prefixes cut off before anything is keyed by the store.
+    """
+    if aliases is not None:
+        orders = c.store_alias_normalize(orders.withColumn("store", c.text("store")), aliases, "store", brands).drop("store_key")
+    if brands:
+        orders = orders.withColumn("store", c.strip_brand("store", brands))
     code = lambda x: F.coalesce(c.text(x).try_cast("bigint"), F.lit(0)).cast("string")
     heads = orders.withColumns(
         {
