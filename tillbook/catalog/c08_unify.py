@@ -345,6 +345,43 @@ def apply_review_approvals(t):
     return ms.apply_review_approvals(product_master(t), "2001-08-02")
 
 
+UNSEEN = MST + """, ln AS (SELECT CAST(l_partkey AS VARCHAR) AS code, p_name || ' new' AS name, CAST(round(l_extendedprice / l_quantity) AS BIGINT) AS list_price, l_shipdate, l_orderkey, l_linenumber, l_quantity, l_extendedprice
+    FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_partkey % 4 = 0),
+  un AS (SELECT 'a' AS source, code, name, list_price, '기타' AS label, 'Y' AS review_needed, 'N' AS exclude_check, '' AS approve, DATE '2001-09-01' AS updated_at, 1 AS version FROM ln
+    WHERE code NOT IN (SELECT code FROM upd WHERE source = 'a' AND brand_5 IS NULL) QUALIFY row_number() OVER (PARTITION BY code ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_quantity DESC, l_extendedprice DESC) = 1)"""
+UNSEEN = UNSEEN.replace(" AND brand_5 IS NULL", " AND CAST(code AS BIGINT) % 8 <> 0")
+
+
+def with_unseen(t):
+    """The master without some products of a source, and the lines that sell them."""
+    gone = (F.col("source") == "a") & (F.col("code").cast("long") % 8 == 0)
+    lines = t.raw_lines.join(t.products.select(F.col("part_key").alias("l_partkey"), F.col("name").alias("_n")), "l_partkey").where("l_partkey % 4 = 0")
+    lines = lines.select(T("l_partkey").alias("code"), F.concat("_n", F.lit(" new")).alias("name"), F.col("unit_price").alias("list_price"), "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+    return ms.append_unseen_codes(product_master(t).where(~gone), lines, "a", order, "2001-09-01")
+
+
+@query("append_unseen_codes", f"""WITH {UNSEEN} SELECT * EXCLUDE (is_latest) REPLACE (CAST(updated_at AS VARCHAR) AS updated_at) FROM upd WHERE NOT (source = 'a' AND CAST(code AS BIGINT) % 8 = 0)
+  UNION ALL BY NAME SELECT * REPLACE (CAST(updated_at AS VARCHAR) AS updated_at) FROM un""")
+def append_unseen_codes(t):
+    return with_unseen(t).drop("is_latest")
+
+
+@query("finalise_pending", f"""WITH {UNSEEN}, al AS (SELECT * EXCLUDE (is_latest) FROM upd WHERE NOT (source = 'a' AND CAST(code AS BIGINT) % 8 = 0) UNION ALL BY NAME SELECT * FROM un),
+  nw AS (SELECT * FROM al QUALIFY row_number() OVER (PARTITION BY source, code ORDER BY updated_at DESC, version DESC) = 1),
+  pe AS (SELECT * FROM nw WHERE source = 'a' AND review_needed = 'Y'), ex AS (SELECT DISTINCT name, label FROM nw WHERE review_needed <> 'Y' AND label <> ''),
+  ti AS (SELECT DISTINCT name, unnest(string_split(lower(name), ' ')) AS w FROM pe), te AS (SELECT DISTINCT name, unnest(string_split(lower(name), ' ')) AS w FROM ex),
+  ni AS (SELECT name, count(*) AS n FROM ti GROUP BY name), ne AS (SELECT name, count(*) AS n FROM te GROUP BY name),
+  sh AS (SELECT ti.name AS i, te.name AS e, count(*) AS s FROM ti JOIN te USING (w) GROUP BY ALL),
+  sc AS (SELECT sh.i, ex.label, max(CASE WHEN sh.i = sh.e THEN 100 ELSE 100 * s // greatest(ni.n, ne.n) END) AS score FROM sh JOIN ni ON ni.name = sh.i JOIN ne ON ne.name = sh.e JOIN ex ON ex.name = sh.e GROUP BY sh.i, ex.label),
+  be AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, label) = 1),
+  fi AS (SELECT pe.* REPLACE (CASE WHEN be.score >= 70 THEN be.label WHEN contains(pe.name, 'ring') THEN 'RING' ELSE 'OTHER' END AS label, 'N' AS review_needed, '' AS approve, DATE '2001-10-01' AS updated_at, version + 1 AS version) FROM pe LEFT JOIN be ON be.i = pe.name),
+  o AS (SELECT * FROM al UNION ALL BY NAME SELECT * FROM fi)
+  SELECT * REPLACE (CAST(updated_at AS VARCHAR) AS updated_at), CASE WHEN row_number() OVER (PARTITION BY source, code ORDER BY updated_at DESC, version DESC) = 1 THEN 'Y' ELSE 'N' END AS is_latest FROM o""")
+def finalise_pending(t):
+    return ms.finalise_pending(with_unseen(t), "a", F.when(F.col("name").contains("ring"), "RING").otherwise("OTHER"), "2001-10-01")
+
+
 ORDER = ("HOUSEHOLD", "BUILDING", "AUTOMOBILE")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillbook.functions.clean import blank_to_null
 from tillbook.operators.core import keep_one
 from tillbook.operators.joins import snapshot_change_detect
+from tillbook.operators.matching import token_overlap_match
 from tillbook.operators.order_lines import is_latest_flag
 
 KEYS = ("source", "code")
@@ -55,6 +56,43 @@ def apply_review_approvals(master: DataFrame, now) -> DataFrame:
     return is_latest_flag(cleared.select(*cols).unionByName(new.select(*cols)), KEYS, "updated_at", "version")
 
 
+def append_unseen_codes(master: DataFrame, lines: DataFrame, source: str, order: Sequence[str], now, label: str = "기타") -> DataFrame:
+    """Product codes of receipt lines that the master does not have for the source, appended to wait for review.
+
+    ``lines``: code, name, list_price and the columns of ``order``; of a code the last line gives name and price.
+    """
+    seen = master.where(F.lower(F.trim("source")) == source.lower()).select(F.trim("code").alias("code")).distinct()
+    coded = lines.withColumn("code", F.trim("code")).where(F.coalesce(F.col("code"), F.lit("")) != "")
+    last = keep_one(coded.join(seen, "code", "left_anti"), ["code"], [F.col(c).desc() for c in order])
+    rows = last.select("code", "name", "list_price").withColumns(
+        {
+            "source": F.lit(source), "label": F.lit(label), "review_needed": F.lit("Y"), "exclude_check": F.lit("N"), "approve": F.lit(""),
+            "updated_at": F.lit(now).cast("date"), "version": F.lit(1),
+        }
+    )
+    cols = [c for c in master.columns if c != "is_latest"]
+    return is_latest_flag(master.select(*cols).unionByName(rows.select(*cols)), KEYS, "updated_at", "version")
+
+
+def finalise_pending(master: DataFrame, source: str, rule: Column, now, threshold: int = 70) -> DataFrame:
+    """Products of a source whose newest version waits for review are confirmed: a confirmed version is appended.
+
+    Its label is that of the confirmed products whose names share most tokens with it, where these are enough, else the
+    rule's on the name.
+    """
+    up = lambda c: F.upper(F.trim(F.coalesce(c, F.lit(""))))
+    newest = latest_version(master)
+    pending = newest.where((F.lower(F.trim("source")) == source.lower()) & (up("review_needed") == "Y"))
+    examples = newest.where((up("review_needed") != "Y") & blank_to_null("label").isNotNull()).select("name", "label")
+    keyed = pending.withColumn("_key", F.concat_ws("\u0001", *KEYS))
+    found = token_overlap_match(keyed, examples, "_key", "name", threshold=threshold).select("_key", F.nullif("matched_label", F.lit("")).alias("_found"))
+    cols = [c for c in master.columns if c != "is_latest"]
+    rows = keyed.join(found, "_key").withColumns(
+        {"label": F.coalesce("_found", rule), "review_needed": F.lit("N"), "approve": F.lit(""), "updated_at": F.lit(now).cast("date"), "version": F.col("version") + 1}
+    )
+    return is_latest_flag(master.select(*cols).unionByName(rows.select(*cols)), KEYS, "updated_at", "version")
+
+
 def explicit_order(c, order: Sequence[str]) -> Column:
     """Position in a fixed list, unknown values last."""
     pos = F.array_position(F.array(*[F.lit(x) for x in order]), F.col(c))
