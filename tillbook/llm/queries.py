@@ -197,8 +197,8 @@ s AS (SELECT DISTINCT r, unnest([array_to_string(w[i:i + least(5, len(w)) - 1],
 k AS (SELECT r, md5(string_agg(shingle, ' ' ORDER BY shingle)) AS name, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY r),
 u AS (SELECT name, min(r) AS a, min(n) AS n FROM k GROUP BY name),
 us AS (SELECT u.a, u.n, s.shingle FROM u JOIN s ON s.r = u.a),
-p AS (SELECT x.a, y.a AS b, any_value(x.n) AS nx, any_value(y.n) AS ny, count(*) AS both FROM us x JOIN us y ON x.shingle = y.shingle AND x.a < y.a AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) GROUP BY x.a, y.a),
-l AS (SELECT a, b FROM p WHERE 100 * both >= 85 * (nx + ny - both)),
+p AS (SELECT x.a, y.a AS b, any_value(x.n) AS nx, any_value(y.n) AS ny, count(*) AS shared FROM us x JOIN us y ON x.shingle = y.shingle AND x.a < y.a AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) GROUP BY x.a, y.a),
+l AS (SELECT a, b FROM p WHERE 100 * shared >= 85 * (nx + ny - shared)),
 e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 reach(a, b) AS (SELECT a, a FROM u UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
 class AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
