@@ -189,23 +189,6 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
-@query(
-    "op12_minhash_near_dedup",
-    r"""
-WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
-s AS (SELECT DISTINCT r, unnest([array_to_string(w[i:i + least(5, len(w)) - 1], ' ') FOR i IN range(1, len(w) - least(5, len(w)) + 2)]) AS shingle FROM d WHERE len(w) > 0),
-k AS (SELECT r, md5(string_agg(shingle, ' ' ORDER BY shingle)) AS name, CAST(count(*) AS BIGINT) AS n FROM s GROUP BY r),
-u AS (SELECT name, min(r) AS a, min(n) AS n FROM k GROUP BY name),
-us AS (SELECT u.a, u.n, s.shingle FROM u JOIN s ON s.r = u.a),
-p AS (SELECT x.a, y.a AS b, any_value(x.n) AS nx, any_value(y.n) AS ny, count(*) AS shared FROM us x JOIN us y ON x.shingle = y.shingle AND x.a < y.a AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n) GROUP BY x.a, y.a),
-l AS (SELECT a, b FROM p WHERE 100 * shared >= 85 * (nx + ny - shared)),
-e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
-reach(a, b) AS (SELECT a, a FROM u UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b),
-class AS (SELECT a, min(b) AS root FROM reach GROUP BY a),
-f AS (SELECT d.r, d.doc_id, coalesce(k.n, 0) AS n, class.root FROM d LEFT JOIN k ON k.r = d.r LEFT JOIN u ON u.name = k.name LEFT JOIN class ON class.a = u.a),
-least_id AS (SELECT root, min(doc_id) AS component_id FROM f WHERE n > 0 GROUP BY root)
-SELECT f.doc_id, f.n AS n_shingles, CASE WHEN f.n > 0 THEN m.component_id ELSE f.doc_id END AS component_id,
-  f.doc_id IS NOT DISTINCT FROM CASE WHEN f.n > 0 THEN m.component_id ELSE f.doc_id END AS kept FROM f LEFT JOIN least_id m ON m.root = f.root""",
-)
+@query("op12_minhash_near_dedup")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.near_duplicates(table(spark, sf_dir, "documents"))
