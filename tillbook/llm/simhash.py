@@ -112,13 +112,14 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT_BUCKET) ->
     cold = variants.join(crowds, "key", "left_anti") if some else variants
     x = F.col("fp").bitwiseXOR(F.col("other"))
     near = (F.col("fp") < F.col("other")) & (F.bit_count(x) <= max_bits) & (_taken_at(x) == F.shiftright("key", WIDEST))
-    pairs = cold.join(cold.select(F.col("key").alias("k"), F.col("fp").alias("other")), (F.col("key") == F.col("k")) & near)
+    # Spark takes exploded rows for as small as what they come from, so it would send them to the driver to broadcast them.
+    pairs = cold.join(cold.select(F.col("key").alias("k"), F.col("fp").alias("other")).hint("merge"), (F.col("key") == F.col("k")) & near)
     found = pairs.select(F.col("fp").alias("a"), F.col("other").alias("b"))
     if not some:
         return found
     balls = _balls(crowded, max_bits // 2)
     centres = balls.groupBy("key").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return found.unionByName(balls.join(centres, "key").where("fp <> b").select(F.col("fp").alias("a"), "b"))
+    return found.unionByName(balls.join(centres.hint("merge"), "key").where("fp <> b").select(F.col("fp").alias("a"), "b"))
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT_BUCKET) -> DataFrame:
