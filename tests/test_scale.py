@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillbook.llm import simhash
+from tillbook.plans import master as ms
 from tillbook.session import stage
 
 
@@ -19,3 +20,17 @@ def test_variants_of_fingerprints_are_never_broadcast(spark):
     assert joins.count("SortMergeJoin") == 2
     small = {(r.a, r.b) for r in simhash.links(crowd, hot=1000).collect()}
     assert small == {(a, b) for a in range(300) for b in range(a + 1, 300) if (a ^ b).bit_count() <= 4}
+
+
+def test_finalise_pending_reads_its_master_once(spark, monkeypatch):
+    cols = "source string, code string, name string, label string, review_needed string, exclude_check string, approve string, updated_at date, version int, is_latest string"
+    row = lambda code, name, label, open_: ("a", code, name, label, open_, "N", "", None, 1, "Y")
+    rows = [row("1", "red ring", "RING", "N"), row("2", "red ring big", "", "Y"), row("3", "green box", "", "Y"), row("4", None, "", "Y")]
+    master = spark.createDataFrame(rows, cols).withColumn("updated_at", F.to_date(F.lit("2001-01-01")))
+    deep = master.where(F.col("version") + F.lit(4711) > 0)  # a mark of the master's own plan
+    out = ms.finalise_pending(deep, "a", F.lit("RULE"), "2001-10-01", threshold=60)
+    assert "4711" not in plan_of(out) and plan_of(out).count("\n") < 400
+    got = {(r.code, r.version, r.label, r.is_latest) for r in out.collect()}
+    assert got == {
+        ("1", 1, "RING", "Y"), ("2", 1, "", "N"), ("2", 2, "RING", "Y"), ("3", 1, "", "N"), ("3", 2, "RULE", "Y"), ("4", 1, "", "N"), ("4", 2, "RULE", "Y"),
+    }

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tillbook.functions.clean import text
 from tillbook.operators.core import col, keep_one, top_k
+from tillbook.session import stage
 
 
 def keyword_label(
@@ -45,15 +46,16 @@ def token_overlap_match(
     """
     norm = F.array_join(F.array_sort(tokens(name)), " ")
     full = F.regexp_replace(F.lower(text(name)), r"\s+", "")
-    names = items.select(F.col(name).alias("_i_name"), norm.alias("_i_norm"), full.alias("_i_full")).distinct()
-    ex = examples.select(F.col(label).alias("_label"), norm.alias("_e_norm"), full.alias("_e_full")).distinct()
+    # Names, examples and their words are written out: plans stay short, and Spark knows the size of what it joins.
+    names = stage(items.select(F.col(name).alias("_i_name"), norm.alias("_i_norm"), full.alias("_i_full")).distinct())
+    ex = stage(examples.select(F.col(label).alias("_label"), norm.alias("_e_norm"), full.alias("_e_full")).distinct())
     i_words = _words(names.select(F.col("_i_norm").alias("_norm")).distinct())
     e_words = _words(ex.select(F.col("_e_norm").alias("_norm")).distinct())
-    often = e_words.groupBy("_w").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > frequent).select("_w", F.lit(True).alias("_often"))
-    i_words, e_words = (w.join(often, "_w", "left").withColumn("_often", F.coalesce("_often", F.lit(False))) for w in (i_words, e_words))
+    often = stage(e_words.groupBy("_w").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > frequent).select("_w", F.lit(True).alias("_often")))
+    i_words, e_words = (stage(w.join(often, "_w", "left").withColumn("_often", F.coalesce("_often", F.lit(False)))) for w in (i_words, e_words))
     # Pairs that share a rare token, verified on all tokens.
     rare = lambda w, n: w.where(~F.col("_often")).select("_w", F.col("_norm").alias(n))
-    shared = rare(i_words, "_i_norm").join(rare(e_words, "_e_norm"), "_w").select("_i_norm", "_e_norm").distinct()
+    shared = rare(i_words, "_i_norm").join(rare(e_words, "_e_norm").hint("merge"), "_w").select("_i_norm", "_e_norm").distinct()
     i, e = F.split("_i_norm", " "), F.split("_e_norm", " ")
     score = F.floor(100 * F.size(F.array_intersect(i, e)) / F.greatest(F.size(i), F.size(e))).cast("int")
     found = shared.withColumn("_score", score).join(ex.select("_label", "_e_norm"), "_e_norm").join(names.select("_i_name", "_i_norm"), "_i_norm")
@@ -86,9 +88,10 @@ def _frequent_matches(names: DataFrame, ex: DataFrame, i_words: DataFrame, e_wor
     grouped = lambda words: words.where("_often").groupBy("_norm", "_size").agg(F.array_join(F.array_sort(F.collect_list("_w")), " ").alias("_set"))
     i_groups, e_groups = grouped(i_words), grouped(e_words).join(ex.select(F.col("_e_norm").alias("_norm"), "_label"), "_norm")
     of = lambda groups, *more: groups.select(*more, "_set", "_size").distinct().withColumn("_w", F.explode(F.split("_set", " ")))
+    # Spark takes exploded rows for as small as what they come from; none of them is broadcast.
     left = of(i_groups).withColumnsRenamed({"_set": "_i_set", "_size": "_i_size"})
     right = of(e_groups, "_label").withColumnsRenamed({"_set": "_e_set", "_size": "_e_size"})
-    shared = left.join(right, "_w").groupBy("_i_set", "_i_size", "_e_set", "_e_size", "_label").agg(F.count(F.lit(1)).alias("_s"))
+    shared = left.join(right.hint("merge"), "_w").groupBy("_i_set", "_i_size", "_e_set", "_e_size", "_label").agg(F.count(F.lit(1)).alias("_s"))
     score = F.floor(100 * F.col("_s") / F.greatest("_i_size", "_e_size")).cast("int")
     best = shared.groupBy("_i_set", "_i_size", "_label").agg(F.max(score).alias("_score"))
     first = top_k(best, ["_i_set", "_i_size"], [F.col("_score").desc(), F.col("_label")], evidence).drop("_rank")

@@ -12,6 +12,7 @@ from tillbook.operators.core import keep_one
 from tillbook.operators.joins import snapshot_change_detect
 from tillbook.operators.matching import token_overlap_match
 from tillbook.operators.order_lines import is_latest_flag
+from tillbook.session import stage
 
 KEYS = ("source", "code")
 
@@ -78,10 +79,11 @@ def finalise_pending(master: DataFrame, source: str, rule: Column, now, threshol
     """Products of a source whose newest version waits for review are confirmed: a confirmed version is appended.
 
     Its label is that of the confirmed products whose names share most tokens with it, where these are enough, else the
-    rule's on the name.
+    rule's on the name. The master and its newest versions are written out first: the matching reads them many times.
     """
     up = lambda c: F.upper(F.trim(F.coalesce(c, F.lit(""))))
-    newest = latest_version(master)
+    master = stage(master)
+    newest = stage(latest_version(master))
     pending = newest.where((F.lower(F.trim("source")) == source.lower()) & (up("review_needed") == "Y"))
     examples = newest.where((up("review_needed") != "Y") & blank_to_null("label").isNotNull()).select("name", "label")
     keyed = pending.withColumn("_key", F.concat_ws("\u0001", *KEYS))
