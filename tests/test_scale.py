@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from tillbook.llm import simhash
 from tillbook.plans import master as ms
-from tillbook.session import stage
+from tillbook.session import fresh_path, stage
+from tillbook.streaming.ingest import changes
 
 
 def plan_of(df):
@@ -34,3 +35,25 @@ def test_finalise_pending_reads_its_master_once(spark, monkeypatch):
     assert got == {
         ("1", 1, "RING", "Y"), ("2", 1, "", "N"), ("2", 2, "RING", "Y"), ("3", 1, "", "N"), ("3", 2, "RULE", "Y"), ("4", 1, "", "N"), ("4", 2, "RULE", "Y"),
     }
+
+
+def test_state_lies_in_buckets(spark):
+    inbox, checkpoint, taken = fresh_path(spark, "in"), fresh_path(spark, "stream"), []
+    schema = spark.createDataFrame([], "id string, part long, v string, sent long").schema
+
+    def run():
+        fresh = changes(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(inbox), ["id", "part"], "sent", None, buckets=4)
+        query = fresh.writeStream.foreachBatch(lambda b, _: taken.append({tuple(r) for r in b.collect()})).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sum(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress[-1:])
+
+    def drop(name, *rows):
+        spark.createDataFrame(rows, schema).repartition(2).write.parquet(f"{inbox}/{name}")
+
+    first = [(str(i), i % 3, None, 1) for i in range(500)] + [(None, None, "n", 1), ("0", 9, "other part", 1), ("7", 1, "stale", 0)]
+    drop("a", *first)
+    assert run() <= 4  # keys of one state before
+    assert taken[0] == set(first[:-1])
+    drop("b", ("0", 0, None, 1), ("1", 1, "new", 2), (None, None, "n", 1), (None, None, "m", 2), ("2", 2, "old", 0))
+    run()
+    assert set().union(*taken[1:]) == {("1", 1, "new", 2), (None, None, "m", 2)}

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType, TimestampType
 
 from tillbook.operators.core import keep_one
 from tillbook.session import stage
@@ -50,47 +52,67 @@ def ingest_files(
         raise query.exception()
 
 
-#: What the state of a key holds: the signature of the row delivered last, and its version.
-STATE = "signature string, version long"
+#: What the state of a bucket holds of each of its keys: signature (32 bytes) and version of the row delivered last, and when (ms).
+STATE = "keys array<string>, signatures binary, versions binary, seen binary"
+#: Keys lie in this many buckets by their hash; a bucket is one call of the state function, which holds its share of the keys.
+BUCKETS = 4096
 
 
-def changes(stream: DataFrame, keys: Sequence[str], version: str, forget_ms: int | None) -> DataFrame:
+def changes(stream: DataFrame, keys: Sequence[str], version: str, forget_ms: int | None, buckets: int = BUCKETS) -> DataFrame:
     """Of each key the newest row of a batch, if it says something new: keyed state drops what was delivered before.
 
     A row is dropped if it is older than the key's last one or equals it. A row that returns to an earlier content is a
     change again. State that has seen nothing for ``forget_ms`` is let go; a later repetition then passes, and the merge
-    makes nothing of it.
+    makes nothing of it. The state of the keys lies in ``buckets``, so a call is paid per bucket, not per key; a batch writes
+    the state of the buckets it falls in. A checkpoint goes with the number of its buckets.
     """
     fields = stream.schema.fields
     packed = [_as_text(f).alias(f"p{i}") for i, f in enumerate(fields)]
-    signed = stream.select(*packed, row_signature(stream.columns).alias("_signature"), F.col(version).cast("long").cast("string").alias("_version"))
-    schema = signed.schema
+    names = [f"p{i}" for i in range(len(fields))]
+    signed = stream.select(*packed, F.unhex(row_signature(stream.columns)).alias("_signature"), F.col(version).cast("long").cast("string").alias("_version"))
+    signed = signed.withColumn("_key", F.to_json(F.array(*[f"p{stream.columns.index(k)}" for k in keys])))
+    signed = signed.withColumn("_bucket", F.pmod(F.xxhash64("_key"), F.lit(buckets)))
     timeout = GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.ProcessingTimeTimeout
 
-    def newest(key, frames: Iterator, state: GroupState) -> Iterator:
-        if state.hasTimedOut:
+    # Nested, so that they travel with the function: tasks need not have this package.
+    def _packed(known: dict[str, tuple[bytes, int, int]]) -> tuple:
+        signatures, versions, seen = zip(*known.values(), strict=True)
+        return list(known), b"".join(signatures), np.array(versions, "<i8").tobytes(), np.array(seen, "<i8").tobytes()
+
+    def _unpacked(state: tuple) -> dict[str, tuple[bytes, int, int]]:
+        keys, signatures, versions, seen = state
+        parts = [bytes(signatures[at : at + 32]) for at in range(0, len(signatures), 32)]
+        return dict(zip(keys, zip(parts, *(np.frombuffer(x, "<i8").tolist() for x in (versions, seen)), strict=True), strict=True))
+
+    def newest(bucket, frames: Iterator, state: GroupState) -> Iterator:
+        best, known = {}, _unpacked(state.get) if state.exists else {}
+        if not state.hasTimedOut:
+            for frame in frames:
+                columns = [frame[c].tolist() for c in ("_key", "_version", "_signature", *names)]
+                for key, at, signature, *row in zip(*columns, strict=True):
+                    place = (-(1 << 62) if at is None else int(at)), bytes(signature)
+                    if key not in best or place > best[key][0]:
+                        best[key] = place, row
+        now, fresh = state.getCurrentProcessingTimeMs() if forget_ms is not None else 0, []
+        if forget_ms is not None:
+            known = {k: v for k, v in known.items() if k in best or v[2] + forget_ms > now}
+        for key, ((at, signature), row) in best.items():
+            last, version, _ = known.get(key, (None, None, None))
+            if last is None or (at >= version and signature != last):
+                last, version = signature, at
+                fresh.append(row)
+            known[key] = last, version, now
+        if known:
+            state.update(_packed(known))
+            if forget_ms is not None:
+                state.setTimeoutDuration(max(1, min(v[2] for v in known.values()) + forget_ms - now))
+        elif state.exists:
             state.remove()
-            return
-        best = None
-        for frame in frames:
-            for at in range(len(frame)):
-                row = frame.iloc[at : at + 1]
-                if best is None or _place(row) > _place(best):
-                    best = row
-        place, signature = _place(best)
-        known = state.get if state.exists else None
-        if known is None or (place >= known[1] and signature != known[0]):
-            state.update((signature, place))
-            yield best
-        if forget_ms is not None and state.exists:
-            state.setTimeoutDuration(forget_ms)
-
-    def _place(row) -> tuple[int, str]:
-        version = row["_version"].iloc[0]
-        return (-(1 << 62) if version is None else int(version)), row["_signature"].iloc[0]
-
-    by = [f"p{stream.columns.index(k)}" for k in keys]
-    fresh = signed.groupBy(*by).applyInPandasWithState(newest, schema, STATE, "append", timeout)
+        if fresh:
+            yield pd.DataFrame(fresh, columns=names, dtype=object)
+
+    out = StructType([StructField(n, StringType()) for n in names])
+    fresh = signed.groupBy("_bucket").applyInPandasWithState(newest, out, STATE, "append", timeout)
     return fresh.select(*[_from_text(F.col(f"p{i}"), f).alias(f.name) for i, f in enumerate(fields)])
 
 
