@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillbook.llm import simhash
+from tillbook.operators import order_lines as o
 from tillbook.plans import master as ms
 from tillbook.session import fresh_path, stage
 from tillbook.streaming.ingest import changes
@@ -57,3 +58,11 @@ def test_state_lies_in_buckets(spark):
     drop("b", ("0", 0, None, 1), ("1", 1, "new", 2), (None, None, "n", 1), (None, None, "m", 2), ("2", 2, "old", 0))
     run()
     assert set().union(*taken[1:]) == {("1", 1, "new", 2), (None, None, "m", 2)}
+
+
+def test_canonical_key_is_the_values(spark):
+    rows = [(1, "a ", 1.0, 1), (1, "a", 1.0000001, 2), (1, "a", 1.00001, 1), (None, None, None, 1), (None, "", None, 2)]
+    lines = spark.createDataFrame(rows, "id long, t string, x double, run int")
+    out = o.canonical_line_dedup(lines, {"id": True, "t": False, "x": True}, [F.col("run").desc()])
+    assert "sha2" not in plan_of(out)
+    assert {tuple(r) for r in out.collect()} == {rows[1], rows[2], rows[4]}

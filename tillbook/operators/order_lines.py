@@ -226,21 +226,20 @@ def is_latest_flag(df: DataFrame, keys: Sequence[str], stamp: str, version: str)
     return out.withColumn("is_latest", F.when(hit, "Y").otherwise("N")).drop("_top")
 
 
-def canonical(c, numeric: bool, whole: bool = False) -> Column:
-    """Compare form of a value: numbers with six decimals (whole ones as they are), text trimmed."""
-    if numeric and not whole:
-        return F.coalesce(F.bround(col(c).cast("decimal(30,8)"), 6).cast("string"), F.lit(""))
-    return text(c)
+def canonical_keys(df: DataFrame, columns: dict[str, bool]) -> list[Column]:
+    """What two lines share if they have the same canonical form: whole numbers as they are, other numbers as decimals, text trimmed."""
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    number = lambda c: F.bround(col(c).cast("decimal(30,8)"), 6)
+    return [F.col(c) if c in whole else number(c) if numeric else text(c) for c, numeric in columns.items()]
 
 
-def canonical_line_dedup(df: DataFrame, columns: dict[str, bool], newest_first: Sequence) -> DataFrame:
+def canonical_line_dedup(df: DataFrame, columns: dict[str, bool], newest_first: Sequence, within: Sequence[str] = ()) -> DataFrame:
     """One line per canonical form of the columns (name -> is numeric), the newest collected one.
 
-    The key is the digest of the canonical form, so the shuffle carries one short column.
+    The values themselves are the key: a digest would be wider than most of them and does not compress in the shuffle.
+    ``within`` are columns by which the rows lie together already and which follow from the canonical form.
     """
-    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
-    digest = F.sha2(F.concat_ws("\u0001", *[canonical(c, n, c in whole) for c, n in columns.items()]), 256)
-    return keep_one(df.withColumn("_form", digest), ["_form"], newest_first).drop("_form")
+    return keep_one(df, [*within, *canonical_keys(df, columns)], newest_first)
 
 
 def receipt_dedup(df: DataFrame, candidates: Sequence[str], newest_first: Sequence, least: int = 4) -> DataFrame:
