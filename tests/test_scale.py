@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillbook.llm import simhash
 from tillbook.operators import order_lines as o
-from tillbook.plans import master as ms
+from tillbook.plans import master as ms, unify as u
 from tillbook.session import fresh_path, stage
 from tillbook.streaming.ingest import changes
 
@@ -66,3 +66,21 @@ def test_canonical_key_is_the_values(spark):
     out = o.canonical_line_dedup(lines, {"id": True, "t": False, "x": True}, [F.col("run").desc()])
     assert "sha2" not in plan_of(out)
     assert {tuple(r) for r in out.collect()} == {rows[1], rows[2], rows[4]}
+
+
+def test_platform_b_shuffles_its_lines_once(spark):
+    plan = plan_of(lines_of_b(spark, None))
+    assert plan.count("hashpartitioning(_order") + plan.count("hashpartitioning(order_id") == 1
+    strip = lambda df: sorted(map(str, df.drop("_order").collect()))
+    hot = spark.createDataFrame([("o1",)], "order_id string")
+    assert strip(lines_of_b(spark, None)) == strip(lines_of_b(spark, hot)) != []
+
+
+def lines_of_b(spark, hot):
+    cols = "order_id string, ordered_at string, store string, brand string, delivery_type string, menu_name string, menu_options string, menu_qty long, menu_price long, total long, sales long, cancelled string, collected_at int, n long"
+    line = lambda order, n, option, price, at: (order, "2024.3.1 10:05", "S1", "B", "", "M", option, 1, price, 900, None, "N", at, n)
+    raw = [line("o1", 1, "x", 500, 1), line("o1", 2, "y", None, 1), line("o1", 2, "y", None, 2), line("o2", 1, "x", 700, 1), line("o2", 1, "x", 700, 2), line(None, 1, "z", 300, 1)]
+    stores = spark.createDataFrame([("S1", "r", "m", None)], "store string, region string, manager string, open_date date")
+    prices = spark.createDataFrame([("y", 100)], "item_name string, option_price long")
+    dedup = {"order_id": False, "n": True, "menu_qty": True}
+    return u.unify_platform_b(spark.createDataFrame(raw, cols), stores, prices, ["n"], dedup, hot=hot)

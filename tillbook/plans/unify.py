@@ -360,7 +360,11 @@ def unify_platform_b(
 ) -> DataFrame:
     """Orders without cancelled lines; the order amount is split exactly over menu groups and paid options."""
     hot = resolve_hot(raw.select("order_id"), ["order_id"], hot)
-    raw = o.canonical_line_dedup(raw, dedup, [F.col("collected_at").desc_nulls_last(), *line_order])
+    keys, within = ["order_id"], []
+    if hot is None and "order_id" in dedup:  # one shuffle by order serves the copies of a line and all steps in its order
+        keys, within = ["_order", "order_id"], ["_order"]
+        raw = raw.withColumn("_order", c.text("order_id")).repartition("_order")
+    raw = o.canonical_line_dedup(raw, dedup, [F.col("collected_at").desc_nulls_last(), *line_order], within)
     day, clock = c.parse_localized_datetime("ordered_at")
     name = c.text("menu_options")
     rows = raw.withColumns(
@@ -371,9 +375,9 @@ def unify_platform_b(
             "qty": F.when(F.coalesce("menu_qty", F.lit(0)) == 0, 1).otherwise(F.col("menu_qty")), "discount_amount": F.lit(0),
         }
     )
-    prices = keep_one(option_prices, ["item_name"], ["option_price"])
+    prices = stage(keep_one(option_prices, ["item_name"], ["option_price"]))  # of known size, so a short list is broadcast
     rows = rows.join(prices, "item_name", "left").fillna(0, ["option_price"])
-    return finish(_platform_b_orders(rows, ["order_id"], line_order, hot=hot), stores, source, F.col("brand"))
+    return finish(_platform_b_orders(rows, keys, line_order, hot=hot), stores, source, F.col("brand"))
 
 
 # -- totals, extracts, sheets -------------------------------------------------
