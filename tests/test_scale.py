@@ -84,3 +84,32 @@ def lines_of_b(spark, hot):
     prices = spark.createDataFrame([("y", 100)], "item_name string, option_price long")
     dedup = {"order_id": False, "n": True, "menu_qty": True}
     return u.unify_platform_b(spark.createDataFrame(raw, cols), stores, prices, ["n"], dedup, hot=hot)
+
+
+def receipt(n, store="BRAND S1", pos="01", amount=100, **kw):
+    given = {"sale_date": "2024-03-01", "store": store, "pos_no": pos, "receipt_no": n, "kind": "매출", "channel": "POS", "order_kind": "매장", "table_name": "7", "actual_amount": amount, "order_time": "12:30"}
+    return given | kw
+
+
+def test_receipts_go_through_few_windows(spark, monkeypatch):
+    staged = []
+    monkeypatch.setattr(u, "stage", lambda df: staged.append(plan_of(df)) or stage(df))
+    heads = [receipt("1"), receipt("2", amount=90), receipt("3", kind="반품", amount=-100), receipt("1", sale_date="2024-03-02", kind="반품", amount=-7), receipt("9", amount=5)]
+    head = "sale_date string, store string, pos_no string, receipt_no string, kind string, channel string, order_kind string, table_name string, actual_amount long, order_time string"
+    line = lambda n, i, code, name, amount: ("2024-03-01", "BRAND S1", "1", n, code, name, 1, amount, 0, i)
+    items = [line("1", 1, "a", "soup", 60), line("1", 2, "b", "rice", 40), line("2", 1, "b", None, 80), line("9", 1, None, "", 5)]
+    item = "sale_date string, store string, pos_no string, receipt_no string, item_id string, item_name string, qty long, amount long, discount_amount long, n long"
+    stores = spark.createDataFrame([("S1", "r", "m", None)], "store string, region string, manager string, open_date date")
+    master = spark.createDataFrame([("a", "SOUP", "Y", None), ("a", "Soup", "N", "N"), ("b", None, "N", "N"), ("", "blank", "N", "N")], "code string, name string, is_main_candidate string, exclude_check string")
+    day = lambda df: df.withColumn("sale_date", F.to_date("sale_date"))
+    args = day(spark.createDataFrame([tuple(h[c.split()[0]] for c in head.split(", ")) for h in heads], head)), day(spark.createDataFrame(items, item)), stores, master
+    hot = spark.createDataFrame([("1", "1", "BRAND S1", "2024-03-01")], "receipt_no string, pos_no string, store string, sale_date string")
+    pick = lambda h: sorted(tuple(r) for r in u.unify_receipts(*args, ["n"], ["POS"], "PHONE", hot=h).select("order_id", "item_seq", "item_name", "menu_name", "total_price", "order_cnt").collect())
+    want = sorted([
+        ("S1_1-1_12:30:00", 1, "SOUP", "soup", 60, 0), ("S1_1-1_12:30:00", 2, "rice", "soup", 40, 1), ("S1_1-2_12:30:00", 1, "", "", 80, 1),
+        ("S1_1-2_12:30:00", 2, "정산차액", "", 10, 0), ("S1_1-3_12:30:00", 1, "blank", "soup", -100, -1), ("S1_1-1_12:30:00", 1, "blank", "soup", -7, -1),
+        ("S1_1-9_12:30:00", 1, "blank", "", 5, 1),
+    ])
+    assert pick(None) == want
+    assert sum(line.lstrip(" +-:*()0123456789").startswith("Window ") for line in staged[0].split("\n")) <= 3  # six before
+    assert pick(day(hot)) == want

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillbook.operators.core import col, hot_keys, keep_one, null_safe, running, unique_by
+from tillbook.operators.core import AUTO, col, hot_keys, keep_one, null_safe, running, unique_by
 
 UNASSIGNED = "미배정"
 
@@ -26,12 +26,16 @@ def last_two_tokens(c) -> Column:
     return F.concat_ws(" ", F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), F.lit(2)))
 
 
-def heads_with_lines(heads: DataFrame, items: DataFrame, on: Sequence[str]) -> DataFrame:
+def heads_with_lines(heads: DataFrame, items: DataFrame, on: Sequence[str], hot=AUTO) -> DataFrame:
     """Headers LEFT JOIN lines on equally named keys, as an inner join and the headers without lines.
 
     Adaptive skew handling can split either side of an inner join but not the right side of an outer one, and the
     header that holds a third of all lines is on the right. The keys of the lines are made unique before the rest.
+    Without hot groups (``hot`` is None) it is a plain left join, which leaves the rows dealt by the keys.
     """
+    if hot is None:
+        both = heads.join(items, list(on), "left")
+        return both.select(*on, *[c for df in (items, heads) for c in df.columns if c not in on])
     alone = heads.join(items.select(*on).distinct(), list(on), "left_anti")
     return items.join(heads, list(on)).unionByName(alone, allowMissingColumns=True)
 

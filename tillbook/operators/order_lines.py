@@ -4,13 +4,17 @@
 put a third of all lines under one order key (a blank receipt number, say), so
 every operator goes through ``core.attach`` and ``core.running`` and takes the
 hot keys (``hot``) that a job counts once; by default it counts them itself.
+
+The whole-order values of several operators can be attached in one pass: give
+their ``*_values`` to ``attach`` (or to ``main_item_segments`` as ``also``) and
+call them with ``attached``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,26 +31,33 @@ def item_seq(df: DataFrame, order: Sequence[str], by: Sequence, hot=AUTO) -> Dat
     return running(df, order, by, {SEQ: ("count", None)}, hot=hot)
 
 
+def representative_values(price, name_match: Column | None = None) -> dict[str, Column]:
+    match = F.when(name_match, 0).otherwise(1) if name_match is not None else F.lit(0)
+    return {"_best": F.min(F.struct(match.alias("m"), (-F.coalesce(col(price), F.lit(0))).alias("p"), F.col(SEQ).alias("s"), F.col("item_name").alias("n")))}
+
+
 def representative_row(
     df: DataFrame, order: Sequence[str], price, cancel_value: int = -1, name_match: Column | None = None,
-    set_menu: bool = True, hot=AUTO,
+    set_menu: bool = True, attached: bool = False, hot=AUTO,
 ) -> DataFrame:
     """Menu name and order count on the order's best line: name match, then highest price, then first.
 
     ``menu_name`` is set on all lines (``set_menu``), ``order_cnt`` is 1 (or the
     cancel value) on the best line only.
     """
-    match = F.when(name_match, 0).otherwise(1) if name_match is not None else F.lit(0)
-    best = F.min(F.struct(match.alias("m"), (-F.coalesce(col(price), F.lit(0))).alias("p"), F.col(SEQ).alias("s"), F.col("item_name").alias("n")))
-    out = attach(df, order, {"_best": best}, hot=hot)
+    out = df if attached else attach(df, order, representative_values(price, name_match), hot=hot)
     sign = F.when(F.col("sale_type") == "취소", cancel_value).otherwise(1)
     out = out.withColumn("order_cnt", F.when(F.col(SEQ) == F.col("_best.s"), sign).otherwise(0))
     return (out.withColumn("menu_name", F.col("_best.n")) if set_menu else out).drop("_best")
 
 
-def order_cnt_last_line(df: DataFrame, order: Sequence[str], hot=AUTO) -> DataFrame:
+def last_line_values() -> dict[str, Column]:
+    return {"_last": F.max(SEQ)}
+
+
+def order_cnt_last_line(df: DataFrame, order: Sequence[str], attached: bool = False, hot=AUTO) -> DataFrame:
     """1 (or -1 for cancelled) on the last line of the receipt, 0 elsewhere."""
-    out = attach(df, order, {"_last": F.max(SEQ)}, hot=hot)
+    out = df if attached else attach(df, order, last_line_values(), hot=hot)
     sign = F.when(F.col("sale_type") == "취소", -1).otherwise(1)
     return out.withColumn("order_cnt", F.when(F.col(SEQ) == F.col("_last"), sign).otherwise(0)).drop("_last")
 
@@ -60,7 +71,7 @@ MAIN_FLOOR, MAIN_SHARE = 2000.0, 0.25
 @by_heat
 def main_item_segments(
     df: DataFrame, order: Sequence[str], is_main: Column, price, is_hall: Column | None, paid_dish: bool = False,
-    hot=AUTO,
+    line_order: Sequence | None = None, also: dict[str, Column] | None = None, hot=AUTO,
 ) -> DataFrame:
     """Menu name per line: every main item starts a segment that runs to the next one.
 
@@ -69,7 +80,11 @@ def main_item_segments(
     least max(floor, share of the dearest), neither fee nor option). Without
     ``is_hall`` every such order takes its dearest line that is no fee
     (``paid_dish``: and not free). Orders without any named line stay null.
+
+    ``line_order`` is what ``item_seq`` was counted by: rows sorted by it are not sorted again. ``also`` are
+    whole-order values of later steps, attached in the same pass and left on the rows.
     """
+    also = also or {}
     name = blank_to_null("item_name")
     fee = F.coalesce(F.col("item_name").rlike(FEE_WORDS), F.lit(False))
     option = F.coalesce(F.col("item_name").rlike(OPTION_WORDS), F.lit(False))
@@ -92,6 +107,7 @@ def main_item_segments(
             "_is_hall": F.min_by("_hall", SEQ),
             "_best_dish": best(~F.col("_fee") & (F.col("_price") > 0) if paid_dish else ~F.col("_fee")),
             "_best_any": best(F.lit(True)),
+            **also,
         },
         hot=hot,
     )
@@ -101,12 +117,16 @@ def main_item_segments(
     )
     starts = F.when(F.col("_has_main"), F.col("_main")).otherwise(~F.col("_is_hall") & F.coalesce(looks_main, F.lit(False)))
     rows = rows.withColumn("_start", F.when(starts, F.col("_name")))
-    first = F.min(F.when(F.col("_start").isNotNull(), F.struct(F.col(SEQ).alias("s"), F.col("_start").alias("n"))))
-    rows = attach(rows, order, {"_first": first}, hot=hot)
-    rows = running(rows, order, [SEQ], {"_seg": ("last", "_start")}, hot=hot)
-    menu = F.coalesce("_seg", F.col("_first.n"), F.col("_best_dish.n"), F.col("_best_any.n"))
+    if hot is None:  # both values of one sorted window
+        w = Window.partitionBy(*order).orderBy(*(line_order or [SEQ]))
+        upto, whole = (w.rowsBetween(Window.unboundedPreceding, end) for end in (Window.currentRow, Window.unboundedFollowing))
+        rows = rows.withColumns({"_seg": F.last("_start", True).over(upto), "_first": F.first("_start", True).over(whole)})
+    else:
+        rows = attach(rows, order, {"_first": F.min_by("_start", F.when(F.col("_start").isNotNull(), F.col(SEQ)))}, hot=hot)
+        rows = running(rows, order, [SEQ], {"_seg": ("last", "_start")}, hot=hot)
+    menu = F.coalesce("_seg", "_first", F.col("_best_dish.n"), F.col("_best_any.n"))
     return rows.withColumn("menu_name", menu).select(
-        *[c for c in df.columns if c != "menu_name"], "menu_name"
+        *[c for c in df.columns if c != "menu_name"], *also, "menu_name"
     )
 
 
@@ -117,9 +137,15 @@ def menu_group_segments(df: DataFrame, order: Sequence[str], price: str, hot=AUT
     return out.withColumn("menu_group", F.col("_g") - 1).drop("_g")
 
 
-def proportional_allocation(df: DataFrame, order: Sequence[str], share: str, amount: str, out: str, hot=AUTO) -> DataFrame:
+def share_values(share: str) -> dict[str, Column]:
+    return {"_total": F.sum(share)}
+
+
+def proportional_allocation(
+    df: DataFrame, order: Sequence[str], share: str, amount: str, out: str, attached: bool = False, hot=AUTO
+) -> DataFrame:
     """Order amount split by each line's share of the order, rounded; 0 when the shares sum to 0."""
-    rows = attach(df, order, {"_total": F.sum(share)}, hot=hot)
+    rows = df if attached else attach(df, order, share_values(share), hot=hot)
     part = F.col(share).cast("double") / F.col("_total").cast("double") * F.col(amount)
     value = F.when(F.col("_total") == 0, 0).when(F.col("_total") == F.col(amount), F.col(share)).otherwise(rnd_int(part))
     return rows.withColumn(out, F.when(F.col("_total") == 0, 0).otherwise(value).cast("bigint")).drop("_total")
@@ -168,17 +194,24 @@ def remainder_allocation(
     return rows.withColumn(out, value.cast("bigint")).select(*df.columns, out)
 
 
-def first_nonzero_spread(df: DataFrame, order: Sequence[str], value: str, out: str, hot=AUTO) -> DataFrame:
+def spread_values(value: str) -> dict[str, Column]:
+    return {"_first": F.min_by(col(value), F.when(col(value) != 0, F.col(SEQ))), "_most": F.max(value)}
+
+
+def first_nonzero_spread(df: DataFrame, order: Sequence[str], value: str, out: str, attached: bool = False, hot=AUTO) -> DataFrame:
     """Value given on one line of the order put on all lines: the first non-zero one, else the largest."""
-    first = F.min_by(col(value), F.when(col(value) != 0, F.col(SEQ)))
-    rows = attach(df, order, {"_first": first, "_most": F.max(value)}, hot=hot)
+    rows = df if attached else attach(df, order, spread_values(value), hot=hot)
     return rows.withColumn(out, F.coalesce("_first", "_most", F.lit(0))).drop("_first", "_most")
 
 
-def order_time_unify(df: DataFrame, order: Sequence[str], time: str = "order_time", hot=AUTO) -> DataFrame:
-    """First non-empty time of the order on all its lines."""
+def time_values(time: str = "order_time") -> dict[str, Column]:
     t = blank_to_null(time)
-    out = attach(df, order, {"_t": F.min_by(t, F.when(t.isNotNull(), F.col(SEQ)))}, hot=hot)
+    return {"_t": F.min_by(t, F.when(t.isNotNull(), F.col(SEQ)))}
+
+
+def order_time_unify(df: DataFrame, order: Sequence[str], time: str = "order_time", attached: bool = False, hot=AUTO) -> DataFrame:
+    """First non-empty time of the order on all its lines."""
+    out = df if attached else attach(df, order, time_values(time), hot=hot)
     return out.withColumn(time, F.coalesce("_t", F.lit(""))).drop("_t")
 
 
@@ -186,31 +219,33 @@ def order_time_unify(df: DataFrame, order: Sequence[str], time: str = "order_tim
 ADJUST_ID, ADJUST_NAME = "__ADJ__", "정산차액"
 
 
-@by_heat
-def adjustment_rows(df: DataFrame, order: Sequence[str], head_amount: str, hot=AUTO) -> DataFrame:
+def balance_values(head_amount: str) -> dict[str, Column]:
+    return {
+        "_sum": F.sum("total_price"), "_seq": F.max(SEQ), "_head": F.min_by(head_amount, SEQ),
+        "_rep": F.max(F.struct(F.abs("total_price").alias("a"), (-F.col(SEQ)).alias("s"))),
+    }
+
+
+def adjustment_rows(df: DataFrame, order: Sequence[str], head_amount: str, attached: bool = False, hot=AUTO) -> DataFrame:
     """One balancing line per receipt whose header amount differs from the sum of its lines.
 
     It copies the attributes of the line with the largest absolute amount, and
     comes out of that line itself, so the lines are gone through once.
     """
-    rows = attach(
-        df, order,
-        {
-            "_sum": F.sum("total_price"), "_seq": F.max(SEQ), "_head": F.min_by(head_amount, SEQ),
-            "_rep": F.max(F.struct(F.abs("total_price").alias("a"), (-F.col(SEQ)).alias("s"))),
-        },
-        hot=hot,
-    )
+    values = balance_values(head_amount)
+    rows = df if attached else attach(df, order, values, hot=hot)
     diff = F.col("_head") - F.col("_sum")
     new = {
         SEQ: F.col("_seq") + 1, "item_id": F.lit(ADJUST_ID), "item_name": F.lit(ADJUST_NAME), "qty": F.lit(1),
         "unit_price": F.abs(diff), "total_price": diff, "discount_amount": F.lit(0),
         "sale_type": F.when(diff >= 0, "정상").otherwise("취소"), "order_cnt": F.lit(0),
     }
-    line = F.struct(*[F.col(c) for c in df.columns])
-    balance = F.struct(*[new.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
-    both = F.when((F.col(SEQ) == -F.col("_rep.s")) & (diff != 0), F.array(line, balance)).otherwise(F.array(line))
-    return rows.select(F.explode(both).alias("_line")).select("_line.*")
+    twice = (F.col(SEQ) == -F.col("_rep.s")) & (diff != 0)
+    copies = rows.withColumn("_new", F.explode(F.when(twice, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    given = [f for f in df.schema.fields if f.name not in values]
+    return copies.select(
+        *[F.when(F.col("_new"), new[f.name].cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name) if f.name in new else F.col(f.name) for f in given]
+    )
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], stamps: Sequence, tie: Sequence = ()) -> DataFrame:

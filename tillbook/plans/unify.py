@@ -56,23 +56,17 @@ def is_cancelled() -> Column:
 
 
 @by_heat
-def _receipt_lines(rows: DataFrame, keys: Sequence[str], line_order: Sequence, hall: Column, counter, phone, hot=AUTO):
+def _receipt_lines(rows: DataFrame, keys: Sequence[str], line_order: Sequence, hot=AUTO):
     rows = o.item_seq(rows, keys, line_order, hot=hot)
     price = F.when(F.col("qty") > 0, ratio("amount", "qty")).otherwise(F.col("amount"))
-    rows = o.main_item_segments(rows, keys, F.col("is_main") == "Y", price, hall, hot=hot)
-    rows = o.order_time_unify(rows, keys, hot=hot)
-    platform, kind = order_type_classify("channel", "order_kind", "table_name", counter, phone)
-    rows = rows.withColumns(
-        {
-            "platform": platform, "order_type": kind,
-            "sale_type": F.when(F.trim("kind") == "반품", CANCELLED).otherwise(NORMAL),
-            "unit_price": rnd_int(price), "total_price": F.col("amount"),
-        }
-    )
-    rows = o.order_cnt_last_line(rows, keys, hot=hot)
+    rows = rows.withColumns({"unit_price": rnd_int(price), "total_price": F.col("amount")})
     rows = rows.withColumns({m: signed_amount(m, is_cancelled()).cast("bigint") for m in ("total_price", "discount_amount")})
-    rows = o.adjustment_rows(rows, keys, "actual_amount", hot=hot)
-    return rows.withColumn("amount", F.when(F.col("item_id") == o.ADJUST_ID, 0).otherwise(F.col("amount")))
+    # The values of all steps in a receipt are attached in one pass.
+    values = {**o.time_values(), **o.last_line_values(), **o.balance_values("actual_amount"), "_paid": F.sum(F.when(F.col("item_id") == o.ADJUST_ID, 0).otherwise(F.col("amount")))}
+    rows = o.main_item_segments(rows, keys, F.col("is_main") == "Y", price, F.col("hall"), line_order=line_order, also=values, hot=hot)
+    rows = o.order_time_unify(rows, keys, attached=True, hot=hot)
+    rows = o.order_cnt_last_line(rows, keys, attached=True, hot=hot)
+    return o.adjustment_rows(rows, keys, "actual_amount", attached=True, hot=hot)
 
 
 def unify_receipts(
@@ -80,49 +74,60 @@ def unify_receipts(
     counter: Sequence[str], phone: str, source: str = "pos_a", brand: str = "", hot=AUTO,
 ) -> DataFrame:
     """POS receipt headers and lines to unified lines, with balancing lines and inherited refund names."""
-    keys = ["sale_date", "store", "pos_no", "receipt_no"]
+    keys = ["receipt_no", "pos_no", "store", "sale_date"]  # the most telling one first: sorts compare its head only
     norm = lambda df: df.withColumns({"store": c.text("store"), "pos_no": c.normalize_id("pos_no"), "receipt_no": c.normalize_id("receipt_no")})
     heads, items = norm(heads), norm(items)
     hot = resolve_hot(items.select(*keys), keys, hot)
-    main = master.where((F.col("is_main_candidate") == "Y") & (F.coalesce("exclude_check", F.lit("N")) != "Y"))
-    main = main.select(F.col("code").alias("item_id"), F.lit("Y").alias("is_main")).distinct()
-    rows = heads_with_lines(heads, items, keys).join(main, "item_id", "left")
+    # What follows from the header alone is found before its lines multiply it.
+    table, kind = c.text("table_name"), c.text("order_kind")
+    hall = (table.rlike(r"^\d+$") | table.contains(PACK)) & ~table.contains(DELIVERY) | (
+        kind.rlike(f"{HALL}|{PACK}|매장") & ~kind.contains(DELIVERY)
+    )
+    platform, order_type = order_type_classify("channel", "order_kind", "table_name", counter, phone)
+    heads = heads.select(
+        *keys, "actual_amount", c.normalize_time("order_time").alias("order_time"), hall.alias("hall"), platform.alias("platform"),
+        order_type.alias("order_type"), F.when(F.trim("kind") == "반품", CANCELLED).otherwise(NORMAL).alias("sale_type"),
+    )
+    # The master is joined once, to the lines of the export; blank and balancing ids come later and are looked up singly.
+    main = (F.col("is_main_candidate") == "Y") & (F.coalesce("exclude_check", F.lit("N")) != "Y")
+    named = master.groupBy(F.col("code").alias("item_id")).agg(
+        F.max(F.when(main, "Y")).alias("is_main"), F.min(F.struct("name")).alias("_n")
+    ).withColumn("_n", F.col("_n.name"))
+    one_name = lambda code: master.where(F.col("code") == code).agg(F.min(F.struct("name")).alias("_n")).select("_n.name").scalar()
+    rows = heads_with_lines(heads, items.join(named, "item_id", "left"), keys, hot=hot)
     rows = rows.withColumns(
         {
             "item_id": F.coalesce("item_id", F.lit("")), "qty": F.coalesce("qty", F.lit(0)),
             # A header without lines (a refund) counts with its own amount.
             "amount": F.coalesce("amount", F.abs("actual_amount")), "discount_amount": F.coalesce("discount_amount", F.lit(0)),
-            "order_time": c.normalize_time("order_time"),
         }
     )
-    table, kind = c.text("table_name"), c.text("order_kind")
-    hall = (table.rlike(r"^\d+$") | table.contains(PACK)) & ~table.contains(DELIVERY) | (
-        kind.rlike(f"{HALL}|{PACK}|매장") & ~kind.contains(DELIVERY)
-    )
-    rows = _receipt_lines(rows, keys, line_order, hall, counter, phone, hot=hot)
+    rows = _receipt_lines(rows, keys, line_order, hot=hot)
 
     # Refunds without lines take the name of an order with the same amount that day, else of the same receipt.
-    rows = inherit_refund_names(stage(rows), keys)
+    rows = rows.drop(*line_order, "is_main", "hall", "actual_amount", "amount")
+    rows = inherit_refund_names(stage(rows), keys, "_paid")
     has_time = F.col("order_time") != ""
+    name = F.when(F.col("item_id") == o.ADJUST_ID, one_name(o.ADJUST_ID)).when(F.col("item_id") == "", one_name("")).otherwise(F.col("_n"))
     rows = rows.withColumns(
         {
             "order_id": F.concat(
                 F.element_at(F.split("store", " "), -1), F.lit("_"), "pos_no", F.when(has_time, "-").otherwise("_"), "receipt_no",
                 F.lit("_"), F.when(has_time, F.col("order_time")).otherwise("00:00:00"),
             ),
-            "item_name": F.coalesce("item_name", F.lit("")), "menu_name": F.coalesce("menu_name", F.lit("")),
+            "item_name": F.coalesce(name, "item_name", F.lit("")), "menu_name": F.coalesce("menu_name", F.lit("")),
         }
     )
-    out = finish(rows, stores, source, brand)
-    names = keep_one(master, ["code"], ["name"]).select(F.col("code").alias("item_id"), F.col("name").alias("_n"))
-    return out.join(names, "item_id", "left").withColumn("item_name", F.coalesce("_n", "item_name")).select(*UNIFIED)
+    return finish(rows, stores, source, brand)
 
 
-def inherit_refund_names(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    day, store, pos, receipt = keys
-    orders = rows.groupBy(*keys).agg(
-        F.min_by("menu_name", "item_seq").alias("_m"), F.abs(F.sum("amount")).alias("_t")
-    )
+def inherit_refund_names(rows: DataFrame, keys: Sequence[str], total: str) -> DataFrame:
+    """Menu names for orders without one: those of an order with the same amount that day, else of the same receipt number.
+
+    ``total`` is the sum of an order on all its lines. Only lines without a name meet the orders, all others stay where they are.
+    """
+    receipt, pos, store, day = keys
+    orders = rows.where(F.col(o.SEQ) == 1).select(*keys, F.col("menu_name").alias("_m"), F.abs(total).alias("_t"))
     named = orders.where(F.col("_m").isNotNull())
     by_amount = keep_one(named.where(F.col("_t") > 0), [day, store, "_t"], [pos, receipt]).select(
         day, store, "_t", F.col("_m").alias("_a")
@@ -132,7 +137,8 @@ def inherit_refund_names(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     found = refunds.join(by_amount, [day, store, "_t"], "left").join(by_receipt, [store, pos, receipt], "left").select(
         *keys, F.coalesce("_a", "_b").alias("_found")
     )
-    return rows.join(found, list(keys), "left").withColumn("menu_name", F.coalesce("menu_name", "_found")).drop("_found")
+    blank = rows.where(F.col("menu_name").isNull()).join(found, list(keys), "left").withColumn("menu_name", F.col("_found"))
+    return rows.where(F.col("menu_name").isNotNull()).unionByName(blank.select(*rows.columns))
 
 
 # -- delivery feed ------------------------------------------------------------
