@@ -113,3 +113,17 @@ def test_receipts_go_through_few_windows(spark, monkeypatch):
     assert pick(None) == want
     assert sum(line.lstrip(" +-:*()0123456789").startswith("Window ") for line in staged[0].split("\n")) <= 3  # six before
     assert pick(day(hot)) == want
+
+
+def test_local_stamps_are_matched_once_for_each_value(spark):
+    from tillbook.functions.clean import LOCAL_STAMP, parse_localized_datetime
+
+    stamps = ["2026. 06. 15. (월) 오후 10:48:04", "2026.1.2 3:04", "2026. 1. 2 오전 12:00", "\t2026.02.30 1:02:03|x", "2026.1.2 오후13:04 later\n2027.1.1 1:00", "no", "", None]
+    df = stage(spark.createDataFrame([(i, x) for i, x in enumerate(stamps)], "i int, t string"))
+    day, clock = parse_localized_datetime("t")
+    out = df.select("i", day.cast("string").alias("day"), clock.alias("clock"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("오전|오후") <= 4  # one for each part and use before
+    assert [tuple(r)[1:] for r in out.orderBy("i").collect()] == [
+        ("2026-06-15", "22:48:04"), ("2026-01-02", "03:04:00"), ("2026-01-02", "00:00:00"), (None, "01:02:03"), ("2026-01-02", "25:04:00"),
+        (None, None), (None, None), (None, None),
+    ]

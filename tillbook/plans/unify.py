@@ -313,10 +313,12 @@ def _easy_orders(rows: DataFrame, keys, line_order, hot=AUTO):
 @by_heat
 def _platform_a_orders(rows: DataFrame, keys, line_order, hot=AUTO):
     rows = o.item_seq(rows, keys, line_order, hot=hot)
-    rows = o.first_nonzero_spread(rows, keys, "paid", "order_paid", hot=hot)
-    rows = o.proportional_allocation(rows, keys, "item_total", "order_paid", "total_price", hot=hot)
     match = F.col("item_name") == F.col("menu_name")
-    return o.representative_row(rows, keys, "unit_price", 0, match, set_menu=False, hot=hot)
+    values = {**o.spread_values("paid"), **o.share_values("item_total"), **o.representative_values("unit_price", match)}
+    rows = attach(rows, keys, values, hot=hot)
+    rows = o.first_nonzero_spread(rows, keys, "paid", "order_paid", attached=True, hot=hot)
+    rows = o.proportional_allocation(rows, keys, "item_total", "order_paid", "total_price", attached=True, hot=hot)
+    return o.representative_row(rows, keys, "unit_price", 0, match, set_menu=False, attached=True, hot=hot)
 
 
 def unify_platform_a(
