@@ -127,3 +127,14 @@ def test_local_stamps_are_matched_once_for_each_value(spark):
         ("2026-06-15", "22:48:04"), ("2026-01-02", "03:04:00"), ("2026-01-02", "00:00:00"), (None, "01:02:03"), ("2026-01-02", "25:04:00"),
         (None, None), (None, None), (None, None),
     ]
+
+
+def test_recalculation_takes_the_hot_orders_of_the_feed(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from tillbook.operators import core
+
+    counted = []
+    original = core.reliable_checkpoint
+    monkeypatch.setattr(core, "reliable_checkpoint", lambda df: counted.append(df) or original(df))
+    entry.queries()["recalculate_order_fields"](spark, "/root/testdata/sf0.001")
+    assert len(counted) == 1  # by code, by id and on the finished feed before

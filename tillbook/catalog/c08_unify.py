@@ -117,7 +117,7 @@ def feed(t):
         F.col("list_amount").alias("amount"), "l_orderkey", *LINE_ORDER,
     )
     rules = dict(flat_pack=["AUTOMOBILE"], paid_less_fee=["BUILDING"], total_less_fee=["FURNITURE"], own_rider=["HOUSEHOLD"], rider_mark="own rider")
-    return u.unify_delivery_feed(
+    return u.delivery_feed(
         orders, items, t.stores, blacklist(t), ["l_orderkey", *LINE_ORDER], {"AUTOMOBILE": "GARAGE", "MACHINERY": "GARAGE"}, ["F", "O"], rules,
         aliases=aliases, brands=["Grill"],
     )
@@ -136,7 +136,8 @@ def unify_delivery_feed(t):
 @query("recalculate_order_fields", f"""WITH {R2}, f7 AS (SELECT * EXCLUDE (rk, mn), row_number() OVER (PARTITION BY oid ORDER BY unit_price DESC, item_seq) AS rk, first_value(nm) OVER (PARTITION BY oid ORDER BY unit_price DESC, item_seq) AS mn
   FROM f6 WHERE nm <> '토핑추가') SELECT {FEED_COLS} FROM f7""")
 def recalculate_order_fields(t):
-    return u.recalculate_order_fields(feed(t)[0].where(F.col("item_name") != "토핑추가"))
+    lines, _, hot = feed(t)
+    return u.recalculate_order_fields(lines.where(F.col("item_name") != "토핑추가"), hot=hot)
 
 
 # -- union POS ----------------------------------------------------------------

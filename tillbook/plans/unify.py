@@ -154,12 +154,17 @@ def _feed_best(rows: DataFrame, keys, hot=AUTO):
     return o.representative_row(rows, keys, "unit_price", hot=hot)
 
 
-def unify_delivery_feed(
+def unify_delivery_feed(*args, **kw) -> tuple[DataFrame, DataFrame]:
+    """(unified lines, lines removed by the black list), see ``delivery_feed``."""
+    return delivery_feed(*args, **kw)[:2]
+
+
+def delivery_feed(
     orders: DataFrame, items: DataFrame, stores: DataFrame, blacklist: DataFrame, line_order: Sequence[str],
     platforms: dict[str, str], complete: Sequence[str], revenue_rules: dict, source: str = "feed", hot=AUTO,
     aliases: DataFrame | None = None, brands: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame]:
-    """(unified lines, lines removed by the black list). Orders without lines are left out.
+) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(unified lines, lines removed by the black list, hot order ids or None). Orders without lines are left out.
 
     Old store names (``aliases``: old, new) are replaced and brand prefixes cut off before anything is keyed by the store.
     """
@@ -183,12 +188,14 @@ def unify_delivery_feed(
     )
     items = items.withColumn("order_code", code("order_code")).where(c.text("item_name") != "")
     rows = heads.join(items, "order_code")
-    rows = _feed_amounts(rows, ["order_code"], hot=resolve_hot(items.select("order_code"), ["order_code"], hot))
     # Orders without an external number share a surrogate id, so hot ids are counted on the joined keys.
+    codes = hot
     if isinstance(hot, str) and hot == AUTO:  # lines are counted by code before the headers name the orders
         per_code = items.groupBy("order_code").agg(F.count(F.lit(1)).alias("_n"))
         named = heads.select("order_code", "order_id").join(per_code, "order_code").groupBy("order_id")
         hot = hot_counts(named.agg(F.sum("_n").alias("_n")))
+        codes = None if hot is None else AUTO  # an order has all lines of its codes: without hot orders no code is hot
+    rows = _feed_amounts(rows, ["order_code"], hot=resolve_hot(items.select("order_code"), ["order_code"], codes))
     rows = o.item_seq(rows, ["order_id"], line_order, hot=hot)
     name = F.ltrim(c.text("item_name"), F.lit("'+ "))
     rows = rows.withColumns(
@@ -204,11 +211,14 @@ def unify_delivery_feed(
     key = c.item_key("item_name")
     kept = _feed_best(store_scoped_blacklist(rows, blacklist, key), ["order_id"], hot=hot)
     kept = kept.withColumn("menu_name", F.coalesce(F.nullif("menu_name", F.lit("")), "head_menu"))
-    return finish(kept, stores, source, F.col("brand")), store_scoped_blacklist(rows, blacklist, key, removed=True)
+    return finish(kept, stores, source, F.col("brand")), store_scoped_blacklist(rows, blacklist, key, removed=True), hot
 
 
 def recalculate_order_fields(lines: DataFrame, hot=AUTO) -> DataFrame:
-    """Menu name, order count and key again after lines were taken out of the fact."""
+    """Menu name, order count and key again after lines were taken out of the fact.
+
+    ``hot`` may be the hot orders of the fact before: counting them again would run the whole fact twice.
+    """
     out = o.representative_row(lines.drop("menu_name", "order_cnt", "_pk"), ["order_id"], "unit_price", hot=hot)
     return out.withColumn("_pk", unified_pk()).select(*UNIFIED)
 
