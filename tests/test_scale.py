@@ -138,3 +138,12 @@ def test_recalculation_takes_the_hot_orders_of_the_feed(spark, monkeypatch):
     monkeypatch.setattr(core, "reliable_checkpoint", lambda df: counted.append(df) or original(df))
     entry.queries()["recalculate_order_fields"](spark, "/root/testdata/sf0.001")
     assert len(counted) == 1  # by code, by id and on the finished feed before
+
+
+def test_union_pos_goes_through_few_windows(spark):
+    import __spark_entry__ as entry
+
+    plan = plan_of(entry.queries()["unify_union_pos"](spark, "/root/testdata/sf0.001"))
+    order_windows = [x for x in plan.split("\n") if x.lstrip(" +-:*()0123456789").startswith("Window ") and "order_id" in x]
+    assert 0 < len(order_windows) <= 3  # six before
+    assert "LeftAnti" not in plan

@@ -228,13 +228,13 @@ def recalculate_order_fields(lines: DataFrame, hot=AUTO) -> DataFrame:
 
 @by_heat
 def _union_lines(rows: DataFrame, keys, line_order, hot=AUTO):
-    rows = attach(rows, keys, {"_pack": F.max(F.coalesce("category", F.lit("")).contains(PACK) | F.coalesce("item_name", F.lit("")).contains(PACK))}, hot=hot)
-    clean = F.trim(F.regexp_replace(c.text("item_name"), r"^[┗└\s]+", ""))
-    rows = rows.withColumn("item_name", F.when(clean.rlike(r"^\([^)]*\)$"), "").otherwise(clean))
     rows = o.item_seq(rows, keys, line_order, hot=hot)
-    rows = o.main_item_segments(rows, keys, F.col("is_main") == "Y", F.abs("unit_price"), None, paid_dish=True, hot=hot)
     counted = F.when(F.col("item_name") != "", F.abs("unit_price")).otherwise(0)
-    return o.representative_row(rows, keys, counted, set_menu=False, hot=hot)
+    values = {"_pack": F.max("pack"), **o.representative_values(counted)}
+    rows = o.main_item_segments(
+        rows, keys, F.col("is_main") == "Y", F.abs("unit_price"), None, paid_dish=True, line_order=line_order, also=values, hot=hot
+    )
+    return o.representative_row(rows, keys, counted, set_menu=False, attached=True, hot=hot)
 
 
 # Sale types of the union POS export.
@@ -251,25 +251,33 @@ def unify_union_pos(
         {
             "receipt_no": c.normalize_id("receipt_no"), "item_id": c.normalize_id("item_id"),
             "unit_price": F.when(kind.isin(*UNION_TYPES), c.money_to_int("amount")).otherwise(0),
+            "pack": F.coalesce("category", F.lit("")).contains(PACK) | F.coalesce("item_name", F.lit("")).contains(PACK),
+            "item_name": F.trim(F.regexp_replace(c.text("item_name"), r"^[┗└\s]+", "")),
         }
     )
+    items = items.withColumn("item_name", F.when(F.col("item_name").rlike(r"^\([^)]*\)$"), "").otherwise(F.col("item_name")))
     heads = heads.where(c.text("sale_type").isin(*UNION_TYPES)).withColumns(
         {"receipt_no": c.normalize_id("receipt_no"), "pos_no": c.normalize_id("pos_no")}
     )
+    # What follows from the header alone is found before its lines multiply it.
+    heads = heads.withColumns(
+        {
+            "order_id": F.concat_ws("_", "pos_no", "receipt_no", "sold_at"), "order_time": c.normalize_time("sold_at"),
+            "sale_type": F.when(F.col("sale_type").contains("반품"), CANCELLED).otherwise(NORMAL),
+        }
+    )
     main = master.where((F.col("is_main_candidate") == "Y") & (F.col("exclude_check") != "Y"))
     main = main.select(F.col("code").alias("item_id"), F.lit("Y").alias("is_main")).distinct()
     ids = ["store", "receipt_no", "sold_at"]
     if isinstance(hot, str) and hot == AUTO:  # lines are counted by receipt before the headers name the orders
         per_receipt = items.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n"))
-        named = heads.select(*ids, "pos_no").join(per_receipt, ids).groupBy(F.concat_ws("_", "pos_no", "receipt_no", "sold_at").alias("order_id"))
+        named = heads.select(*ids, "order_id").join(per_receipt, ids).groupBy("order_id")
         hot = hot_counts(named.agg(F.sum("_n").alias("_n")))
-    rows = heads_with_lines(heads, items, ids).join(main, "item_id", "left")
-    rows = rows.withColumns(
+    rows = heads_with_lines(heads, items.join(main, "item_id", "left"), ids, hot=hot)
+    rows = rows.drop("receipt_no", "sold_at", "pos_no", "item_sale_type", "category").withColumns(
         {
-            "order_id": F.concat_ws("_", "pos_no", "receipt_no", "sold_at"),
-            "sale_type": F.when(F.col("sale_type").contains("반품"), CANCELLED).otherwise(NORMAL),
             "unit_price": F.coalesce("unit_price", F.lit(0)), "item_id": F.coalesce("item_id", F.lit("")),
-            "qty": F.coalesce("qty", F.lit(0)), "order_time": c.normalize_time("sold_at"),
+            "qty": F.coalesce("qty", F.lit(0)), "item_name": F.coalesce("item_name", F.lit("")), "pack": F.coalesce("pack", F.lit(False)),
         }
     )
     rows = _union_lines(rows, ["order_id"], line_order, hot=hot)
