@@ -132,3 +132,42 @@ def test_trees_meet_at_depth():
 
     share = np.mean([nodes(t) for t in range(4)])
     assert share >= chosenpath.recall(92 / 108, 1, chosenpath.DEPTH) - 0.02
+
+
+def test_a_set_goes_to_its_cluster_once(spark, monkeypatch):
+    """Alike sets below the threshold meet in most trees; the sets sent to be compared and the texts looked up stay in proportion to them."""
+    rng, sent, texts = random.Random(6), [], []
+    rows = list(enumerate([" ".join([f"c{k}_{w}" for w in range(100)] + [f"own{rng.randrange(10**9)}" for _ in range(22)]) for k in range(10) for _ in range(4)] + [" ".join(f"z{rng.randrange(10**9)}" for _ in range(50)) for _ in range(400)]))
+    compare_groups, keep_one = chosenpath.compare_groups, chosenpath.keep_one
+
+    def compared(near, *args):
+        sent.append(near.count())
+        return compare_groups(near, *args)
+
+    def kept(df, keys, order):
+        texts.extend([df.count()] * ("text" in df.columns))
+        return keep_one(df, keys, order)
+
+    monkeypatch.setattr(chosenpath, "compare_groups", compared)
+    monkeypatch.setattr(chosenpath, "keep_one", kept)
+    assert run(spark, rows) == plain_version(rows)
+    assert 30 <= sum(sent) <= 40
+    assert 30 <= sum(texts) <= 60
+
+
+def test_every_leaf_is_one_of_its_tree(spark):
+    """Leaves are the nodes at DEPTH that branching one level after the other gives."""
+    texts = [(t or "").encode() for _, t in ROWS[:30]]
+    f = chosenpath._functions(chosenpath.COORDINATES)
+    values = np.array([chosenpath.signature(x, *f) for x in chosenpath.shingle_sets(texts, 5)])
+    df = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(values)], "id long, sig binary")
+    got = chosenpath.leaves(df, 85).collect()
+    low = (1 << chosenpath.TREE_BITS) - 1
+    assert {(r.node & low) for r in got} == set(range(chosenpath.TREES))
+    for tree in (0, chosenpath.TREES - 1):
+        rows, used, node = np.arange(30), np.zeros(30, np.int64), chosenpath.mix(np.full(30, tree + 1, np.uint64))
+        for _ in range(chosenpath.DEPTH):
+            at, used, node = chosenpath.children(np.full(len(rows), tree), used, node, values[rows], 85)
+            rows = rows[at]
+        want = sorted((int(r), int(n) >> chosenpath.TREE_BITS) for r, n in zip(rows, node, strict=True))
+        assert sorted((r.id, (r.node % 2**64) >> chosenpath.TREE_BITS) for r in got if r.node & low == tree) == want

@@ -2,18 +2,20 @@
 
 Documents with equal sets are one set. Each of ``TREES`` independent trees branches the sets: a node selects one minwise
 function, a second one with probability 1 / similarity - 1, and sends each set to the child of its minwise token. Two sets of
-the least similarity thus share one child on average, while unlike sets part. A node of up to ``SMALL`` sets is not branched
-further but compared exhaustively. A pair meets at depth d of a tree with probability similarity^d at least; ``TREES`` is the
-number of trees that brings pairs at the threshold to RECALL at DEPTH. Pairs more alike and nodes that are small before do
-better.
+the least similarity thus share one child on average, while unlike sets part. The nodes at DEPTH are the leaves. A pair meets in
+a leaf of a tree with probability similarity^DEPTH at least; ``TREES`` is the number of trees that brings pairs at the threshold
+to RECALL. Pairs more alike do better. Every set has a bounded number of leaves, dealt out once.
 
-Down to DEPTH the tokens come from a signature of TREES * DEPTH minwise values, DEPTH of its own for each tree. In small nodes
-the signatures' low bytes first tell which sets have a partner at all: nine of sixteen equal ones, which a pair at the
-threshold misses with a probability under 10^-8. Only the full sets of such sets are looked up.
+The tokens come from a signature of TREES * DEPTH minwise values, DEPTH of its own for each tree. In a leaf the signatures' low
+bytes tell which sets are alike: nine of sixteen equal ones, which a pair at the threshold misses with a probability under
+10^-8. Sets that are alike, directly or through others, are a cluster. Only sets of clusters are looked up in full, and each is
+sent to its own cluster once, however many trees it met others in. Links are confirmed on full sets, block against block of up
+to SMALL sets or WEIGHT shingles, without exception.
 
-Links are confirmed on full sets, and only between sets that are not in one class already: the trees are compared in
-batches (BATCHES), and after each batch the classes so far are the labels of the next. A node whose sets have one label needs
-no comparison, so a large group of near copies is settled by a few links a member:
+Clusters of more than BLOCKS blocks, and leaves too large to compare signatures in, are compared leaf by leaf, and only between
+sets that are not in one class already: the trees are taken in batches (BATCHES), and after each batch the classes so far are
+the labels of the next. A node whose sets have one label needs no comparison, so a large group of near copies is settled by a
+few links a member:
 
 * A node of more than SMALL sets, or more than WEIGHT shingles, is dealt into blocks of that size; its pivot, one set, joins
   every block. Each block is compared exhaustively, so its links are at most its members.
@@ -37,7 +39,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.llm.arrow import LOWER, by_batch, utf8
@@ -48,8 +50,14 @@ from tillbook.session import stage
 SHINGLE, PERCENT = 5, 85
 DEPTH, RECALL = 4, 1 - 1e-6
 SMALL, WEIGHT, LEVELS = 256, 2_000_000, 12
+#: Blocks of a cluster that is compared as a whole, and of a leaf whose signatures are.
+BLOCKS = 16
 #: Trees of each batch; the last takes the rest.
 BATCHES = (1, 3)
+#: The low bits of a leaf's number are its tree.
+TREE_BITS = 5
+#: Bits of the table of wanted texts: so many for each, 16 MB at most.
+BITS_EACH, MIN_BITS, MAX_BITS = 16, 1 << 15, 1 << 27
 #: Texts, and bytes of them, worked on at a time.
 ROWS, BYTES = 500, 1_000_000
 #: Shingles hashed at a time by all functions of a signature.
@@ -218,38 +226,23 @@ def _values(column: pa.Array, width: int, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
-def _node_batch(tree, used, node, rep: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(tree.astype(np.int32)), pa.array(used.astype(np.int32)), pa.array(node.view(np.int64)), rep], names=["tree", "used", "node", "rep"]
-    )
+def leaves(reps: DataFrame, percent: int) -> DataFrame:
+    """reps (id, sig) -> (node, id): the nodes of every tree at DEPTH."""
 
+    def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                values, n = _values(part.column(1), COORDINATES, np.uint32), part.num_rows
+                tree, at = np.tile(np.arange(TREES), n), np.repeat(np.arange(n), TREES)
+                used, node = np.zeros(n * TREES, np.int64), mix(tree.astype(np.uint64) + np.uint64(1))
+                for _ in range(DEPTH):
+                    own, used, node = children(tree, used, node, values[at], percent)
+                    tree, at = tree[own], at[own]
+                numbers = (node >> np.uint64(TREE_BITS) << np.uint64(TREE_BITS)) | tree.astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(numbers.view(np.int64)), part.column(0).take(pa.array(at))], names=["node", "id"])
 
-NODES = "tree int, used int, node long, rep binary"
-
-
-def roots(reps: DataFrame, percent: int) -> DataFrame:
-    """The nodes below the root of every tree: (tree, used, node, rep)."""
-
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = _values(batch.column(1), COORDINATES, np.uint32)
-        n = len(values)
-        tree = np.tile(np.arange(TREES), n)
-        at, used, node = children(tree, np.zeros(n * TREES, np.int64), mix(tree.astype(np.uint64) + np.uint64(1)), np.repeat(values, TREES, axis=0), percent)
-        return _node_batch(tree[at], used, node, batch.column(0).take(pa.array(at // TREES)))
-
-    return reps.select("rep", "sig").mapInArrow(by_batch(rows), NODES)
-
-
-def next_nodes(rows: DataFrame, percent: int) -> DataFrame:
-    """rows (tree, used, node, rep, sig) one level down."""
-
-    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tree, used = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-        node = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-        at, used, node = children(tree, used, node, _values(batch.column(4), COORDINATES, np.uint32), percent)
-        return _node_batch(tree[at], used, node, batch.column(3).take(pa.array(at)))
-
-    return rows.select("tree", "used", "node", "rep", "sig").mapInArrow(by_batch(fn), NODES)
+    return reps.select("id", "sig").mapInArrow(rows, "node long, id long")
 
 
 def next_nodes_of_sets(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -299,34 +292,38 @@ def whole_groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple
 
 
 def low_bytes(reps: DataFrame) -> DataFrame:
-    """(rep, n, low): the low byte of each coordinate."""
+    """(id, low): the low byte of each coordinate."""
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
-        low = _values(batch.column(2), COORDINATES, np.uint32).astype(np.uint8)
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in low], pa.binary())], names=["rep", "n", "low"])
+        low = _values(batch.column(1), COORDINATES, np.uint32).astype(np.uint8)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in low], pa.binary())], names=["id", "low"])
 
-    return reps.select("rep", "n", "sig").mapInArrow(by_batch(fn), "rep binary, n long, low binary")
+    return reps.select("id", "sig").mapInArrow(by_batch(fn), "id long, low binary")
 
 
-def with_partner(rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """rows (tree, node, rep) of small nodes -> (tree, node, rep, n): those whose signature is like another's in the node."""
+def alike(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """rows (node, id) of leaves -> links (a, b) that join the ids of each leaf whose signatures are alike."""
 
     def fn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, limits in whole_groups(batches, 1):
-            low = _values(table.column("low"), COORDINATES, np.uint8)
-            end = np.repeat(limits[1:], np.diff(limits))  # of each row's group
-            alike, at = np.zeros(len(low), bool), np.arange(len(low))
+            low, ids = _values(table.column("low"), COORDINATES, np.uint8), table.column("id").to_numpy()
+            begin, end = np.repeat(limits[:-1], np.diff(limits)), np.repeat(limits[1:], np.diff(limits))  # of each row's group
+            label, at, links = np.arange(len(low)), np.arange(len(low)), []
             for lag in range(1, int(np.diff(limits).max())):
                 at = at[at + lag < end[at]]
-                ask = at[~(alike[at] & alike[at + lag])]
+                ask = at[label[at] != label[at + lag]]
                 for k in range(0, len(ask), 50_000):
                     i = ask[k : k + 50_000]
-                    i = i[(low[i] == low[i + lag]).sum(axis=1) >= LIKE]
-                    alike[i] = alike[i + lag] = True
-            yield from table.drop_columns(["low"]).filter(pa.array(alike)).to_batches()
+                    for j in i[(low[i] == low[i + lag]).sum(axis=1) >= LIKE].tolist():
+                        if label[j] != label[j + lag]:
+                            own = label[begin[j] : end[j]]
+                            own[own == label[j + lag]] = label[j]
+                            links.append((j, j + lag))
+            a, b = np.array(links, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
 
-    near = rows.select("tree", "node", "rep").join(low_bytes(reps), "rep").select("node", "tree", "rep", "n", "low")
-    return near.repartition("node").sortWithinPartitions("node").mapInArrow(fn, "node long, tree int, rep binary, n long").select("tree", "node", "rep", "n")
+    near = rows.select("node", "id").join(low_bytes(reps), "id").select("node", "id", "low")
+    return near.repartition("node").sortWithinPartitions("node").mapInArrow(fn, "a long, b long")
 
 
 def linked(n: np.ndarray, items: list[np.ndarray], label: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
@@ -374,8 +371,11 @@ def node_stats(rows: DataFrame, small: int) -> DataFrame:
     """Of nodes with more than one label: the blocks they need and the pivot."""
     pivot = F.min(F.struct(F.xxhash64("rep").alias("h"), "rep", "label", "n"))
     stats = rows.groupBy("node").agg(F.count("*").alias("m"), F.sum("n").alias("weight"), F.min("label").alias("low"), F.max("label").alias("high"), pivot.alias("pivot"))
-    parts = F.ceil(F.greatest(F.col("m") / small, F.col("weight") / WEIGHT))
-    return stats.where("low <> high").select("node", parts.cast("int").alias("parts"), "pivot")
+    return stats.where("low <> high").select("node", blocks_of("m", "weight", small).alias("parts"), "pivot")
+
+
+def blocks_of(sets: str, shingles: str, small: int) -> Column:
+    return F.ceil(F.greatest(F.col(sets) / small, F.col(shingles) / WEIGHT)).cast("int")
 
 
 def compare(rows: DataFrame, sets: DataFrame, labels: DataFrame | None, percent: int, small: int, all_pairs: bool = False) -> DataFrame:
@@ -404,27 +404,46 @@ def labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 # --- The join --------------------------------------------------------------------
 
 
-def candidates(reps: DataFrame, percent: int, small: int) -> DataFrame:
-    """(tree, node, rep, n) worth comparing: in small nodes the sets with a partner, and the nodes still crowded at DEPTH."""
-    rows, found = roots(reps, percent), []
-    for depth in range(1, DEPTH + 1):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("m")).where("m > 1")
-        marked = stage(rows.join(sizes, "node"))
-        found.append(marked.where(F.col("m") <= small))
-        crowded = marked.where(F.col("m") > small)
-        if crowded.isEmpty():
-            crowded = None
-            break
-        if depth < DEPTH:
-            rows = next_nodes(crowded.join(reps.select("rep", "sig"), "rep"), percent)
-    few = found[0]
-    for more in found[1:]:
-        few = few.unionByName(more)
-
-    out = with_partner(few, reps)
-    if crowded is not None:
-        out = out.unionByName(crowded.join(reps.select("rep", "n"), "rep").select("tree", "node", "rep", "n"))
-    return stage(out)
+def candidates(reps: DataFrame, percent: int, small: int) -> tuple[DataFrame, DataFrame | None]:
+    """Sets worth comparing: (node, rep, n) in clusters; (tree, node, rep, n) in the leaves that are too large or hold a part of too large a cluster, if any."""
+    reps = reps.withColumn("id", F.xxhash64("rep"))  # sets with one id, if any, come together
+    rows = leaves(reps, percent).withColumn("m", F.count("*").over(Window.partitionBy("node"))).where("m > 1")
+    rows = stage(rows)
+    few = F.col("m") <= BLOCKS * small
+    stars_of = stars(alike(rows.where(few), reps))
+    members = stage(stars_of.select(F.col("a").alias("id"), F.col("b").alias("node")).unionByName(stars_of.select(F.col("b").alias("id"), F.col("b").alias("node")).distinct()))
+    members = stage(members.join(reps.select("id", "rep", "n"), "id"))
+    large = members.groupBy("node").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles")).where(blocks_of("sets", "shingles", small) > BLOCKS)
+    large = stage(large.select("node"))
+    clusters = members.join(large, "node", "left_anti").select("node", "rep", "n")
+    crowded = rows.where(~few).join(reps.select("id", "rep", "n"), "id")
+    crowded = crowded.unionByName(rows.where(few).join(members.join(large, "node", "left_semi").select("id", "rep", "n"), "id"))
+    crowded = stage(crowded.select(F.col("node").bitwiseAND((1 << TREE_BITS) - 1).alias("tree"), "node", "rep", "n"))
+    return clusters, None if crowded.isEmpty() else crowded
+
+
+def _slots(keys: pa.Array, bits: int) -> np.ndarray:
+    return np.frombuffer(b"".join(k[:8] for k in keys.to_pylist()), np.uint64) % np.uint64(bits)
+
+
+def among(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs (key, text) whose key is one of keys (key), and few others, told by a bit table; keys begin with random bytes."""
+    bits = min(max(1 << (BITS_EACH * keys.count()).bit_length(), MIN_BITS), MAX_BITS)
+
+    def slots(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(_slots(batch.column(0), bits).astype(np.int64))], names=["slot"])
+
+    word = F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("word")
+    made = keys.select("key").mapInArrow(by_batch(slots), "slot long").groupBy(F.expr("slot div 64").alias("at")).agg(word).toArrow()
+    table = np.zeros(bits // 64, np.int64)
+    table[made["at"].to_numpy()] = made["word"].to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(table.view(np.uint64))
+
+    def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slot = _slots(batch.column(0), bits)
+        return batch.filter(pa.array((shared.value[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)))
+
+    return docs.select("key", "text").mapInArrow(by_batch(fn), "key binary, text string")
 
 
 def full_sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -435,15 +454,15 @@ def full_sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) ->
             items = pa.array([x.tobytes() for x in shingle_sets(texts, size)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), items], names=["rep", "n", "items"])
 
-    keys = reps.join(wanted, "rep", "left_semi").select("rep", "n", "key")
-    texts = keep_one(docs.select("key", "text"), ["key"], ["key"])
+    keys = stage(reps.join(wanted, "rep", "left_semi").select("rep", "n", "key"))
+    texts = keep_one(among(docs, keys), ["key"], ["key"])
     return stage(keys.join(texts, "key").select("rep", "n", "text").mapInArrow(rows, "rep binary, n long, items binary"))
 
 
 def classes(docs: DataFrame, reps: DataFrame, size: int = SHINGLE, percent: int = PERCENT, small: int = SMALL, levels: int = LEVELS) -> DataFrame | None:
     """(a, b): each set that is not the first of its class, and the first; None without links."""
-    found = candidates(reps, percent, small)
-    sets = full_sets(docs, reps, found.select("rep").distinct(), size)
+    found, more = candidates(reps, percent, small)
+    sets = full_sets(docs, reps, (found if more is None else found.select("rep").unionByName(more.select("rep"))).select("rep").distinct(), size)
     links: list[DataFrame] = []
     labels = None
 
@@ -455,11 +474,14 @@ def classes(docs: DataFrame, reps: DataFrame, size: int = SHINGLE, percent: int
             every = every.unionByName(more)
         labels = stars(every)
 
+    take(found, all_pairs=True)
+    if more is None:
+        return labels
     at = 0
     for n in (*BATCHES, TREES):
-        take(found.where((F.col("tree") >= at) & (F.col("tree") < at + n)).select("node", "rep", "n"))
+        take(more.where((F.col("tree") >= at) & (F.col("tree") < at + n)).select("node", "rep", "n"))
         at += n
-    rows = found.select("node", "rep", "n")
+    rows = more.select("node", "rep", "n")
     for _ in range(levels):
         rows = still_crowded(rows, labels, small)
         if rows is None:
