@@ -1,9 +1,12 @@
 """Operators that SQL cannot express, against plain independent versions."""
 
+import glob
 import hashlib
 import math
 import random
 import re
+import tempfile
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm import edge
 from tillbook.llm import components, decontaminate, extract, hmm, mixing, quality, queries, repeats, secrets, sharding, simhash, suffixes, urls
-from tillbook.session import stage
+from tillbook.session import CLEANUP_CONF, stage
 
 SF = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -511,6 +514,34 @@ def test_every_training_word_has_emissions_of_its_own(spark, monkeypatch, docs):
     assert len(lean) > len({g for g, _ in lean})  # words of one ending lean to several states
 
 
+def test_other_words_travel_packed(spark, monkeypatch, docs):
+    """Blocks and buckets exchange one row for each pair of them, not one for each word; numbers come back as they were."""
+    monkeypatch.setattr(hmm, "DICTIONARY", 9_000)
+    monkeypatch.setattr(hmm, "BUCKET", 1_000)
+    rows = docs.select("doc_id", (F.col("doc_id") % 10 == 0).alias("held_out"), "text")
+    lex, _ = hmm.lexicon(rows.where("not held_out"))
+    blocks = stage(hmm.encode(rows, lex))
+    _, told = hmm.learn(blocks, lex, 1)
+    assert lex.buckets > 1 and 0 < told.count() <= blocks.count() * lex.buckets
+    for r in blocks.collect():
+        new = [bytes(w) for w in r.others]
+        assert len(set(new)) == len(new) and [zlib.crc32(w) % lex.buckets for w in new] == [b for b, n in enumerate(np.diff(r.cuts)) for _ in range(n)]
+    for a in (np.array([1, 2**20, 2**31 - 1], "<i4"), np.array([], "<f4"), np.array([[0.5, 2.0**-20]], "<f8")):
+        assert np.array_equal(hmm.unpacked(hmm.packed(a), a.dtype.str), a.reshape(-1))
+
+
+def test_stage_leaves_no_shuffle_files(spark):
+    files = lambda: {f for f in glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*")}
+    before, conf = files(), spark.conf.get(CLEANUP_CONF)
+    assert stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()).count() == 7
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    # The last count's own file may be left, which has one row a partition.
+    assert len([f for f in files() - before if f.endswith(".data")]) <= 1 and spark.conf.get(CLEANUP_CONF) == conf
+
+
 # --- Pipeline ----------------------------------------------------------------
 
 

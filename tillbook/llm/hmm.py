@@ -8,8 +8,9 @@ give the next model. A text's score is the log10 of its exact probability, by th
 text.
 
 The DICTIONARY most frequent words (of at most LONGEST bytes, so of a proven size) travel to the tasks with their counts
-and expected counts. Those of all other training words are a table (word, c, one sum a state), made anew by every round
-and joined to the distinct words of each block of documents.
+and expected counts. All other words are dealt once to buckets by their hash, where they get numbers and their training
+counts. In every round each block of documents sends its expected counts to the buckets, packed by bucket, and each bucket
+returns the sums over all blocks to the blocks that have the word; so no word travels by itself, nor is joined again.
 
 Defined cases: a null text is empty and has only its end; a null id counts as the empty text, so its document is held out;
 without training documents all counts are zero; repeated rows are scored one by one; an empty table gives an empty result.
@@ -18,15 +19,14 @@ without training documents all counts are zero; repeated rows are scored one by
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillbook.llm.arrow import LOWER, utf8
 from tillbook.llm.suffixes import release
 from tillbook.session import stage
 
@@ -37,18 +37,47 @@ ROUNDS = 4
 #: Tokens of a block of documents, which share one list of other words; a longer document is a block of its own.
 BLOCK = 4_000_000
 #: Training only: longer documents count as several sequences, and so many tokens are in memory at a time.
-SEQUENCE, TOKENS = 100_000, 1_000_000
-FLUSH_WORDS = 300_000
+SEQUENCE, TOKENS = 100_000, 500_000
+FLUSH_WORDS, ROWS = 300_000, 2500
 SMOOTH = 0.1
 #: Expected counts leave a block as whole numbers of this part, near the precision of the recursion; so their sums have no order.
 PART = 2.0**-20
 END = b""
+#: Occurrences of other words for which there is a bucket, so at most as many pairs of a block and a word in it, about; words of the dictionary in a slice of it.
+BUCKET, SLICE = 1_000_000, 1024
+#: What blocks and buckets send each other: a bucket's words of a block by number, their training counts and expected counts. Slices
+#: of the dictionary are numbered down from -2; -1 has the classes of other words, the start and the moves.
+SENT = "block bigint, held_out boolean, bucket int, ids binary, c binary, sums binary"
 #: Columns of a word's expected counts.
 SUMS = [f"e{k}" for k in range(STATES)]
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.translate(LOWER).split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one text after the other, and how many each has; a null text has none."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, n = parts.flatten(), parts.value_lengths().to_numpy()
+    full = pc.greater(pc.binary_length(words), 0)
+    before, ends = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False)))), np.cumsum(n)
+    return words.filter(full).cast(pa.binary()), before[ends] - before[ends - n]
+
+
+def few_rows(batches):
+    """The batches in parts of ROWS rows, so that few words are in memory at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Compressed: the first bytes of all numbers, then the second ones and so on, as the later ones vary little."""
+    planes = np.ascontiguousarray(numbers).reshape(-1).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpacked(cell: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = pa.decompress(cell[8:], int.from_bytes(cell[:8], "little"), "zstd") if cell else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
 
 
 def ending(word: bytes) -> int:
@@ -56,20 +85,22 @@ def ending(word: bytes) -> int:
 
 
 def _count(batches):
-    counts: Counter = Counter()
+    held: list[pa.Table] = []
 
-    def packed():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
+    def summed():
+        counts = pa.concat_tables(held).group_by("word").aggregate([("c", "sum")])
+        held.clear()
+        yield from counts.select(["word", "c_sum"]).rename_columns(["word", "c"]).to_batches()
 
-    for batch in batches:
-        for text in utf8(batch.column(0)):
-            counts.update(words_of(text))
-            counts[END] += 1
-            if len(counts) > FLUSH_WORDS:
-                yield packed()
-                counts.clear()
-    if counts:
-        yield packed()
+    for batch in few_rows(batches):
+        words, _ = split_words(batch.column(0))
+        counts = words.value_counts()
+        held.append(pa.table({"word": counts.field("values"), "c": counts.field("counts")}))
+        held.append(pa.table({"word": pa.array([END], pa.binary()), "c": pa.array([len(batch)], pa.int64())}))
+        if sum(map(len, held)) > FLUSH_WORDS:
+            yield from summed()
+    if held:
+        yield from summed()
 
 
 class Lexicon:
@@ -93,6 +124,11 @@ class Lexicon:
     def base_size(self) -> float:
         return self.total + SMOOTH * (self.distinct + 1)
 
+    @property
+    def buckets(self) -> int:
+        """For the words that are not in the dictionary."""
+        return 1 + int(self.total - self.counts.sum()) // BUCKET
+
     def index(self) -> dict[bytes, int]:
         words = self.packed.split(b" ") if self.packed else []
         return {w: i for i, w in enumerate(words, 1)}
@@ -123,39 +159,56 @@ def lexicon(train: DataFrame, text: str = "text") -> tuple[Lexicon, DataFrame]:
 
 
 def encode(rows: DataFrame, lex: Lexicon) -> DataFrame:
-    """rows (doc_id, held_out, text) -> blocks of documents: their words as 32-bit numbers, the block's other words numbered after the dictionary's."""
-    names = ["block", "held_out", "doc_ids", "lengths", "words", "others"]
+    """rows (doc_id, held_out, text) -> blocks of documents: their words as 32-bit numbers, the block's other words numbered after the dictionary's.
+
+    These are in the order of their buckets; cuts: where each bucket begins and the last one ends; times: how often each comes up.
+    """
+    names = ["block", "held_out", "doc_ids", "lengths", "words", "others", "cuts", "times"]
+    buckets = lex.buckets
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        index = lex.index()
+        known = pa.array(list(lex.index()), pa.binary())
         first, made = len(lex.counts), TaskContext.get().partitionId() << 32
-        ids, words, held, others = ({False: kind(), True: kind()} for kind in (list, list, Counter, dict))
+        ids, words, others = ({False: [], True: []} for _ in range(3))
+        held = {False: 0, True: 0}
 
-        def packed(flag: bool) -> pa.RecordBatch:
+        def block(flag: bool) -> pa.RecordBatch:
             nonlocal made
             made += 1
-            cells = made, flag, pa.array(ids[flag], id_type), pa.array(map(len, words[flag]), pa.int64()), np.concatenate(words[flag]).tobytes(), pa.array(others[flag], pa.binary())
-            kinds = pa.int64(), pa.bool_(), pa.list_(id_type), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.binary())
-            ids[flag], words[flag], held[flag], others[flag] = [], [], Counter(), {}
+            numbers = np.concatenate(words[flag])
+            found = pa.concat_arrays([pa.array([], pa.binary()), *others[flag]]).dictionary_encode()
+            dealt = np.fromiter(map(zlib.crc32, found.dictionary.to_pylist()), np.int64, len(found.dictionary)) % buckets
+            order = np.argsort(dealt, kind="stable")
+            place = np.argsort(order)[found.indices.to_numpy()]
+            numbers[numbers < 0] = first + place
+            times = np.bincount(place, minlength=len(order)).astype("<i4")
+            cuts = np.searchsorted(dealt[order], np.arange(buckets + 1))
+            cells = made, flag, pa.array(ids[flag], id_type), pa.array([len(w) for w in words[flag]], pa.int64()), packed(numbers), found.dictionary.take(pa.array(order)), pa.array(cuts), packed(times)
+            kinds = pa.int64(), pa.bool_(), pa.list_(id_type), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.binary()
+            ids[flag], words[flag], others[flag], held[flag] = [], [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([c], type=k) for c, k in zip(cells, kinds, strict=True)], names=names)
 
-        for batch in batches:
+        for batch in few_rows(batches):
             id_type = batch.column(0).type
-            for doc_id, flag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2)), strict=True):
-                found = words_of(text)
-                if ids[flag] and held[flag]["tokens"] + len(found) >= BLOCK:
-                    yield packed(flag)
-                more = others[flag]
-                at = [index[w] if w in index else first + more.setdefault(w, len(more)) for w in found]
+            found, lengths = split_words(batch.column(2))
+            at = pc.index_in(found, value_set=known)
+            # Other words are -1 until their block is made.
+            numbers, far = (at.fill_null(-2).to_numpy() + 1).astype("<i4"), found.filter(at.is_null())
+            before, end = np.concatenate(([0], np.cumsum(numbers < 0))).tolist(), 0
+            for doc_id, flag, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), lengths.tolist(), strict=True):
+                if ids[flag] and held[flag] + n >= BLOCK:
+                    yield block(flag)
+                start, end = end, end + n
                 ids[flag].append(doc_id)
-                words[flag].append(np.array([*at, 0], "<u4"))
-                held[flag]["tokens"] += len(at) + 1
+                words[flag].append(np.append(numbers[start:end], np.int32(0)))
+                others[flag].append(far.slice(before[start], before[end] - before[start]))
+                held[flag] += n + 1
         for flag in (False, True):
             if ids[flag]:
-                yield packed(flag)
+                yield block(flag)
 
-    return rows.mapInArrow(run, f"block bigint, held_out boolean, doc_ids array<{kind}>, lengths array<bigint>, words binary, others array<binary>")
+    return rows.mapInArrow(run, f"block bigint, held_out boolean, doc_ids array<{kind}>, lengths array<bigint>, words binary, others array<binary>, cuts array<bigint>, times binary")
 
 
 class Hmm:
@@ -165,11 +218,18 @@ class Hmm:
         self.start, self.move, self.emit, self.rare = start, move, emit, rare
         self.class_sums = np.zeros((len(start), ENDINGS)) if class_sums is None else class_sums
 
-    def over(self, lex: Lexicon, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> Hmm:
+    def over(self, lex: Lexicon, g: np.ndarray, c: np.ndarray, sums: np.ndarray, kind: type = np.float64) -> Hmm:
         """The model with an emission for each word: the dictionary's, then the others given by class, count and expected counts."""
-        rare = self.emit[:, VOCABULARY + lex.rare] * lex.shares(lex.rare, lex.counts[VOCABULARY:], self.rare, self.class_sums)
-        other = self.emit[:, VOCABULARY + g] * lex.shares(g, c, sums, self.class_sums)
-        return Hmm(self.start, self.move, np.concatenate([self.emit[:, : len(lex.counts[:VOCABULARY])], rare, other], axis=1))
+        emit = np.empty((len(lex.counts) + len(g), len(self.start)), kind)
+        first = len(lex.counts[:VOCABULARY])
+        emit[:first] = self.emit[:, :first].T
+        for g, c, sums in ((lex.rare, lex.counts[VOCABULARY:], self.rare), (g, c, sums)):
+            for at in range(0, len(g), VOCABULARY):
+                some = slice(at, at + VOCABULARY)
+                own = self.emit[:, VOCABULARY + g[some]] * lex.shares(g[some], c[some], sums if np.ndim(sums) == 0 else sums[:, some], self.class_sums)
+                emit[first + at : first + at + own.shape[1]] = own.T
+            first += len(g)
+        return Hmm(self.start, self.move, emit.T)
 
     @classmethod
     def first(cls, unigram: np.ndarray, seed: int = 11) -> Hmm:
@@ -217,38 +277,45 @@ def log10_likelihoods(model: Hmm, sequences: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(model: Hmm, sequences: list[np.ndarray]) -> np.ndarray:
-    """Baum-Welch sums of the sequences: starts, transitions, emissions, in one vector."""
-    order, flat, starts, alive = _in_step(sequences)
-    symbols = model.emit.shape[1]
+def expected_counts(model: Hmm, sequences: list[np.ndarray], sums: np.ndarray | None = None) -> np.ndarray:
+    """Baum-Welch sums of the sequences: starts, transitions, emissions, in one vector; added to sums, if given."""
+    _, flat, starts, alive = _in_step(sequences)
+    symbols, states = model.emit.shape[1], len(model.start)
     emit, move = np.ascontiguousarray(model.emit.T / model.emit.max(axis=0)[:, None], np.float32), model.move.astype(np.float32)
-    where = np.concatenate(([0], np.cumsum(alive)))
-    forward, seen = np.empty((where[-1], STATES), np.float32), np.empty(where[-1], np.int64)
-    state = np.broadcast_to(model.start.astype(np.float32), (len(sequences), STATES))
-    for t, n in enumerate(alive.tolist()):
-        at = flat[starts[:n] + t]
-        state = (state[:n] @ move if t else state) * emit[at]
-        state = state / state.sum(axis=1)[:, None]
-        forward[where[t] : where[t + 1]], seen[where[t] : where[t + 1]] = state, at
-    moves = np.zeros((STATES, STATES))
-    backward = np.ones((0, STATES), np.float32)
-    for t in range(len(alive) - 1, -1, -1):
-        n, span = alive[t], slice(where[t], where[t + 1])
-        if len(backward) < n:
-            backward = np.concatenate([backward, np.ones((n - len(backward), STATES), np.float32)])
+    where, count = np.concatenate(([0], np.cumsum(alive))).tolist(), alive.tolist()
+    seen = np.empty(where[-1], np.int64)
+    for t, n in enumerate(count):
+        seen[where[t] : where[t + 1]] = flat[starts[:n] + t]
+    likely, forward = emit[seen], np.empty((where[-1], states), np.float32)
+    del emit
+    # A product with it puts the sum of a row in each of its columns.
+    ones = np.ones((states, states), np.float32)
+    state = np.broadcast_to(model.start.astype(np.float32), (len(sequences), states))
+    for t, n in enumerate(count):
+        span = slice(where[t], where[t + 1])
+        state = (state[:n] @ move if t else state) * likely[span]
+        state = np.divide(state, state @ ones, out=forward[span])
+    moves = np.zeros((states, states))
+    back, backward = np.ascontiguousarray(move.T), np.ones((count[0], states), np.float32)
+    for t in range(len(count) - 1, -1, -1):
+        n, now = count[t], forward[where[t] : where[t + 1]]
         if t:
-            ahead = backward * emit[seen[span]]
-            before = forward[where[t - 1] : where[t - 1] + n]
-            back = ahead @ move.T
-            norm = np.einsum("nk,nk->n", before, back)[:, None]
-            moves += (before / norm).T @ ahead
-            backward, now = back / back.sum(axis=1)[:, None], backward
+            ahead = backward[:n] * likely[where[t] : where[t + 1]]
+            earlier, before = ahead @ back, forward[where[t - 1] : where[t - 1] + n]
+            moves += (before / ((before * earlier) @ ones)).T @ ahead
+            now *= backward[:n]
+            np.divide(earlier, earlier @ ones, out=backward[:n])
         else:
-            now = backward
-        both = forward[span] * now
-        forward[span] = both / both.sum(axis=1)[:, None]
-    emissions = [np.bincount(seen, forward[:, k], symbols) for k in range(STATES)]
-    return np.concatenate([forward[: alive[0]].sum(axis=0, dtype=np.float64), (moves * model.move).reshape(-1), *emissions])
+            now *= backward
+    del likely
+    forward /= forward @ ones
+    if sums is None:
+        sums = np.zeros(states + states**2 + states * symbols)
+    sums[:states] += forward[: count[0]].sum(axis=0, dtype=np.float64)
+    sums[states : states + states**2] += (moves * model.move).reshape(-1)
+    for k, own in enumerate(sums[states + states**2 :].reshape(states, symbols)):
+        own += np.bincount(seen, forward[:, k], symbols)
+    return sums
 
 
 def _pieces(sequences: list[np.ndarray], longest: int, tokens: int):
@@ -265,68 +332,142 @@ def _pieces(sequences: list[np.ndarray], longest: int, tokens: int):
         yield group
 
 
-def _with_words(blocks: DataFrame, table: DataFrame, fn, schema: str) -> DataFrame:
-    """fn(a block, its other words' classes, counts and expected counts) -> a table of the schema, for each block. table: (word, c, the sums)."""
-    by_end = (F.crc32(F.substring("word", -2, 2)) % ENDINGS).cast("int").alias("g")
-    pairs = blocks.select(F.col("block").alias("of"), F.posexplode("others").alias("at", "word")).join(table, "word", "left")
-    pairs = pairs.select("of", "at", by_end, F.coalesce("c", F.lit(0)).alias("c"), *(F.coalesce(e, F.lit(0)).cast("float").alias(e) for e in SUMS))
+def _joined(cells: pa.ChunkedArray, kind: str) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *(unpacked(c, kind) for c in cells.to_pylist())])
+
+
+def places(blocks: DataFrame) -> DataFrame:
+    """(the columns of SENT), for each block and bucket: numbers and training counts of the block's other words there, no sums yet."""
+
+    def deal(batches):
+        for batch in batches:
+            for block, held_out, others, cuts, times in zip(*batch.columns, strict=True):
+                cuts, times = cuts.values.to_numpy(), unpacked(times.as_py(), "<i4") * (not held_out.as_py())
+                some = np.flatnonzero(np.diff(cuts))
+                parts = [others.values.slice(cuts[b], cuts[b + 1] - cuts[b]) for b in some]
+                words = pa.ListArray.from_arrays(np.cumsum([0, *map(len, parts)]).astype(np.int32), pa.concat_arrays([pa.array([], pa.binary()), *parts]))
+                own = pa.array([packed(times[cuts[b] : cuts[b + 1]]) for b in some], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([x.as_py()] * len(some), x.type) for x in (block, held_out)] + [pa.array(some, pa.int32()), words, own], names=["block", "held_out", "bucket", "words", "times"])
+
+    def count(rows: pa.Table) -> pa.Table:
+        words = rows["words"].combine_chunks()
+        ids = words.flatten().dictionary_encode().indices.to_numpy().astype("<i4")
+        c = np.bincount(ids, _joined(rows["times"], "<i4")).astype("<i8")[ids]
+        ends = np.cumsum(words.value_lengths().to_numpy())[:-1]
+        cells = [pa.array([packed(a) for a in np.split(b, ends)], pa.binary()) for b in (ids, c)]
+        return pa.table([rows["block"], rows["held_out"], rows["bucket"], *cells, pa.array([b""] * len(rows), pa.binary())], names=["block", "held_out", "bucket", "ids", "c", "sums"])
+
+    dealt = blocks.select("block", "held_out", "others", "cuts", "times").mapInArrow(deal, "block bigint, held_out boolean, bucket int, words array<binary>, times binary")
+    return stage(dealt.groupBy("bucket").applyInArrow(count, SENT))
+
+
+def _with_words(blocks: DataFrame, told: DataFrame, fn, schema: str) -> DataFrame:
+    """fn(a block, what was told of each bucket, its other words' classes, counts and expected counts) -> a table of the schema, for each block."""
+
+    def run(block: pa.Table, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("bucket")
+        g = np.array([ending(w) for w in block["others"][0].values.to_pylist()], np.int64)
+        c, sums = _joined(rows["c"], "<i8"), _joined(rows["sums"], "<f4").reshape(-1, STATES).T
+        return fn({n: block[n][0] for n in block.column_names}, rows, g, c, sums if sums.size else np.zeros((STATES, len(g))))
+
+    return blocks.drop("times").groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
+
+
+def _kind(bucket: int) -> str:
+    """Numbers of the sums sent: of words that come up often in a block, 64 bits."""
+    return "<f8" if -1 - VOCABULARY // SLICE <= bucket < 0 else "<f4"
 
-    def run(block: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("at")
-        g, c, sums = words["g"].to_numpy(), words["c"].to_numpy(), np.array([words[e].to_numpy() for e in SUMS], np.float64)
-        return fn({n: block[n][0] for n in block.column_names}, g.astype(np.int64), c, sums)
 
-    return blocks.groupBy("block").cogroup(pairs.groupBy("of")).applyInArrow(run, schema)
+def _add(rows: pa.Table) -> pa.Table:
+    """A bucket's sums over all blocks, to each block that asked; those of a slice of the dictionary and of the rest in one row."""
+    bucket = rows["bucket"][0].as_py()
+    ids = [unpacked(i, "<i4") for i in rows["ids"].to_pylist()]
+    total = np.zeros((1 + max(int(i.max()) for i in ids), STATES))
+    for i, sums in zip(ids, rows["sums"].to_pylist(), strict=True):
+        if sums:
+            total[i] += unpacked(sums, _kind(bucket)).reshape(-1, STATES)
+    if bucket < 0:
+        return rows.slice(0, 1).select(["block", "held_out", "bucket", "ids", "c"]).append_column("sums", [[packed(total)]])
+    return rows.drop_columns("sums").append_column("sums", [[packed(total[i].astype("<f4")) for i in ids]])
 
 
 def _sequences(block: dict) -> list[np.ndarray]:
-    words = np.frombuffer(block["words"].as_py(), "<u4").astype(np.int64)
+    words = unpacked(block["words"].as_py(), "<u4")
     return np.split(words, np.cumsum(block["lengths"].values.to_numpy())[:-1])
 
 
-def one_round(blocks: DataFrame, table: DataFrame, lex: Lexicon, model: Hmm) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """Expected counts over all blocks, summed in each, then over all: those of the model's symbols, those of the dictionary's words from VOCABULARY on, the table of the others."""
+def one_round(blocks: DataFrame, told: DataFrame, asked: DataFrame | None, words: Broadcast, model: Hmm) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """Expected counts over all blocks, summed in each, then over all: those of the model's symbols, those of the dictionary's words from VOCABULARY on, what the
+    buckets tell of the others, to the blocks of asked also. words: the lexicon."""
+    lex, shared = words.value, blocks.sparkSession.sparkContext.broadcast(model)
     known = len(lex.counts)
-    shared = blocks.sparkSession.sparkContext.broadcast((lex, model))
 
-    def run(block: dict, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
-        lex, model = shared.value
-        whole, sequences = model.over(lex, g, c, sums), _sequences(block)
-        start, move, emit = split_counts(sum(expected_counts(whole, p) for p in _pieces(sequences, SEQUENCE, TOKENS)), known + len(g))
-        seen = np.flatnonzero(emit[:, :known].any(axis=0))
-        times = np.bincount(np.concatenate(sequences), minlength=known + len(g))[known:]
-        classes = np.array([np.bincount(g, e, ENDINGS) for e in emit[:, known:]])
-        # Numbered rows: the dictionary's words, the classes of other words, the start, the moves; then the other words themselves.
-        at = np.concatenate([seen, np.arange(known, known + ENDINGS + 1 + STATES), np.full(len(g), -1)])
-        values = np.concatenate([emit[:, seen], classes, start[:, None], move.T, emit[:, known:]], axis=1)
-        none = len(at) - len(g)
-        word = pa.concat_arrays([pa.nulls(none, pa.binary()), block["others"].values.cast(pa.binary())])
-        return pa.table([pa.array(at, pa.int32()), word, pa.array(np.concatenate([np.zeros(none, np.int64), times])), *map(pa.array, np.rint(values / PART).astype(np.int64))], names=["i", "word", "c", *SUMS])
-
-    found = _with_words(blocks, table, run, f"i int, word binary, c bigint, {', '.join(f'{e} bigint' for e in SUMS)}")
-    found = stage(found.groupBy("i", "word").agg(F.sum("c").alias("c"), *((F.sum(e) * PART).alias(e) for e in SUMS)))
-    dense = found.where("i >= 0").select("i", *SUMS).toArrow()
-    sums = np.zeros((STATES, known + ENDINGS + 1 + STATES))
-    sums[:, dense["i"].to_numpy()] = [dense[e].to_numpy() for e in SUMS]
-    words, classes, start, move = np.split(sums, [known, known + ENDINGS, known + ENDINGS + 1], axis=1)
+    def run(block: dict, rows: pa.Table, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
+        whole = shared.value.over(words.value, g, c, sums, np.float32)
+        total = np.zeros(STATES + STATES**2 + STATES * (known + len(g)))
+        for some in _pieces(_sequences(block), SEQUENCE, TOKENS):
+            expected_counts(whole, some, total)
+        del whole
+        np.rint(np.divide(total, PART, out=total), out=total)
+        start, move, emit = split_counts(np.multiply(total, PART, out=total), known + len(g))
+        emit = emit.T
+        classes = np.array([np.bincount(g, e, ENDINGS) for e in emit[known:].T])
+        head = np.concatenate([classes, start[:, None], move.T], axis=1).T
+        seen = np.flatnonzero(emit[:known].any(axis=1))
+        parts = np.split(seen, np.searchsorted(seen, np.arange(SLICE, known, SLICE)))
+        sent = [(-1, np.arange(len(head)), head)] + [(-2 - s, p % SLICE, emit[p]) for s, p in enumerate(parts) if len(p)]
+        ids = [packed(i.astype("<i4")) for _, i, _ in sent] + rows["ids"].to_pylist()
+        of = [b for b, _, _ in sent] + rows["bucket"].to_pylist()
+        cuts = block["cuts"].as_py()
+        values = [packed(v.astype(_kind(b))) for b, _, v in sent] + [packed(emit[known + cuts[b] : known + cuts[b + 1]].astype("<f4")) for b in of[len(sent) :]]
+        cells = [block["block"].as_py()] * len(of), [False] * len(of), pa.array(of, pa.int32()), pa.array(ids, pa.binary()), pa.array([None] * len(sent) + rows["c"].to_pylist(), pa.binary()), pa.array(values, pa.binary())
+        return pa.table(list(map(pa.array, cells)), names=["block", "held_out", "bucket", "ids", "c", "sums"])
+
+    sent = _with_words(blocks, told, run, SENT)
+    found = stage((sent.unionByName(asked) if asked is not None else sent).groupBy("bucket").applyInArrow(_add, SENT))
+    shared.destroy()
+    own, head = np.zeros((STATES, known)), np.zeros((STATES, ENDINGS + 1 + STATES))
+    for bucket, cell in found.where("bucket < 0").select("bucket", "sums").toLocalIterator():
+        sums, first = unpacked(cell, "<f8").reshape(-1, STATES).T, (-2 - bucket) * SLICE
+        if bucket == -1:
+            head[:] = sums
+        else:
+            own[:, first : first + sums.shape[1]] = sums
+    classes, start, move = np.split(head, [ENDINGS, ENDINGS + 1], axis=1)
     emit = np.zeros((STATES, SYMBOLS))
-    emit[:, : len(lex.counts[:VOCABULARY])], rare = words[:, :VOCABULARY], words[:, VOCABULARY:]
+    emit[:, : len(lex.counts[:VOCABULARY])], rare = own[:, :VOCABULARY], own[:, VOCABULARY:]
     emit[:, VOCABULARY:] = classes + [np.bincount(lex.rare, e, ENDINGS) for e in rare]
-    return np.concatenate([start.reshape(-1), move.T.reshape(-1), emit.reshape(-1)]), rare, found.where("i < 0").drop("i")
+    return np.concatenate([start.reshape(-1), move.T.reshape(-1), emit.reshape(-1)]), rare, found.where("bucket >= 0")
 
 
-def train(blocks: DataFrame, lex: Lexicon, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Hmm, DataFrame]:
-    """blocks: of the training documents. counts: (word, c). The model, and the table of the words that are not in the dictionary."""
+def learn(blocks: DataFrame, lex: Lexicon, rounds: int = ROUNDS) -> tuple[Hmm, DataFrame]:
+    """The model, from the blocks that are not held out; what the buckets tell all blocks of their other words."""
     unigram = lex.symbol_counts()
     model = Hmm.first(unigram / max(1.0, unigram.sum()))
-    table = counts.select("word", "c", *(F.lit(0.0).alias(e) for e in SUMS))
-    for n in range(rounds if lex.total else 0):
-        sums, rare, made = one_round(blocks, table, lex, model)
-        if n:
-            release(table)
-        model, table = Hmm.from_counts(sums, unigram), made
+    first = places(blocks)
+    held = stage(first.where("held_out"))
+    rounds, told = rounds if lex.total else 0, first
+    words = blocks.sparkSession.sparkContext.broadcast(lex)
+    for n in range(rounds):
+        asked = held if n == rounds - 1 else None
+        sums, rare, made = one_round(blocks.where("not held_out"), told.where("not held_out"), asked, words, model)
+        release(told)
+        model, told = Hmm.from_counts(sums, unigram), made
         model.rare, model.class_sums = rare, split_counts(sums, SYMBOLS)[2][:, VOCABULARY:]
-    return model, table
+    words.destroy()
+    release(held)
+    return model, told
+
+
+def train(blocks: DataFrame, lex: Lexicon, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Hmm, DataFrame]:
+    """blocks: of the training documents. counts: (word, c). The model, and the table (word, c, the sums) of the words that are not in the dictionary."""
+    model, told = learn(blocks, lex, rounds)
+
+    def run(block: dict, rows: pa.Table, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
+        return pa.table([block["others"].values.cast(pa.binary()), *sums], names=["word", *SUMS])
+
+    words = _with_words(blocks, told, run, f"word binary, {', '.join(f'{e} double' for e in SUMS)}")
+    return model, words.dropDuplicates(["word"]).join(counts, "word").select("word", "c", *SUMS)
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -334,12 +475,13 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     fold = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 10
     rows = docs.select(F.col(doc_id).alias("doc_id"), (fold == 0).alias("held_out"), F.col(text).alias("text"))
     lex, counts = lexicon(rows.where("not held_out"))
+    release(counts)
     blocks = stage(encode(rows, lex))
-    model, table = train(blocks.where("not held_out"), lex, counts)
+    model, told = learn(blocks, lex)
     shared = docs.sparkSession.sparkContext.broadcast((lex, model))
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def run(block: dict, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
+    def run(block: dict, rows: pa.Table, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
         lex, model = shared.value
         sequences, counts = _sequences(block), np.concatenate([lex.counts, c])
         base, whole = np.log10((counts + SMOOTH) / lex.base_size), model.over(lex, g, c, sums)
@@ -349,4 +491,4 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
         return pa.table([*out, pa.array([lex.total] * n, pa.int64()), pa.array([float(base[q].sum()) for q in sequences]), pa.array(found)], names=names)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return _with_words(blocks, table, run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    return _with_words(blocks, told, run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
