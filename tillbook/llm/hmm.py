@@ -464,7 +464,7 @@ def train(blocks: DataFrame, lex: Lexicon, counts: DataFrame, rounds: int = ROUN
     model, told = learn(blocks, lex, rounds)
 
     def run(block: dict, rows: pa.Table, g: np.ndarray, c: np.ndarray, sums: np.ndarray) -> pa.Table:
-        return pa.table([block["others"].values.cast(pa.binary()), *sums], names=["word", *SUMS])
+        return pa.table([block["others"].values.cast(pa.binary()), *sums.astype(np.float64)], names=["word", *SUMS])
 
     words = _with_words(blocks, told, run, f"word binary, {', '.join(f'{e} double' for e in SUMS)}")
     return model, words.dropDuplicates(["word"]).join(counts, "word").select("word", "c", *SUMS)
