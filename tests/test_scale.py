@@ -1,11 +1,17 @@
 """Plans and state that must stay small on the driver and in tasks however large the tables are."""
 
+import glob
+import tempfile
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 from tillbook.llm import simhash
+from tillbook.operators import core
 from tillbook.operators import order_lines as o
 from tillbook.plans import master as ms, unify as u
-from tillbook.session import fresh_path, stage
+from tillbook.session import fresh_path, reliable_checkpoint, stage, stage_all
 from tillbook.streaming.ingest import changes
 
 
@@ -147,3 +153,49 @@ def test_union_pos_goes_through_few_windows(spark):
     order_windows = [x for x in plan.split("\n") if x.lstrip(" +-:*()0123456789").startswith("Window ") and "order_id" in x]
     assert 0 < len(order_windows) <= 3  # six before
     assert "LeftAnti" not in plan
+
+
+@pytest.fixture
+def sliced(spark, monkeypatch):
+    """Sets the rows of a slice; the plans of the slices written."""
+    plans = []
+    monkeypatch.setattr(u, "stage_all", lambda parts: stage_all(plans.append(plan_of(df)) or df for df in parts))
+    yield lambda rows: spark.conf.set(core.SLICE_CONF, str(rows)) or plans
+    spark.conf.unset(core.SLICE_CONF)
+
+
+@pytest.mark.parametrize("name", ["unify_receipts"])
+def test_source_jobs_go_through_their_lines_in_slices(spark, sliced, name):
+    """The shuffles of all 6000 lines lay on disk at a time before; the oracle does not know about slices."""
+    import __spark_entry__ as entry
+    from oracle_check import compare, oracle
+
+    plans, sf = sliced(7000), "/root/testdata/sf0.001"
+    ok, note = compare(spark, oracle(sf), name, entry.queries()[name], entry.oracle_sql()[name], sf)
+    assert ok, note
+    assert len(plans) == 3
+    for plan in plans:  # a slice shuffles no lines of others: those are left out where their table is read
+        assert any("Filter" in x and "xxhash64" in x and "l_orderkey" in x for x in plan.split("\n"))
+
+
+def test_hot_keys_and_rows_are_counted_in_one_pass(spark):
+    sizes = spark.createDataFrame([("a", None, 7), (None, None, 9), ("b", 1, 2)], "x string, y int, _n long")
+    spark.conf.set(core.HOT_CONF, "5")
+    try:
+        hot, rows = core.hot_and_rows(sizes)
+        assert {tuple(r) for r in hot.collect()} == {("a", None), (None, None)} and rows == 18
+        assert core.hot_and_rows(sizes.where("_n < 5")) == (None, 2) and core.hot_and_rows(sizes.where("false")) == (None, 0)
+    finally:
+        spark.conf.unset(core.HOT_CONF)
+    assert [core.slice_count(spark, *x) for x in ((0, 3), (1, 3), (core.SLICE_ROWS, 1), (core.SLICE_ROWS, 2), (core.SLICE_ROWS + 1, 1))] == [1, 1, 1, 2, 2]
+
+
+def test_checkpoints_leave_no_shuffle_files(spark):
+    files = lambda: set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+    before = files()
+    kept = reliable_checkpoint(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and len(kept.collect()) == 7

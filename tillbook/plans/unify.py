@@ -17,10 +17,10 @@ from tillbook.functions.keys import sub_order_id, unified_pk
 from tillbook.functions.numbers import ratio, rnd_int
 from tillbook.functions.rules import DELIVERY, DELIVERY_PACK, HALL, HALL_PACK, HALL_TABLE, PACK, mapped, order_type_classify, platform_revenue, reclassify_by_order, signed_amount
 from tillbook.operators import order_lines as o
-from tillbook.operators.core import AUTO, attach, by_heat, hot_counts, keep_one, resolve_hot
+from tillbook.operators.core import AUTO, attach, by_heat, hot_and_rows, hot_counts, keep_one, resolve_hot, slice_count, slices
 from tillbook.operators.filters import exclude_overlapping_stores, store_scoped_blacklist
 from tillbook.operators.joins import code_to_name_map, dim_enrich, heads_with_lines, last_two_tokens
-from tillbook.session import stage
+from tillbook.session import stage, stage_all
 
 CANCELLED, NORMAL = "취소", "정상"
 UNIFIED = [
@@ -52,6 +52,25 @@ def is_cancelled() -> Column:
     return F.col("sale_type") == CANCELLED
 
 
+def _hot_and_slices(rows: DataFrame, keys: Sequence[str], hot, times: int, wider=None) -> tuple[DataFrame | None, int]:
+    """(hot keys, number of slices) for rows shuffled so many times; rows whose hot keys are given are not counted and go in one.
+
+    ``wider`` follows from the keys and is cheaper to count: if none of its values is hot, no key is.
+    """
+    if not isinstance(hot, str) or hot != AUTO:
+        return hot, 1
+    sizes = lambda by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    hot, n = hot_and_rows(sizes(keys if wider is None else [F.xxhash64(wider).alias("_w")]))
+    if wider is not None and hot is not None:
+        hot, n = hot_and_rows(sizes(keys))
+    return hot, slice_count(rows.sparkSession, n, times)
+
+
+def _bare_id(x) -> Column:
+    """Equal for ids that ``normalize_id`` makes equal, without its patterns: the text without leading zeros."""
+    return F.ltrim(c.text(x), F.lit("0"))
+
+
 # -- POS receipts -------------------------------------------------------------
 
 
@@ -75,9 +94,11 @@ def unify_receipts(
 ) -> DataFrame:
     """POS receipt headers and lines to unified lines, with balancing lines and inherited refund names."""
     keys = ["receipt_no", "pos_no", "store", "sale_date"]  # the most telling one first: sorts compare its head only
-    norm = lambda df: df.withColumns({"store": c.text("store"), "pos_no": c.normalize_id("pos_no"), "receipt_no": c.normalize_id("receipt_no")})
+    norm = lambda df: df.withColumns(
+        {"store": c.text("store"), "pos_no": c.normalize_id("pos_no"), "receipt_no": c.normalize_id("receipt_no"), "_cut": _bare_id("receipt_no")}
+    )
     heads, items = norm(heads), norm(items)
-    hot = resolve_hot(items.select(*keys), keys, hot)
+    hot, n = _hot_and_slices(items, keys, hot, 3, "_cut")
     # What follows from the header alone is found before its lines multiply it.
     table, kind = c.text("table_name"), c.text("order_kind")
     hall = (table.rlike(r"^\d+$") | table.contains(PACK)) & ~table.contains(DELIVERY) | (
@@ -85,7 +106,7 @@ def unify_receipts(
     )
     platform, order_type = order_type_classify("channel", "order_kind", "table_name", counter, phone)
     heads = heads.select(
-        *keys, "actual_amount", c.normalize_time("order_time").alias("order_time"), hall.alias("hall"), platform.alias("platform"),
+        *keys, "_cut", "actual_amount", c.normalize_time("order_time").alias("order_time"), hall.alias("hall"), platform.alias("platform"),
         order_type.alias("order_type"), F.when(F.trim("kind") == "반품", CANCELLED).otherwise(NORMAL).alias("sale_type"),
     )
     # The master is joined once, to the lines of the export; blank and balancing ids come later and are looked up singly.
@@ -94,19 +115,22 @@ def unify_receipts(
         F.max(F.when(main, "Y")).alias("is_main"), F.min(F.struct("name")).alias("_n")
     ).withColumn("_n", F.col("_n.name"))
     one_name = lambda code: master.where(F.col("code") == code).agg(F.min(F.struct("name")).alias("_n")).select("_n.name").scalar()
-    rows = heads_with_lines(heads, items.join(named, "item_id", "left"), keys, hot=hot)
-    rows = rows.withColumns(
-        {
-            "item_id": F.coalesce("item_id", F.lit("")), "qty": F.coalesce("qty", F.lit(0)),
-            # A header without lines (a refund) counts with its own amount.
-            "amount": F.coalesce("amount", F.abs("actual_amount")), "discount_amount": F.coalesce("discount_amount", F.lit(0)),
-        }
-    )
-    rows = _receipt_lines(rows, keys, line_order, hot=hot)
 
+    def lines(heads, items):
+        rows = heads_with_lines(heads, items.join(named, "item_id", "left"), keys, hot=hot)
+        rows = rows.withColumns(
+            {
+                "item_id": F.coalesce("item_id", F.lit("")), "qty": F.coalesce("qty", F.lit(0)),
+                # A header without lines (a refund) counts with its own amount.
+                "amount": F.coalesce("amount", F.abs("actual_amount")), "discount_amount": F.coalesce("discount_amount", F.lit(0)),
+            }
+        )
+        return _receipt_lines(rows, keys, line_order, hot=hot).drop(*line_order, "is_main", "hall", "actual_amount", "amount")
+
+    parts = (lines(*x) for x in slices([heads, items], "_cut", n, ["_cut"]))
+    rows = stage_all(parts) if n > 1 else stage(next(parts))
     # Refunds without lines take the name of an order with the same amount that day, else of the same receipt.
-    rows = rows.drop(*line_order, "is_main", "hall", "actual_amount", "amount")
-    rows = inherit_refund_names(stage(rows), keys, "_paid")
+    rows = inherit_refund_names(rows, keys, "_paid")
     has_time = F.col("order_time") != ""
     name = F.when(F.col("item_id") == o.ADJUST_ID, one_name(o.ADJUST_ID)).when(F.col("item_id") == "", one_name("")).otherwise(F.col("_n"))
     rows = rows.withColumns(
