@@ -164,7 +164,7 @@ def sliced(spark, monkeypatch):
     spark.conf.unset(core.SLICE_CONF)
 
 
-@pytest.mark.parametrize("name", ["unify_receipts"])
+@pytest.mark.parametrize("name", ["unify_receipts", "unify_platform_b"])
 def test_source_jobs_go_through_their_lines_in_slices(spark, sliced, name):
     """The shuffles of all 6000 lines lay on disk at a time before; the oracle does not know about slices."""
     import __spark_entry__ as entry

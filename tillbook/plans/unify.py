@@ -71,6 +71,11 @@ def _bare_id(x) -> Column:
     return F.ltrim(c.text(x), F.lit("0"))
 
 
+def _finish_slices(parts, n: int, stores: DataFrame, source: str, brand: Column | str) -> DataFrame:
+    """``finish`` of the lines of all slices; with more than one these are written first, and the stores, whose size is known then."""
+    return finish(stage_all(parts), stage(stores), source, brand) if n > 1 else finish(next(parts), stores, source, brand)
+
+
 # -- POS receipts -------------------------------------------------------------
 
 
@@ -409,25 +414,33 @@ def unify_platform_b(
     source: str = "platform_b", platform: str = "B", hot=AUTO,
 ) -> DataFrame:
     """Orders without cancelled lines; the order amount is split exactly over menu groups and paid options."""
-    hot = resolve_hot(raw.select("order_id"), ["order_id"], hot)
-    keys, within = ["order_id"], []
-    if hot is None and "order_id" in dedup:  # one shuffle by order serves the copies of a line and all steps in its order
-        keys, within = ["_order", "order_id"], ["_order"]
-        raw = raw.withColumn("_order", c.text("order_id")).repartition("_order")
-    raw = o.canonical_line_dedup(raw, dedup, [F.col("collected_at").desc_nulls_last(), *line_order], within)
+    hot, n = _hot_and_slices(raw, ["order_id"], hot, 2)
+    prices = stage(keep_one(option_prices, ["item_name"], ["option_price"]))  # of known size, so a short list is broadcast
+    raw = raw.withColumn("_order", c.text("order_id"))
     day, clock = c.parse_localized_datetime("ordered_at")
     name = c.text("menu_options")
-    rows = raw.withColumns(
-        {
-            "sale_date": day, "order_time": clock, "platform": F.lit(platform), "sale_type": F.lit(NORMAL),
-            "order_type": F.when(c.text("delivery_type") == PACK, DELIVERY_PACK).otherwise(DELIVERY),
-            "menu_name": c.text("menu_name"), "item_name": name, "item_id": F.when(name != "", F.md5(name)).otherwise(""),
-            "qty": F.when(F.coalesce("menu_qty", F.lit(0)) == 0, 1).otherwise(F.col("menu_qty")), "discount_amount": F.lit(0),
-        }
-    )
-    prices = stage(keep_one(option_prices, ["item_name"], ["option_price"]))  # of known size, so a short list is broadcast
-    rows = rows.join(prices, "item_name", "left").fillna(0, ["option_price"])
-    return finish(_platform_b_orders(rows, keys, line_order, hot=hot), stores, source, F.col("brand"))
+
+    def lines(raw):
+        keys, within = ["order_id"], []
+        if hot is None and "order_id" in dedup:  # one shuffle by order serves the copies of a line and all steps in its order
+            keys, within = ["_order", "order_id"], ["_order"]
+            raw = raw.repartition("_order")
+        raw = o.canonical_line_dedup(raw, dedup, [F.col("collected_at").desc_nulls_last(), *line_order], within)
+        rows = raw.withColumns(
+            {
+                "sale_date": day, "order_time": clock, "platform": F.lit(platform), "sale_type": F.lit(NORMAL),
+                "order_type": F.when(c.text("delivery_type") == PACK, DELIVERY_PACK).otherwise(DELIVERY),
+                "menu_name": c.text("menu_name"), "item_name": name, "item_id": F.when(name != "", F.md5(name)).otherwise(""),
+                "qty": F.when(F.coalesce("menu_qty", F.lit(0)) == 0, 1).otherwise(F.col("menu_qty")), "discount_amount": F.lit(0),
+            }
+        )
+        rows = rows.join(prices, "item_name", "left").fillna(0, ["option_price"])
+        rows = _platform_b_orders(rows, keys, line_order, hot=hot)
+        return rows.select(*[x for x in UNIFIED if x in rows.columns])
+
+    n = n if "order_id" in dedup else 1  # else copies of a line may lie in several orders
+    parts = (lines(*x) for x in slices([raw], "_order", n))
+    return _finish_slices(parts, n, stores, source, F.col("brand"))
 
 
 # -- totals, extracts, sheets -------------------------------------------------
