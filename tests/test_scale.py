@@ -164,7 +164,7 @@ def sliced(spark, monkeypatch):
     spark.conf.unset(core.SLICE_CONF)
 
 
-@pytest.mark.parametrize("name", ["unify_receipts", "unify_platform_b"])
+@pytest.mark.parametrize("name", ["unify_receipts", "unify_platform_b", "unify_union_pos"])
 def test_source_jobs_go_through_their_lines_in_slices(spark, sliced, name):
     """The shuffles of all 6000 lines lay on disk at a time before; the oracle does not know about slices."""
     import __spark_entry__ as entry
@@ -178,6 +178,24 @@ def test_source_jobs_go_through_their_lines_in_slices(spark, sliced, name):
         assert any("Filter" in x and "xxhash64" in x and "l_orderkey" in x for x in plan.split("\n"))
 
 
+def test_order_ids_that_look_alike_share_a_slice(spark, sliced):
+    """POS 1_2 with receipt 3_n and POS 1 with receipt 2_3_n have one order id; so have 007 and 7 on one POS."""
+    cols = "sale_date date, store string, receipt_no string, pos_no string, sold_at string, sale_type string"
+    day = lambda df: df.withColumn("sale_date", F.to_date(F.lit("2024-03-01"))).select(*[x.split()[0] for x in cols.split(", ")])
+    pos = [(None, f"S{k}", receipt, pos, at, "판매") for n in range(12) for at in ("2024-03-01 1:00", None, f"x_{n}") for k, (pos, receipt) in enumerate([("1_2", f"3_{n}"), ("1", f"2_3_{n}"), ("4", f"00{n}"), ("4", str(n))])]
+    plain = [x for x in pos if "_" not in x[3]]
+    items = [(h[1], h[2], h[4], str(i), f"dish {h[1]}{i}", "판매", f"{i * 100 + int(h[1][1])}", 1, "", i) for h in pos for i in (1, 2)]
+    stores = spark.createDataFrame([(f"S{k}", "r", "m", None) for k in range(4)], "store string, region string, manager string, open_date date")
+    master = spark.createDataFrame([("1", "dish", "Y", "N")], "code string, name string, is_main_candidate string, exclude_check string")
+    item = "store string, receipt_no string, sold_at string, item_id string, item_name string, item_sale_type string, amount string, qty long, category string, n long"
+    for heads in (pos, plain):
+        frames = day(spark.createDataFrame(heads, cols.replace("sale_date date", "sale_date string"))), spark.createDataFrame(items, item)
+        run = lambda rows: sliced(rows) is None or sorted(map(str, u.unify_union_pos(*frames, stores, master, ["store", "n"]).collect()))
+        whole = run(10**6)
+        assert run(150) == whole != [] and len(sliced(150)) > 2
+        sliced(150).clear()
+
+
 def test_hot_keys_and_rows_are_counted_in_one_pass(spark):
     sizes = spark.createDataFrame([("a", None, 7), (None, None, 9), ("b", 1, 2)], "x string, y int, _n long")
     spark.conf.set(core.HOT_CONF, "5")

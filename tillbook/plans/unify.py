@@ -278,7 +278,7 @@ def unify_union_pos(
     kind = c.text("item_sale_type")
     items = items.where((kind == "") | kind.isin(*UNION_TYPES)).withColumns(
         {
-            "receipt_no": c.normalize_id("receipt_no"), "item_id": c.normalize_id("item_id"),
+            "receipt_no": c.normalize_id("receipt_no"), "_no": _bare_id("receipt_no"), "item_id": c.normalize_id("item_id"),
             "unit_price": F.when(kind.isin(*UNION_TYPES), c.money_to_int("amount")).otherwise(0),
             "pack": F.coalesce("category", F.lit("")).contains(PACK) | F.coalesce("item_name", F.lit("")).contains(PACK),
             "item_name": F.trim(F.regexp_replace(c.text("item_name"), r"^[┗└\s]+", "")),
@@ -286,7 +286,7 @@ def unify_union_pos(
     )
     items = items.withColumn("item_name", F.when(F.col("item_name").rlike(r"^\([^)]*\)$"), "").otherwise(F.col("item_name")))
     heads = heads.where(c.text("sale_type").isin(*UNION_TYPES)).withColumns(
-        {"receipt_no": c.normalize_id("receipt_no"), "pos_no": c.normalize_id("pos_no")}
+        {"receipt_no": c.normalize_id("receipt_no"), "_no": _bare_id("receipt_no"), "pos_no": c.normalize_id("pos_no")}
     )
     # What follows from the header alone is found before its lines multiply it.
     heads = heads.withColumns(
@@ -297,29 +297,40 @@ def unify_union_pos(
     )
     main = master.where((F.col("is_main_candidate") == "Y") & (F.col("exclude_check") != "Y"))
     main = main.select(F.col("code").alias("item_id"), F.lit("Y").alias("is_main")).distinct()
-    ids = ["store", "receipt_no", "sold_at"]
+    ids, n = ["store", "receipt_no", "sold_at"], 1
     if isinstance(hot, str) and hot == AUTO:  # lines are counted by receipt before the headers name the orders
         per_receipt = items.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n"))
         named = heads.select(*ids, "order_id").join(per_receipt, ids).groupBy("order_id")
-        hot = hot_counts(named.agg(F.sum("_n").alias("_n")))
-    rows = heads_with_lines(heads, items.join(main, "item_id", "left"), ids, hot=hot)
-    rows = rows.drop("receipt_no", "sold_at", "pos_no", "item_sale_type", "category").withColumns(
-        {
-            "unit_price": F.coalesce("unit_price", F.lit(0)), "item_id": F.coalesce("item_id", F.lit("")),
-            "qty": F.coalesce("qty", F.lit(0)), "item_name": F.coalesce("item_name", F.lit("")), "pack": F.coalesce("pack", F.lit(False)),
-        }
-    )
-    rows = _union_lines(rows, ["order_id"], line_order, hot=hot)
-    rows = rows.withColumns(
-        {
-            "platform": F.lit(HALL), "order_type": F.when(F.col("_pack"), HALL_PACK).otherwise(HALL_TABLE),
-            "total_price": signed_amount("unit_price", is_cancelled()), "discount_amount": F.lit(0),
-            "menu_name": F.coalesce("menu_name", F.lit("")),
-        }
-    )
-    blank = F.col("item_name") == ""
-    rows = rows.where(~(blank & (F.col("unit_price") == 0)) & ~(blank & (F.col("item_id") == "")))
-    return finish(rows, stores, source, brand)
+        hot, counted = hot_and_rows(named.agg(F.sum("_n").alias("_n")))
+        n = slice_count(heads.sparkSession, counted, 3)
+    # Receipts of one order id must share a slice. What stands before the first _ of their number is in the id too, if no
+    # POS has a _ in its own; else what stands after the last _ of the id, which ends in the time of sale.
+    shared = F.substring_index("_no", "_", 1)
+    if n > 1 and not heads.where(F.col("pos_no").contains("_")).isEmpty():
+        shared = F.substring_index(F.concat_ws("_", "receipt_no", "sold_at"), "_", -1)
+
+    def lines(heads, items):
+        rows = heads_with_lines(heads, items.join(main, "item_id", "left"), ids, hot=hot)
+        rows = rows.drop("receipt_no", "sold_at", "pos_no", "item_sale_type", "category").withColumns(
+            {
+                "unit_price": F.coalesce("unit_price", F.lit(0)), "item_id": F.coalesce("item_id", F.lit("")),
+                "qty": F.coalesce("qty", F.lit(0)), "item_name": F.coalesce("item_name", F.lit("")), "pack": F.coalesce("pack", F.lit(False)),
+            }
+        )
+        rows = _union_lines(rows, ["order_id"], line_order, hot=hot)
+        rows = rows.withColumns(
+            {
+                "platform": F.lit(HALL), "order_type": F.when(F.col("_pack"), HALL_PACK).otherwise(HALL_TABLE),
+                "total_price": signed_amount("unit_price", is_cancelled()), "discount_amount": F.lit(0),
+                "menu_name": F.coalesce("menu_name", F.lit("")),
+            }
+        )
+        blank = F.col("item_name") == ""
+        rows = rows.where(~(blank & (F.col("unit_price") == 0)) & ~(blank & (F.col("item_id") == "")))
+        return rows.select(*[x for x in UNIFIED if x in rows.columns])
+
+    parts = (lines(*x) for x in slices([heads, items], shared, n, ["_no"]))
+    return _finish_slices(parts, n, stores, source, brand)
 
 
 # -- single-store POS ---------------------------------------------------------
